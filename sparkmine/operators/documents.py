@@ -67,18 +67,6 @@ def sets_of(normalized: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     )
 
 
-def copies_total(copies: str = "copies") -> F.Column:
-    """Number of document pairs inside groups, for use in ``agg``."""
-    n = F.col(copies).cast("decimal(19,0)")
-    return F.coalesce(F.sum(n * (n - 1) / 2), F.lit(0)).cast("decimal(38,0)")
-
-
-def pairs_total(copies1: str = "copies1", copies2: str = "copies2") -> F.Column:
-    """Number of document pairs that pairs of groups stand for, for use in ``agg``."""
-    product = F.col(copies1).cast("decimal(19,0)") * F.col(copies2).cast("decimal(19,0)")
-    return F.coalesce(F.sum(product), F.lit(0)).cast("decimal(38,0)")
-
-
 def with_copies(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     """Add ``copies1, copies2`` to pairs of groups."""
     one = groups.select(F.col("group_id").alias("id1"), F.col("copies").alias("copies1"))

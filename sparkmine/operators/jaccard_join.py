@@ -123,7 +123,7 @@ def verify(pairs: DataFrame, normalized: DataFrame, k: int) -> DataFrame:
             F.col("group_id").alias(f"id{i}"),
             F.col("shingles").alias(f"shingles{i}"),
             F.col("size").alias(f"size{i}"),
-        )
+        ).hint("merge")  # the planner takes the arrays for small and would broadcast them
 
     return (
         pairs.join(side(1), "id1")

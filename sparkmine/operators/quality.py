@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.operators.documents import copies_total, pairs_total
-
 
 def label(verified: DataFrame, threshold: float) -> DataFrame:
     """Mark verified candidates: ``is_similar`` is true for true and false for false positives."""
@@ -24,17 +22,18 @@ def quality(groups: DataFrame, labelled: DataFrame, missed_pairs: DataFrame) ->
     Pairs inside a group are counted from its size: they share every bucket and are similar.
     ``labelled`` and ``missed_pairs`` carry ``copies1`` and ``copies2``.
     """
-    inside = groups.agg(copies_total().alias("inside"))
-    hits = labelled.filter("is_similar").agg(pairs_total().alias("hits"))
-    false = labelled.filter("NOT is_similar").agg(pairs_total().alias("false_positives"))
-    lost = missed_pairs.agg(pairs_total().alias("false_negatives"))
-    parts = [inside, hits, false, lost]
-    one = [part.withColumn("row_no", F.lit(1)) for part in parts]  # one row each
-    row = one[0].join(one[1], "row_no").join(one[2], "row_no").join(one[3], "row_no")
-    counts = row.select(
-        (F.col("inside") + F.col("hits")).cast("decimal(38,0)").alias("true_positives"),
-        "false_positives",
-        "false_negatives",
+    similar = F.when(F.col("is_similar"), "true_positives").otherwise("false_positives")
+    product = F.col("copies1").cast("decimal(19,0)") * F.col("copies2").cast("decimal(19,0)")
+    n = F.col("copies").cast("decimal(19,0)")
+    counted = (
+        groups.select(F.lit("true_positives").alias("kind"), (n * (n - 1) / 2).alias("pairs"))
+        .union(labelled.select(similar, product))
+        .union(missed_pairs.select(F.lit("false_negatives"), product))
+    )
+    kinds = ["true_positives", "false_positives", "false_negatives"]
+    total = {kind: F.sum(F.when(F.col("kind") == kind, F.col("pairs"))) for kind in kinds}
+    counts = counted.agg(
+        *[F.coalesce(t, F.lit(0)).cast("decimal(38,0)").alias(kind) for kind, t in total.items()]
     )
     tp, fp, fn = (F.col(c).cast("double") for c in counts.columns)
     return counts.select(

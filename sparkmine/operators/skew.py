@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.operators.storage import BROADCAST_ROWS
+
 BLOCK_ROWS = 2_000
 SALT_ROWS = 1_000_000
 MAX_HEAVY_KEYS = 100_000
@@ -33,13 +35,21 @@ def _with_parts(rows: DataFrame, keys: Sequence[str], heavy: DataFrame, over: in
     return rows.join(F.broadcast(heavy), list(keys), "left").withColumn("parts", parts).drop("key_rows")
 
 
-def salted_join(many: DataFrame, few: DataFrame, keys: Sequence[str], over: int = SALT_ROWS) -> DataFrame:
+def salted_join(
+    many: DataFrame,
+    few: DataFrame,
+    keys: Sequence[str],
+    over: int = SALT_ROWS,
+    heavy: DataFrame | None = None,
+) -> DataFrame:
     """Inner equi-join in which ``few`` has at most a handful of rows per key.
 
     Rows of a heavy key in ``many`` are dealt over several salts and the matching rows of ``few`` are
-    repeated once per salt, so no task receives a whole heavy key.
+    repeated once per salt, so no task receives a whole heavy key. ``heavy`` may come from a table
+    that is cheaper to count than ``many``.
     """
-    heavy = heavy_keys(many, keys, over)
+    if heavy is None:
+        heavy = heavy_keys(many, keys, over)
     deal = F.pmod(F.xxhash64(*[F.col(c) for c in many.columns]), F.col("parts")).cast("int")
     left = _with_parts(many, keys, heavy, over).withColumn("salt", deal).drop("parts")
     right = (
@@ -50,6 +60,13 @@ def salted_join(many: DataFrame, few: DataFrame, keys: Sequence[str], over: int
     return left.join(right, [*keys, "salt"]).drop("salt")
 
 
+def lookup_join(many: DataFrame, few: DataFrame, keys: Sequence[str], few_rows: int) -> DataFrame:
+    """Inner join with a table of ``few_rows`` rows: broadcast if that is little, salted if not."""
+    if few_rows <= BROADCAST_ROWS:
+        return many.join(F.broadcast(few), list(keys))
+    return salted_join(many, few, keys)
+
+
 def pairs_sharing_key(
     rows: DataFrame,
     keys: Sequence[str],

@@ -42,14 +42,18 @@ def durable(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after checking that ``table`` has at most ``max_rows`` rows.
+def count_up_to(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> int:
+    """Number of rows, reading no more than ``max_rows + 1`` of them."""
+    return table.limit(max_rows + 1).count()
 
-    ``table`` should be a durable one, since the check reads up to ``max_rows + 1`` rows of it.
+
+def broadcast_if_small(table: DataFrame, rows: int | None = None) -> DataFrame:
+    """Hint a broadcast only after checking that ``table`` has at most ``BROADCAST_ROWS`` rows.
+
+    ``table`` should be a durable one, since the check reads it; ``rows`` is the count if known.
     """
-    if table.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(table)
-    return table
+    rows = count_up_to(table) if rows is None else rows
+    return F.broadcast(table) if rows <= BROADCAST_ROWS else table
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
