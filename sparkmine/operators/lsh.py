@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from sparkmine.functions.minhash import band_keys, band_plan, minhash
 from sparkmine.functions.text import shingle_hashes
-from sparkmine.operators.skew import pairs_sharing_key, salted_join
+from sparkmine.operators.jaccard_join import similar_pairs, verify
+from sparkmine.operators.skew import BLOCK_ROWS, heavy_keys, pairs_sharing_key, salted_join
+from sparkmine.operators.storage import durable
 
 
 def signatures(normalized: DataFrame, k: int, n: int = 100) -> DataFrame:
@@ -71,3 +73,37 @@ def candidate_pairs(rows: DataFrame) -> DataFrame:
     ``rows`` is read several times: pass :func:`band_rows` of a durable table.
     """
     return pairs_sharing_key(rows, ["band", "key"], "group_id").distinct()
+
+
+def sharing_a_band(pairs: DataFrame, banded: DataFrame) -> DataFrame:
+    """Those of ``pairs`` that are candidates: some band has the same key on both sides."""
+    one = banded.select(F.col("group_id").alias("id1"), F.col("bands").alias("bands1"))
+    two = banded.select(F.col("group_id").alias("id2"), F.col("bands").alias("bands2"))
+    same = F.exists(F.zip_with("bands1", "bands2", lambda x, y: x == y), lambda eq: eq)
+    return pairs.join(one, "id1").join(two, "id2").filter(same).drop("bands1", "bands2")
+
+
+def similar_candidates(
+    normalized: DataFrame, banded: DataFrame, k: int, threshold: float, crowd: int = BLOCK_ROWS
+) -> DataFrame:
+    """Candidates with Jaccard similarity of at least ``threshold``, with the columns of ``verify``.
+
+    Buckets of up to ``crowd`` texts are paired and verified. In a larger bucket the number of pairs
+    grows with its square, so its members go through the exact join instead, whose work follows the
+    pairs that are similar, and its pairs are kept if they share a band. Both ways give the same rows.
+    """
+    rows = band_rows(banded)
+    heavy = durable(heavy_keys(rows, ["band", "key"], crowd), "heavy")
+    if heavy.isEmpty():
+        pairs = durable(candidate_pairs(rows), "candidates")
+        return verify(pairs, normalized, k).filter(F.col("jaccard") >= threshold)
+    crowded = F.broadcast(heavy)  # bounded by heavy_keys
+    light = rows.join(crowded, ["band", "key"], "left_anti")
+    pairs = durable(candidate_pairs(light), "candidates")
+    found = verify(pairs, normalized, k).filter(F.col("jaccard") >= threshold)
+    members = durable(
+        rows.join(crowded, ["band", "key"], "left_semi").select("group_id").distinct(), "members"
+    )
+    inside = normalized.join(members, F.col("doc_id") == F.col("group_id"), "left_semi")
+    exact = similar_pairs(inside, members, k, threshold)
+    return found.unionByName(sharing_a_band(exact, banded)).dropDuplicates(["id1", "id2"])

@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.functions.sets import signature_similarity
 from sparkmine.operators import lsh, quality
 from sparkmine.operators.documents import (
     copy_groups,
@@ -74,14 +75,15 @@ class NearDuplicates:
 
     @cached_property
     def verified(self) -> DataFrame:
-        """Candidates with their exact similarity and ``is_similar``."""
+        """Every candidate with its exact similarity and ``is_similar``, for judging the candidates."""
         checked = verify(self.candidates, self.normalized, self.k)
         return with_copies(quality.label(checked, self.threshold), self.banded)
 
     @cached_property
     def similar(self) -> DataFrame:
         """The job's result: candidates that are similar."""
-        return self.verified.filter("is_similar").drop("is_similar")
+        found = lsh.similar_candidates(self.normalized, self.banded, self.k, self.threshold)
+        return with_copies(found, self.banded)
 
     @cached_property
     def true_pairs(self) -> DataFrame:
@@ -101,15 +103,13 @@ class NearDuplicates:
 
     def estimated(self) -> DataFrame:
         """Candidates with the similarity estimated from signatures, ``id1, id2, estimate``."""
-        from sparkmine.functions.sets import signature_similarity
-
         ids = self.candidates.select(F.explode(F.array("id1", "id2")).alias("id")).distinct()
         signed = self.normalized.join(ids, F.col("doc_id") == F.col("id"), "left_semi")
         sigs = lsh.signatures(signed, self.k, self.n)
         one = sigs.select(F.col("doc_id").alias("id1"), F.col("signature").alias("s1"))
         two = sigs.select(F.col("doc_id").alias("id2"), F.col("signature").alias("s2"))
         return (
-            self.candidates.join(one, "id1")
-            .join(two, "id2")
+            self.candidates.join(one.hint("merge"), "id1")
+            .join(two.hint("merge"), "id2")
             .select("id1", "id2", signature_similarity(F.col("s1"), F.col("s2")).alias("estimate"))
         )
