@@ -30,9 +30,14 @@ def check_threshold(threshold: float) -> float:
 
 
 def shingle_frequencies(normalized: DataFrame, k: int) -> DataFrame:
-    """``shingle, docs``: in how many documents each shingle occurs."""
+    """``shingle, docs``: in how many documents each shingle occurs.
+
+    The outer form of explode, here and below: the plain one makes the planner test the array for
+    being empty further down, which would compute it twice.
+    """
     return (
-        normalized.select(F.explode(shingle_set(F.col("normalized"), k)).alias("shingle"))
+        normalized.select(F.explode_outer(shingle_set(F.col("normalized"), k)).alias("shingle"))
+        .filter(F.col("shingle").isNotNull())
         .groupBy("shingle")
         .agg(F.count(F.lit(1)).alias("docs"))
     )
@@ -55,8 +60,10 @@ def frequent_shingles(frequencies: DataFrame, max_rows: int = MAX_RANKED) -> Dat
 
 
 def prefix_of(shingles: Column, frequent: DataFrame, threshold: float) -> Column:
-    """The prefix of each set in global order: unlisted shingles first, then by rising frequency.
+    """The prefix of each set, as rising sort keys of its shingles.
 
+    The global order has unlisted shingles first and then the frequent ones by rising frequency: a
+    sort key is the rank among ``frequent``, 0 if unlisted, above the 32 bits of the shingle.
     ``frequent`` must be bounded; it travels to the workers as two sorted arrays.
     """
     ranked = frequent.orderBy("docs", "shingle").toPandas()["shingle"].to_numpy(np.int64)
@@ -69,7 +76,7 @@ def prefix_of(shingles: Column, frequent: DataFrame, threshold: float) -> Column
         if len(listed):
             at = np.minimum(np.searchsorted(listed, values), len(listed) - 1)
             rank = np.where(listed[at] == values, ranks[at], 0)
-        return values[np.lexsort((values, rank))[:keep]]
+        return np.sort((rank << 32) | values)[:keep]
 
     @F.arrow_udf("array<bigint>")
     def prefixes(batch: pa.Array) -> pa.Array:
@@ -79,32 +86,47 @@ def prefix_of(shingles: Column, frequent: DataFrame, threshold: float) -> Column
     return prefixes(shingles)
 
 
+def prefix_rows(sets: DataFrame, frequent: DataFrame, threshold: float) -> DataFrame:
+    """``group_id, size, last, pos, sort_key``: one row per element of a prefix, ``last`` its end."""
+    return (
+        sets.withColumn("prefix", prefix_of(F.col("shingles"), frequent, threshold))
+        .withColumn("last", F.try_element_at("prefix", F.lit(-1)))
+        .select("group_id", "size", "last", F.posexplode_outer("prefix").alias("pos", "sort_key"))
+        .filter(F.col("sort_key").isNotNull())
+    )
+
+
 def prefix_candidates(prefixes: DataFrame, threshold: float) -> DataFrame:
     """``id1, id2`` of the sets that can still reach the threshold, given what their prefixes share.
 
-    The join keeps pairs of similar size only. With c shared prefix shingles, the last of them leaving
-    r elements behind it in the set where fewer remain, the overlap is at most c + r.
-    ``prefixes`` has ``group_id, size, pos, shingle`` and is read several times.
+    The join keeps pairs of similar size only. Let a pair share c prefix elements. Two bounds on its
+    whole overlap follow. After the last shared element, r elements remain in the set where fewer
+    remain: at most c + r. And in the set whose prefix ends first, every element of the prefix that is
+    not shared is missing from the other set, since the other prefix reaches beyond it: at most c plus
+    the rest of that set, which is ceil(t·n) − 1.
+    ``prefixes`` is read several times: pass a durable table.
     """
     n1, n2 = F.col("x.size"), F.col("y.size")
     similar_size = F.least(n1, n2) >= F.greatest(n1, n2) * F.lit(threshold) - SLACK
     behind = F.least(n1 - F.col("x.pos"), n2 - F.col("y.pos")) - 1
+    ends_first = F.when(F.col("x.last") <= F.col("y.last"), n1).otherwise(n2)
+    rest = F.ceil(ends_first * F.lit(threshold)) - 1  # not below the true value
     meetings = pairs_sharing_key(
         prefixes,
-        ["shingle"],
+        ["sort_key"],
         "group_id",
         keep=similar_size,
-        carry=[behind.alias("behind"), (n1 + n2).alias("sizes")],
+        carry=[F.least(behind, rest).alias("left"), (n1 + n2).alias("sizes")],
     )
     needed = F.col("sizes") * F.lit(threshold / (1 + threshold)) - SLACK * F.col("sizes")
     return (
         meetings.groupBy("id1", "id2")
         .agg(
-            F.count(F.lit(1)).alias("met"),
-            F.min("behind").alias("behind"),
+            F.count(F.lit(1)).alias("shared"),
+            F.min("left").alias("left"),
             F.max("sizes").alias("sizes"),
         )
-        .filter(F.col("met") + F.col("behind") >= needed)
+        .filter(F.col("shared") + F.col("left") >= needed)
         .select("id1", "id2")
     )
 
@@ -143,13 +165,6 @@ def similar_pairs(normalized: DataFrame, groups: DataFrame, k: int, threshold: f
     frequencies = durable(shingle_frequencies(normalized, k).filter("docs > 1"), "frequencies")
     frequent = frequent_shingles(frequencies)
     sets = sets_of(normalized, groups.select("group_id"), k)
-    prefixes = durable(
-        sets.select(
-            "group_id",
-            "size",
-            F.posexplode(prefix_of(F.col("shingles"), frequent, threshold)).alias("pos", "shingle"),
-        ),
-        "prefixes",
-    )
+    prefixes = durable(prefix_rows(sets, frequent, threshold), "prefixes")
     candidates = durable(prefix_candidates(prefixes, threshold), "candidates")
     return verify(candidates, normalized, k).filter(F.col("jaccard") >= threshold)
