@@ -13,7 +13,13 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.operators.storage import broadcast_if_small, count_up_to, durable
+from sparkmine.operators.storage import (
+    BROADCAST_ROWS,
+    broadcast_if_small,
+    count_up_to,
+    durable,
+    spread,
+)
 
 
 def check_share(name: str, value: float) -> float:
@@ -149,14 +155,16 @@ def frequent_levels(items: DataFrame, min_count: float, max_k: int | None = None
         if max_k is not None and k > max_k:
             break
         if k == 2:
-            baskets = durable(reduced_baskets(items, level), "baskets")
+            baskets = spread(durable(reduced_baskets(items, level), "baskets"), "items")
             counts = pair_counts(baskets)
         else:
-            candidates = durable(pruned_candidates(level, k), f"candidates{k}")
-            rows = count_up_to(candidates)
-            if not rows:
+            if rows < k:  # a candidate has k subsets in the level
                 break
-            counts = candidate_counts(baskets, [*steps, (candidates, rows)])
+            candidates, most = pruned_candidates(level, k), rows * (rows - 1) // 2
+            if most > BROADCAST_ROWS:  # count them instead
+                candidates = durable(candidates, f"candidates{k}")
+                most = count_up_to(candidates)
+            counts = candidate_counts(baskets, [*steps, (candidates, most)])
         level = durable(at_least(counts, min_count), f"level{k}")
         rows = count_up_to(level)
         if not rows:

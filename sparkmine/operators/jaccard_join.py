@@ -147,13 +147,16 @@ def verify(pairs: DataFrame, normalized: DataFrame, k: int) -> DataFrame:
             F.col("size").alias(f"size{i}"),
         ).hint("merge")  # the planner takes the arrays for small and would broadcast them
 
-    return (
+    counted = (
         pairs.join(side(1), "id1")
         .join(side(2), "id2")
         .withColumn("shared", F.size(F.array_intersect("shingles1", "shingles2")))
-        .withColumn("jaccard", jaccard_of_counts(F.col("shared"), F.col("size1"), F.col("size2")))
         .drop("shingles1", "shingles2")
     )
+    # written, since a filter on the similarity would move into the join and intersect anew there
+    return durable(counted, "verified").withColumn(
+        "jaccard", jaccard_of_counts(F.col("shared"), F.col("size1"), F.col("size2"))
+    )
 
 
 def similar_pairs(normalized: DataFrame, groups: DataFrame, k: int, threshold: float) -> DataFrame:

@@ -67,12 +67,13 @@ def bucket_members(rows: DataFrame) -> DataFrame:
     )
 
 
-def candidate_pairs(rows: DataFrame) -> DataFrame:
+def candidate_pairs(rows: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     """Pairs of groups that share a bucket in any band, each once.
 
-    ``rows`` is read several times: pass :func:`band_rows` of a durable table.
+    ``rows`` is read several times: pass :func:`band_rows` of a durable table. ``heavy`` are the
+    buckets to be joined in blocks, if known.
     """
-    return pairs_sharing_key(rows, ["band", "key"], "group_id").distinct()
+    return pairs_sharing_key(rows, ["band", "key"], "group_id", heavy=heavy).distinct()
 
 
 def sharing_a_band(pairs: DataFrame, banded: DataFrame) -> DataFrame:
@@ -95,7 +96,7 @@ def similar_candidates(
     rows = band_rows(banded)
     heavy = durable(heavy_keys(rows, ["band", "key"], crowd), "heavy")
     if heavy.isEmpty():
-        pairs = durable(candidate_pairs(rows), "candidates")
+        pairs = durable(candidate_pairs(rows, heavy), "candidates")
         return verify(pairs, normalized, k).filter(F.col("jaccard") >= threshold)
     crowded = F.broadcast(heavy)  # bounded by heavy_keys
     light = rows.join(crowded, ["band", "key"], "left_anti")

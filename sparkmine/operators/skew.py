@@ -74,6 +74,7 @@ def pairs_sharing_key(
     keep: Column | None = None,
     carry: Sequence[Column] = (),
     block_rows: int = BLOCK_ROWS,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Every unordered pair of distinct ids that share ``keys``, once per shared key.
 
@@ -81,9 +82,11 @@ def pairs_sharing_key(
     its work spreads over many tasks. ``keep`` is a condition over columns of the two sides, named
     ``x.*`` and ``y.*``, applied inside the join so that failing pairs never become rows; ``carry``
     are further columns to return, made from the same two sides.
-    ``rows`` is read three times: pass a durable table.
+    ``heavy`` may be given if the keys above ``block_rows`` are known. ``rows`` is read three times:
+    pass a durable table.
     """
-    heavy = heavy_keys(rows, keys, block_rows)
+    if heavy is None:
+        heavy = heavy_keys(rows, keys, block_rows)
     blocked = _with_parts(rows, keys, heavy, block_rows).withColumn(
         "block", F.pmod(F.xxhash64(id_col), F.col("parts")).cast("int")
     )

@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from sparkmine.operators.edges import both_ways
 from sparkmine.operators.order import running_total
 from sparkmine.operators.skew import lookup_join
-from sparkmine.operators.storage import BROADCAST_ROWS, broadcast_if_small, count_up_to, durable
+from sparkmine.operators.storage import (
+    BROADCAST_ROWS,
+    broadcast_if_small,
+    count_up_to,
+    durable,
+    spread,
+)
 
 
 def edge_weight(t: Column, size: Column) -> Column:
@@ -41,7 +47,7 @@ def contributions(edges: DataFrame, lives: DataFrame) -> DataFrame:
     degrees = hops.groupBy("run", "size", "x").agg(F.count(F.lit(1)).alias("degree"))
     of_a = degrees.select("run", "size", F.col("x").alias("a"), F.col("degree").alias("da"))
     of_b = degrees.select("run", F.col("x").alias("b"), F.col("degree").alias("db"))
-    arrived = edges.select("t", "a", "b")
+    arrived = spread(edges.select("t", "a", "b"), "t")
     ends = lookup_join(lookup_join(arrived, of_a, ["a"], rows), of_b, ["run", "b"], rows)
     a_lists = F.col("da") <= F.col("db")
     sides = ends.select(

@@ -128,6 +128,7 @@ def test_parameters_are_checked(spark):
 
 def test_large_levels_are_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr("sparkmine.operators.storage.BROADCAST_ROWS", -1)
+    monkeypatch.setattr("sparkmine.operators.itemsets.BROADCAST_ROWS", -1)
     baskets = random_baskets()
     assert found(MarketBaskets(items_of(spark, baskets), 0.1)) == brute.frequent(
         baskets, len(baskets) * 0.1
