@@ -11,6 +11,8 @@ from sparkmine.operators.jaccard_join import similar_pairs, verify
 from sparkmine.operators.skew import BLOCK_ROWS, heavy_keys, pairs_sharing_key, salted_join
 from sparkmine.operators.storage import durable
 
+MAX_COUNTED_BANDS = 12
+
 
 def signatures(normalized: DataFrame, k: int, n: int = 100) -> DataFrame:
     """``doc_id, text_key, signature``. A map over the texts: nothing is shuffled."""
@@ -84,27 +86,88 @@ def sharing_a_band(pairs: DataFrame, banded: DataFrame) -> DataFrame:
     return pairs.join(one, "id1").join(two, "id2").filter(same).drop("bands1", "bands2")
 
 
+def crowded_buckets(banded: DataFrame, crowd: int = BLOCK_ROWS) -> DataFrame:
+    """``band, key`` of buckets with more than ``crowd`` groups: a bounded table."""
+    return durable(heavy_keys(band_rows(banded), ["band", "key"], crowd), "crowded")
+
+
 def similar_candidates(
-    normalized: DataFrame, banded: DataFrame, k: int, threshold: float, crowd: int = BLOCK_ROWS
+    normalized: DataFrame, banded: DataFrame, crowded: DataFrame, k: int, threshold: float
 ) -> DataFrame:
     """Candidates with Jaccard similarity of at least ``threshold``, with the columns of ``verify``.
 
-    Buckets of up to ``crowd`` texts are paired and verified. In a larger bucket the number of pairs
-    grows with its square, so its members go through the exact join instead, whose work follows the
-    pairs that are similar, and its pairs are kept if they share a band. Both ways give the same rows.
+    The members of buckets that are not crowded are paired and verified. In a crowded bucket the number
+    of pairs grows with its square, so its members go through the exact join instead, whose work
+    follows the pairs that are similar, and its pairs are kept if they share a band. Both ways give
+    the same rows.
     """
     rows = band_rows(banded)
-    heavy = durable(heavy_keys(rows, ["band", "key"], crowd), "heavy")
-    if heavy.isEmpty():
-        pairs = durable(candidate_pairs(rows, heavy), "candidates")
+    if crowded.isEmpty():
+        pairs = durable(candidate_pairs(rows, crowded), "candidates")
         return verify(pairs, normalized, k).filter(F.col("jaccard") >= threshold)
-    crowded = F.broadcast(heavy)  # bounded by heavy_keys
-    light = rows.join(crowded, ["band", "key"], "left_anti")
-    pairs = durable(candidate_pairs(light), "candidates")
+    keys = F.broadcast(crowded)
+    pairs = durable(candidate_pairs(rows.join(keys, ["band", "key"], "left_anti")), "candidates")
     found = verify(pairs, normalized, k).filter(F.col("jaccard") >= threshold)
     members = durable(
-        rows.join(crowded, ["band", "key"], "left_semi").select("group_id").distinct(), "members"
+        rows.join(keys, ["band", "key"], "left_semi").select("group_id").distinct(), "members"
     )
     inside = normalized.join(members, F.col("doc_id") == F.col("group_id"), "left_semi")
     exact = similar_pairs(inside, members, k, threshold)
     return found.unionByName(sharing_a_band(exact, banded)).dropDuplicates(["id1", "id2"])
+
+
+def _crowded_keys(rows: DataFrame, crowded: DataFrame) -> DataFrame:
+    """``group_id, copies, keys``: the crowded buckets of each group that is in any, sorted."""
+    return (
+        rows.join(F.broadcast(crowded.select("band", "key")), ["band", "key"])
+        .groupBy("group_id", "copies")
+        .agg(F.sort_array(F.collect_list(F.struct("band", "key"))).alias("keys"))
+    )
+
+
+def _pairs_in_crowds(held: DataFrame) -> DataFrame:
+    """``pairs``, to be summed: document pairs of different groups that share a crowded bucket.
+
+    Counted and not listed: for each set of buckets the pairs that share all of it, added if the set
+    has an odd size and subtracted if it has an even one, which counts every pair once.
+    """
+    masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.size("keys")).cast("int") - 1)
+    subsets = held.withColumn("mask", F.explode(masks)).select(
+        F.filter("keys", lambda key, i: F.getbit(F.col("mask"), i) == 1).alias("chosen"),
+        F.col("copies").cast("decimal(18,0)").alias("n"),
+    )
+    shared = subsets.groupBy("chosen").agg(
+        F.sum("n").cast("decimal(18,0)").alias("n"),
+        F.sum(F.col("n") * F.col("n")).cast("decimal(37,0)").alias("squares"),
+    )
+    sign = F.when(F.size("chosen") % 2 == 1, F.lit(1)).otherwise(F.lit(-1))
+    pairs = (F.col("n") * F.col("n") - F.col("squares")) / 2
+    return shared.select((sign * pairs).cast("decimal(38,0)").alias("pairs"))
+
+
+def candidate_totals(banded: DataFrame, crowded: DataFrame) -> DataFrame:
+    """``pairs``, to be summed: document pairs of different groups that share a bucket.
+
+    Pairs of buckets that are not crowded are listed, those of crowded ones only counted. With more
+    than ``MAX_COUNTED_BANDS`` bands the sets of buckets are too many, and all pairs are listed.
+    """
+    rows = band_rows(banded)
+    bands = rows.agg(F.max("band")).first()[0]
+    count = bands is not None and bands < MAX_COUNTED_BANDS and not crowded.isEmpty()
+    light = rows
+    if count:
+        light = rows.join(F.broadcast(crowded), ["band", "key"], "left_anti")
+    pairs = candidate_pairs(light, None if count else crowded)
+    copies = banded.select("group_id", F.col("copies").cast("decimal(18,0)").alias("n"))
+    one = copies.select(F.col("group_id").alias("id1"), F.col("n").alias("n1"))
+    two = copies.select(F.col("group_id").alias("id2"), F.col("n").alias("n2"))
+    listed = pairs.join(one, "id1").join(two, "id2")
+    product = (F.col("n1") * F.col("n2")).cast("decimal(38,0)").alias("pairs")
+    if not count:
+        return listed.select(product)
+    held = durable(_crowded_keys(rows, crowded), "crowds")
+    of1 = held.select(F.col("group_id").alias("id1"), F.col("keys").alias("keys1"))
+    of2 = held.select(F.col("group_id").alias("id2"), F.col("keys").alias("keys2"))
+    both = listed.join(of1, "id1", "left").join(of2, "id2", "left")
+    counted = F.coalesce(F.arrays_overlap("keys1", "keys2"), F.lit(False))  # in a crowd already
+    return both.filter(~counted).select(product).union(_pairs_in_crowds(held))

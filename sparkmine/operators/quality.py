@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -11,29 +11,34 @@ def label(verified: DataFrame, threshold: float) -> DataFrame:
     return verified.withColumn("is_similar", F.col("jaccard") >= threshold)
 
 
-def missed(true_pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """True pairs that are not among the found ones."""
-    return true_pairs.join(found.select("id1", "id2"), ["id1", "id2"], "left_anti")
-
-
-def quality(groups: DataFrame, labelled: DataFrame, missed_pairs: DataFrame) -> DataFrame:
+def quality(
+    groups: DataFrame, similar: DataFrame, candidates: DataFrame, missed: DataFrame
+) -> DataFrame:
     """One row of document-pair counts with recall and precision; a ratio without pairs is NULL.
 
+    ``similar`` are the candidates that are similar and ``missed`` the similar pairs that are no
+    candidates, both with ``copies1`` and ``copies2``; ``candidates`` has counts ``pairs``, to be summed.
     Pairs inside a group are counted from its size: they share every bucket and are similar.
-    ``labelled`` and ``missed_pairs`` carry ``copies1`` and ``copies2``.
     """
-    similar = F.when(F.col("is_similar"), "true_positives").otherwise("false_positives")
-    product = F.col("copies1").cast("decimal(19,0)") * F.col("copies2").cast("decimal(19,0)")
-    n = F.col("copies").cast("decimal(19,0)")
+    product = (F.col("copies1").cast("decimal(18,0)") * F.col("copies2").cast("decimal(18,0)")).cast(
+        "decimal(38,0)"
+    )
+    n = F.col("copies").cast("decimal(18,0)")
+    inside = (n * (n - 1) / 2).cast("decimal(38,0)")
     counted = (
-        groups.select(F.lit("true_positives").alias("kind"), (n * (n - 1) / 2).alias("pairs"))
-        .union(labelled.select(similar, product))
-        .union(missed_pairs.select(F.lit("false_negatives"), product))
+        groups.select(F.lit("inside").alias("kind"), inside.alias("pairs"))
+        .union(similar.select(F.lit("similar"), product))
+        .union(candidates.select(F.lit("candidates"), "pairs"))
+        .union(missed.select(F.lit("missed"), product))
     )
-    kinds = ["true_positives", "false_positives", "false_negatives"]
-    total = {kind: F.sum(F.when(F.col("kind") == kind, F.col("pairs"))) for kind in kinds}
-    counts = counted.agg(
-        *[F.coalesce(t, F.lit(0)).cast("decimal(38,0)").alias(kind) for kind, t in total.items()]
+
+    def total(kind: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("pairs"))), F.lit(0)).alias(kind)
+
+    counts = counted.agg(*[total(k) for k in ("inside", "similar", "candidates", "missed")]).select(
+        (F.col("inside") + F.col("similar")).cast("decimal(38,0)").alias("true_positives"),
+        (F.col("candidates") - F.col("similar")).cast("decimal(38,0)").alias("false_positives"),
+        F.col("missed").cast("decimal(38,0)").alias("false_negatives"),
     )
     tp, fp, fn = (F.col(c).cast("double") for c in counts.columns)
     return counts.select(

@@ -17,6 +17,7 @@ from sparkmine.operators.documents import (
     with_copies,
 )
 from sparkmine.operators.jaccard_join import check_threshold, similar_pairs, verify
+from sparkmine.operators.skew import BLOCK_ROWS
 from sparkmine.operators.storage import durable
 
 
@@ -36,6 +37,7 @@ class NearDuplicates:
     threshold: float = 0.8
     empties: str = "match"
     crc_bands: bool = False
+    crowd: int = BLOCK_ROWS
 
     def __post_init__(self) -> None:
         check_threshold(self.threshold)
@@ -68,6 +70,11 @@ class NearDuplicates:
     def band_rows(self) -> DataFrame:
         return lsh.band_rows(self.banded)
 
+    @cached_property
+    def crowded(self) -> DataFrame:
+        """Buckets of more than ``crowd`` groups."""
+        return lsh.crowded_buckets(self.banded, self.crowd)
+
     @cached_property
     def candidates(self) -> DataFrame:
         """``id1, id2``: pairs of groups that share a bucket."""
@@ -82,7 +89,9 @@ class NearDuplicates:
     @cached_property
     def similar(self) -> DataFrame:
         """The job's result: candidates that are similar."""
-        found = lsh.similar_candidates(self.normalized, self.banded, self.k, self.threshold)
+        found = lsh.similar_candidates(
+            self.normalized, self.banded, self.crowded, self.k, self.threshold
+        )
         return with_copies(found, self.banded)
 
     @cached_property
@@ -94,12 +103,14 @@ class NearDuplicates:
     @cached_property
     def missed(self) -> DataFrame:
         """Similar pairs that are no candidates."""
-        return quality.missed(self.true_pairs, self.candidates)
+        found = lsh.sharing_a_band(self.true_pairs, self.banded)
+        return self.true_pairs.join(found.select("id1", "id2"), ["id1", "id2"], "left_anti")
 
     @cached_property
     def quality(self) -> DataFrame:
         """One row: true and false positives, false negatives, recall, precision."""
-        return quality.quality(self.banded, self.verified, self.missed)
+        candidates = lsh.candidate_totals(self.banded, self.crowded)
+        return quality.quality(self.banded, self.similar, candidates, self.missed)
 
     def estimated(self) -> DataFrame:
         """Candidates with the similarity estimated from signatures, ``id1, id2, estimate``."""

@@ -107,7 +107,10 @@ def test_crc_key_of_single_rows_and_empty_sets(spark):
         assert double[0] == [zlib.crc32(str(tuple(values)).encode())]
 
 
-def test_quality(job):
+@pytest.mark.parametrize("crowd", [1, 3, 2000])
+def test_quality(docs, crowd):
+    job = NearDuplicates(docs, k=K, n=N, threshold=T, crowd=crowd)
+    assert job.crowded.isEmpty() == (crowd == 2000)
     bands, rows = band_plan(N, T)
     cand = brute.candidates(SIGNATURES, bands, rows, lambda values: values)
     true = brute.similar(SETS, T)
@@ -119,6 +122,15 @@ def test_quality(job):
     assert row.precision == pytest.approx(len(cand & true) / len(cand))
 
 
+def test_totals_when_there_are_many_bands(job, monkeypatch):
+    expected = job.candidates.count()
+    one = job.banded.withColumn("copies", F.lit(1))
+    crowded = lsh.crowded_buckets(one, 1)
+    for most in (0, 12):
+        monkeypatch.setattr(lsh, "MAX_COUNTED_BANDS", most)
+        assert lsh.candidate_totals(one, crowded).agg(F.sum("pairs")).first()[0] == expected
+
+
 def test_similar_and_missed(job):
     bands, rows = band_plan(N, T)
     cand = brute.candidates(SIGNATURES, bands, rows, lambda values: values)
@@ -128,10 +140,11 @@ def test_similar_and_missed(job):
     assert missed == true - cand
 
 
-def test_crowded_buckets_give_the_same_pairs(job):
-    usual = job.similar.select("id1", "id2", "jaccard").collect()
-    crowded = lsh.similar_candidates(job.normalized, job.banded, K, T, crowd=1)
-    assert sorted(crowded.select("id1", "id2", "jaccard").collect()) == sorted(usual)
+@pytest.mark.parametrize("crowd", [1, 3])
+def test_crowded_buckets_give_the_same_pairs(docs, job, crowd):
+    usual = job.similar.collect()
+    crowded = NearDuplicates(docs, k=K, n=N, threshold=T, crowd=crowd)
+    assert sorted(crowded.similar.select(*job.similar.columns).collect()) == sorted(usual)
 
 
 def test_estimate(job):
