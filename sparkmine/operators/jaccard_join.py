@@ -66,7 +66,8 @@ def prefix_of(shingles: Column, frequent: DataFrame, threshold: float) -> Column
     sort key is the rank among ``frequent``, 0 if unlisted, above the 32 bits of the shingle.
     ``frequent`` must be bounded; it travels to the workers as two sorted arrays.
     """
-    ranked = frequent.orderBy("docs", "shingle").toPandas()["shingle"].to_numpy(np.int64)
+    ordered = frequent.orderBy("docs", "shingle").select("shingle").toArrow()
+    ranked = ordered["shingle"].to_numpy().astype(np.int64)
     by_value = np.argsort(ranked)
     listed, ranks = ranked[by_value], by_value + 1
 
