@@ -34,7 +34,7 @@ def found(job):
     return {tuple(r.itemset): r.cnt for r in job.itemsets.collect()}
 
 
-@pytest.mark.parametrize("support", [0.02, 0.1, 0.3, 1.0])
+@pytest.mark.parametrize("support", [0.02, 0.3])
 @pytest.mark.parametrize("baskets", [SMALL, random_baskets()], ids=["small", "random"])
 def test_itemsets(spark, baskets, support):
     job = MarketBaskets(items_of(spark, baskets), support)
@@ -92,7 +92,7 @@ def test_max_k_and_totals(spark):
     assert report == sorted(report, key=lambda r: (r[0], -r[1]))
 
 
-@pytest.mark.parametrize("confidence", [0.2, 0.5, 0.7, 1.0])
+@pytest.mark.parametrize("confidence", [0.2, 0.7])
 @pytest.mark.parametrize("baskets", [SMALL, random_baskets()], ids=["small", "random"])
 def test_rules(spark, baskets, confidence):
     job = MarketBaskets(items_of(spark, baskets), 0.05, confidence)

@@ -72,7 +72,7 @@ def test_exact_join_values(job):
         assert row.jaccard == brute.jaccard(s, t)
 
 
-@pytest.mark.parametrize("threshold", [0.1, 0.5, 0.9, 1.0])
+@pytest.mark.parametrize("threshold", [0.1, 0.9])
 def test_exact_join_thresholds(docs, threshold):
     job = NearDuplicates(docs, k=K, n=N, threshold=threshold)
     assert document_pairs(job, job.true_pairs) == brute.similar(SETS, threshold)
