@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmine.llm import chat, decontaminate, sharding, topk, url_filter
+from sparkmine.llm import bpe, chat, decontaminate, quality, sharding, token_count, topk, toxicity, url_filter
 
 # The rules of op 7.
 URL_RULES = (
@@ -28,6 +28,13 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 3: token ids of each document and the bytes decoded from them, as digests."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks)
+    return bpe.digests(encoded, ranks)
+
+
 def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 4: the 20 best rows of each vector whose id is divisible by 20."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -57,10 +64,30 @@ def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 8: toxicity of each document."""
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9: tokens of each document under the unigram model, and the score of that segmentation."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_count.count_tokens(documents, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 10: quality of each document."""
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_benchmark_decontamination": benchmark_decontamination,
+    "op3_byte_bpe": byte_bpe,
     "op4_exact_top_k": exact_top_k,
     "op5_chat_formatting": chat_formatting,
     "op6_balanced_shards": balanced_shards,
     "op7_url_rules": url_rules,
+    "op8_toxicity": toxicity_scores,
+    "op9_token_counts": token_counts,
+    "op10_quality": quality_scores,
 }
