@@ -9,6 +9,32 @@ def lowered(text: str) -> str:
     return f"translate(coalesce({text}, ''), '{UPPER}', '{UPPER.lower()}')"
 
 
+OP1 = f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({lowered("text")}, '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), s AS MATERIALIZED (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(len(w) - 2), lambda i: array_to_string(w[i + 1 : i + 3], ' '))) END AS x
+  FROM d
+), e AS MATERIALIZED (
+  SELECT r, len(x) AS n, unnest(x) AS g FROM s
+), pairs AS MATERIALIZED (
+  SELECT a.r AS u, b.r AS v FROM e a JOIN e b ON a.g = b.g AND a.r < b.r
+    AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.r, b.r, a.n, b.n HAVING 190 * count(*) >= 90 * (a.n + b.n)
+), both_ways AS MATERIALIZED (
+  SELECT u, v FROM pairs UNION ALL SELECT v, u FROM pairs
+), reached AS (
+  SELECT r AS a, r AS b FROM s
+  UNION SELECT a, v FROM reached JOIN both_ways ON b = u
+)
+SELECT s.doc_id, CAST(len(s.x) AS BIGINT) AS n_shingles, c.component_id, coalesce(l.n_links, 0) AS n_links
+FROM s
+JOIN (SELECT a, min(t.doc_id) AS component_id FROM reached JOIN s t ON b = t.r GROUP BY a) c ON c.a = s.r
+LEFT JOIN (SELECT u, count(*) AS n_links FROM both_ways GROUP BY u) l ON l.u = s.r
+"""
+
 WORDS2 = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
 OP2 = f"""
@@ -95,6 +121,7 @@ FROM p LEFT JOIN best USING (page_id)
 """
 
 ORACLE = {
+    "op1_ngram_jaccard_join": OP1,
     "op2_benchmark_decontamination": OP2,
     "op4_exact_top_k": OP4,
     "op5_chat_formatting": OP5,

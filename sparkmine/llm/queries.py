@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmine.llm import bpe, chat, decontaminate, quality, sharding, token_count, topk, toxicity, url_filter
+from sparkmine.llm import bpe, chat, decontaminate, ngram_join, quality, sharding, token_count, topk, toxicity, url_filter
 
 # The rules of op 7.
 URL_RULES = (
@@ -23,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 1: component and links of each document."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 2: how much of each document occurs in the benchmark."""
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -81,6 +86,7 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op2_benchmark_decontamination": benchmark_decontamination,
     "op3_byte_bpe": byte_bpe,
     "op4_exact_top_k": exact_top_k,
