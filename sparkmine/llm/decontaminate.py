@@ -40,12 +40,14 @@ MARKS = T.ArrayType(
 
 def winnowed(hashes: np.ndarray, valid: np.ndarray, width: int) -> np.ndarray:
     """Positions whose hash is the least of some ``width`` consecutive ones (ties: all of them)."""
+    if len(hashes) < width:
+        return np.empty(0, np.int64)
     most = np.uint64(0xFFFFFFFFFFFFFFFF)
     h = np.where(valid, hashes, most)
     least = h.copy()
     for i in range(1, width):
         np.minimum(least[: len(h) - i], h[i:], out=least[: len(h) - i])
-    least[max(len(h) - width + 1, 0) :] = 0  # no whole window begins here
+    least[len(h) - width + 1 :] = 0  # no whole window begins here
     best = least.copy()
     for i in range(1, width):
         np.maximum(best[i:], least[: len(h) - i], out=best[i:])
