@@ -3,6 +3,10 @@
 Documents with one and the same set are a class, and only classes are joined. All sets are sorted by one order
 with rare shingles first, so two similar sets share a shingle among the first few of each, their prefixes.
 
+Blocks: a set is cut by hash into one block more than two linked sets of its size can differ in shingles, so
+linked sets agree on a whole block at the same place. Sets that agree with no other on any block are skipped before
+any list is made; that leaves about the sets that have a near copy.
+
 Index lists: one list per prefix shingle, in blocks of like-sized sets. A block whose sizes cannot match is never
 met, and positions within the sets bound what two sets can still share, which skips the rest.
 
@@ -16,13 +20,13 @@ different pivots meet as pairs.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sparkmine.llm import texts
 from sparkmine.llm.components import components
@@ -32,7 +36,8 @@ WORDS = 3
 PERCENT = 90
 BUCKET_BITS = 18  # shingles are counted in this many buckets, whatever their number
 CHUNKS = 64
-FILTER_BITS = 22  # of the fixed-size filter of classes that need their whole sets
+BAND_STEPS = 2  # how many steps of 100 / percent the sizes of sets with equally many blocks span
+FILTER_BITS = 25  # of the fixed-size filter of classes that need their whole sets
 BLOCK = 512  # sets of one pivot that are compared with as many others at once
 TOGETHER = 4_096  # shingles of the differences looked at together
 BROADCAST_BYTES = 8 << 20
@@ -64,33 +69,74 @@ def _shingles(batch: pa.RecordBatch, k: int, weights: np.ndarray) -> Iterator[tu
         yield part, [_distinct(hashes[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
-def sketches(documents: DataFrame, k: int) -> DataFrame:
-    """``doc_id, n_shingles, digest`` per row; and ``chunk, counts`` rows, parts of a table of bucket counts."""
+def least_size(percent: int) -> int:
+    """Smaller sets equal what they are linked to."""
+    return -(-percent // (100 - percent)) if percent < 100 else 1 << 62
+
+
+def block_counts(n: int, percent: int) -> list[int]:
+    """Into how many blocks a set of n shingles is cut; twice if it can be linked to one of the next size band."""
+    ratio = (100 / percent) ** BAND_STEPS
+
+    def begin(band: int) -> int:
+        return math.ceil(ratio**band)
+
+    band = int(math.log(n) / math.log(ratio))
+    band += (begin(band + 1) <= n) - (begin(band) > n)  # rounding
+    bands = [band, band + 1] if n * 100 // percent >= begin(band + 1) else [band]
+    return sorted({2 * (begin(b + 1) - 1) * (100 - percent) // (100 + percent) + 1 for b in bands})
+
+
+def block_names(values: np.ndarray, percent: int) -> np.ndarray:
+    """A hash of each block of a set: how many there are, which it is, and what it holds."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(texts.mixed(values + np.uint64(1)))])
+    out = []
+    for m in block_counts(len(values), percent):
+        place = ((values >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)  # rises with the sorted values
+        ends = np.searchsorted(place, np.arange(m + 1, dtype=np.uint64))
+        which = np.arange(m, dtype=np.uint64) + np.uint64(m << 32)
+        out.append(texts.mixed((sums[ends[1:]] - sums[ends[:-1]]) ^ texts.mixed(which)))
+    return np.concatenate(out)
+
+
+def sketches(documents: DataFrame, k: int, percent: int) -> DataFrame:
+    """``doc_id, n_shingles, digest, blocks`` per row; and ``chunk, counts`` rows, parts of a table of bucket counts.
+
+    ``blocks`` names the blocks of a set that may be linked to an unequal one, once per set and task.
+    """
     weights = texts.byte_weights(texts.SPACES)
-    names = ["doc_id", "n_shingles", "digest", "chunk", "counts"]
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+    names = ["doc_id", "n_shingles", "digest", "blocks", "chunk", "counts"]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int32(), pa.binary()]
+    least = least_size(percent)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BUCKET_BITS, np.int64)
+        seen: set[bytes] = set()
         for whole in batches:
             for part, sets in _shingles(whole, k, weights):
-                for values in sets:
+                digests = [set_digest(s) for s in sets]
+                blocks = []
+                for values, digest in zip(sets, digests, strict=True):
                     np.add.at(counts, values & np.uint64((1 << BUCKET_BITS) - 1), 1)
+                    fresh = len(values) >= least and digest not in seen
+                    seen.add(digest)
+                    blocks.append(block_names(values, percent).view(np.int64) if fresh else None)
                 n = len(part)
                 columns = [
                     part.column("doc_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([set_digest(s) for s in sets], pa.binary()),
+                    pa.array(digests, pa.binary()),
+                    pa.array(blocks, kinds[3]),
                     pa.nulls(n, pa.int32()),
                     pa.nulls(n, pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
         if counts.any():
             parts = [p.tobytes() for p in np.split(counts, CHUNKS)]
-            columns = [*(pa.nulls(CHUNKS, t) for t in kinds[:3]), pa.array(range(CHUNKS), pa.int32()), pa.array(parts)]
+            columns = [*(pa.nulls(CHUNKS, t) for t in kinds[:4]), pa.array(range(CHUNKS), pa.int32()), pa.array(parts)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = "doc_id long, n_shingles long, digest binary, chunk int, counts binary"
+    schema = "doc_id long, n_shingles long, digest binary, blocks array<long>, chunk int, counts binary"
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sketch, schema)
 
 
@@ -119,44 +165,28 @@ def ordered_keys(values: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     return np.sort((ranks[bucket] << np.uint64(64 - BUCKET_BITS)) | (values >> np.uint64(BUCKET_BITS)))
 
 
-def keyed(documents: DataFrame, k: int, ranks: np.ndarray, percent: int, wanted: np.ndarray | None) -> DataFrame:
-    """``digest, n, keys`` of each row that can be linked to an unequal set.
-
-    ``keys`` are the prefix, n - ceil(n * percent / 100) + 1 of them, or all if ``wanted`` is given, a filter
-    of the digests that are returned at all.
-    """
+def keyed(documents: DataFrame, k: int, ranks: np.ndarray, wanted: np.ndarray) -> DataFrame:
+    """``digest, n, keys``, once per set that passes the filter ``wanted``: the whole set in the common order."""
     weights = texts.byte_weights(texts.SPACES)
     shared = documents.sparkSession.sparkContext.broadcast((ranks, wanted))
-    least = -(-percent // (100 - percent)) if percent < 100 else 1 << 62  # smaller sets equal what they are linked to
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, wanted = shared.value
         for whole in batches:
             for _, sets in _shingles(whole, k, weights):
-                digests, sizes, keys = [], [], []
+                digests, keys = [], []
                 for values in sets:
-                    n = len(values)
-                    if n < least:
-                        continue
                     digest = set_digest(values)
-                    if wanted is not None:
-                        slot = int.from_bytes(digest[:4], "big") >> (32 - FILTER_BITS)
-                        if not wanted[slot >> 5] >> (slot & 31) & 1:
-                            continue
-                    named = ordered_keys(values, ranks).view(np.int64)
-                    digests.append(digest)
-                    sizes.append(n)
-                    keys.append(named if wanted is not None else named[: n + (-n * percent) // 100 + 1])
-                if not digests:
-                    continue
-                flat = np.concatenate(keys)
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
-                columns = [
-                    pa.array(digests, pa.binary()),
-                    pa.array(sizes, pa.int32()),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["digest", "n", "keys"])
+                    slot = int.from_bytes(digest[:4], "big") >> (32 - FILTER_BITS)
+                    if len(values) and wanted[slot >> 5] >> (slot & 31) & 1:
+                        digests.append(digest)
+                        keys.append(ordered_keys(values, ranks).view(np.int64))
+                if digests:
+                    sizes = [len(x) for x in keys]
+                    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))
+                    columns = [pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), lists]
+                    yield pa.RecordBatch.from_arrays(columns, names=["digest", "n", "keys"])
 
     rows = documents.select("text").mapInArrow(key, "digest binary, n int, keys array<long>")
     return rows.dropDuplicates(["digest"])
@@ -199,6 +229,7 @@ def pivots_of(met: DataFrame, scratch: Scratch) -> DataFrame:
     )
     best = led.groupBy("digest").agg(F.min(F.struct(-F.col("count"), "leader"))["leader"].alias("pivot"))
     current = scratch.write("pivots_0", best)
+    scratch.drop("leaders")
     for step in (1, 2):
         ahead = current.select(F.col("digest").alias("pivot"), F.col("pivot").alias("next"))
         jumped = current.join(ahead, "pivot", "left").select("digest", F.coalesce("next", "pivot").alias("pivot"))
@@ -299,7 +330,7 @@ def pairs_across(met: DataFrame, pivots: DataFrame, scratch: Scratch, percent: i
     rows = met.join(if_small(scratch, "pivots", pivots), "digest").withColumn("band", band)
     mixed = rows.groupBy("key").agg(F.min("pivot").alias("a"), F.max("pivot").alias("b")).filter("a <> b")
     mixed = scratch.write("mixed", mixed.select("key"))
-    rows = scratch.write("rows", rows.join(if_small(scratch, "mixed", mixed), "key", "left_semi"))
+    rows = scratch.write("lists", rows.join(if_small(scratch, "mixed", mixed), "key", "left_semi"))
     x = rows.withColumn("met", F.explode(F.array("band", F.col("band") + 1))).alias("x")
     y = rows.withColumn("met", F.col("band")).alias("y")
     n1, n2, p1, p2 = F.col("x.n"), F.col("y.n"), F.col("x.pos"), F.col("y.pos")
@@ -323,23 +354,30 @@ def set_links(documents: DataFrame, k: int, percent: int, scratch: Scratch, bloc
     Links are ``digest, root, links`` rows between classes; a class may have several: they name sets that it
     is connected to and add up to the documents of other classes that it is linked to.
     """
-    sketched = scratch.write("sketched", sketches(documents, k))
-    rows = sketched.filter("chunk is null").select("doc_id", "n_shingles", "digest")
+    sketched = scratch.write("sketched", sketches(documents, k, percent))
+    rows = scratch.write("rows", sketched.filter("chunk is null").select("doc_id", "n_shingles", "digest"))
     ranks = bucket_ranks(sketched)
     classes = scratch.write(
         "classes",
-        rows.filter("n_shingles > 0").groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id")),
+        rows.filter("n_shingles > 0")
+        .groupBy("digest")
+        .agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id")),
     )
-    prefixes = scratch.write("prefixes", keyed(documents, k, ranks, percent, None))
-    postings = prefixes.select("digest", "n", F.posexplode("keys").alias("pos", "key"))
+    blocks = sketched.filter("blocks is not null").select("digest", F.explode("blocks").alias("block"))
+    common = scratch.write("common", blocks.groupBy("block").count().filter("count > 1").select("block"))
+    agreeing = blocks.join(if_small(scratch, "common", common), "block", "left_semi").select("digest").distinct()
+    agreeing = scratch.write("agreeing", agreeing)
+    scratch.drop("sketched", "common")
+
+    found = keyed(documents, k, ranks, digest_filter(agreeing))
+    sets = scratch.write("sets", found.join(agreeing, "digest", "left_semi"))
+    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / F.lit(100)).cast("int") + 1
+    postings = sets.select("digest", "n", F.posexplode(F.slice("keys", F.lit(1), prefix)).alias("pos", "key"))
     repeated = scratch.write("repeated", postings.groupBy("key").count().filter("count > 1").select("key"))
     met = scratch.write("met", postings.join(if_small(scratch, "repeated", repeated), "key", "left_semi"))
-    scratch.drop("prefixes", "repeated")
     pivots = scratch.write("pivots", pivots_of(met, scratch))
     pairs = scratch.write("pairs", pairs_across(met, pivots, scratch, percent))
-    scratch.drop("met", "rows")
-    wanted = digest_filter(pivots)
-    sets = scratch.write("sets", keyed(documents, k, ranks, percent, wanted))
+    scratch.drop("met", "repeated", "lists", "mixed", "agreeing")
 
     core = sets.select(F.col("digest").alias("pivot"), F.col("keys").alias("pivot_keys")).hint("merge")
     gone = F.array_except("pivot_keys", "keys")

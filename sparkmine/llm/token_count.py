@@ -83,6 +83,11 @@ class Unigram:
             j = i
         return best[-1][0], tokens
 
+    def unknown_run(self, word: str) -> bool:
+        """Whether two characters in a row are no pieces."""
+        lone = [c not in self.scores for c in word]
+        return any(a and b for a, b in zip(lone, lone[1:], strict=False))
+
     def count(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """Best score and number of tokens of each word."""
         scores, tokens = np.zeros(len(words)), np.zeros(len(words), np.int64)
@@ -94,7 +99,7 @@ class Unigram:
             scores[i:j], tokens[i:j] = self._solve(words[i:j])
             i = j
         for i, word in enumerate(words):
-            if any(o in word for o in self.odd):
+            if any(o in word for o in self.odd) or not self.bytes and self.unknown_run(word):
                 scores[i], tokens[i] = self.one_word(word)
         return scores, tokens
 
@@ -116,8 +121,8 @@ class Unigram:
         lone = np.flatnonzero(inside & (self.characters[spot] != codes))
         code = codes[lone]
         width = 1 + (code >= 0x80).astype(np.int64) + (code >= 0x800) + (code >= 0x10000)
-        if not self.bytes:  # a run of unknown characters is one token
-            width = np.where(np.isin(lone - 1, lone), 0, 1)
+        if not self.bytes:
+            width[:] = 1
         # matches come by end and then by start; an unknown character begins after all that end with it
         at = np.searchsorted(end, lone, side="right")
         gain = np.insert(self.found_scores[piece], at, self.worst)

@@ -89,11 +89,24 @@ def test_pairs_with_different_pivots_are_kept(spark, rows, monkeypatch):
     assert found(ngram_join.near_duplicates(documents(spark, rows))) == brute(rows)
 
 
-def test_prefix_is_long_enough():
-    for n in range(9, 400):
-        for other in range(n, n * 10 // 9 + 1):
-            shared = -(-90 * (n + other) // 190)
-            assert n + (-n * 90) // 100 + 1 >= n - shared + 1
+@pytest.mark.parametrize("percent", [70, 80, 90, 95])
+def test_linked_sets_agree_on_a_block(percent):
+    """Of each two sizes that can be linked, both are cut into some equal number of blocks above their difference."""
+    for n in range(ngram_join.least_size(percent), 700):
+        for other in range(n, n * 100 // percent + 1):
+            shared = -(-percent * (n + other) // (100 + percent))
+            apart = n + other - 2 * shared
+            both = set(ngram_join.block_counts(n, percent)) & set(ngram_join.block_counts(other, percent))
+            assert any(m > apart for m in both)
+
+
+def test_block_names_agree_where_blocks_do():
+    rng = np.random.default_rng(3)
+    a = np.unique(rng.integers(0, 1 << 63, 300, dtype=np.uint64))
+    b = np.delete(a, rng.integers(0, len(a), 10))
+    c = np.unique(rng.integers(0, 1 << 63, 300, dtype=np.uint64))
+    names = [set(ngram_join.block_names(x, 90).tolist()) for x in (a, b, c)]
+    assert len(names[0] & names[1]) > 10 and not names[0] & names[2]
 
 
 def test_common_counts_in_parts(monkeypatch):
