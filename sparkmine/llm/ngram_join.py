@@ -40,7 +40,8 @@ BAND_STEPS = 2  # how many steps of 100 / percent the sizes of sets with equally
 FILTER_BITS = 25  # of the fixed-size filter of classes that need their whole sets
 BLOCK = 512  # sets of one pivot that are compared with as many others at once
 TOGETHER = 4_096  # shingles of the differences looked at together
-BROADCAST_BYTES = 8 << 20
+BROADCAST_BYTES = 2 << 20
+SALT = 2_000  # sets of one pivot that one task holds against it
 LEAD = 8  # parts in which the counts of a bucket are added up first
 
 
@@ -54,6 +55,11 @@ def set_digest(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
+def mark_of(digest: bytes) -> int:
+    """The beginning of a digest as a number."""
+    return int.from_bytes(digest[:8], "big", signed=True)
+
+
 def _distinct(values: np.ndarray) -> np.ndarray:
     values = np.sort(values)
     return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
@@ -100,13 +106,14 @@ def block_names(values: np.ndarray, percent: int) -> np.ndarray:
 
 
 def sketches(documents: DataFrame, k: int, percent: int) -> DataFrame:
-    """``doc_id, n_shingles, digest, blocks`` per row; and ``chunk, counts`` rows, parts of a table of bucket counts.
+    """``doc_id, n_shingles, digest, mark, blocks`` per row; and ``chunk, counts`` rows, parts of a table of counts.
 
-    ``blocks`` names the blocks of a set that may be linked to an unequal one, once per set and task.
+    ``blocks`` names the blocks of a set that may be linked to an unequal one, once per set and task; ``mark`` is
+    the beginning of the digest as a number.
     """
     weights = texts.byte_weights(texts.SPACES)
-    names = ["doc_id", "n_shingles", "digest", "blocks", "chunk", "counts"]
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int32(), pa.binary()]
+    names = ["doc_id", "n_shingles", "digest", "mark", "blocks", "chunk", "counts"]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary()]
     least = least_size(percent)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,17 +133,18 @@ def sketches(documents: DataFrame, k: int, percent: int) -> DataFrame:
                     part.column("doc_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(digests, pa.binary()),
-                    pa.array(blocks, kinds[3]),
+                    pa.array([mark_of(d) for d in digests], pa.int64()),
+                    pa.array(blocks, kinds[4]),
                     pa.nulls(n, pa.int32()),
                     pa.nulls(n, pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
         if counts.any():
             parts = [p.tobytes() for p in np.split(counts, CHUNKS)]
-            columns = [*(pa.nulls(CHUNKS, t) for t in kinds[:4]), pa.array(range(CHUNKS), pa.int32()), pa.array(parts)]
+            columns = [*(pa.nulls(CHUNKS, t) for t in kinds[:5]), pa.array(range(CHUNKS), pa.int32()), pa.array(parts)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = "doc_id long, n_shingles long, digest binary, blocks array<long>, chunk int, counts binary"
+    schema = "doc_id long, n_shingles long, digest binary, mark long, blocks array<long>, chunk int, counts binary"
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sketch, schema)
 
 
@@ -165,8 +173,11 @@ def ordered_keys(values: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     return np.sort((ranks[bucket] << np.uint64(64 - BUCKET_BITS)) | (values >> np.uint64(BUCKET_BITS)))
 
 
-def keyed(documents: DataFrame, k: int, ranks: np.ndarray, wanted: np.ndarray) -> DataFrame:
-    """``digest, n, keys``, once per set that passes the filter ``wanted``: the whole set in the common order."""
+def keyed(documents: DataFrame, k: int, ranks: np.ndarray, wanted: np.ndarray, percent: int | None = None) -> DataFrame:
+    """``digest, n, keys``, once per set whose mark passes the filter ``wanted``: its shingles in the common order.
+
+    With ``percent`` only the prefix: the first n - ceil(n * percent / 100) + 1.
+    """
     weights = texts.byte_weights(texts.SPACES)
     shared = documents.sparkSession.sparkContext.broadcast((ranks, wanted))
 
@@ -174,16 +185,18 @@ def keyed(documents: DataFrame, k: int, ranks: np.ndarray, wanted: np.ndarray) -
         ranks, wanted = shared.value
         for whole in batches:
             for _, sets in _shingles(whole, k, weights):
-                digests, keys = [], []
+                digests, sizes, keys = [], [], []
                 for values in sets:
                     digest = set_digest(values)
-                    slot = int.from_bytes(digest[:4], "big") >> (32 - FILTER_BITS)
-                    if len(values) and wanted[slot >> 5] >> (slot & 31) & 1:
+                    slot = mark_of(digest) & ((1 << FILTER_BITS) - 1)
+                    n = len(values)
+                    if n and wanted[slot >> 5] >> (slot & 31) & 1:
+                        named = ordered_keys(values, ranks).view(np.int64)
                         digests.append(digest)
-                        keys.append(ordered_keys(values, ranks).view(np.int64))
+                        sizes.append(n)
+                        keys.append(named if percent is None else named[: n + (-n * percent) // 100 + 1])
                 if digests:
-                    sizes = [len(x) for x in keys]
-                    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                    ends = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
                     lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))
                     columns = [pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), lists]
                     yield pa.RecordBatch.from_arrays(columns, names=["digest", "n", "keys"])
@@ -192,13 +205,17 @@ def keyed(documents: DataFrame, k: int, ranks: np.ndarray, wanted: np.ndarray) -
     return rows.dropDuplicates(["digest"])
 
 
-def digest_filter(digests: DataFrame) -> np.ndarray:
-    """A bitmap of 2**FILTER_BITS bits by the first bits of the digests; its size does not depend on them."""
-    number = F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long")
-    slot = F.shiftright(number, 32 - FILTER_BITS)
+def mark_column(digest: str = "digest") -> Column:
+    """:func:`mark_of` as a column."""
+    return F.conv(F.hex(F.substring(digest, 1, 8)), 16, -10).cast("long")
+
+
+def mark_filter(marks: DataFrame) -> np.ndarray:
+    """A bitmap of 2**FILTER_BITS bits by the last bits of ``marks(mark)``; its size does not depend on them."""
+    slot = F.col("mark").bitwiseAND((1 << FILTER_BITS) - 1)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(31).cast("int"))
     rows = (
-        digests.select(F.shiftright(slot, 5).alias("word"), bit.alias("bit"))
+        marks.select(F.shiftright(slot, 5).alias("word"), bit.alias("bit"))
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
         .toArrow()
@@ -273,10 +290,48 @@ def least_linked(links: np.ndarray) -> np.ndarray:
     return label
 
 
-def answers_by_pivot(diffs: DataFrame, percent: int, block: int) -> DataFrame:
-    """``digest, root, links``: from ``diffs(digest, pivot, n, copies, pivot_n, lacking, changed)``.
+def differences(sets: DataFrame) -> DataFrame:
+    """``digest, pivot, n, copies, pivot_n, lacking, changed`` of ``sets(digest, pivot, n, copies, keys, salts)``.
 
     ``changed`` has the shingles by which a set differs from its pivot, ``lacking`` how many of them the pivot has.
+    Sets are dealt by pivot and salt, each part with a copy of the pivot, and streamed past it.
+    """
+    order = ["pivot", "salt", "lead"]
+    member = sets.withColumn("salt", F.pmod(F.xxhash64("digest"), F.col("salts")).cast("int")).withColumn("lead", F.lit(1))
+    leads = sets.filter("digest = pivot").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    both = member.unionByName(leads.withColumn("lead", F.lit(0))).select(*order, "digest", "n", "copies", "keys")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["digest", "pivot", "n", "copies", "pivot_n", "lacking", "changed"]
+        kinds = [pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+        base = np.empty(0, np.int64)
+        for batch in batches:
+            ends = np.concatenate([[0], np.cumsum(batch.column("keys").value_lengths().to_numpy())])
+            flat = batch.column("keys").flatten().to_numpy()
+            out: list[list] = [[] for _ in names]
+            columns = zip(*(batch.column(c).to_pylist() for c in ("lead", "digest", "pivot", "n", "copies")), strict=True)
+            for i, (lead, digest, pivot, n, copies) in enumerate(columns):
+                keys = flat[ends[i] : ends[i + 1]]
+                if lead == 0:
+                    base = keys
+                    continue
+                gone = np.setdiff1d(base, keys, assume_unique=True)
+                come = np.setdiff1d(keys, base, assume_unique=True)
+                row = [digest, pivot, n, copies, len(base), len(gone), np.concatenate([gone, come])]
+                for values, value in zip(out, row, strict=True):
+                    values.append(value)
+            if out[0]:
+                made = [pa.array(c, type=t) for c, t in zip(out, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(made, names=names)
+
+    dealt = both.repartition("pivot", "salt").sortWithinPartitions(*order)
+    schema = "digest binary, pivot binary, n int, copies long, pivot_n int, lacking int, changed array<long>"
+    return dealt.mapInArrow(compare, schema)
+
+
+def answers_by_pivot(diffs: DataFrame, percent: int, block: int) -> DataFrame:
+    """``digest, root, links`` from the differences of sets that have a pivot in common.
+
     One row per set and block in which it was compared: the least set that it reaches by links
     there, and the documents that it is linked to there.
     """
@@ -344,10 +399,6 @@ def pairs_across(met: DataFrame, pivots: DataFrame, scratch: Scratch, percent: i
     return found.distinct()
 
 
-def shared_count(a: Column, b: Column) -> Column:
-    return F.size(F.array_intersect(a, b))
-
-
 def set_links(documents: DataFrame, k: int, percent: int, scratch: Scratch, block: int = BLOCK) -> tuple[DataFrame, ...]:
     """Three frames: ``doc_id, n_shingles, digest`` of all rows, class ``digest, copies, first_id``, and links.
 
@@ -363,52 +414,43 @@ def set_links(documents: DataFrame, k: int, percent: int, scratch: Scratch, bloc
         .groupBy("digest")
         .agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id")),
     )
-    blocks = sketched.filter("blocks is not null").select("digest", F.explode("blocks").alias("block"))
+    blocks = sketched.filter("blocks is not null").select("mark", F.explode("blocks").alias("block"))
     common = scratch.write("common", blocks.groupBy("block").count().filter("count > 1").select("block"))
-    agreeing = blocks.join(if_small(scratch, "common", common), "block", "left_semi").select("digest").distinct()
-    agreeing = scratch.write("agreeing", agreeing)
+    agreeing = scratch.write("agreeing", blocks.join(common, "block", "left_semi").select("mark").distinct())
     scratch.drop("sketched", "common")
 
-    found = keyed(documents, k, ranks, digest_filter(agreeing))
-    sets = scratch.write("sets", found.join(agreeing, "digest", "left_semi"))
-    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / F.lit(100)).cast("int") + 1
-    postings = sets.select("digest", "n", F.posexplode(F.slice("keys", F.lit(1), prefix)).alias("pos", "key"))
+    prefixes = scratch.write("prefixes", keyed(documents, k, ranks, mark_filter(agreeing), percent))
+    postings = prefixes.select("digest", "n", F.posexplode("keys").alias("pos", "key"))
     repeated = scratch.write("repeated", postings.groupBy("key").count().filter("count > 1").select("key"))
     met = scratch.write("met", postings.join(if_small(scratch, "repeated", repeated), "key", "left_semi"))
+    scratch.drop("agreeing", "prefixes", "repeated")
     pivots = scratch.write("pivots", pivots_of(met, scratch))
     pairs = scratch.write("pairs", pairs_across(met, pivots, scratch, percent))
-    scratch.drop("met", "repeated", "lists", "mixed", "agreeing")
-
-    core = sets.select(F.col("digest").alias("pivot"), F.col("keys").alias("pivot_keys")).hint("merge")
-    gone = F.array_except("pivot_keys", "keys")
-    come = F.array_except("keys", "pivot_keys")
-    diffs = (
-        sets.join(pivots, "digest")
-        .join(core, "pivot")
-        .join(classes.select("digest", "copies"), "digest")
-        .select(
-            "digest",
-            "pivot",
-            "n",
-            "copies",
-            F.size("pivot_keys").alias("pivot_n"),
-            F.size(gone).alias("lacking"),
-            F.concat(gone, come).alias("changed"),
-        )
-    )
-    inside = scratch.write("inside", answers_by_pivot(scratch.write("diffs", diffs), percent, block))
+    scratch.drop("met", "lists", "mixed")
+
+    around = pivots.groupBy("pivot").count().filter("count > 1")
+    around = around.select("pivot", F.ceil(F.col("count") / F.lit(SALT)).cast("int").alias("salts"))
+    grouped = pivots.join(around, "pivot")
+    paired = pairs.select(F.explode(F.array("d1", "d2")).alias("digest")).distinct().withColumn("paired", F.lit(True))
+    needed_sets = grouped.join(paired, "digest", "full").join(classes.select("digest", "copies"), "digest")
+    needed_sets = scratch.write("needed", needed_sets)
+    wanted = mark_filter(needed_sets.select(mark_column().alias("mark")))
+    sets = scratch.write("sets", keyed(documents, k, ranks, wanted).join(needed_sets, "digest"))
+    scratch.drop("needed")
+
+    diffs = scratch.write("diffs", differences(sets.filter("pivot is not null")))
+    inside = scratch.write("inside", answers_by_pivot(diffs, percent, block))
     scratch.drop("diffs")
 
     def side(i: int) -> DataFrame:
-        named = sets.select(F.col("digest").alias(f"d{i}"), F.col("n").alias(f"n{i}"), F.col("keys").alias(f"keys{i}"))
-        return named.join(classes.select(F.col("digest").alias(f"d{i}"), F.col("copies").alias(f"copies{i}")), f"d{i}").hint("merge")
+        columns = ["digest", "n", "copies", "keys"]
+        named = sets.filter("paired").select(*[F.col(c).alias(f"{'d' if c == 'digest' else c}{i}") for c in columns])
+        return named.hint("merge")
 
-    met_pairs = pairs.join(side(1), "d1").join(side(2), "d2")
     factor, bound = needed(F.col("n1") + F.col("n2"), percent)
-    verified = scratch.write(
-        "verified",
-        met_pairs.filter(shared_count(F.col("keys1"), F.col("keys2")) * factor >= bound).select("d1", "d2", "copies1", "copies2"),
-    )
+    shared = F.size(F.array_intersect("keys1", "keys2"))
+    met_pairs = pairs.join(side(1), "d1").join(side(2), "d2").filter(shared * factor >= bound)
+    verified = scratch.write("verified", met_pairs.select("d1", "d2", "copies1", "copies2"))
     scratch.drop("sets", "pairs")
     across = verified.select(F.col("d1").alias("digest"), F.col("d1").alias("root"), F.col("copies2").alias("links"))
     across = across.unionByName(

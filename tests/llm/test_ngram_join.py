@@ -102,11 +102,11 @@ def test_linked_sets_agree_on_a_block(percent):
 
 def test_block_names_agree_where_blocks_do():
     rng = np.random.default_rng(3)
-    a = np.unique(rng.integers(0, 1 << 63, 300, dtype=np.uint64))
+    a = np.unique(rng.integers(0, 1 << 64, 300, dtype=np.uint64))
     b = np.delete(a, rng.integers(0, len(a), 10))
-    c = np.unique(rng.integers(0, 1 << 63, 300, dtype=np.uint64))
+    c = np.unique(rng.integers(0, 1 << 64, 300, dtype=np.uint64))
     names = [set(ngram_join.block_names(x, 90).tolist()) for x in (a, b, c)]
-    assert len(names[0] & names[1]) > 10 and not names[0] & names[2]
+    assert len(names[0] & names[1]) > 10 and len(names[0] & names[2]) <= 1  # an empty block, at most
 
 
 def test_common_counts_in_parts(monkeypatch):
