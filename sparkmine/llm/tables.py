@@ -18,12 +18,13 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        folder = spark.conf.get("spark.checkpoint.dir", None)
+        context = spark.sparkContext
+        folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
         if not folder:
-            if not spark.conf.get("spark.master", "").startswith("local["):
+            if not context.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-            folder = tempfile.mkdtemp(prefix="sparkmine-")
-            spark.conf.set("spark.checkpoint.dir", folder)
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="sparkmine-"))
+            folder = context.getCheckpointDir()
         self.base = f"{folder.rstrip('/')}/sparkmine-{uuid.uuid4().hex}"
         self.live: dict[str, str] = {}
         path, files = self._at(self.base)
