@@ -416,118 +416,6 @@ def pairs_across(met: DataFrame, pivots: DataFrame, scratch: Scratch, percent: i
     return found.filter((F.col("shared") + F.col("left")) * factor >= F.col("bound")).select("d1", "d2")
 
 
-def differences(sets: DataFrame) -> DataFrame:
-    """``digest, pivot, n, copies, pivot_n, lacking, changed`` of ``sets(digest, pivot, n, copies, keys, salts)``.
-
-    ``changed`` has the shingles by which a set differs from its pivot, ``lacking`` how many of them the pivot has.
-    Sets are dealt by pivot and salt, each part with a copy of the pivot, and streamed past it.
-    """
-    order = ["pivot", "salt", "lead"]
-    member = sets.withColumn("salt", F.pmod(F.xxhash64("digest"), F.col("salts")).cast("int")).withColumn("lead", F.lit(1))
-    leads = sets.filter("digest = pivot").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    both = member.unionByName(leads.withColumn("lead", F.lit(0))).select(*order, "digest", "n", "copies", "keys")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["digest", "pivot", "n", "copies", "pivot_n", "lacking", "changed"]
-        kinds = [pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
-        base = np.empty(0, np.int64)
-        for batch in batches:
-            ends = np.concatenate([[0], np.cumsum(batch.column("keys").value_lengths().to_numpy())])
-            flat = batch.column("keys").flatten().to_numpy()
-            out: list[list] = [[] for _ in names]
-            columns = zip(*(batch.column(c).to_pylist() for c in ("lead", "digest", "pivot", "n", "copies")), strict=True)
-            for i, (lead, digest, pivot, n, copies) in enumerate(columns):
-                keys = flat[ends[i] : ends[i + 1]]
-                if lead == 0:
-                    base = keys
-                    continue
-                gone = np.setdiff1d(base, keys, assume_unique=True)
-                come = np.setdiff1d(keys, base, assume_unique=True)
-                row = [digest, pivot, n, copies, len(base), len(gone), np.concatenate([gone, come])]
-                for values, value in zip(out, row, strict=True):
-                    values.append(value)
-            if out[0]:
-                made = [pa.array(c, type=t) for c, t in zip(out, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(made, names=names)
-
-    dealt = both.repartition("pivot", "salt").sortWithinPartitions(*order)
-    schema = "digest binary, pivot binary, n int, copies long, pivot_n int, lacking int, changed array<long>"
-    return dealt.mapInArrow(compare, schema)
-
-
-def answers_by_pivot(diffs: DataFrame, percent: int, block: int) -> DataFrame:
-    """``digest, root, links`` from the differences of sets that have a pivot in common.
-
-    One row per set and block in which it was compared: the least set that it reaches by links
-    there, and the documents that it is linked to there.
-    """
-    sizes = diffs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
-    sizes = sizes.join(diffs.groupBy("pivot").count().filter("count > 1").select("pivot"), "pivot", "left_semi")
-    mine = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
-    dealt = (
-        diffs.join(sizes, "pivot")
-        .withColumn("mine", mine)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "pivot",
-            F.least("mine", "other").alias("low"),
-            F.greatest("mine", "other").alias("high"),
-            "mine",
-            *["digest", "n", "copies", "pivot_n", "lacking", "changed"],
-        )
-    )
-
-    def compare(table: pa.Table) -> pa.Table:
-        table = table.sort_by("digest")
-        n, copies, pivot_n, lacking, mine = (
-            table.column(c).to_numpy() for c in ("n", "copies", "pivot_n", "lacking", "mine")
-        )
-        lists = table.column("changed").combine_chunks()
-        owner = np.repeat(np.arange(len(n)), lists.value_lengths().to_numpy())
-        both = common_counts(lists.flatten().to_numpy(), owner, len(n))
-        shared = pivot_n[0] - lacking[:, None] - lacking[None, :] + both
-        links = linked(n.astype(np.int64), n.astype(np.int64), shared, percent)
-        np.fill_diagonal(links, False)
-        if table.column("low")[0] != table.column("high")[0]:
-            links &= mine[:, None] != mine[None, :]  # those of one block meet among themselves
-        label = least_linked(links)
-        digests = table.column("digest")
-        return pa.table(
-            {"digest": digests, "root": digests.take(pa.array(label)), "links": pa.array(links @ copies.astype(np.int64))}
-        )
-
-    found = dealt.groupBy("pivot", "low", "high").applyInArrow(compare, "digest binary, root binary, links long")
-    return found.filter("links > 0")
-
-
-def pairs_across(met: DataFrame, pivots: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
-    """``d1, d2``: pairs of sets with different pivots that their sizes and positions do not rule out.
-
-    A list is cut into blocks by size: bands in each of which the greatest set is at most 100 / percent times
-    the least, so a set meets its own band and the next. Within two blocks, the position of each common shingle
-    bounds the overlap. Over all lists two more bounds follow: after the last common shingle of the prefixes, no
-    more can be shared than either set has left; and in the set whose prefix ends first, what is not common in the
-    prefix is missing from the other set.
-    """
-    steps = F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent))
-    band = F.floor(steps + F.lit(1e-9)).cast("int")  # exact powers must not fall short by rounding
-    rows = met.join(if_small(scratch, "pivots", pivots), "digest").withColumn("band", band)
-    mixed = rows.groupBy("key").agg(F.min("pivot").alias("a"), F.max("pivot").alias("b")).filter("a <> b")
-    mixed = scratch.write("mixed", mixed.select("key"))
-    rows = scratch.write("lists", rows.join(if_small(scratch, "mixed", mixed), "key", "left_semi"))
-    x = rows.withColumn("met", F.explode(F.array("band", F.col("band") + 1))).alias("x")
-    y = rows.withColumn("met", F.col("band")).alias("y")
-    n1, n2, p1, p2 = F.col("x.n"), F.col("y.n"), F.col("x.pos"), F.col("y.pos")
-    most = F.least(p1, p2) + 1 + F.least(n1 - p1 - 1, n2 - p2 - 1)
-    factor, bound = needed(n1 + n2, percent)
-    once = F.when(F.col("x.band") == F.col("y.band"), F.col("x.digest") < F.col("y.digest")).otherwise(F.lit(True))
-    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.met") == F.col("y.met")) & once
-    on &= (F.col("x.pivot") != F.col("y.pivot")) & (most * factor >= bound)
-    on &= F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
-    found = x.join(y, on).select(F.least("x.digest", "y.digest").alias("d1"), F.greatest("x.digest", "y.digest").alias("d2"))
-    return found.distinct()
-
-
 def set_links(documents: DataFrame, k: int, percent: int, scratch: Scratch, block: int = BLOCK) -> tuple[DataFrame, ...]:
     """Three frames: ``doc_id, n_shingles, digest`` of all rows, class ``digest, copies, first_id``, and links.
 
