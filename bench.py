@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -17,6 +18,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from sparkmine.catalog.queries import QUERIES  # noqa: E402
+from sparkmine.operators.storage import Workspace  # noqa: E402
 
 HEADLINE = [
     "near_duplicates",
@@ -33,8 +35,10 @@ HEADLINE = [
 
 
 def session(cpus: str) -> SparkSession:
+    folder = tempfile.mkdtemp(prefix="sparkmine-bench-")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
+        .config("spark.checkpoint.dir", folder)
         .appName("bench")
         .config("spark.driver.memory", "20g")
         .config("spark.sql.shuffle.partitions", cpus)
@@ -51,7 +55,8 @@ def session(cpus: str) -> SparkSession:
 def seconds(spark: SparkSession, name: str, sf_dir: str) -> float:
     """Time to build and run a query, every row of it, with nothing kept from other queries."""
     start = time.perf_counter()
-    QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    with Workspace(spark):
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     return round(time.perf_counter() - start, 3)
 
 

@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+import random
+
 from sparkmine.catalog import queries as q
-from sparkmine.functions.minhash import EMPTY, PRIME, band_plan, hash_family
 
-BANDS, ROWS = band_plan(q.HASHES, q.THRESHOLD)
+# The hash family of signatures, what stands for an empty set, and how 100 hashes are cut at 0.8.
+PRIME, SEED, EMPTY = 4294967311, 42, 9223372036854775807
+BANDS, ROWS = 10, 10
+
+
+def coefficients(count: int) -> list[tuple[int, int]]:
+    """Pairs drawn in turn from one seeded generator: a from 1, b from 0, both below the prime."""
+    draws = random.Random(SEED)
+    return [(draws.randint(1, PRIME - 1), draws.randint(0, PRIME - 1)) for _ in range(count)]
+
 
 # Unicode white space and the four separators, as a character class.
 SPACES = (
@@ -66,7 +76,7 @@ compared AS (
 true_pairs AS MATERIALIZED (SELECT * FROM compared WHERE jaccard >= {q.THRESHOLD})"""
 
 MINIMA = ", ".join(
-    f"min(({a}::HUGEINT * h + {b}) % {PRIME})::BIGINT" for a, b in hash_family(q.HASHES)
+    f"min(({a}::HUGEINT * h + {b}) % {PRIME})::BIGINT" for a, b in coefficients(q.HASHES)
 )
 SIGNATURES = f"""
 filled AS (SELECT doc_id, [{MINIMA}] AS sig FROM sh GROUP BY doc_id),
@@ -186,6 +196,12 @@ ORACLE: dict[str, str] = {
             FROM verified""",
         *LSH, VERIFIED,
     ),
+    "lsh_band_plan": sql(
+        f"""SELECT band, {BANDS}::BIGINT AS bands, {ROWS}::BIGINT AS rows_per_band,
+                   count(*) AS groups, count(DISTINCT key) AS buckets
+            FROM bands GROUP BY band""",
+        *LSH,
+    ),
     "lsh_missed": sql(
         """SELECT id1, id2, round(jaccard, 6) AS jaccard
            FROM true_pairs ANTI JOIN cand USING (id1, id2)""",
@@ -237,13 +253,13 @@ ORACLE["labelled_texts_first"] = sql(
 # Frequent itemsets
 
 
-def items(column: str) -> str:
+def items(column: str, support: float = q.SUPPORT) -> str:
     return f"""
 items AS MATERIALIZED (
   SELECT DISTINCT l_orderkey AS tid, {column} AS item
   FROM lineitem JOIN part ON l_partkey = p_partkey
   WHERE l_orderkey IS NOT NULL AND {column} IS NOT NULL),
-bound AS (SELECT count(DISTINCT tid) AS n, count(DISTINCT tid) * {q.SUPPORT}::DOUBLE AS least FROM items)"""
+bound AS (SELECT count(DISTINCT tid) AS n, count(DISTINCT tid) * {support}::DOUBLE AS least FROM items)"""
 
 
 def level(k: int) -> str:
@@ -281,15 +297,15 @@ ORACLE["basket_items"] = sql(
     items("p_type"),
 )
 ORACLE["basket_items_support"] = sql(
-    "SELECT i1 AS itemset, cnt FROM l1", items("p_brand"), level(1)
+    "SELECT i1 AS itemset, cnt FROM l1", items("p_brand || ' ' || p_type", q.PRUNING_SUPPORT), level(1)
 )
 ORACLE["itemsets_level2"] = sql(
-    f"SELECT {text_of(2)} AS itemset, cnt FROM l2", items("p_brand"), level(2)
+    f"SELECT {text_of(2)} AS itemset, cnt FROM l2", items("p_brand", q.PRUNING_SUPPORT), level(2)
 )
 ORACLE["candidates_pruned"] = sql(
     """SELECT x.i1 || '|' || x.i2 || '|' || y.i2 AS itemset
        FROM l2 x JOIN l2 y ON x.i1 = y.i1 AND x.i2 < y.i2 JOIN l2 z ON z.i1 = x.i2 AND z.i2 = y.i2""",
-    items("p_brand"), level(2),
+    items("p_brand", q.PRUNING_SUPPORT), level(2),
 )
 ORACLE["itemsets_level3"] = sql(
     f"SELECT {text_of(3)} AS itemset, cnt FROM l3", items("p_type"), level(3)
@@ -409,8 +425,7 @@ ORACLE |= {
     "node_neighbors": sql(
         """SELECT node, neighbor
            FROM (SELECT a AS node, b AS neighbor FROM lives WHERE t_out IS NULL
-                 UNION ALL SELECT b, a FROM lives WHERE t_out IS NULL)
-           WHERE node IN (SELECT a FROM lives WHERE t_out IS NULL)""",
+                 UNION ALL SELECT b, a FROM lives WHERE t_out IS NULL)""",
         *SAMPLE,
     ),
     "common_neighbors": sql(
@@ -451,3 +466,9 @@ ORACLE |= {
         *SAMPLE, GAINS,
     ),
 }
+
+ORACLE |= {
+    "near_duplicates_crowded": ORACLE["near_duplicates"],
+    "lsh_quality_crowded": ORACLE["lsh_quality"],
+    "triest_stream_simple": ORACLE["triest_stream"],
+}

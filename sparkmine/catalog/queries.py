@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkmine.functions.minhash import band_plan
 from sparkmine.functions.text import shingle_set
 from sparkmine.operators import edges as edge_ops
 from sparkmine.operators import itemsets as itemset_ops
@@ -15,7 +16,7 @@ from sparkmine.operators import rules as rule_ops
 from sparkmine.operators.jaccard_join import shingle_frequencies
 from sparkmine.operators.order import number_rows, shuffled_order
 from sparkmine.operators.reservoir import Run, sample_at
-from sparkmine.operators.storage import durable, new_path
+from sparkmine.operators.storage import durable, new_path, stored_bytes
 from sparkmine.plans.baskets import MarketBaskets
 from sparkmine.plans.neardup import NearDuplicates
 from sparkmine.plans.triest import TriangleStream, size_by_ratio
@@ -26,6 +27,8 @@ SHINGLE = 10
 HASHES = 100
 THRESHOLD = 0.8
 SUPPORT = 0.01
+PRUNING_SUPPORT = 0.02  # for queries in which the bound and the subset test remove something
+TINY_BLOCK = 2  # rows of a bucket paired at once, where every bucket shall be cut
 CONFIDENCE = 0.1
 FIRST_DOCS = 500
 SAMPLE = Run(1000, 7)
@@ -63,8 +66,14 @@ def joined(name: str, sep: str = "|") -> Column:
 # Near-duplicate text
 
 
+def dealt(df: DataFrame, key: str, split_bytes: int = 32 << 20) -> DataFrame:
+    """Deal a table of fewer files than there are cores over the cores; its shape is read from the files."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if stored_bytes(df) < cores * split_bytes else df
+
+
 def documents(spark: SparkSession, sf_dir: str, **options) -> NearDuplicates:
-    docs = table(spark, sf_dir, "documents")
+    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return NearDuplicates(docs, k=SHINGLE, n=HASHES, threshold=THRESHOLD, **options)
 
 
@@ -152,14 +161,26 @@ def lsh_verified(spark, sf_dir):
     )
 
 
+@query
+def lsh_band_plan(spark, sf_dir):
+    """How the signatures are cut, and how many buckets each band has."""
+    rows = documents(spark, sf_dir).band_rows
+    bands, per_band = band_plan(HASHES, THRESHOLD)
+    return rows.groupBy(big("band")).agg(
+        F.lit(bands).cast("bigint").alias("bands"),
+        F.lit(per_band).cast("bigint").alias("rows_per_band"),
+        F.count(F.lit(1)).alias("groups"),
+        F.count_distinct("key").alias("buckets"),
+    )
+
+
 @query
 def lsh_missed(spark, sf_dir):
     return documents(spark, sf_dir).missed.select("id1", "id2", rounded("jaccard"))
 
 
-@query
-def lsh_quality(spark, sf_dir):
-    return documents(spark, sf_dir).quality.select(
+def _quality(job):
+    return job.quality.select(
         big("true_positives"),
         big("false_positives"),
         big("false_negatives"),
@@ -168,11 +189,30 @@ def lsh_quality(spark, sf_dir):
     )
 
 
+def _similar(job):
+    return job.similar.select("id1", "id2", "copies1", "copies2", rounded("jaccard"))
+
+
+@query
+def lsh_quality(spark, sf_dir):
+    return _quality(documents(spark, sf_dir))
+
+
+@query
+def lsh_quality_crowded(spark, sf_dir):
+    """With every bucket of more than two groups cut into blocks."""
+    return _quality(documents(spark, sf_dir, block_rows=TINY_BLOCK))
+
+
 @query
 def near_duplicates(spark, sf_dir):
-    return documents(spark, sf_dir).similar.select(
-        "id1", "id2", "copies1", "copies2", rounded("jaccard")
-    )
+    return _similar(documents(spark, sf_dir))
+
+
+@query
+def near_duplicates_crowded(spark, sf_dir):
+    """With every bucket of more than two groups cut into blocks."""
+    return _similar(documents(spark, sf_dir, block_rows=TINY_BLOCK))
 
 
 @query
@@ -236,14 +276,15 @@ def edge_file(spark, sf_dir):
 
 
 def order_items(spark, sf_dir, item):
-    parts = table(spark, sf_dir, "part").select("p_partkey", item)
+    parts = table(spark, sf_dir, "part").select("p_partkey", F.expr(item).alias("item"))
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     sold = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    return itemset_ops.basket_items(sold, "l_orderkey", item)
+    return itemset_ops.basket_items(sold, "l_orderkey", "item")
 
 
-def baskets(spark, sf_dir, item, max_k=None):
-    return MarketBaskets(order_items(spark, sf_dir, item), SUPPORT, CONFIDENCE, max_k)
+def baskets(spark, sf_dir, item, max_k=None, support=SUPPORT):
+    cores = spark.sparkContext.defaultParallelism
+    return MarketBaskets(order_items(spark, sf_dir, item), support, CONFIDENCE, max_k, cores)
 
 
 @query
@@ -253,24 +294,27 @@ def basket_items(spark, sf_dir):
 
 @query
 def basket_items_support(spark, sf_dir):
-    level = baskets(spark, sf_dir, "p_brand", max_k=1).levels[1]
+    """Items of brand and type, of which the bound removes some."""
+    level = baskets(spark, sf_dir, "p_brand || ' ' || p_type", 1, PRUNING_SUPPORT).level(1)
     return level.select(joined("itemset"), "cnt")
 
 
 @query
 def itemsets_level2(spark, sf_dir):
-    level = baskets(spark, sf_dir, "p_brand", max_k=2).levels[2]
+    """Pairs of brands, of which the bound removes some."""
+    level = baskets(spark, sf_dir, "p_brand", 2, PRUNING_SUPPORT).level(2)
     return level.select(joined("itemset"), "cnt")
 
 
 @query
 def candidates_pruned(spark, sf_dir):
-    return baskets(spark, sf_dir, "p_brand", max_k=2).candidates(3).select(joined("itemset"))
+    """Triples of brands, of which the subset test removes some."""
+    return baskets(spark, sf_dir, "p_brand", 2, PRUNING_SUPPORT).candidates(3).select(joined("itemset"))
 
 
 @query
 def itemsets_level3(spark, sf_dir):
-    level = baskets(spark, sf_dir, "p_type", max_k=3).levels[3]
+    level = baskets(spark, sf_dir, "p_type", max_k=3).level(3)
     return level.select(joined("itemset"), "cnt")
 
 
@@ -314,7 +358,7 @@ def edge_stream(spark, sf_dir):
 
 
 def sampled(spark, sf_dir, runs=(SAMPLE,)):
-    return TriangleStream(edge_stream(spark, sf_dir), list(runs))
+    return TriangleStream(dealt(edge_stream(spark, sf_dir), "t"), list(runs))
 
 
 @query
@@ -373,8 +417,8 @@ def node_degree(spark, sf_dir):
 @query
 def node_neighbors(spark, sf_dir):
     edges = durable(sampled(spark, sf_dir).final_sample, "sample")
-    heads = edges.select(F.col("a").alias("node")).distinct()
-    return edge_ops.neighbors_of(edges, heads)
+    nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    return edge_ops.neighbors_of(edges, nodes)
 
 
 @query
@@ -426,17 +470,31 @@ def triest_error(spark, sf_dir):
     )
 
 
-@query
-def triest_stream(spark, sf_dir):
-    """The steps arrive as files in three parts; the stream is stopped and resumed between them."""
-    steps = durable(user_steps(spark, sf_dir).withColumnRenamed("n", "pos"), "steps")
-    last = steps.agg(F.max("pos")).first()[0]
+def _streamed(spark, arrived, dedupe):
+    """The rows ``u, v, pos`` come as files in three parts; the stream is stopped and resumed between them."""
+    last = arrived.agg(F.max("pos")).first()[0]
     path, folder = new_path(spark, "arrivals"), new_path(spark, "state")
     state = TriangleState(spark, folder, SAMPLE)
     for part in range(3):
         share = (F.col("pos") > last * part // 3) & (F.col("pos") <= last * (part + 1) // 3)
-        steps.filter(share).write.mode("append").parquet(path)
-        arrivals = spark.readStream.schema(steps.schema).parquet(path)
-        writer = triangle_stream(arrivals, state, f"{folder}/checkpoint")
+        arrived.filter(share).write.mode("append").parquet(path)
+        arrivals = spark.readStream.schema(arrived.schema).parquet(path)
+        writer = triangle_stream(arrivals, state, f"{folder}/checkpoint", dedupe)
         writer.trigger(availableNow=True).start().awaitTermination()
     return state.latest().select("edges", F.round("estimate", 3).alias("estimate"))
+
+
+@query
+def triest_stream(spark, sf_dir):
+    """All steps, in which edges repeat."""
+    steps = user_steps(spark, sf_dir).select("u", "v", F.col("n").alias("pos"))
+    return _streamed(spark, durable(steps, "steps"), dedupe=True)
+
+
+@query
+def triest_stream_simple(spark, sf_dir):
+    """Each edge once, at its first step: a stream that needs no memory but the reservoir."""
+    firsts = clean_edges(spark, sf_dir).select(
+        F.col("a").alias("u"), F.col("b").alias("v"), F.col("first.n").alias("pos")
+    )
+    return _streamed(spark, durable(firsts, "firsts"), dedupe=False)

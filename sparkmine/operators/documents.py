@@ -4,6 +4,9 @@ Documents whose normalised texts are equal have equal shingle sets, so they form
 its smallest document id and weighted by its number of ``copies``. Pairs are then formed between
 groups only: a text copied into a third of all rows costs one row per copy, not one row per pair of
 copies. Nothing is lost: two documents are similar if they are in one group, or if their groups are.
+
+Texts are normalised once and written; the text of each group is written once more, by itself, and all
+further steps read that.
 """
 
 from __future__ import annotations
@@ -12,8 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.functions.text import normalize_text, shingle_set, text_key
-from sparkmine.operators.skew import salted_join
-from sparkmine.operators.storage import spread
+from sparkmine.operators.skew import ARRAY_ROWS, lookup_semi, salted_join
 
 EMPTIES = ("match", "drop")
 
@@ -28,11 +30,8 @@ def normalized_documents(
     """
     if empties not in EMPTIES:
         raise ValueError(f"empties must be one of {EMPTIES}")
-    texts = docs.filter(F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")
-    )
-    clean = spread(texts, "doc_id").select(
-        "doc_id", normalize_text(F.col("text")).alias("normalized")
+    clean = docs.filter(F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("doc_id"), normalize_text(F.col(text_col)).alias("normalized")
     )
     if empties == "drop":
         clean = clean.filter(F.length("normalized") >= k)
@@ -52,23 +51,38 @@ def group_members(normalized: DataFrame, groups: DataFrame) -> DataFrame:
     return salted_join(keyed, groups, ["text_key"]).select("doc_id", "group_id", "copies")
 
 
-def sets_of(normalized: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """``group_id, shingles, size`` for the documents named in ``ids(group_id)``.
+def group_texts(normalized: DataFrame, groups: DataFrame) -> DataFrame:
+    """``group_id, normalized``: the text of each group, from written tables of both."""
+    ids = groups.select(F.col("group_id").alias("doc_id"))
+    return lookup_semi(normalized.select("doc_id", "normalized"), ids, ["doc_id"]).select(
+        F.col("doc_id").alias("group_id"), "normalized"
+    )
+
+
+def sets_of(texts: DataFrame, k: int, ids: DataFrame | None = None) -> DataFrame:
+    """``group_id, shingles, size`` for ``texts(group_id, normalized)``, or those in ``ids(group_id)``.
 
-    Reads the texts again and keeps the named ones: storing a shingle array per document would take
-    eight times the space of the text.
+    The sets are made from the texts each time: a shingle array takes eight times the space of its text.
     """
-    return (
-        normalized.join(ids, F.col("doc_id") == F.col("group_id"), "left_semi")
-        .select(
-            F.col("doc_id").alias("group_id"), shingle_set(F.col("normalized"), k).alias("shingles")
-        )
-        .withColumn("size", F.size("shingles"))
-    )
+    if ids is not None:
+        texts = lookup_semi(texts, ids, ["group_id"])
+    return texts.select(
+        "group_id", shingle_set(F.col("normalized"), k).alias("shingles")
+    ).withColumn("size", F.size("shingles"))
+
+
+def beside_pairs(pairs: DataFrame, values: DataFrame, *names: str, over: int = ARRAY_ROWS) -> DataFrame:
+    """``pairs(id1, id2, ...)`` with ``names`` of ``values(group_id, ...)`` for both sides, as name1 and name2.
+
+    A group that is in many pairs is salted.
+    """
+    for i in ("1", "2"):
+        side = values.select(F.col("group_id").alias(f"id{i}"), *[F.col(n).alias(n + i) for n in names])
+        # the planner takes arrays for small and would broadcast them
+        pairs = salted_join(pairs, side.hint("merge"), [f"id{i}"], over)
+    return pairs
 
 
 def with_copies(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     """Add ``copies1, copies2`` to pairs of groups."""
-    one = groups.select(F.col("group_id").alias("id1"), F.col("copies").alias("copies1"))
-    two = groups.select(F.col("group_id").alias("id2"), F.col("copies").alias("copies2"))
-    return pairs.join(one, "id1").join(two, "id2")
+    return beside_pairs(pairs, groups, "copies", over=None)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.operators.order import number_rows
-from sparkmine.operators.skew import SALT_ROWS, heavy_keys, salted_join
+from sparkmine.operators import skew
+from sparkmine.operators.skew import ARRAY_ROWS, heavy_keys, salted_join
 from sparkmine.operators.storage import durable
 
 
@@ -56,10 +57,9 @@ def node_degrees(edges: DataFrame) -> DataFrame:
 
 def neighbors_of(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, neighbor`` for the nodes in ``nodes(node)``."""
-    return (
-        both_ways(edges)
-        .join(nodes, F.col("x") == F.col("node"), "left_semi")
-        .select(F.col("x").alias("node"), F.col("y").alias("neighbor"))
+    wanted = nodes.select(F.col("node").alias("x")).distinct()
+    return salted_join(both_ways(edges), wanted, ["x"]).select(
+        F.col("x").alias("node"), F.col("y").alias("neighbor")
     )
 
 
@@ -68,7 +68,7 @@ def _with_degrees(edges: DataFrame, degrees: DataFrame) -> DataFrame:
     of_a = degrees.select(F.col("node").alias("a"), F.col("degree").alias("da"))
     of_b = degrees.select(F.col("node").alias("b"), F.col("degree").alias("db"))
     half = salted_join(edges.select("a", "b"), of_a, ["a"])
-    return salted_join(half, of_b, ["b"], heavy=heavy_keys(edges, ["b"], SALT_ROWS))
+    return salted_join(half, of_b, ["b"], heavy=heavy_keys(edges, ["b"], skew.SALT_ROWS))
 
 
 def oriented(edges: DataFrame) -> DataFrame:
@@ -94,9 +94,8 @@ def exact_triangles(edges: DataFrame) -> DataFrame:
     out = arcs.groupBy("lo").agg(F.collect_list("hi").alias("out"))
     of_lo = out.select("lo", F.col("out").alias("out_lo")).hint("merge")
     of_hi = out.select(F.col("lo").alias("hi"), F.col("out").alias("out_hi")).hint("merge")
-    closed = salted_join(
-        arcs.join(of_lo, "lo"), of_hi, ["hi"], heavy=heavy_keys(arcs, ["hi"], SALT_ROWS)
-    )
+    hubs = heavy_keys(arcs, ["hi"], ARRAY_ROWS)  # each of these rows carries a list
+    closed = salted_join(arcs.join(of_lo, "lo"), of_hi, ["hi"], ARRAY_ROWS, hubs)
     shared = F.size(F.array_intersect("out_lo", "out_hi")).cast("bigint")
     return closed.agg(F.coalesce(F.sum(shared), F.lit(0)).alias("triangles"))
 
@@ -105,7 +104,7 @@ def common_neighbors(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     """``a, b, common``: number of common neighbours of each pair; 0 if a node is unknown.
 
     The end of lower degree lists its neighbours, the other end is looked up. So a hub is only
-    listed for pairs of hubs.
+    listed for pairs of hubs. A node in many pairs is salted, and so is a path that many pairs close.
     """
     known = _with_degrees(pairs, node_degrees(edges))
     a_lists = F.col("da") <= F.col("db")
@@ -116,10 +115,11 @@ def common_neighbors(edges: DataFrame, pairs: DataFrame) -> DataFrame:
         F.when(a_lists, F.col("b")).otherwise(F.col("a")).alias("other"),
     )
     hops = both_ways(edges)
-    legs = sides.join(hops, "x").select("a", "b", "other", "y")
+    sides = durable(sides, "sides")
+    legs = durable(salted_join(sides, hops, ["x"]).select("a", "b", "other", "y"), "legs")
     closing = hops.select(F.col("x").alias("other"), "y")
     counted = (
-        legs.join(closing, ["other", "y"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
+        salted_join(legs, closing, ["other", "y"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
     )
     return (
         pairs.select("a", "b")

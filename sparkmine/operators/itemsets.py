@@ -13,13 +13,8 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.operators.storage import (
-    BROADCAST_ROWS,
-    broadcast_if_small,
-    count_up_to,
-    durable,
-    spread,
-)
+from sparkmine.operators.skew import lookup_join, lookup_semi
+from sparkmine.operators.storage import durable, release, small
 
 
 def check_share(name: str, value: float) -> float:
@@ -67,7 +62,7 @@ def reduced_baskets(items: DataFrame, level1: DataFrame) -> DataFrame:
     """
     frequent = level1.select(F.col("itemset")[0].alias("item"))
     return (
-        items.join(broadcast_if_small(frequent), "item", "left_semi")
+        lookup_semi(items, frequent, ["item"])
         .groupBy("tid")
         .agg(F.sort_array(F.collect_list("item")).alias("items"))
         .filter(F.size("items") > 1)
@@ -107,11 +102,14 @@ def pruned_candidates(level: DataFrame, k: int) -> DataFrame:
     return present.groupBy("itemset").count().filter(F.col("count") == k).select("itemset")
 
 
-def _extend(held: DataFrame, known: DataFrame, rows: int) -> DataFrame:
-    """Grow each itemset held by a basket to those of ``known`` that the basket holds, too."""
-    steps = known.select(_prefix("itemset").alias("prefix"), F.element_at("itemset", -1).alias("last"))
+def _extend(held: DataFrame, known: DataFrame, fits: bool) -> DataFrame:
+    """Grow each itemset held by a basket to those of ``known`` that the basket holds, too.
+
+    Known itemsets too many to broadcast are joined by shuffle; a prefix that most baskets hold is salted.
+    """
+    steps = known.select(_prefix("itemset").alias("held"), F.element_at("itemset", -1).alias("last"))
     return (
-        held.join(broadcast_if_small(steps, rows), F.col("held") == F.col("prefix"))
+        lookup_join(held, steps, ["held"], fits=fits)
         .filter(F.array_contains("items", F.col("last")))
         .select("items", "weight", F.concat("held", F.array("last")).alias("held"))
     )
@@ -129,55 +127,67 @@ def pair_counts(baskets: DataFrame) -> DataFrame:
     return _sum_weights(pairs.select("weight", F.array("item", "other").alias("held")))
 
 
-def candidate_counts(baskets: DataFrame, steps: list[tuple[DataFrame, int]]) -> DataFrame:
+def candidate_counts(baskets: DataFrame, steps: list[tuple[DataFrame, bool]]) -> DataFrame:
     """``itemset, cnt`` of the last table in ``steps``, counted in reduced baskets.
 
-    ``steps`` are the frequent itemsets of size 2, 3 … and at last the candidates, each with its
-    number of rows. They are joined one after the other inside each basket, and nothing is kept
+    ``steps`` are the frequent itemsets of size 2, 3 … and at last the candidates, each with whether it
+    may be broadcast. They are joined one after the other inside each basket, and nothing is kept
     between levels but the frequent itemsets.
     """
     held = baskets.select("items", "weight", F.explode("items").alias("item"))
     held = held.select("items", "weight", F.array("item").alias("held"))
-    for known, rows in steps:
-        held = _extend(held, known, rows)
+    for known, fits in steps:
+        held = _extend(held, known, fits)
     return _sum_weights(held)
 
 
-def frequent_levels(items: DataFrame, min_count: float, max_k: int | None = None) -> dict[int, DataFrame]:
-    """``{k: itemset, cnt}`` for every non-empty level. ``items`` is read twice: pass a durable table."""
+def frequent_levels(
+    items: DataFrame, min_count: float, max_k: int | None = None, partitions: int | None = None
+) -> dict[int, DataFrame]:
+    """``{k: itemset, cnt}`` for every non-empty level. ``items`` is read twice: pass a durable table.
+
+    ``partitions`` deals the reduced baskets over so many tasks; they may be few rows for much work.
+    """
     level = durable(at_least(item_counts(items), min_count), "level1")
     if level.isEmpty():
         return {}
     levels = {1: level}
-    steps: list[tuple[DataFrame, int]] = []
+    steps: list[tuple[DataFrame, bool]] = []
     baskets = None
     for k in itertools.count(2):
         if max_k is not None and k > max_k:
             break
         if k == 2:
-            baskets = spread(durable(reduced_baskets(items, level), "baskets"), "items")
+            baskets = reduced_baskets(items, level)
+            if partitions:
+                baskets = baskets.repartition(partitions, "items")
+            baskets = durable(baskets, "baskets")
             counts = pair_counts(baskets)
         else:
-            if rows < k:  # a candidate has k subsets in the level
+            candidates = durable(pruned_candidates(level, k), f"candidates{k}")
+            if candidates.isEmpty():
                 break
-            candidates, most = pruned_candidates(level, k), rows * (rows - 1) // 2
-            if most > BROADCAST_ROWS:  # count them instead
-                candidates = durable(candidates, f"candidates{k}")
-                most = count_up_to(candidates)
-            counts = candidate_counts(baskets, [*steps, (candidates, most)])
+            counts = candidate_counts(baskets, [*steps, (candidates, small(candidates))])
         level = durable(at_least(counts, min_count), f"level{k}")
-        rows = count_up_to(level)
-        if not rows:
+        if k > 2:
+            release(candidates)
+        if level.isEmpty():
             break
         levels[k] = level
-        steps.append((level, rows))
+        steps.append((level, small(level)))
+    if baskets is not None:
+        release(baskets)
     return levels
 
 
+def no_itemsets(items: DataFrame) -> DataFrame:
+    """An empty level for ``items(tid, item)``."""
+    return item_counts(items).limit(0)
+
+
 def itemset_table(levels: dict[int, DataFrame], n_baskets: int, like: DataFrame) -> DataFrame:
     """``k, itemset, cnt, support`` over all levels."""
-    empty = item_counts(like).limit(0)
-    table = empty.withColumn("k", F.lit(0))
+    table = no_itemsets(like).withColumn("k", F.lit(0))
     for k, level in levels.items():
         table = table.unionByName(level.withColumn("k", F.lit(k)))
     return table.select("k", "itemset", "cnt", (F.col("cnt") / F.lit(n_baskets)).alias("support"))

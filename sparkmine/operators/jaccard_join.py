@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from sparkmine.functions.sets import jaccard_of_counts
 from sparkmine.functions.text import shingle_set
-from sparkmine.operators.documents import sets_of
+from sparkmine.operators.documents import beside_pairs, sets_of
 from sparkmine.operators.skew import pairs_sharing_key
-from sparkmine.operators.storage import durable
+from sparkmine.operators.storage import durable, release
 
-MAX_RANKED = 200_000
+BUCKET_BITS = 18  # shingles are counted by their low bits: a table of one size at any scale
+TOGETHER = 8_192  # sets sorted at once; with the sort key of 50 bits that fits 64
 SLACK = 1e-9  # the filters may let a pair through on a rounding error, never stop one
 
 
@@ -43,54 +44,57 @@ def shingle_frequencies(normalized: DataFrame, k: int) -> DataFrame:
     )
 
 
-def frequent_shingles(frequencies: DataFrame, max_rows: int = MAX_RANKED) -> DataFrame:
-    """The most frequent shingles, at most ``max_rows`` of them: all above a power of two.
+def bucket_ranks(texts: DataFrame, k: int) -> np.ndarray:
+    """Rank of each bucket of shingles by rising count over all ``texts(group_id, normalized)``.
 
-    The power is read from a histogram with one row per power of two.
+    A frequent shingle makes its bucket frequent, so ordering shingles by it puts frequent ones last. The
+    counts combine on the map side and come to the driver as one row per bucket, whatever the input.
     """
-    power = F.floor(F.log2("docs"))
-    histogram = frequencies.groupBy(power.alias("power")).count().collect()
-    cut, listed = 64, 0
-    for row in sorted(histogram, reverse=True):
-        listed += row["count"]
-        if listed > max_rows:
-            break
-        cut = row["power"]
-    return frequencies.filter(power >= cut)
-
-
-def prefix_of(shingles: Column, frequent: DataFrame, threshold: float) -> Column:
+    shingles = texts.select(F.explode_outer(shingle_set(F.col("normalized"), k)).alias("shingle")).dropna()
+    bucket = F.col("shingle").bitwiseAND((1 << BUCKET_BITS) - 1).alias("bucket")
+    counted = shingles.groupBy(bucket).count().toArrow()
+    counts = np.zeros(1 << BUCKET_BITS, np.int64)
+    counts[counted["bucket"].to_numpy()] = counted["count"].to_numpy()
+    ranks = np.empty(1 << BUCKET_BITS, np.int64)
+    ranks[np.argsort(counts, kind="stable")] = np.arange(1 << BUCKET_BITS)
+    return ranks
+
+
+def prefix_of(shingles: Column, ranks: np.ndarray, threshold: float) -> Column:
     """The prefix of each set, as rising sort keys of its shingles.
 
-    The global order has unlisted shingles first and then the frequent ones by rising frequency: a
-    sort key is the rank among ``frequent``, 0 if unlisted, above the 32 bits of the shingle.
-    ``frequent`` must be bounded; it travels to the workers as two sorted arrays.
+    A sort key is the rank of the shingle's bucket above the 32 bits of the shingle.
     """
-    ordered = frequent.orderBy("docs", "shingle").select("shingle").toArrow()
-    ranked = ordered["shingle"].to_numpy().astype(np.int64)
-    by_value = np.argsort(ranked)
-    listed, ranks = ranked[by_value], by_value + 1
-
-    def prefix(values: np.ndarray) -> np.ndarray:
-        keep = len(values) - int(np.ceil(threshold * len(values) - SLACK)) + 1
-        rank = np.zeros(len(values), dtype=np.int64)
-        if len(listed):
-            at = np.minimum(np.searchsorted(listed, values), len(listed) - 1)
-            rank = np.where(listed[at] == values, ranks[at], 0)
-        return np.sort((rank << 32) | values)[:keep]
+    mask = np.int64((1 << BUCKET_BITS) - 1)
 
     @F.arrow_udf("array<bigint>")
     def prefixes(batch: pa.Array) -> pa.Array:
-        sets = (s.values.to_numpy(zero_copy_only=False) for s in batch)
-        return pa.array([prefix(s) if len(s) else s for s in sets], type=pa.list_(pa.int64()))
+        values = batch.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(sizes)
+        keep = np.where(sizes > 0, sizes - np.ceil(threshold * sizes - SLACK).astype(np.int64) + 1, 0)
+        parts = []
+        for i in range(0, len(sizes), TOGETHER):
+            some = sizes[i : i + TOGETHER]
+            begin = ends[i] - sizes[i]
+            flat = values[begin : begin + some.sum()]
+            owner = np.repeat(np.arange(len(some)), some).astype(np.uint64)
+            key = ((ranks[flat & mask] << 32) | flat).astype(np.uint64)
+            ordered = np.sort((owner << np.uint64(32 + BUCKET_BITS)) | key)  # sets stay in their order
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(some) - some, some)
+            chosen = ordered[place < np.repeat(keep[i : i + TOGETHER], some)]
+            parts.append((chosen & np.uint64((1 << (32 + BUCKET_BITS)) - 1)).astype(np.int64))
+        offsets = np.concatenate([[0], np.cumsum(keep)]).astype(np.int32)
+        flat = np.concatenate(parts) if parts else np.empty(0, np.int64)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
     return prefixes(shingles)
 
 
-def prefix_rows(sets: DataFrame, frequent: DataFrame, threshold: float) -> DataFrame:
+def prefix_rows(sets: DataFrame, ranks: np.ndarray, threshold: float) -> DataFrame:
     """``group_id, size, last, pos, sort_key``: one row per element of a prefix, ``last`` its end."""
     return (
-        sets.withColumn("prefix", prefix_of(F.col("shingles"), frequent, threshold))
+        sets.withColumn("prefix", prefix_of(F.col("shingles"), ranks, threshold))
         .withColumn("last", F.try_element_at("prefix", F.lit(-1)))
         .select("group_id", "size", "last", F.posexplode_outer("prefix").alias("pos", "sort_key"))
         .filter(F.col("sort_key").isNotNull())
@@ -132,43 +136,35 @@ def prefix_candidates(prefixes: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def verify(pairs: DataFrame, normalized: DataFrame, k: int) -> DataFrame:
+def verify(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     """Add ``size1, size2, shared, jaccard`` to pairs of groups, from their whole shingle sets.
 
-    Only the sets of documents that occur in a pair are built. ``pairs`` is read twice: pass a
-    durable table.
+    Only the sets of documents that occur in a pair are built, and a document in many pairs is salted.
+    ``pairs`` and ``texts`` are read several times: pass durable tables.
     """
-    ids = pairs.select(F.explode(F.array("id1", "id2")).alias("group_id")).distinct()
-    sets = sets_of(normalized, ids, k)
-
-    def side(i: int) -> DataFrame:
-        return sets.select(
-            F.col("group_id").alias(f"id{i}"),
-            F.col("shingles").alias(f"shingles{i}"),
-            F.col("size").alias(f"size{i}"),
-        ).hint("merge")  # the planner takes the arrays for small and would broadcast them
-
+    ids = durable(pairs.select(F.explode(F.array("id1", "id2")).alias("group_id")).distinct(), "ids")
+    sets = durable(sets_of(texts, k, ids), "sets")
     counted = (
-        pairs.join(side(1), "id1")
-        .join(side(2), "id2")
+        beside_pairs(pairs, sets, "shingles", "size")
         .withColumn("shared", F.size(F.array_intersect("shingles1", "shingles2")))
         .drop("shingles1", "shingles2")
     )
     # written, since a filter on the similarity would move into the join and intersect anew there
-    return durable(counted, "verified").withColumn(
+    checked = durable(counted, "verified")
+    release(ids, sets)
+    return checked.withColumn(
         "jaccard", jaccard_of_counts(F.col("shared"), F.col("size1"), F.col("size2"))
     )
 
 
-def similar_pairs(normalized: DataFrame, groups: DataFrame, k: int, threshold: float) -> DataFrame:
-    """All pairs of groups with Jaccard similarity of at least ``threshold``.
+def similar_pairs(texts: DataFrame, k: int, threshold: float) -> DataFrame:
+    """All pairs of groups in ``texts(group_id, normalized)`` with Jaccard similarity of at least ``threshold``.
 
-    ``id1 < id2, size1, size2, shared, jaccard``. Exact.
+    ``id1 < id2, size1, size2, shared, jaccard``. Exact. ``texts`` should be durable.
     """
     check_threshold(threshold)
-    frequencies = durable(shingle_frequencies(normalized, k).filter("docs > 1"), "frequencies")
-    frequent = frequent_shingles(frequencies)
-    sets = sets_of(normalized, groups.select("group_id"), k)
-    prefixes = durable(prefix_rows(sets, frequent, threshold), "prefixes")
+    ranks = bucket_ranks(texts, k)
+    prefixes = durable(prefix_rows(sets_of(texts, k), ranks, threshold), "prefixes")
     candidates = durable(prefix_candidates(prefixes, threshold), "candidates")
-    return verify(candidates, normalized, k).filter(F.col("jaccard") >= threshold)
+    release(prefixes)
+    return verify(candidates, texts, k).filter(F.col("jaccard") >= threshold)

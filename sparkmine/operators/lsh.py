@@ -2,48 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.functions.minhash import band_keys, band_plan, minhash
 from sparkmine.functions.text import shingle_hashes
-from sparkmine.operators.jaccard_join import similar_pairs, verify
-from sparkmine.operators.skew import BLOCK_ROWS, heavy_keys, pairs_sharing_key, salted_join
-from sparkmine.operators.storage import durable
+from sparkmine.operators.documents import beside_pairs
+from sparkmine.operators.skew import pairs_sharing_key, salted_join
 
-MAX_COUNTED_BANDS = 12
 
-
-def signatures(normalized: DataFrame, k: int, n: int = 100) -> DataFrame:
-    """``doc_id, text_key, signature``. A map over the texts: nothing is shuffled."""
+def signatures(texts: DataFrame, k: int, n: int = 100) -> DataFrame:
+    """Add ``signature`` to ``texts`` with a ``normalized`` column, which goes. Nothing is shuffled."""
     hashes = shingle_hashes(F.col("normalized"), k)
-    return normalized.select("doc_id", "text_key", minhash(hashes, n).alias("signature"))
+    return texts.withColumn("signature", minhash(hashes, n)).drop("normalized")
 
 
-def banded_groups(signed: DataFrame, n: int, threshold: float, crc: bool = False) -> DataFrame:
+def banded_groups(
+    texts: DataFrame, groups: DataFrame, k: int, n: int, threshold: float, crc: bool = False
+) -> DataFrame:
     """``group_id, copies, bands``: groups of equal texts with their band keys.
 
-    Equal texts have equal keys, so they merge on the map side; what is shuffled is a few hundred
-    bytes per distinct text.
+    Signatures are made of one text per group; what is shuffled is a few hundred bytes for each.
     """
     bands, rows = band_plan(n, threshold)
-    return (
-        signed.select(
-            "doc_id", "text_key", band_keys(F.col("signature"), bands, rows, crc).alias("bands")
-        )
-        .groupBy("text_key")
-        .agg(
-            F.min("doc_id").alias("group_id"),
-            F.count(F.lit(1)).alias("copies"),
-            F.any_value("bands").alias("bands"),
-        )
-        .drop("text_key")
+    keys = band_keys(F.col("signature"), bands, rows, crc).alias("bands")
+    banded = signatures(texts, k, n).select("group_id", keys)
+    return banded.hint("merge").join(groups.select("group_id", "copies").hint("merge"), "group_id").select(
+        "group_id", "copies", "bands"
     )
 
 
 def band_rows(banded: DataFrame) -> DataFrame:
-    """``group_id, copies, band, key``, one row per band."""
-    return banded.select("group_id", "copies", F.posexplode("bands").alias("band", "key"))
+    """``group_id, copies, bands, band, key``, one row per band."""
+    return banded.select("*", F.posexplode("bands").alias("band", "key"))
 
 
 def buckets(rows: DataFrame) -> DataFrame:
@@ -64,110 +55,47 @@ def buckets(rows: DataFrame) -> DataFrame:
 
 def bucket_members(rows: DataFrame) -> DataFrame:
     """``band, bucket_id, group_id, groups, docs``: the buckets written out, one row per member."""
-    return salted_join(rows, buckets(rows), ["band", "key"]).select(
+    members = rows.select("band", "key", "group_id")
+    return salted_join(members, buckets(rows), ["band", "key"]).select(
         "band", "bucket_id", "group_id", "groups", "docs"
     )
 
 
-def candidate_pairs(rows: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
-    """Pairs of groups that share a bucket in any band, each once.
-
-    ``rows`` is read several times: pass :func:`band_rows` of a durable table. ``heavy`` are the
-    buckets to be joined in blocks, if known.
-    """
-    return pairs_sharing_key(rows, ["band", "key"], "group_id", heavy=heavy).distinct()
-
-
-def sharing_a_band(pairs: DataFrame, banded: DataFrame) -> DataFrame:
-    """Those of ``pairs`` that are candidates: some band has the same key on both sides."""
-    one = banded.select(F.col("group_id").alias("id1"), F.col("bands").alias("bands1"))
-    two = banded.select(F.col("group_id").alias("id2"), F.col("bands").alias("bands2"))
-    same = F.exists(F.zip_with("bands1", "bands2", lambda x, y: x == y), lambda eq: eq)
-    return pairs.join(one, "id1").join(two, "id2").filter(same).drop("bands1", "bands2")
-
-
-def crowded_buckets(banded: DataFrame, crowd: int = BLOCK_ROWS) -> DataFrame:
-    """``band, key`` of buckets with more than ``crowd`` groups: a bounded table."""
-    return durable(heavy_keys(band_rows(banded), ["band", "key"], crowd), "crowded")
+def _first_shared_band() -> Column:
+    """No band before this one has the same key on both sides."""
+    earlier = F.zip_with("x.bands", "y.bands", lambda a, b: a == b)
+    return ~F.exists(F.slice(earlier, F.lit(1), F.col("x.band")), lambda same: same)
 
 
-def similar_candidates(
-    normalized: DataFrame, banded: DataFrame, crowded: DataFrame, k: int, threshold: float
+def candidate_pairs(
+    rows: DataFrame,
+    block_rows: int | None = None,
+    keep: Column | None = None,
+    carry: tuple[Column, ...] = (),
 ) -> DataFrame:
-    """Candidates with Jaccard similarity of at least ``threshold``, with the columns of ``verify``.
+    """Pairs of groups that share a bucket in any band, each once, in the first band that they share.
 
-    The members of buckets that are not crowded are paired and verified. In a crowded bucket the number
-    of pairs grows with its square, so its members go through the exact join instead, whose work
-    follows the pairs that are similar, and its pairs are kept if they share a band. Both ways give
-    the same rows.
+    ``rows`` is read several times: pass :func:`band_rows` of a durable table.
     """
-    rows = band_rows(banded)
-    if crowded.isEmpty():
-        pairs = durable(candidate_pairs(rows, crowded), "candidates")
-        return verify(pairs, normalized, k).filter(F.col("jaccard") >= threshold)
-    keys = F.broadcast(crowded)
-    pairs = durable(candidate_pairs(rows.join(keys, ["band", "key"], "left_anti")), "candidates")
-    found = verify(pairs, normalized, k).filter(F.col("jaccard") >= threshold)
-    members = durable(
-        rows.join(keys, ["band", "key"], "left_semi").select("group_id").distinct(), "members"
+    once = _first_shared_band()
+    return pairs_sharing_key(
+        rows,
+        ["band", "key"],
+        "group_id",
+        keep=once if keep is None else keep & once,
+        carry=carry,
+        block_rows=block_rows,
     )
-    inside = normalized.join(members, F.col("doc_id") == F.col("group_id"), "left_semi")
-    exact = similar_pairs(inside, members, k, threshold)
-    return found.unionByName(sharing_a_band(exact, banded)).dropDuplicates(["id1", "id2"])
-
-
-def _crowded_keys(rows: DataFrame, crowded: DataFrame) -> DataFrame:
-    """``group_id, copies, keys``: the crowded buckets of each group that is in any, sorted."""
-    return (
-        rows.join(F.broadcast(crowded.select("band", "key")), ["band", "key"])
-        .groupBy("group_id", "copies")
-        .agg(F.sort_array(F.collect_list(F.struct("band", "key"))).alias("keys"))
-    )
-
-
-def _pairs_in_crowds(held: DataFrame) -> DataFrame:
-    """``pairs``, to be summed: document pairs of different groups that share a crowded bucket.
 
-    Counted and not listed: for each set of buckets the pairs that share all of it, added if the set
-    has an odd size and subtracted if it has an even one, which counts every pair once.
-    """
-    masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.size("keys")).cast("int") - 1)
-    subsets = held.withColumn("mask", F.explode(masks)).select(
-        F.filter("keys", lambda key, i: F.getbit(F.col("mask"), i) == 1).alias("chosen"),
-        F.col("copies").cast("decimal(18,0)").alias("n"),
-    )
-    shared = subsets.groupBy("chosen").agg(
-        F.sum("n").cast("decimal(18,0)").alias("n"),
-        F.sum(F.col("n") * F.col("n")).cast("decimal(37,0)").alias("squares"),
-    )
-    sign = F.when(F.size("chosen") % 2 == 1, F.lit(1)).otherwise(F.lit(-1))
-    pairs = (F.col("n") * F.col("n") - F.col("squares")) / 2
-    return shared.select((sign * pairs).cast("decimal(38,0)").alias("pairs"))
 
+def sharing_a_band(pairs: DataFrame, banded: DataFrame) -> DataFrame:
+    """Those of ``pairs`` that are candidates: some band has the same key on both sides."""
+    same = F.exists(F.zip_with("bands1", "bands2", lambda x, y: x == y), lambda eq: eq)
+    return beside_pairs(pairs, banded, "bands").filter(same).drop("bands1", "bands2")
 
-def candidate_totals(banded: DataFrame, crowded: DataFrame) -> DataFrame:
-    """``pairs``, to be summed: document pairs of different groups that share a bucket.
 
-    Pairs of buckets that are not crowded are listed, those of crowded ones only counted. With more
-    than ``MAX_COUNTED_BANDS`` bands the sets of buckets are too many, and all pairs are listed.
-    """
-    rows = band_rows(banded)
-    bands = rows.agg(F.max("band")).first()[0]
-    count = bands is not None and bands < MAX_COUNTED_BANDS and not crowded.isEmpty()
-    light = rows
-    if count:
-        light = rows.join(F.broadcast(crowded), ["band", "key"], "left_anti")
-    pairs = candidate_pairs(light, None if count else crowded)
-    copies = banded.select("group_id", F.col("copies").cast("decimal(18,0)").alias("n"))
-    one = copies.select(F.col("group_id").alias("id1"), F.col("n").alias("n1"))
-    two = copies.select(F.col("group_id").alias("id2"), F.col("n").alias("n2"))
-    listed = pairs.join(one, "id1").join(two, "id2")
-    product = (F.col("n1") * F.col("n2")).cast("decimal(38,0)").alias("pairs")
-    if not count:
-        return listed.select(product)
-    held = durable(_crowded_keys(rows, crowded), "crowds")
-    of1 = held.select(F.col("group_id").alias("id1"), F.col("keys").alias("keys1"))
-    of2 = held.select(F.col("group_id").alias("id2"), F.col("keys").alias("keys2"))
-    both = listed.join(of1, "id1", "left").join(of2, "id2", "left")
-    counted = F.coalesce(F.arrays_overlap("keys1", "keys2"), F.lit(False))  # in a crowd already
-    return both.filter(~counted).select(product).union(_pairs_in_crowds(held))
+def candidate_totals(rows: DataFrame, block_rows: int | None = None) -> DataFrame:
+    """``pairs``, to be summed: document pairs of different groups that share a bucket. None is written."""
+    both = F.col("x.copies").cast("decimal(18,0)") * F.col("y.copies").cast("decimal(18,0)")
+    pairs = candidate_pairs(rows, block_rows, carry=(both.cast("decimal(38,0)").alias("pairs"),))
+    return pairs.select("pairs")

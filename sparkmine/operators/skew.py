@@ -7,64 +7,85 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.operators.storage import BROADCAST_ROWS
+from sparkmine.operators.storage import broadcast_if_small, durable, small
 
 BLOCK_ROWS = 2_000
 SALT_ROWS = 1_000_000
-MAX_HEAVY_KEYS = 100_000
+ARRAY_ROWS = 10_000  # salt for rows that carry an array of some kilobytes
+TOP_SHARE = 100_000  # keys with more than one in so many rows are at most so many keys
 
 
 def heavy_keys(rows: DataFrame, keys: Sequence[str], over: int) -> DataFrame:
-    """The keys with more than ``over`` rows, and how many.
+    """The keys with more than ``over`` rows, and how many, written once so that all readers agree."""
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
+    return durable(counted.filter(F.col("key_rows") > over), "heavy")
 
-    Counting combines on the map side. The result has a fixed bound, so it can be broadcast: of more
-    than ``MAX_HEAVY_KEYS`` heavy keys the largest are listed, and a key left out then has at most
-    ``rows / MAX_HEAVY_KEYS`` rows, which one task can hold.
-    """
-    return (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("key_rows"))
-        .filter(F.col("key_rows") > over)
-        .orderBy(F.desc("key_rows"))
-        .limit(MAX_HEAVY_KEYS)
-    )
 
+def with_parts(rows: DataFrame, keys: Sequence[str], heavy: DataFrame, over: int) -> DataFrame:
+    """Add ``parts``: into how many parts of about ``over`` rows a row's key is cut, 1 for a light key.
 
-def _with_parts(rows: DataFrame, keys: Sequence[str], heavy: DataFrame, over: int) -> DataFrame:
-    parts = F.ceil(F.coalesce(F.col("key_rows"), F.lit(1)) / F.lit(over)).cast("int")
-    return rows.join(F.broadcast(heavy), list(keys), "left").withColumn("parts", parts).drop("key_rows")
+    Two tiers. Keys above ``1 / TOP_SHARE`` of all heavy rows are at most ``TOP_SHARE`` by arithmetic, so
+    that list is broadcast. The other heavy keys may be many, but none has more than that share of the
+    rows, so an ordinary join with their counts stays even.
+    """
+    keys = list(keys)
+    parts = F.ceil(F.col("key_rows") / F.lit(over)).cast("int")
+    total = heavy.agg(F.coalesce(F.sum("key_rows"), F.lit(0))).first()[0]
+    listed = heavy.select(*keys, "key_rows", parts.alias("parts"))
+    top = listed.filter(F.col("key_rows") > F.lit(total / TOP_SHARE)).drop("key_rows")
+    rest = listed.filter(F.col("key_rows") <= F.lit(total / TOP_SHARE)).drop("key_rows")
+    one = F.coalesce("parts", F.lit(1)).alias("parts")
+    if rest.isEmpty():
+        return rows.join(F.broadcast(top), keys, "left").select(*rows.columns, one)
+    first = rows.join(F.broadcast(top), keys).select(*rows.columns, "parts")
+    others = rows.join(F.broadcast(top.drop("parts")), keys, "left_anti")
+    return first.unionByName(others.join(rest, keys, "left").select(*rows.columns, one))
 
 
 def salted_join(
     many: DataFrame,
     few: DataFrame,
     keys: Sequence[str],
-    over: int = SALT_ROWS,
+    over: int | None = None,
     heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Inner equi-join in which ``few`` has at most a handful of rows per key.
 
     Rows of a heavy key in ``many`` are dealt over several salts and the matching rows of ``few`` are
     repeated once per salt, so no task receives a whole heavy key. ``heavy`` may come from a table
-    that is cheaper to count than ``many``.
+    that is cheaper to count than ``many``. ``over`` is the rows that a key may have unsplit; rows that
+    carry arrays want a smaller number.
     """
+    over = SALT_ROWS if over is None else over
     if heavy is None:
         heavy = heavy_keys(many, keys, over)
+    if heavy.isEmpty():
+        return many.join(few, list(keys))
     deal = F.pmod(F.xxhash64(*[F.col(c) for c in many.columns]), F.col("parts")).cast("int")
-    left = _with_parts(many, keys, heavy, over).withColumn("salt", deal).drop("parts")
+    left = with_parts(many, keys, heavy, over).withColumn("salt", deal).drop("parts")
     right = (
-        _with_parts(few, keys, heavy, over)
+        with_parts(few, keys, heavy, over)
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .drop("parts")
     )
     return left.join(right, [*keys, "salt"]).drop("salt")
 
 
-def lookup_join(many: DataFrame, few: DataFrame, keys: Sequence[str], few_rows: int) -> DataFrame:
-    """Inner join with a table of ``few_rows`` rows: broadcast if that is little, salted if not."""
-    if few_rows <= BROADCAST_ROWS:
+def lookup_join(
+    many: DataFrame, few: DataFrame, keys: Sequence[str], over: int | None = None, fits: bool | None = None
+) -> DataFrame:
+    """Inner join with a durable table: broadcast if its bytes are few, salted if not.
+
+    ``fits`` is the answer to that question if it is known.
+    """
+    if small(few) if fits is None else fits:
         return many.join(F.broadcast(few), list(keys))
-    return salted_join(many, few, keys)
+    return salted_join(many, few, keys, over)
+
+
+def lookup_semi(many: DataFrame, few: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``many`` whose key is in the durable table ``few``, each once."""
+    return many.join(broadcast_if_small(few), list(keys), "left_semi")
 
 
 def pairs_sharing_key(
@@ -73,7 +94,7 @@ def pairs_sharing_key(
     id_col: str,
     keep: Column | None = None,
     carry: Sequence[Column] = (),
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
     heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Every unordered pair of distinct ids that share ``keys``, once per shared key.
@@ -85,9 +106,10 @@ def pairs_sharing_key(
     ``heavy`` may be given if the keys above ``block_rows`` are known. ``rows`` is read three times:
     pass a durable table.
     """
+    block_rows = BLOCK_ROWS if block_rows is None else block_rows
     if heavy is None:
         heavy = heavy_keys(rows, keys, block_rows)
-    blocked = _with_parts(rows, keys, heavy, block_rows).withColumn(
+    blocked = with_parts(rows, keys, heavy, block_rows).withColumn(
         "block", F.pmod(F.xxhash64(id_col), F.col("parts")).cast("int")
     )
     x = (

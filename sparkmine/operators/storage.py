@@ -1,38 +1,97 @@
-"""Intermediate tables that outlive an executor."""
+"""Intermediate tables that outlive an executor, and what may be broadcast."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 32 << 20  # of a table in memory
+FOLDER = "spark.checkpoint.dir"
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, or else the context's checkpoint folder."""
+    folder = spark.conf.get(FOLDER, None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise ValueError(f"set {FOLDER} to a folder that every executor can reach")
+    return folder.rstrip("/")
 
-    Only a local session may fall back to a temporary folder of this machine.
+
+class Workspace:
+    """The intermediate tables of one job, in a folder of their own below the shared one.
+
+    ``with Workspace(spark):`` makes the job's tables go there and removes them at the end, so results
+    must be written or collected inside. Tables made outside any workspace belong to the application.
+    All go when the application ends, at the latest.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="sparkmine-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{work_dir(spark)}/sparkmine/{uuid.uuid4().hex}"
+        self.token = None
+        path, files = _located(spark, self.folder)
+        files.deleteOnExit(path)
+
+    def path(self, name: str) -> str:
+        """A fresh path."""
+        return f"{self.folder}/{name}-{uuid.uuid4().hex}"
+
+    def close(self) -> None:
+        """Remove all tables."""
+        remove(self.spark, self.folder)
+
+    def __enter__(self) -> Workspace:
+        self.token = _open.set(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _open.reset(self.token)
+        self.close()
+
+
+_open: ContextVar[Workspace | None] = ContextVar("workspace", default=None)
+_of_application: dict[tuple[str, str], Workspace] = {}
+
+
+def workspace(spark: SparkSession) -> Workspace:
+    """The innermost open workspace, or the application's own."""
+    current = _open.get()
+    if current is not None:
+        return current
+    key = (spark.sparkContext.applicationId, work_dir(spark))
+    if key not in _of_application:
+        _of_application[key] = Workspace(spark)
+    return _of_application[key]
+
+
+def _located(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, name: str) -> None:
+    """Remove a file or folder, wherever Spark can write."""
+    path, files = _located(spark, name)
+    files.delete(path, True)
+
+
+def names_below(spark: SparkSession, name: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it is not there."""
+    path, files = _located(spark, name)
+    return [s.getPath().getName() for s in files.listStatus(path)] if files.exists(path) else []
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{work_dir(spark)}/sparkmine/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the current workspace."""
+    return workspace(spark).path(name)
 
 
 def durable(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` once and read it back.
+    """Write ``df`` once into the current workspace and read it back.
 
     Cuts the lineage, lets several branches share one computation, survives lost executors, and
     gives the planner true sizes. The scan of the written table still prunes columns.
@@ -42,27 +101,50 @@ def durable(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def count_up_to(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> int:
-    """Number of rows, reading no more than ``max_rows + 1`` of them."""
-    return table.limit(max_rows + 1).count()
+def _folders(table: DataFrame) -> set[str]:
+    return {file.rpartition("/")[0] for file in table.inputFiles()}
 
 
-def broadcast_if_small(table: DataFrame, rows: int | None = None) -> DataFrame:
-    """Hint a broadcast only after checking that ``table`` has at most ``BROADCAST_ROWS`` rows.
+def release(*tables: DataFrame) -> None:
+    """Remove the files of tables made by :func:`durable` that nothing reads any more."""
+    for table in tables:
+        for folder in _folders(table):
+            remove(table.sparkSession, folder)
 
-    ``table`` should be a durable one, since the check reads it; ``rows`` is the count if known.
-    """
-    rows = count_up_to(table) if rows is None else rows
-    return F.broadcast(table) if rows <= BROADCAST_ROWS else table
+
+def stored_bytes(table: DataFrame) -> int:
+    """Length of the files that a table is read from."""
+    located = [_located(table.sparkSession, folder) for folder in _folders(table)]
+    return sum(files.getContentSummary(path).getLength() for path, files in located)
+
+
+def _width(column: Column, kind: T.DataType) -> Column:
+    """Bytes that a value takes in memory, roughly and rather more."""
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, T.StringType | T.BinaryType | T.ArrayType):
+            inner = F.aggregate(column, F.lit(0).cast("bigint"), lambda s, x: s + _width(x, kind.elementType))
+        else:
+            inner = 8 * F.greatest(F.size(column), F.lit(0))
+        return F.lit(32) + F.coalesce(inner.cast("bigint"), F.lit(0))
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.lit(32) + F.coalesce(F.octet_length(column), F.lit(0))
+    return F.lit(16)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal the rows over all cores if the input has fewer splits than there are cores.
+def small(table: DataFrame, most: int | None = None) -> bool:
+    """Whether a durable table takes at most ``most`` bytes (default ``BROADCAST_BYTES``) in memory.
 
-    For costly work on rows of a small or badly split input; an input with enough splits is left as
-    it is, so nothing is shuffled at scale. Hashing ``key`` keeps the layout the same on a retry.
+    Its files are looked at first, so a large table is not read for it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
+    most = BROADCAST_BYTES if most is None else most
+    if stored_bytes(table) > most:
+        return False
+    total: Column = F.lit(0).cast("bigint")
+    for field in table.schema:
+        total = total + _width(F.col(field.name), field.dataType)
+    return table.agg(F.coalesce(F.sum(total), F.lit(0))).first()[0] <= most
+
+
+def broadcast_if_small(table: DataFrame) -> DataFrame:
+    """Hint a broadcast only after checking the bytes of the rows; ``table`` should be a durable one."""
+    return F.broadcast(table) if small(table) else table

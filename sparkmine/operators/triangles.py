@@ -8,13 +8,7 @@ from pyspark.sql import functions as F
 from sparkmine.operators.edges import both_ways
 from sparkmine.operators.order import running_total
 from sparkmine.operators.skew import lookup_join
-from sparkmine.operators.storage import (
-    BROADCAST_ROWS,
-    broadcast_if_small,
-    count_up_to,
-    durable,
-    spread,
-)
+from sparkmine.operators.storage import BROADCAST_BYTES, durable, small
 
 
 def edge_weight(t: Column, size: Column) -> Column:
@@ -38,17 +32,16 @@ def contributions(edges: DataFrame, lives: DataFrame) -> DataFrame:
 
     Per edge and run, the end with fewer sampled neighbours lists them and the other end is looked
     up, so that a hub's neighbours are listed only for edges between two hubs. The tables made from the
-    sample are broadcast if the check of their size allows; if not, the joins shuffle, those on the
-    ends of an arriving edge with salts, for a hub arrives often.
-    ``lives`` should be durable: it is read several times.
+    sample are broadcast if the bytes of the sample allow; if not, the joins shuffle with salts, for
+    a hub arrives often. ``lives`` should be durable: it is read several times.
     """
-    rows = 2 * count_up_to(lives, BROADCAST_ROWS // 2)  # both_ways doubles it; degrees are fewer
+    fits = small(lives, BROADCAST_BYTES // 2)  # both_ways doubles it; degrees are fewer
     hops = sampled_neighbors(lives)
     degrees = hops.groupBy("run", "size", "x").agg(F.count(F.lit(1)).alias("degree"))
     of_a = degrees.select("run", "size", F.col("x").alias("a"), F.col("degree").alias("da"))
     of_b = degrees.select("run", F.col("x").alias("b"), F.col("degree").alias("db"))
-    arrived = spread(edges.select("t", "a", "b"), "t")
-    ends = lookup_join(lookup_join(arrived, of_a, ["a"], rows), of_b, ["run", "b"], rows)
+    ends = lookup_join(edges.select("t", "a", "b"), of_a, ["a"], fits=fits)
+    ends = lookup_join(ends, of_b, ["run", "b"], fits=fits)
     a_lists = F.col("da") <= F.col("db")
     sides = ends.select(
         "run",
@@ -59,13 +52,15 @@ def contributions(edges: DataFrame, lives: DataFrame) -> DataFrame:
     )
     first = hops.select("run", "x", "y", "t_in", "t_out")
     legs = (
-        sides.join(broadcast_if_small(first, rows), ["run", "x"])
+        lookup_join(sides, first, ["run", "x"], fits=fits)
         .filter(_alive("t", "t_in", "t_out"))
         .select("run", "size", "t", "other", "y")
     )
+    if not fits:
+        legs = durable(legs, "legs")  # counted and joined
     second = hops.select("run", F.col("x").alias("other"), "y", "t_in", "t_out")
     return (
-        legs.join(broadcast_if_small(second, rows), ["run", "other", "y"])
+        lookup_join(legs, second, ["run", "other", "y"], fits=fits)
         .filter(_alive("t", "t_in", "t_out"))
         .groupBy("run", "size", "t")
         .agg(F.count(F.lit(1)).alias("common"))
@@ -116,7 +111,8 @@ def with_errors(estimates: DataFrame, exact: DataFrame) -> DataFrame:
 
 
 def accuracy_band(rel_error: Column) -> Column:
-    """``excellent`` below 10 %, ``good`` below 20 %, else ``high variance``; NULL stays NULL."""
+    """The name of an error's size; NULL stays NULL."""
+    # The bands.
     return (
         F.when(rel_error < 0.10, "excellent")
         .when(rel_error < 0.20, "good")

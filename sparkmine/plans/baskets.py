@@ -19,6 +19,7 @@ class MarketBaskets:
     min_support: float = 0.01
     min_confidence: float = 0.7
     max_k: int | None = None
+    partitions: int | None = None  # tasks that the reduced baskets are dealt over
 
     def __post_init__(self) -> None:
         itemsets.check_share("min_support", self.min_support)
@@ -39,7 +40,11 @@ class MarketBaskets:
 
     @cached_property
     def levels(self) -> dict[int, DataFrame]:
-        return itemsets.frequent_levels(self._items, self.min_count, self.max_k)
+        return itemsets.frequent_levels(self._items, self.min_count, self.max_k, self.partitions)
+
+    def level(self, k: int) -> DataFrame:
+        """``itemset, cnt`` of size ``k``, empty if there are none."""
+        return self.levels.get(k, itemsets.no_itemsets(self._items))
 
     @cached_property
     def itemsets(self) -> DataFrame:
@@ -48,7 +53,7 @@ class MarketBaskets:
 
     def candidates(self, k: int) -> DataFrame:
         """Candidates of size ``k`` > 2 that survive the subset test."""
-        return itemsets.pruned_candidates(self.levels[k - 1], k)
+        return itemsets.pruned_candidates(self.level(k - 1), k)
 
     @cached_property
     def rules(self) -> DataFrame:

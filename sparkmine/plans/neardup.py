@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 from sparkmine.functions.sets import signature_similarity
 from sparkmine.operators import lsh, quality
 from sparkmine.operators.documents import (
+    beside_pairs,
     copy_groups,
     group_members,
+    group_texts,
     normalized_documents,
     with_copies,
 )
 from sparkmine.operators.jaccard_join import check_threshold, similar_pairs, verify
-from sparkmine.operators.skew import BLOCK_ROWS
+from sparkmine.operators.skew import lookup_semi
 from sparkmine.operators.storage import durable
 
 
@@ -37,90 +39,93 @@ class NearDuplicates:
     threshold: float = 0.8
     empties: str = "match"
     crc_bands: bool = False
-    crowd: int = BLOCK_ROWS
+    block_rows: int | None = None  # rows of a bucket that one task pairs with as many others
 
     def __post_init__(self) -> None:
         check_threshold(self.threshold)
 
     @cached_property
     def normalized(self) -> DataFrame:
+        """``doc_id, normalized, text_key`` for every document."""
         return normalized_documents(self.docs, self.k, self.id_col, self.text_col, self.empties)
 
+    @cached_property
+    def _normalized(self) -> DataFrame:
+        return durable(self.normalized, "normalized")
+
     @cached_property
     def groups(self) -> DataFrame:
-        return durable(copy_groups(self.normalized), "groups")
+        return durable(copy_groups(self._normalized), "groups")
+
+    @cached_property
+    def texts(self) -> DataFrame:
+        """``group_id, normalized``, one row per group."""
+        return durable(group_texts(self._normalized, self.groups), "texts")
 
     @cached_property
     def members(self) -> DataFrame:
         """``doc_id, group_id, copies``."""
-        return group_members(self.normalized, self.groups)
+        return group_members(self._normalized, self.groups)
 
     @cached_property
     def signatures(self) -> DataFrame:
-        """``doc_id, text_key, signature`` for every document."""
-        return lsh.signatures(self.normalized, self.k, self.n)
+        """``doc_id, signature`` for every document."""
+        return lsh.signatures(self.normalized, self.k, self.n).select("doc_id", "signature")
 
     @cached_property
     def banded(self) -> DataFrame:
-        return durable(
-            lsh.banded_groups(self.signatures, self.n, self.threshold, self.crc_bands), "banded"
+        banded = lsh.banded_groups(
+            self.texts, self.groups, self.k, self.n, self.threshold, self.crc_bands
         )
+        return durable(banded, "banded")
 
     @cached_property
     def band_rows(self) -> DataFrame:
         return lsh.band_rows(self.banded)
 
-    @cached_property
-    def crowded(self) -> DataFrame:
-        """Buckets of more than ``crowd`` groups."""
-        return lsh.crowded_buckets(self.banded, self.crowd)
-
     @cached_property
     def candidates(self) -> DataFrame:
         """``id1, id2``: pairs of groups that share a bucket."""
-        return durable(lsh.candidate_pairs(self.band_rows), "candidates")
+        return durable(lsh.candidate_pairs(self.band_rows, self.block_rows), "candidates")
+
+    @cached_property
+    def _checked(self) -> DataFrame:
+        return verify(self.candidates, self.texts, self.k)
 
     @cached_property
     def verified(self) -> DataFrame:
         """Every candidate with its exact similarity and ``is_similar``, for judging the candidates."""
-        checked = verify(self.candidates, self.normalized, self.k)
-        return with_copies(quality.label(checked, self.threshold), self.banded)
+        return with_copies(quality.label(self._checked, self.threshold), self.banded)
 
     @cached_property
     def similar(self) -> DataFrame:
         """The job's result: candidates that are similar."""
-        found = lsh.similar_candidates(
-            self.normalized, self.banded, self.crowded, self.k, self.threshold
-        )
+        found = self._checked.filter(F.col("jaccard") >= self.threshold)
         return with_copies(found, self.banded)
 
     @cached_property
     def true_pairs(self) -> DataFrame:
         """Every similar pair of groups, by the exact join."""
-        pairs = similar_pairs(self.normalized, self.groups, self.k, self.threshold)
-        return with_copies(pairs, self.groups)
+        return with_copies(similar_pairs(self.texts, self.k, self.threshold), self.groups)
 
     @cached_property
     def missed(self) -> DataFrame:
         """Similar pairs that are no candidates."""
-        found = lsh.sharing_a_band(self.true_pairs, self.banded)
-        return self.true_pairs.join(found.select("id1", "id2"), ["id1", "id2"], "left_anti")
+        true = durable(self.true_pairs, "true")
+        found = lsh.sharing_a_band(true, self.banded)
+        return true.join(found.select("id1", "id2"), ["id1", "id2"], "left_anti")
 
     @cached_property
     def quality(self) -> DataFrame:
         """One row: true and false positives, false negatives, recall, precision."""
-        candidates = lsh.candidate_totals(self.banded, self.crowded)
+        candidates = lsh.candidate_totals(self.band_rows, self.block_rows)
         return quality.quality(self.banded, self.similar, candidates, self.missed)
 
     def estimated(self) -> DataFrame:
         """Candidates with the similarity estimated from signatures, ``id1, id2, estimate``."""
-        ids = self.candidates.select(F.explode(F.array("id1", "id2")).alias("id")).distinct()
-        signed = self.normalized.join(ids, F.col("doc_id") == F.col("id"), "left_semi")
-        sigs = lsh.signatures(signed, self.k, self.n)
-        one = sigs.select(F.col("doc_id").alias("id1"), F.col("signature").alias("s1"))
-        two = sigs.select(F.col("doc_id").alias("id2"), F.col("signature").alias("s2"))
-        return (
-            self.candidates.join(one.hint("merge"), "id1")
-            .join(two.hint("merge"), "id2")
-            .select("id1", "id2", signature_similarity(F.col("s1"), F.col("s2")).alias("estimate"))
+        ids = durable(self.candidates.select(F.explode(F.array("id1", "id2")).alias("group_id")).distinct(), "ids")
+        signed = durable(lsh.signatures(lookup_semi(self.texts, ids, ["group_id"]), self.k, self.n), "signed")
+        both = beside_pairs(self.candidates, signed, "signature")
+        return both.select(
+            "id1", "id2", signature_similarity(F.col("signature1"), F.col("signature2")).alias("estimate")
         )

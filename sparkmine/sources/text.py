@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkmine.operators.order import first_n, number_rows
+from sparkmine.operators.storage import broadcast_if_small, durable
 
 # Unicode white space and the four separators, alone and at the ends of a line.
 BLANKS = r"(?U)[\s\x{1c}-\x{1f}]+"
 END_BLANKS = r"(?U)^[\s\x{1c}-\x{1f}]+|[\s\x{1c}-\x{1f}]+$"
 
+PREFIX = "sms_"  # fixed value: what document ids begin with
+
 LINE_ORDER = ["file_path", "block_start", "line_no"]  # a total order: file, split, line in the split
 
 
@@ -29,8 +31,31 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def number_lines(accepted: DataFrame, name: str, limit: int | None = None) -> DataFrame:
+    """Number lines 1, 2, 3 … in file order, without sorting or moving them.
+
+    ``accepted`` are filtered lines of :func:`read_lines`. A split's lines lie next to each other in one
+    partition, so a line's place in its split is the difference of two running ids; the splits are counted, one
+    row each, and their offsets added.
+    The query fails if the files are split otherwise when it runs.
+    """
+    split = LINE_ORDER[:2]
+    marked = accepted.withColumn("mark", F.monotonically_increasing_id())
+    counted = marked.groupBy(*split).agg(F.min("mark").alias("first"), F.count(F.lit(1)).alias("lines"))
+    before = F.sum("lines").over(Window.orderBy(*split)) - F.col("lines")
+    splits = durable(counted.withColumn("before", before).drop("lines"), "splits")
+    place = F.col("mark") - F.col("first") + F.col("before") + 1
+    moved = F.raise_error(F.lit("the files were split otherwise when their lines were counted"))
+    numbered = marked.join(broadcast_if_small(splits), split, "left").withColumn(
+        name, F.coalesce(place, moved.cast("bigint"))
+    )
+    if limit is not None:
+        numbered = numbered.filter(F.col(name) <= limit)
+    return numbered.drop("mark", "first", "before")
+
+
 def labelled_text(
-    spark: SparkSession, path: str, limit: int | None = None, prefix: str = "sms_"
+    spark: SparkSession, path: str, limit: int | None = None, prefix: str = PREFIX
 ) -> DataFrame:
     """``n, doc_id, label, text`` from lines of a label, a tab and a text.
 
@@ -44,9 +69,7 @@ def labelled_text(
         .select(parts[0].alias("label"), parts[1].alias("text"), *LINE_ORDER)
         .filter(strip(F.col("text")) != "")
     )
-    numbered = number_rows(accepted, LINE_ORDER, "n")
-    if limit is not None:
-        numbered = first_n(numbered, limit, "n")
+    numbered = number_lines(accepted, "n", limit)
     return numbered.select("n", F.concat(F.lit(prefix), F.col("n")).alias("doc_id"), "label", "text")
 
 
@@ -57,9 +80,7 @@ def basket_lines(spark: SparkSession, path: str) -> DataFrame:
     """
     lines = read_lines(spark, path).filter(F.col("line") != "")
     items = F.sort_array(F.array_distinct(F.split(F.col("line"), BLANKS)))
-    return number_rows(lines.select(items.alias("items"), *LINE_ORDER), LINE_ORDER, "tid").select(
-        "tid", "items"
-    )
+    return number_lines(lines.select(items.alias("items"), *LINE_ORDER), "tid").select("tid", "items")
 
 
 def edge_lines(spark: SparkSession, path: str, skip_bad: bool = False) -> DataFrame:

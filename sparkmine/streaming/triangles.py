@@ -2,21 +2,22 @@
 
 The reservoir and the totals are small tables kept per micro-batch. A batch reads the state of the batch
 before it, joins its new edges with the reservoir, and writes its own state under its batch id. A batch
-that runs again after a failure therefore gives the same result and nothing is counted twice.
+that runs again after a failure therefore gives the same result and nothing is counted twice. Only the
+states of the last two batches are kept.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from sparkmine.operators import triangles
 from sparkmine.operators.order import number_rows
 from sparkmine.operators.reservoir import Run, lifetimes, sample_at
-from sparkmine.operators.storage import durable
+from sparkmine.operators.storage import Workspace, durable, names_below, remove
 
 TOTALS = "edges bigint, last_pos bigint, estimate double"
 SLOTS = "run int, size int, slot bigint, t_in bigint, a bigint, b bigint"
@@ -36,30 +37,44 @@ class TriangleState:
     def _slots(self, batch_id: int) -> str:
         return f"{self.folder}/slots/batch_id={batch_id}"
 
+    def batches(self) -> list[int]:
+        """Ids of the batches whose state is kept, at most three while one is being written."""
+        found = names_below(self.spark, f"{self.folder}/totals")
+        ids = (int(name.partition("=")[2]) for name in found if name.startswith("batch_id="))
+        return sorted(i for i in ids if names_below(self.spark, self._totals(i)).count("_SUCCESS"))
+
     def prepare(self) -> None:
         """Write the empty state, unless a state is there already."""
-        self.spark.createDataFrame([], SLOTS).write.mode("ignore").parquet(self._slots(-1))
-        start = self.spark.createDataFrame([(0, 0, 0.0)], TOTALS)
-        start.write.mode("ignore").parquet(self._totals(-1))
+        if not self.batches():
+            self.spark.createDataFrame([], SLOTS).write.mode("overwrite").parquet(self._slots(-1))
+            start = self.spark.createDataFrame([(0, 0, 0.0)], TOTALS)
+            start.write.mode("overwrite").parquet(self._totals(-1))
 
-    def series(self) -> DataFrame:
-        """``batch_id, edges, last_pos, estimate`` after every batch."""
-        return self.spark.read.schema(f"{TOTALS}, batch_id bigint").parquet(f"{self.folder}/totals")
+    def _read(self, batch_id: int) -> DataFrame:
+        return self.spark.read.schema(TOTALS).parquet(self._totals(batch_id))
 
     def latest(self) -> DataFrame:
-        """The last row of :meth:`series`."""
-        return self.series().orderBy(F.desc("batch_id")).limit(1)
+        """``edges, last_pos, estimate`` after the last batch."""
+        return self._read(self.batches()[-1])
 
     def update(self, first_arrivals: DataFrame, batch_id: int) -> None:
         """Process the edges of one batch: ``a, b, pos``, pos above those of earlier batches.
 
         Edges with a position already passed are repeats and are skipped.
         """
-        before = self.series().filter(F.col("batch_id") < batch_id).orderBy(F.desc("batch_id")).first()
+        previous = max(i for i in self.batches() if i < batch_id)
+        with Workspace(self.spark):
+            self._advance(first_arrivals, batch_id, previous, self._read(previous).first())
+        for old in self.batches():
+            if old < previous:
+                remove(self.spark, self._totals(old))
+                remove(self.spark, self._slots(old))
+
+    def _advance(self, first_arrivals: DataFrame, batch_id: int, previous: int, before: Row) -> None:
         fresh = first_arrivals.filter(F.col("pos") > before.last_pos)
         numbered = number_rows(fresh, ["pos"], "t").withColumn("t", F.col("t") + before.edges)
         edges = durable(numbered, "arrivals")
-        carried = self.spark.read.schema(SLOTS).parquet(self._slots(before.batch_id))
+        carried = self.spark.read.schema(SLOTS).parquet(self._slots(previous))
         entered = lifetimes(edges, [self.run], ["a", "b"]).drop("t_out")
         by_slot = Window.partitionBy("run", "slot").orderBy("t_in")
         lives = durable(
@@ -87,15 +102,26 @@ def first_arrivals(arrivals: DataFrame) -> DataFrame:
     )
 
 
-def triangle_stream(arrivals: DataFrame, state: TriangleState, checkpoint: str) -> DataStreamWriter:
+def simple_arrivals(arrivals: DataFrame) -> DataFrame:
+    """``a, b, pos`` of a stream ``u, v, pos`` in which no edge comes twice: nothing is remembered."""
+    return arrivals.filter(F.col("u") != F.col("v")).select(
+        F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"), "pos"
+    )
+
+
+def triangle_stream(
+    arrivals: DataFrame, state: TriangleState, checkpoint: str, dedupe: bool = False
+) -> DataStreamWriter:
     """A writer to start: the stream ``u, v, pos`` is counted into ``state``.
 
-    ``pos`` must rise from one micro-batch to the next; within a batch the order is free.
+    ``pos`` must rise from one micro-batch to the next; within a batch the order is free. A stream in which
+    edges repeat needs ``dedupe``, which remembers every distinct edge; without it the memory is the
+    reservoir's, however long the stream.
     """
     state.prepare()
+    edges = first_arrivals(arrivals) if dedupe else simple_arrivals(arrivals)
     return (
-        first_arrivals(arrivals)
-        .writeStream.outputMode("update")
+        edges.writeStream.outputMode("update" if dedupe else "append")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(state.update)
     )

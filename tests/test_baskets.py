@@ -112,6 +112,7 @@ def test_rules(spark, baskets, confidence):
 def test_nothing_frequent(spark):
     job = MarketBaskets(items_of(spark, ["a", "b", "c"]), 0.9)
     assert job.levels == {}
+    assert job.level(2).count() == job.candidates(3).count() == 0
     assert job.itemsets.columns == ["k", "itemset", "cnt", "support"]
     assert job.itemsets.count() == job.rules.count() == 0
     none = MarketBaskets(items_of(spark, ["a"]).limit(0), 0.5)
@@ -127,8 +128,8 @@ def test_parameters_are_checked(spark):
 
 
 def test_large_levels_are_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr("sparkmine.operators.storage.BROADCAST_ROWS", -1)
-    monkeypatch.setattr("sparkmine.operators.itemsets.BROADCAST_ROWS", -1)
+    monkeypatch.setattr("sparkmine.operators.storage.BROADCAST_BYTES", -1)
+    monkeypatch.setattr("sparkmine.operators.skew.SALT_ROWS", 5)
     baskets = random_baskets()
     assert found(MarketBaskets(items_of(spark, baskets), 0.1)) == brute.frequent(
         baskets, len(baskets) * 0.1

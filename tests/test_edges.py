@@ -14,7 +14,8 @@ from sparkmine.operators.storage import durable
 from sparkmine.plans.triest import TriangleStream, size_by_ratio
 from tests import brute
 
-K4_AND_TAIL = [(1, 2), (2, 3), (3, 1), (1, 4), (2, 4), (3, 4), (1, 5), (5, 6)]
+# two triangles with an edge in common, a bridge, and a third triangle
+BRIDGED = [(10, 20), (20, 30), (10, 30), (20, 40), (30, 40), (40, 50), (50, 60), (60, 70), (50, 70)]
 
 
 def dense_graph(n=24, m=130, seed=8):
@@ -86,29 +87,36 @@ def test_successive(spark):
     assert got == [(1, "a", "b"), (2, "b", "c")]
 
 
-def test_neighbors(spark):
-    edges = stream(spark, [(1, 2), (2, 3)])
-    ask = spark.createDataFrame([(1, 3), (1, 9), (1, 2)], "a bigint, b bigint")
-    common = {(r.a, r.b): r.common for r in ops.common_neighbors(edges, ask).collect()}
-    assert common == {(1, 3): 1, (1, 9): 0, (1, 2): 0}
-    after = ops.common_neighbors(edges.filter("a <> 1"), ask)
-    assert all(r.common == 0 for r in after.collect())
-    assert {r.node: r.degree for r in ops.node_degrees(edges).collect()} == {1: 1, 2: 2, 3: 1}
-    nodes = spark.createDataFrame([(2,), (9,)], "node bigint")
-    assert sorted(r.neighbor for r in ops.neighbors_of(edges, nodes).collect()) == [1, 3]
+@pytest.mark.parametrize("salt", [2, 1_000_000])
+def test_neighbours_of_a_hub(spark, monkeypatch, salt):
+    """Node 0 knows all others, which form a ring; every pair is asked for, and two strangers."""
+    monkeypatch.setattr("sparkmine.operators.skew.SALT_ROWS", salt)
+    ring = range(1, 13)
+    graph = {(0, i) for i in ring} | {(i, i % 12 + 1) for i in ring}
+    near = {i: {b if a == i else a for a, b in graph if i in (a, b)} for i in range(13)}
+    edges = stream(spark, sorted(graph))
+    asked = [*itertools.combinations(range(13), 2), (0, 99), (98, 99)]
+    pairs = durable(spark.createDataFrame(asked, "a bigint, b bigint"))
+    found = {(r.a, r.b): r.common for r in ops.common_neighbors(edges, pairs).collect()}
+    assert found == {(a, b): len(near.get(a, set()) & near.get(b, set())) for a, b in asked}
+    assert {r.node: r.degree for r in ops.node_degrees(edges).collect()} == {i: len(n) for i, n in near.items()}
+    nodes = spark.createDataFrame([(0,), (5,), (5,), (99,)], "node bigint")
+    listed = sorted((r.node, r.neighbor) for r in ops.neighbors_of(edges, nodes).collect())
+    assert listed == sorted((i, j) for i in (0, 5) for j in near[i])
 
 
 @pytest.mark.parametrize(
     "edges",
-    [K4_AND_TAIL, dense_graph(), [(1, 2)], [(0, i) for i in range(1, 40)] + [(1, 2), (2, 3), (1, 3)]],
-    ids=["k4", "dense", "single", "hub"],
+    [BRIDGED, dense_graph(), [(1, 2)], [(0, i) for i in range(1, 40)] + [(1, 2), (2, 3), (1, 3)]],
+    ids=["bridged", "dense", "single", "hub"],
 )
 def test_exact_triangles(spark, edges):
     assert ops.exact_triangles(stream(spark, edges)).first().triangles == brute.triangles(edges)
 
 
 def test_exact_triangles_with_salts(spark, monkeypatch):
-    monkeypatch.setattr(ops, "SALT_ROWS", 2)
+    monkeypatch.setattr("sparkmine.operators.skew.SALT_ROWS", 2)
+    monkeypatch.setattr(ops, "ARRAY_ROWS", 2)
     edges = dense_graph()
     assert ops.exact_triangles(stream(spark, edges)).first().triangles == brute.triangles(edges)
 
@@ -140,14 +148,18 @@ def test_reservoir_equals_replay(spark, size):
 
 
 def test_replacement_log(spark):
-    rows = spark.createDataFrame([(t, f"edge_{t}") for t in range(1, 11)], "t bigint, e string")
-    lives = durable(lifetimes(rows, [Run(3, 1)], ["e"]))
+    """Readings with a time and a value: each leaves where it came in, and what is logged rebuilds the sample."""
+    rng = random.Random(21)
+    readings = [(t, f"s{rng.randrange(5)}", rng.random()) for t in range(1, 400)]
+    rows = spark.createDataFrame(readings, "t bigint, sensor string, value double")
+    lives = durable(lifetimes(rows, [Run(17, 3)], ["sensor", "value"]))
     held = {}
-    for row in sorted(replacement_log(lives, ["e"]).collect(), key=lambda r: r.t):
-        assert held.get(row.slot) == row.old_e
-        assert row.t > 3 or row.old_e is None
-        held[row.slot] = row.e
-    assert sorted(held) == [0, 1, 2]
+    for row in sorted(replacement_log(lives, ["sensor", "value"]).collect(), key=lambda r: r.t):
+        assert readings[row.t - 1][1:] == (row.sensor, row.value)
+        assert held.get(row.slot) == (None if row.old_sensor is None else (row.old_sensor, row.old_value))
+        held[row.slot] = (row.sensor, row.value)
+    assert held == {r.slot: (r.sensor, r.value) for r in sample_at(lives).collect()}
+    assert sorted(held) == list(range(17))
 
 
 def test_inclusion_is_uniform(spark):
@@ -181,8 +193,8 @@ def test_estimate_equals_replay(spark, size):
 
 
 def test_large_samples_are_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr("sparkmine.operators.skew.BROADCAST_ROWS", -1)
-    monkeypatch.setattr("sparkmine.operators.storage.BROADCAST_ROWS", -1)
+    monkeypatch.setattr("sparkmine.operators.triangles.BROADCAST_BYTES", -2)
+    monkeypatch.setattr("sparkmine.operators.skew.SALT_ROWS", 3)
     edges = dense_graph()
     job = TriangleStream(stream(spark, edges), [Run(30, 2), Run(60, 3)])
     got = {r.size: r.estimate for r in job.estimates.collect()}
@@ -203,9 +215,9 @@ def test_estimate_is_unbiased(spark):
 
 
 def test_errors(spark):
-    job = TriangleStream(stream(spark, K4_AND_TAIL), [Run(10)])
+    job = TriangleStream(stream(spark, BRIDGED), [Run(10)])
     row = job.errors().first()
-    assert (row.triangles, row.abs_error, row.rel_error, row.band) == (4, 0.0, 0.0, "excellent")
+    assert (row.triangles, row.abs_error, row.rel_error, row.band) == (3, 0.0, 0.0, "excellent")
     flat = TriangleStream(stream(spark, [(1, 2), (2, 3)]), [Run(10)]).errors().first()
     assert (flat.estimate, flat.rel_error, flat.band) == (0.0, None, None)
 

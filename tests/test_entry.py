@@ -3,13 +3,25 @@
 Queries whose SQL takes long or whose parts are tested elsewhere are left to the driver's check.
 """
 
+from types import SimpleNamespace
+
 import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from sparkmine.catalog.oracle import ORACLE
+from sparkmine.catalog.queries import QUERIES
+from sparkmine.operators import storage
 
 TABLES = "events documents lineitem part".split()
 CHECKED = [
+    "lsh_quality_crowded",
+    "near_duplicates_crowded",
+    "lsh_band_plan",
+    "basket_items_support",
+    "itemsets_level2",
+    "node_neighbors",
+    "triest_stream_simple",
     "text_normalize",
     "text_groups",
     "shingle_counts",
@@ -52,7 +64,40 @@ def test_query_equals_sql(spark, sf_dir, con, name):
 
 
 def test_every_query_has_sql():
-    assert entry_points.queries().keys() == entry_points.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= entry_points.queries().keys()
+
+
+def session(master):
+    """What the folder is read from: a session that names none."""
+    given = {}
+    context = SimpleNamespace(
+        master=master, getCheckpointDir=lambda: given.get("folder"), setCheckpointDir=lambda f: given.update(folder=f)
+    )
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+
+
+def test_a_cluster_must_name_its_folder():
+    look = entry_points.with_folder(lambda spark, sf_dir: storage.work_dir(spark))
+    with pytest.raises(ValueError):
+        look(session("spark://host:7077"), "")
+    assert "sparkmine-" in look(session("local[4]"), "")
+
+
+def test_a_workspace_leaves_nothing(spark):
+    with storage.Workspace(spark) as work:
+        entry_points.queries()["lsh_quality"](spark, entry_points.SMALL).collect()
+        assert storage.names_below(spark, work.folder)
+    assert not storage.names_below(spark, work.folder)
+
+
+def test_small_is_judged_by_bytes(spark):
+    values = [(i, "x" * 100, ["y" * 50] * 3) for i in range(100)]
+    rows = storage.durable(spark.createDataFrame(values, "i int, s string, a array<string>"))
+    assert storage.small(rows, 100 * 500) and not storage.small(rows, 100 * 250) and not storage.small(rows, 10)
+    storage.release(rows)
+    with pytest.raises(Exception, match="not exist|NOT_EXIST"):
+        rows.count()
 
 
 def test_flagship(spark):

@@ -2,13 +2,15 @@ import itertools
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sparkmine.functions.minhash import EMPTY, band_plan
 from sparkmine.operators import lsh
 from sparkmine.operators.documents import normalized_documents
-from sparkmine.operators.jaccard_join import frequent_shingles, prefix_of
+from sparkmine.operators import skew, storage
+from sparkmine.operators.jaccard_join import BUCKET_BITS, prefix_of
 from sparkmine.operators.skew import heavy_keys, pairs_sharing_key, salted_join
 from sparkmine.plans.neardup import NearDuplicates
 from tests import brute
@@ -107,10 +109,9 @@ def test_crc_key_of_single_rows_and_empty_sets(spark):
         assert double[0] == [zlib.crc32(str(tuple(values)).encode())]
 
 
-@pytest.mark.parametrize("crowd", [1, 3, 2000])
-def test_quality(docs, crowd):
-    job = NearDuplicates(docs, k=K, n=N, threshold=T, crowd=crowd)
-    assert job.crowded.isEmpty() == (crowd == 2000)
+@pytest.mark.parametrize("block_rows", [1, 3, None])
+def test_quality(docs, block_rows):
+    job = NearDuplicates(docs, k=K, n=N, threshold=T, block_rows=block_rows)
     bands, rows = band_plan(N, T)
     cand = brute.candidates(SIGNATURES, bands, rows, lambda values: values)
     true = brute.similar(SETS, T)
@@ -122,13 +123,10 @@ def test_quality(docs, crowd):
     assert row.precision == pytest.approx(len(cand & true) / len(cand))
 
 
-def test_totals_when_there_are_many_bands(job, monkeypatch):
-    expected = job.candidates.count()
-    one = job.banded.withColumn("copies", F.lit(1))
-    crowded = lsh.crowded_buckets(one, 1)
-    for most in (0, 12):
-        monkeypatch.setattr(lsh, "MAX_COUNTED_BANDS", most)
-        assert lsh.candidate_totals(one, crowded).agg(F.sum("pairs")).first()[0] == expected
+@pytest.mark.parametrize("block_rows", [1, None])
+def test_totals(job, block_rows):
+    one = lsh.band_rows(job.banded.withColumn("copies", F.lit(1)))
+    assert lsh.candidate_totals(one, block_rows).agg(F.sum("pairs")).first()[0] == job.candidates.count()
 
 
 def test_similar_and_missed(job):
@@ -140,11 +138,16 @@ def test_similar_and_missed(job):
     assert missed == true - cand
 
 
-@pytest.mark.parametrize("crowd", [1, 3])
-def test_crowded_buckets_give_the_same_pairs(docs, job, crowd):
+@pytest.mark.parametrize("block_rows", [1, 3])
+def test_blocks_of_buckets_give_the_same_pairs(docs, job, block_rows):
     usual = job.similar.collect()
-    crowded = NearDuplicates(docs, k=K, n=N, threshold=T, crowd=crowd)
-    assert sorted(crowded.similar.select(*job.similar.columns).collect()) == sorted(usual)
+    cut = NearDuplicates(docs, k=K, n=N, threshold=T, block_rows=block_rows)
+    assert sorted(cut.similar.select(*job.similar.columns).collect()) == sorted(usual)
+
+
+def test_candidates_come_once(job):
+    pairs = [tuple(r) for r in lsh.candidate_pairs(job.band_rows).collect()]
+    assert len(pairs) == len(set(pairs)) == job.candidates.count()
 
 
 def test_estimate(job):
@@ -186,17 +189,37 @@ def test_threshold_is_checked(docs):
 
 
 def test_prefix_puts_frequent_shingles_last(spark):
-    counts = spark.createDataFrame([(7, 9), (8, 3), (9, 2)], "shingle bigint, docs bigint")
-    sets = spark.createDataFrame([([7, 8, 1, 5],)], "s array<bigint>")
-    assert sets.select(prefix_of(F.col("s"), counts, 0.25)).first()[0] == [
-        1,
-        5,
-        (2 << 32) + 8,  # after 9, which is in fewer documents
-        (3 << 32) + 7,
+    ranks = np.arange(1 << BUCKET_BITS)[::-1].copy()  # the greatest bucket is the rarest
+    top = (1 << BUCKET_BITS) - 1
+    sets = spark.createDataFrame([([7, 8, 1, 5 + (9 << BUCKET_BITS)],), ([],), (None,), ([3],)], "s array<bigint>")
+    rows = [r[0] for r in sets.select(prefix_of(F.col("s"), ranks, 0.25)).collect()]
+    assert rows[0] == [
+        ((top - 8) << 32) + 8,
+        ((top - 7) << 32) + 7,
+        ((top - 5) << 32) + 5 + (9 << BUCKET_BITS),
+        ((top - 1) << 32) + 1,
     ]
-    assert sets.select(prefix_of(F.col("s"), counts, 0.8)).first()[0] == [1]
-    assert frequent_shingles(counts, max_rows=2).count() == 1  # 8 or more documents
-    assert frequent_shingles(counts, max_rows=3).count() == 3
+    assert rows[1:] == [[], [], [((top - 3) << 32) + 3]]
+    assert [len(r[0]) for r in sets.select(prefix_of(F.col("s"), ranks, 0.8)).collect()] == [1, 0, 0, 1]
+
+
+def test_more_heavy_keys_than_the_first_tier_lists(spark, monkeypatch):
+    """Two hot keys are above one in six of the heavy rows, forty others are below."""
+    monkeypatch.setattr(skew, "TOP_SHARE", 6)
+    rows = [("a", i) for i in range(60)] + [("b", i) for i in range(60)]
+    rows += [(f"k{j}", 1000 * j + i) for j in range(40) for i in range(4)] + [("light", 1), ("light", 2)]
+    many = storage.durable(spark.createDataFrame(rows, "key string, id bigint"))
+    heavy = heavy_keys(many, ["key"], 3)
+    assert heavy.count() == 42
+    parts = {r.key: r.parts for r in skew.with_parts(many, ["key"], heavy, 3).collect()}
+    assert parts == {"a": 20, "b": 20, **{f"k{j}": 2 for j in range(40)}, "light": 1}
+    got = sorted((r.id1, r.id2) for r in pairs_sharing_key(many, ["key"], "id", block_rows=3).collect())
+    hot = list(itertools.combinations(range(60), 2)) * 2
+    rest = [p for j in range(40) for p in itertools.combinations(range(1000 * j, 1000 * j + 4), 2)]
+    assert got == sorted(hot + rest + [(1, 2)])
+    few = spark.createDataFrame([(k, k.upper()) for k in {key for key, _ in rows}], "key string, name string")
+    plain = sorted(many.join(few, "key").collect())
+    assert sorted(salted_join(many, few, ["key"], over=3).collect()) == plain
 
 
 @pytest.mark.parametrize("block", [1, 2, 5, 1000])
@@ -220,8 +243,26 @@ def test_plans(job):
     def plan(df):
         return df._jdf.queryExecution().toString()
 
+    assert "SortAggregate" not in plan(job.banded)
     for df in (job.similar, job.true_pairs, job.quality, job.members):
         assert "CartesianProduct" not in plan(df)
         assert "BroadcastNestedLoopJoin" not in plan(df)
         assert "BatchEvalPython" not in plan(df)
     assert "ArrowEvalPython" in plan(job.signatures)
+
+
+def test_texts_are_normalised_once(docs):
+    """Plans that read single texts read written ones."""
+    job = NearDuplicates(docs, k=K, n=N, threshold=T)
+    for df in (job.banded, job.candidates, job.similar, job.true_pairs, job.texts, job.groups):
+        assert "regexp_replace" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_making_a_plan_starts_no_job(spark, docs):
+    spark.sparkContext.setJobGroup("plan", "made only")
+    try:
+        NearDuplicates(docs, k=K).normalized  # noqa: B018
+        NearDuplicates(docs, k=K).signatures  # noqa: B018
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan")

@@ -48,6 +48,26 @@ def test_file_order_over_files_and_splits(spark, write):
     assert [n for n, _ in rows] == list(range(1, 601))
 
 
+def test_numbering_moves_no_line(spark, write):
+    path = write("".join(f"x\ta{i}\n" for i in range(50)))
+    for numbered in (labelled_text(spark, path), labelled_text(spark, path, limit=7), basket_lines(spark, path)):
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in plan and "hashpartitioning" not in plan
+
+
+def test_other_splits_are_noticed(spark, write):
+    path = write("".join(f"x\ta{i}\n" for i in range(100)))
+    numbered = labelled_text(spark, path)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "200")
+    try:
+        with pytest.raises(Exception, match="split otherwise"):
+            numbered.collect()
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_basket_lines(spark, write):
     path = write("c a  b\n\n   \n10 9\t9\n")
     assert sorted(tuple(r) for r in basket_lines(spark, path).collect()) == [
