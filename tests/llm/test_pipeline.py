@@ -1,5 +1,6 @@
 """The pipeline against its operators' brute-force versions, and the registered queries against SQL."""
 
+import base64
 import hashlib
 
 import duckdb
@@ -55,7 +56,7 @@ def test_run_equals_brute_force(spark, sf_dir):
     left = {i: t for i, t in left.items() if i not in bad}
     assert toxic and poor and bad and len(left) < len(texts)
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
-        ranks = {tiktoken.load.base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
     library = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     expected = []
     for doc_id, text in left.items():
