@@ -231,19 +231,21 @@ def if_small(scratch: Scratch, name: str, table: DataFrame) -> DataFrame:
     return F.broadcast(table) if scratch.bytes(name) <= BROADCAST_BYTES else table
 
 
-def pivots_of(met: DataFrame, scratch: Scratch) -> DataFrame:
+def pivots_of(met: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """``digest, pivot`` for each set in ``met(key, digest, ...)``: the set that leads most of its lists.
 
     Leaders are the least of their lists, so pointers go down; following them twice gathers what lies around
-    one set at one pivot. Any choice gives the right links.
+    one set at one pivot. A set that shares less than a quarter of its prefix with its leader has met it by chance
+    and stays its own pivot. Any choice gives the right links.
     """
     leaders = scratch.write("leaders", met.groupBy("key").agg(F.min("digest").alias("leader")))
     led = (
-        met.select("key", "digest")
+        met.select("key", "digest", "n")
         .join(if_small(scratch, "leaders", leaders), "key")
         .filter("leader <> digest")
-        .groupBy("digest", "leader")
+        .groupBy("digest", "leader", "n")
         .count()
+        .filter(F.col("count") * 4 >= F.col("n") - F.ceil(F.col("n") * F.lit(percent) / F.lit(100)) + 1)
     )
     best = led.groupBy("digest").agg(F.min(F.struct(-F.col("count"), "leader"))["leader"].alias("pivot"))
     current = scratch.write("pivots_0", best)
@@ -442,7 +444,7 @@ def set_links(documents: DataFrame, k: int, percent: int, scratch: Scratch, bloc
     repeated = scratch.write("repeated", postings.groupBy("key").count().filter("count > 1").select("key"))
     met = scratch.write("met", postings.join(if_small(scratch, "repeated", repeated), "key", "left_semi"))
     scratch.drop("agreeing", "prefixes", "repeated")
-    pivots = scratch.write("pivots", pivots_of(met, scratch))
+    pivots = scratch.write("pivots", pivots_of(met, scratch, percent))
     pairs = scratch.write("pairs", pairs_across(met, pivots, scratch, percent))
     scratch.drop("met", "lists", "mixed")
 

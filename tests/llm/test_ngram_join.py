@@ -84,7 +84,7 @@ def test_empty_table(spark):
 def test_pairs_with_different_pivots_are_kept(spark, rows, monkeypatch):
     """With every set its own pivot, all links come from pairs."""
     monkeypatch.setattr(
-        ngram_join, "pivots_of", lambda met, scratch: met.select("digest").distinct().selectExpr("digest", "digest pivot")
+        ngram_join, "pivots_of", lambda met, scratch, percent: met.select("digest").distinct().selectExpr("digest", "digest pivot")
     )
     assert found(ngram_join.near_duplicates(documents(spark, rows))) == brute(rows)
 
