@@ -23,9 +23,9 @@ from pyspark.sql import types as T
 
 from sparkmine.llm import texts
 
-RUN_WORDS = 6_000_000  # words of texts held at once, as numbers
-RUN_BYTES = 6 << 20  # bytes of distinct words merged at once
-GATHERED = 400_000  # tokens decoded at once
+RUN_WORDS = 2_000_000  # words of texts held at once, as numbers
+RUN_BYTES = 2 << 20  # bytes of distinct words merged at once
+GATHERED = 200_000  # tokens decoded at once
 
 
 # Kinds of characters, and the endings split off after an apostrophe.
@@ -130,7 +130,8 @@ def split(texts_said: list[str], kinds: np.ndarray) -> tuple[list[bytes], np.nda
 class Vocabulary:
     """The ranks of a tokenizer file (base64 token and rank per line) and the tables made of them."""
 
-    def __init__(self, file: bytes):
+    def __init__(self, file: bytes, merges: bool = True):
+        """``merges`` is whether to make the table of pairs, which only encoding needs."""
         tokens = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file.splitlines())}
         self.ranks = tokens
         size = max(tokens.values()) + 1
@@ -143,7 +144,7 @@ class Vocabulary:
         self.bytes = np.frombuffer(b"".join(by_rank), np.uint8)
         self.single = np.array([tokens[bytes([i])] for i in range(256)], np.int32)
         pairs = {}
-        for token, rank in tokens.items():
+        for token, rank in tokens.items() if merges else ():
             for i in range(1, len(token)):
                 a, b = tokens.get(token[:i]), tokens.get(token[i:])
                 if a is not None and b is not None:
@@ -261,17 +262,17 @@ class Vocabulary:
 class Shared:
     """A vocabulary that each worker builds once from the broadcast file."""
 
-    def __init__(self, file: bytes):
-        self.file = file
+    def __init__(self, file: bytes, merges: bool = True):
+        self.file, self.merges = file, merges
         self.made: Vocabulary | None = None
 
     def get(self) -> Vocabulary:
         if self.made is None:
-            self.made = Vocabulary(self.file)
+            self.made = Vocabulary(self.file, self.merges)
         return self.made
 
     def __getstate__(self) -> dict:
-        return {"file": self.file, "made": None}
+        return {"file": self.file, "merges": self.merges, "made": None}
 
 
 def gather(flat: np.ndarray, offsets: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -334,7 +335,7 @@ def encode(documents: DataFrame, ranks_file: str, name: str = "token_ids") -> Da
 
 def digests(encoded: DataFrame, ranks_file: str, name: str = "token_ids") -> DataFrame:
     """Replace ``name`` by n_tokens, ids_sha256 and decoded_sha256; the bytes are decoded from the ids."""
-    shared = encoded.sparkSession.sparkContext.broadcast(Shared(Path(ranks_file).read_bytes()))
+    shared = encoded.sparkSession.sparkContext.broadcast(Shared(Path(ranks_file).read_bytes(), merges=False))
     added = ["n_tokens", "ids_sha256", "decoded_sha256"]
     kept = [c for c in encoded.columns if c not in (name, *added)]
 
