@@ -234,9 +234,9 @@ def if_small(scratch: Scratch, name: str, table: DataFrame) -> DataFrame:
 def pivots_of(met: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """``digest, pivot`` for each set in ``met(key, digest, ...)``: the set that leads most of its lists.
 
-    Leaders are the least of their lists, so pointers go down; following them twice gathers what lies around
-    one set at one pivot. A set that shares less than a quarter of its prefix with its leader has met it by chance
-    and stays its own pivot. Any choice gives the right links.
+    Leaders are the least of their lists, so pointers go down; they are doubled until none moves, so every pivot
+    is its own pivot and among the sets that are compared through it. A set that shares less than a quarter of its
+    prefix with its leader has met it by chance and stays its own pivot. Any choice like that gives the right links.
     """
     leaders = scratch.write("leaders", met.groupBy("key").agg(F.min("digest").alias("leader")))
     led = (
@@ -250,11 +250,16 @@ def pivots_of(met: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     best = led.groupBy("digest").agg(F.min(F.struct(-F.col("count"), "leader"))["leader"].alias("pivot"))
     current = scratch.write("pivots_0", best)
     scratch.drop("leaders")
-    for step in (1, 2):
+    step, moved = 0, True
+    while moved:
+        step += 1
         ahead = current.select(F.col("digest").alias("pivot"), F.col("pivot").alias("next"))
-        jumped = current.join(ahead, "pivot", "left").select("digest", F.coalesce("next", "pivot").alias("pivot"))
+        jumped = current.join(ahead, "pivot", "left")
+        jumped = jumped.select("digest", F.coalesce("next", "pivot").alias("pivot"), F.isnotnull("next").alias("moved"))
         current = scratch.write(f"pivots_{step}", jumped)
         scratch.drop(f"pivots_{step - 1}")
+        moved = not current.filter("moved").isEmpty()
+        current = current.drop("moved")
     every = met.select("digest").distinct().join(current, "digest", "left")
     return every.select("digest", F.coalesce("pivot", "digest").alias("pivot"))
 
@@ -307,7 +312,7 @@ def differences(sets: DataFrame) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["digest", "pivot", "n", "copies", "pivot_n", "lacking", "changed"]
         kinds = [pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
-        base = np.empty(0, np.int64)
+        base, held = np.empty(0, np.int64), None
         for batch in batches:
             ends = np.concatenate([[0], np.cumsum(batch.column("keys").value_lengths().to_numpy())])
             flat = batch.column("keys").flatten().to_numpy()
@@ -316,8 +321,10 @@ def differences(sets: DataFrame) -> DataFrame:
             for i, (lead, digest, pivot, n, copies) in enumerate(columns):
                 keys = flat[ends[i] : ends[i + 1]]
                 if lead == 0:
-                    base = keys
+                    base, held = keys, pivot
                     continue
+                if pivot != held:
+                    raise ValueError("a pivot is not among its own sets")
                 gone = np.setdiff1d(base, keys, assume_unique=True)
                 come = np.setdiff1d(keys, base, assume_unique=True)
                 row = [digest, pivot, n, copies, len(base), len(gone), np.concatenate([gone, come])]

@@ -4,9 +4,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from sparkmine.llm import ngram_join
+from sparkmine.llm import ngram_join, texts
 from sparkmine.llm.components import components
 from sparkmine.llm.tables import Scratch
 from tests.llm.frames import ODD_TEXTS, changed, documents, sentence
@@ -77,6 +78,50 @@ def test_one_large_group_of_near_copies(spark):
     assert found(ngram_join.near_duplicates(documents(spark, rows), block=20)) == brute(rows)
 
 
+def digest(text):
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([text])})
+    [(_, sets)] = ngram_join._shingles(batch, 3, texts.byte_weights(texts.SPACES))
+    return ngram_join.set_digest(sets[0])
+
+
+def led_chain(depth, last):
+    """Texts of which each is led by the one before, ``depth`` deep, and ``last`` that are led by the deepest."""
+
+    def until(fits, name, count):
+        """Words of which ``fits`` is true."""
+        tries = (" ".join(f"{name}x{t}y{i}" for i in range(count)) for t in range(10_000))
+        return next(words for words in tries if fits(words))
+
+    start = " ".join(f"c{i}" for i in range(412))
+    own, out = " ".join(f"r{i}" for i in range(20)), []
+    for i in range(depth):
+        begun = f"{start} {own} "
+        own = until(lambda w, b=begun, i=i: digest(b + w)[0] // 16 == i, f"r{i}", 20)
+        out.append(begun + own)
+    begun = f"{start} {own} "
+    return out + [begun + until(lambda w: digest(begun + w)[0] // 16 > depth, f"s{j}", 6) for j in range(last)]
+
+
+@pytest.mark.parametrize("depth", [5, 12])
+def test_sets_far_from_the_least_of_their_chain(spark, depth, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SALT", 2)
+    rows = list(enumerate(led_chain(depth, 14)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # salts stay in tasks of their own
+    try:
+        got = found(ngram_join.near_duplicates(documents(spark, rows), block=2))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == brute(rows)
+
+
+def test_every_pivot_is_its_own_pivot(spark):
+    names = [bytes([i]) for i in range(20)]
+    lists = [(k, names[i], 40) for k, i in [(10 * i + j, i + s) for i in range(19) for j in range(2) for s in (0, 1)]]
+    met = spark.createDataFrame(lists, "key long, digest binary, n int")
+    got = {bytes(r.digest): bytes(r.pivot) for r in ngram_join.pivots_of(met, Scratch(spark), 90).collect()}
+    assert got == dict.fromkeys(names, names[0])
+
+
 def test_empty_table(spark):
     assert found(ngram_join.near_duplicates(documents(spark, []))) == []
 
