@@ -1,7 +1,7 @@
 """From raw documents to tokens: five stages, each on all that its predecessor kept.
 
-Every stage but the last returns the columns of its input. Stages judge rows by id and, for rows without
-an id, by their text.
+Every stage but the last returns the columns of its input. Stages judge rows by id and text, so rows that share
+an id are rows of their own unless their texts are equal, too.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sparkmine.llm import bpe, decontaminate, ngram_join, quality, toxicity
 from sparkmine.llm.tables import Scratch
 
-ROW = "row_id_"  # of the stages that judge rows elsewhere than in place
+ROW = "row_key_"  # of the stages that judge rows elsewhere than in place
 
 
 def labels_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,17 @@ def row_id() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), -F.abs(F.xxhash64("text") % (1 << 62)) - 2)
 
 
+def row_key() -> Column:
+    """Binary, equal for rows of equal id and text: :func:`row_id` so that it sorts as a number, and a digest of the text."""
+    number = F.lpad(F.hex(row_id().bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    return F.unhex(F.concat(number, F.coalesce(F.md5("text"), F.lit("0" * 32))))
+
+
+def has_words() -> Column:
+    """Whether the text has a character that does not separate words for operator 1."""
+    return F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that operator 8 does not predict to be toxic."""
     machine = toxicity.train(docs, labels_of(spark, sf_dir))
@@ -45,22 +56,26 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row, that of the least id, of each group that operator 1 finds; rows without words stay."""
+    """One row, that of the least id, of each group that operator 1 finds; all rows without words stay.
+
+    Of rows with the least id, that with the least digest of the text stays.
+    """
     scratch = Scratch(spark)
-    found = ngram_join.near_duplicates(docs.select(row_id().alias("doc_id"), "text"))
+    worded = docs.filter(has_words()).withColumn(ROW, row_key())
+    found = ngram_join.near_duplicates(worded.select(F.col(ROW).alias("doc_id"), "text"))
     first = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(ROW)).distinct()
     first = scratch.write("first", first)
-    kept = docs.withColumn(ROW, row_id()).join(first, ROW, "left_semi")
-    return kept.dropDuplicates([ROW, "text"]).select(*docs.columns)
+    kept = worded.join(first, ROW, "left_semi").dropDuplicates([ROW])
+    return kept.select(*docs.columns).unionByName(docs.filter(~has_words()))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that operator 2 does not call contaminated."""
     scratch = Scratch(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.contamination(docs.select(row_id().alias("doc_id"), "text"), benchmark)
+    found = decontaminate.contamination(docs.select(row_key().alias("doc_id"), "text"), benchmark)
     bad = scratch.write("bad", found.filter("contaminated").select(F.col("doc_id").alias(ROW)).distinct())
-    return docs.withColumn(ROW, row_id()).join(bad, ROW, "left_anti").select(*docs.columns)
+    return docs.withColumn(ROW, row_key()).join(bad, ROW, "left_anti").select(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -109,11 +109,13 @@ def sketches(documents: DataFrame, k: int, percent: int) -> DataFrame:
     """``doc_id, n_shingles, digest, mark, blocks`` per row; and ``chunk, counts`` rows, parts of a table of counts.
 
     ``blocks`` names the blocks of a set that may be linked to an unequal one, once per set and task; ``mark`` is
-    the beginning of the digest as a number.
+    the beginning of the digest as a number. ``doc_id`` is a number, or binary if it is so in ``documents``.
     """
+    binary = documents.schema["doc_id"].dataType.typeName() == "binary"
     weights = texts.byte_weights(texts.SPACES)
     names = ["doc_id", "n_shingles", "digest", "mark", "blocks", "chunk", "counts"]
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary()]
+    kinds[0] = pa.binary() if binary else kinds[0]
     least = least_size(percent)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,8 +146,9 @@ def sketches(documents: DataFrame, k: int, percent: int) -> DataFrame:
             columns = [*(pa.nulls(CHUNKS, t) for t in kinds[:5]), pa.array(range(CHUNKS), pa.int32()), pa.array(parts)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = "doc_id long, n_shingles long, digest binary, mark long, blocks array<long>, chunk int, counts binary"
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sketch, schema)
+    kind = "binary" if binary else "long"
+    schema = f"doc_id {kind}, n_shingles long, digest binary, mark long, blocks array<long>, chunk int, counts binary"
+    return documents.select(F.col("doc_id").cast(kind).alias("doc_id"), "text").mapInArrow(sketch, schema)
 
 
 def bucket_ranks(sketched: DataFrame) -> np.ndarray:
@@ -493,7 +496,8 @@ def near_duplicates(documents: DataFrame, k: int = WORDS, percent: int = PERCENT
     ``component_id`` is the least doc_id reachable by links, ``n_links`` the number of linked rows. A text of
     fewer than k words has one shingle, its whole sequence. Null and empty texts have none, are linked with
     nothing and are their own component. Repeated rows are documents of their own that are linked with each other.
-    A null doc_id is never a component's name unless no member has another. Other columns are ignored.
+    A null doc_id is never a component's name unless no member has another. Ids are numbers, or binary keys that
+    sort byte by byte. Other columns are ignored.
     """
     scratch = Scratch(documents.sparkSession)
     rows, classes, links = set_links(documents, k, percent, scratch, block)

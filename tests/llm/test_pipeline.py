@@ -80,3 +80,24 @@ def test_stages_on_odd_rows(spark, sf_dir, stage):
         assert kept.count((50, "twice")) == 1 and (None, "a text without an id") in kept and (1, "") in kept
     empty = stage[1](spark, documents(spark, []), sf_dir)
     assert empty.columns == docs.columns and empty.collect() == []
+
+
+def test_rows_that_share_an_id_are_judged_one_by_one(spark, sf_dir):
+    stages = dict(corpus_pipeline.STAGES)
+    first, second = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(5, first), (5, second), (3, second), (7, first + " tail"), (8, second + " end"), (8, second + " tail")]
+    wordless = [(None, None), (None, None), (None, ""), (9, " "), (9, " "), (9, None)]
+    docs = documents(spark, rows + wordless)
+    kept = [(r.doc_id, r.text) for r in stages["ngram_jaccard_join"](spark, docs, sf_dir).collect()]
+    assert sorted(kept, key=str) == sorted([(5, first), (3, second), *wordless], key=str)
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").selectExpr("max_by(text, length(text))").first()[0]
+    docs = documents(spark, [(5, item), (5, first), (None, None)])
+    kept = [(r.doc_id, r.text) for r in stages["benchmark_decontamination"](spark, docs, sf_dir).collect()]
+    assert sorted(kept, key=str) == sorted([(5, first), (None, None)], key=str)
+
+
+def test_near_copies_under_one_id_leave_one_row(spark, sf_dir):
+    text = " ".join(f"a{i}" for i in range(60))
+    docs = documents(spark, [(4, text), (4, text + " tail"), (-2, "alone here"), (None, "also alone")])
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).collect()]
+    assert len(kept) == 3 and {i for i, _ in kept} == {4, -2, None}
