@@ -21,7 +21,8 @@ def training_rows(
 
     Of more labelled ids, those with the least hash are taken, so the sample does not depend on order or
     partitions. An id that is labelled twice counts as 1 if any of its labels is 1; null ids and labels are
-    left out. The ids are at most ``bound`` rows, which the join broadcasts.
+    left out. The ids are at most ``bound`` rows, which the join broadcasts. Of several rows of one id, that of the
+    least text digest is taken.
     """
     chosen = (
         labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
@@ -31,7 +32,8 @@ def training_rows(
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(bound)
     )
-    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min_by("text", F.md5("text")).alias("text")).select("doc_id", "text", "label")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

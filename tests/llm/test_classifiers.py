@@ -139,3 +139,12 @@ def test_rules_as_columns(spark):
     got = quality.with_statistics(documents(spark, rows)).select("doc_id", ensemble.column().alias("p")).collect()
     assert [r.p for r in sorted(got)] == pytest.approx((1 / (1 + np.exp(-z))).tolist())
     assert (np.round(1 / (1 + np.exp(-z))) == y).all()
+
+
+def test_sample_has_one_row_per_id(spark):
+    frame = documents(spark, [(i, f"text {j}") for i in range(40) for j in range(5)] + [(0, None)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    first = labelled.training_rows(frame, labels, "toxic", 3, 1, 20)
+    again = labelled.training_rows(frame.repartition(7), labels, "toxic", 3, 1, 20)
+    rows = sorted(map(tuple, first.collect()))
+    assert len(rows) == len({r[0] for r in rows}) == 20 and rows == sorted(map(tuple, again.collect()))
