@@ -58,11 +58,13 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, that of the least id, of each group that operator 1 finds; all rows without words stay.
 
-    Of rows with the least id, that with the least digest of the text stays.
+    The law is operator 1's: sets of 3 words, 90 percent. Of rows with the least id, that with the least digest of the
+    text stays.
     """
     scratch = Scratch(spark)
     worded = docs.filter(has_words()).withColumn(ROW, row_key())
-    found = ngram_join.near_duplicates(worded.select(F.col(ROW).alias("doc_id"), "text"))
+    keyed = worded.select(F.col(ROW).alias("doc_id"), "text")
+    found = ngram_join.near_duplicates(keyed, k=ngram_join.WORDS, percent=ngram_join.PERCENT)
     first = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(ROW)).distinct()
     first = scratch.write("first", first)
     kept = worded.join(first, ROW, "left_semi").dropDuplicates([ROW])
