@@ -120,10 +120,50 @@ SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, co
 FROM p LEFT JOIN best USING (page_id)
 """
 
+OP11 = f"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({lowered("text")}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+), said AS MATERIALIZED (
+  SELECT r, lang, source, term, count(*) AS n FROM (SELECT r, lang, source, unnest(w) AS term FROM d) GROUP BY ALL
+), kept AS MATERIALIZED (
+  SELECT lang, term, sum(n) AS n FROM said GROUP BY lang, term HAVING count(*) >= 3
+), langs AS MATERIALIZED (
+  SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang
+), counts AS MATERIALIZED (
+  SELECT s.lang, source, term, sum(s.n) AS n FROM said s JOIN kept k USING (lang, term) GROUP BY ALL
+), groups AS MATERIALIZED (
+  SELECT lang, source, coalesce(sum(n), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN counts USING (lang, source) GROUP BY lang, source
+), p AS MATERIALIZED (
+  SELECT g.lang, source, term, coalesce(c.n, 0) AS n,
+    CAST(1 + (1000000000 * (coalesce(c.n, 0) + 1)::HUGEINT) // (g.total + l.v) AS HUGEINT) AS p,
+    CAST(1 + (1000000000 * (k.n + 1)::HUGEINT) // (l.total + l.v) AS HUGEINT) AS q
+  FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(f, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS f
+    FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+  ) m ON m.lang = a.lang AND m.source = a.source AND m.item = b.source
+), rows AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+    CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM rows
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
 ORACLE = {
     "op1_ngram_jaccard_join": OP1,
     "op2_benchmark_decontamination": OP2,
     "op4_exact_top_k": OP4,
     "op5_chat_formatting": OP5,
     "op7_url_rules": OP7,
+    "op11_source_divergence": OP11,
 }

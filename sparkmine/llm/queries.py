@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmine.llm import bpe, chat, decontaminate, ngram_join, quality, sharding, token_count, topk, toxicity, url_filter
+from sparkmine.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    divergence,
+    ngram_join,
+    quality,
+    sharding,
+    token_count,
+    topk,
+    toxicity,
+    url_filter,
+)
 
 # The rules of op 7.
 URL_RULES = (
@@ -85,6 +97,11 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 11: how each source differs from its language and from the language's other sources."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op2_benchmark_decontamination": benchmark_decontamination,
@@ -96,4 +113,5 @@ QUERIES = {
     "op8_toxicity": toxicity_scores,
     "op9_token_counts": token_counts,
     "op10_quality": quality_scores,
+    "op11_source_divergence": source_divergence,
 }
