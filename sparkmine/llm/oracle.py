@@ -159,6 +159,93 @@ WITH d AS MATERIALIZED (
 SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
 """
 
+CRC = """list_reduce(list_prepend(4294967295, list_transform(range(1, octet_length(encode(key)) + 1),
+    lambda i: ('0x' || substr(hex(encode(key)), 2 * i - 1, 2))::BIGINT)),
+    lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8))"""
+BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def edited(state: str, cost: str, letter: str, line: str = "") -> str:
+    """A state after one more edit, which adds ``line`` to the result unless it is empty."""
+    lines = f"list_append({state}.t, {line})" if line else f"{state}.t"
+    key = f"printf('%08d', CAST({state}.k[1:8] AS INTEGER) + {cost}) || {state}.k[9:] || '{letter}'"
+    return f"CASE WHEN {state} IS NOT NULL THEN {{'k': {key}, 't': {lines}}} END"
+
+
+def cheapest(*states: str) -> str:
+    return f"list_sort(list_filter([{', '.join(states)}], lambda x: x IS NOT NULL))[1]"
+
+
+def inserted(rows: str) -> str:
+    """States c0 to c3 after any inserts, of s0 to s3; the further columns of ``rows`` stay."""
+    user = [edited(f"s{i}", "3", "I", "'user:'") for i in (0, 1, 3)]
+    return f"""(SELECT *, {cheapest("s3", edited("c2", "3", "I", "'assistant:'"))} AS c3 FROM
+      (SELECT *, s0 AS c0, s1 AS c1, {cheapest("s2", *user)} AS c2 FROM {rows}))"""
+
+
+def taken(role: str, initial: str, states: list[int]) -> list[str]:
+    """Keeping a row of this initial, and giving it ``role``, from any of ``states``."""
+    line, extra = "r.role || ':' || r.text", "CASE WHEN r.fault = 3 THEN 3 ELSE 0 END"
+    keep = [f"CASE WHEN r.ok AND r.initial = '{initial}' THEN {edited(f'c{i}', extra, 'K', line)} END" for i in states]
+    line = f"'{role}:' || r.text"
+    return keep + [f"CASE WHEN r.ok THEN {edited(f'c{i}', f'3 + {extra}', 'R', line)} END" for i in states if role]
+
+
+OP12 = f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce([i, 1, 2, 3, 4, 5, 6, 7, 8],
+    lambda c, s: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS tab
+  FROM range(256) AS r(i)
+), tagged AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+  FROM conversations
+), kinds AS (
+  SELECT conv_id, turn, role, text, xor({CRC}, 4294967295) % 20 AS kind FROM tagged, crc_table
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN kind = 0 THEN [] WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM kinds
+), placed AS (
+  SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, role, md5(length(role) || ':' || role || text), copy) AS i
+  FROM damaged
+), rows AS MATERIALIZED (
+  SELECT *, substr(role, 1, 1) AS initial, fault NOT IN (1, 2) AS ok FROM (
+    SELECT *, CASE WHEN rtrim(text, {BLANKS}) = '' THEN 1
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+      WHEN right(rtrim(text, {BLANKS}), 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault
+    FROM placed)
+), counts AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) AS n,
+    count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated
+  FROM rows GROUP BY conv_id
+), breaks AS (
+  SELECT conv_id, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT conv_id, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM rows) GROUP BY conv_id
+), walk AS (
+  SELECT conv_id, 0::BIGINT AS i, {{'k': '00000000', 't': CAST([] AS VARCHAR[])}} AS s0,
+    CAST(NULL AS STRUCT(k VARCHAR, t VARCHAR[])) AS s1, CAST(NULL AS STRUCT(k VARCHAR, t VARCHAR[])) AS s2,
+    CAST(NULL AS STRUCT(k VARCHAR, t VARCHAR[])) AS s3
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT w.conv_id, r.i, {edited("c0", "4", "D")},
+    {cheapest(edited("c1", "4", "D"), *taken("", "s", [0]))},
+    {cheapest(edited("c2", "4", "D"), *taken("user", "u", [0, 1, 3]))},
+    {cheapest(edited("c3", "4", "D"), *taken("assistant", "a", [2]))}
+  FROM {inserted("walk")} w JOIN rows r ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = w.i + 1
+), ended AS (
+  SELECT conv_id, {cheapest("c0", "c3")} AS best
+  FROM {inserted("(SELECT * FROM walk QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1)")}
+)
+SELECT CAST(e.conv_id AS BIGINT) AS conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(best.k[1:8] AS BIGINT) AS cost, best.k[9:] AS audit, sha256(array_to_string(best.t, chr(10))) AS repaired_sha256
+FROM ended e LEFT JOIN counts c ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN breaks b ON e.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
+
 ORACLE = {
     "op1_ngram_jaccard_join": OP1,
     "op2_benchmark_decontamination": OP2,
@@ -166,4 +253,5 @@ ORACLE = {
     "op5_chat_formatting": OP5,
     "op7_url_rules": OP7,
     "op11_source_divergence": OP11,
+    "op12_conversation_repair": OP12,
 }

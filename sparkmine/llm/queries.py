@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sparkmine.llm import (
     bpe,
     chat,
+    conversation_repair,
     decontaminate,
     divergence,
     ngram_join,
@@ -102,6 +103,12 @@ def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 12: faults of each damaged conversation, its cheapest repair and a digest of the result."""
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.digests(conversation_repair.repair(rows))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op2_benchmark_decontamination": benchmark_decontamination,
@@ -114,4 +121,5 @@ QUERIES = {
     "op9_token_counts": token_counts,
     "op10_quality": quality_scores,
     "op11_source_divergence": source_divergence,
+    "op12_conversation_repair": repaired_conversations,
 }
