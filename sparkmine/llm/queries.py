@@ -16,10 +16,12 @@ from sparkmine.llm import (
     quality,
     sharding,
     token_count,
+    token_files,
     topk,
     toxicity,
     url_filter,
 )
+from sparkmine.llm.tables import Scratch
 
 # The rules of op 7.
 URL_RULES = (
@@ -109,6 +111,13 @@ def repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.digests(conversation_repair.repair(rows))
 
 
+def binary_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 13: where the ids of each document lie in the written files, and a check sum of those read back."""
+    path = Scratch(spark).path("token_files")
+    token_files.write_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
+    return token_files.digests(spark, path)
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op2_benchmark_decontamination": benchmark_decontamination,
@@ -122,4 +131,5 @@ QUERIES = {
     "op10_quality": quality_scores,
     "op11_source_divergence": source_divergence,
     "op12_conversation_repair": repaired_conversations,
+    "op13_binary_token_ids": binary_token_ids,
 }

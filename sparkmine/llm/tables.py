@@ -34,10 +34,14 @@ class Scratch:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
         return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def path(self, name: str) -> str:
+        """Where a table, or files of another kind, may be written."""
+        self.live[name] = f"{self.base}/{name}"
+        return self.live[name]
+
     def write(self, name: str, df: DataFrame) -> DataFrame:
         """Write ``df`` and read it back: lineage cut, true sizes, survives lost executors."""
-        self.live[name] = f"{self.base}/{name}"
-        df.write.mode("overwrite").parquet(self.live[name])
+        df.write.mode("overwrite").parquet(self.path(name))
         return self.read(name, df.schema)
 
     def read(self, name: str, schema) -> DataFrame:
