@@ -13,11 +13,12 @@ import base64
 import functools
 import hashlib
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -26,6 +27,7 @@ from sparkmine.llm import texts
 RUN_WORDS = 2_000_000  # words of texts held at once, as numbers
 RUN_BYTES = 2 << 20  # bytes of distinct words merged at once
 GATHERED = 200_000  # tokens decoded at once
+DIGESTS = {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}
 
 
 # Kinds of characters, and the endings split off after an apostrophe.
@@ -127,30 +129,47 @@ def split(texts_said: list[str], kinds: np.ndarray) -> tuple[list[bytes], np.nda
     return [raw[a:b].tobytes() for a, b in zip(at[first], ends[first], strict=True)], number, bounds
 
 
+def vocabulary_parts(file: bytes, merges: bool = True) -> tuple:
+    """What a :class:`Vocabulary` is made of, as bytes and arrays, from a tokenizer file (base64 token and rank per line).
+
+    ``merges`` is whether to make the table of pairs, which only encoding needs.
+    """
+    tokens = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file.splitlines())}
+    size = max(tokens.values()) + 1
+    by_rank = [b""] * size
+    for token, rank in tokens.items():
+        by_rank[rank] = token
+    pairs = {}
+    for token, rank in tokens.items() if merges else ():
+        for i in range(1, len(token)):
+            a, b = tokens.get(token[:i]), tokens.get(token[i:])
+            if a is not None and b is not None:
+                pairs[a * size + b] = rank
+    keys = sorted(pairs)
+    lengths = np.array([len(t) for t in by_rank], np.int64)
+    return b"".join(by_rank), lengths, np.array(keys, np.int64), np.array([pairs[k] for k in keys], np.int32)
+
+
 class Vocabulary:
-    """The ranks of a tokenizer file (base64 token and rank per line) and the tables made of them."""
-
-    def __init__(self, file: bytes, merges: bool = True):
-        """``merges`` is whether to make the table of pairs, which only encoding needs."""
-        tokens = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file.splitlines())}
-        self.ranks = tokens
-        size = max(tokens.values()) + 1
-        self.size = size
-        by_rank = [b""] * size
-        for token, rank in tokens.items():
-            by_rank[rank] = token
-        self.lengths = np.array([len(t) for t in by_rank], np.int64)
-        self.begins = np.cumsum(self.lengths) - self.lengths
-        self.bytes = np.frombuffer(b"".join(by_rank), np.uint8)
-        self.single = np.array([tokens[bytes([i])] for i in range(256)], np.int32)
-        pairs = {}
-        for token, rank in tokens.items() if merges else ():
-            for i in range(1, len(token)):
-                a, b = tokens.get(token[:i]), tokens.get(token[i:])
-                if a is not None and b is not None:
-                    pairs[a * size + b] = rank
-        self.pair_keys = np.array(sorted(pairs), np.int64)
-        self.pair_ranks = np.array([pairs[k] for k in sorted(pairs)], np.int32)
+    """The tokens by rank, and the rank that each pair of tokens merges to."""
+
+    def __init__(self, joined: bytes, lengths: np.ndarray, pair_keys: np.ndarray, pair_ranks: np.ndarray):
+        self.lengths, self.pair_keys, self.pair_ranks = lengths, pair_keys, pair_ranks
+        self.size = len(lengths)
+        self.begins = np.cumsum(lengths) - lengths
+        self.bytes = np.frombuffer(joined, np.uint8)
+        alone = np.flatnonzero(lengths == 1)
+        self.single = np.zeros(256, np.int32)
+        self.single[self.bytes[self.begins[alone]]] = alone
+
+    @classmethod
+    def of(cls, file: bytes, merges: bool = True) -> Vocabulary:
+        return cls(*vocabulary_parts(file, merges))
+
+    @functools.cached_property
+    def ranks(self) -> dict[bytes, int]:
+        joined, ends = self.bytes.tobytes(), self.begins + self.lengths
+        return {joined[a:b]: r for r, (a, b) in enumerate(zip(self.begins.tolist(), ends.tolist(), strict=True)) if b > a}
 
     def pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of the token that each pair makes, -1 if none; a token of -1 makes none."""
@@ -259,22 +278,6 @@ class Vocabulary:
         return self.bytes[at], ends
 
 
-class Shared:
-    """A vocabulary that each worker builds once from the broadcast file."""
-
-    def __init__(self, file: bytes, merges: bool = True):
-        self.file, self.merges = file, merges
-        self.made: Vocabulary | None = None
-
-    def get(self) -> Vocabulary:
-        if self.made is None:
-            self.made = Vocabulary(self.file, self.merges)
-        return self.made
-
-    def __getstate__(self) -> dict:
-        return {"file": self.file, "merges": self.merges, "made": None}
-
-
 def gather(flat: np.ndarray, offsets: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The runs ``which`` of ``flat`` one after another, and the offsets of each."""
     sizes = np.diff(offsets)[which]
@@ -282,20 +285,14 @@ def gather(flat: np.ndarray, offsets: np.ndarray, which: np.ndarray) -> tuple[np
     return flat[np.repeat(offsets[which] - ends[:-1], sizes) + np.arange(ends[-1])], ends
 
 
-def encode(documents: DataFrame, ranks_file: str, name: str = "token_ids") -> DataFrame:
-    """Add the token ids of ``text`` as ``name`` (array<int>), replacing such a column, and drop ``text``.
-
-    Each word of the byte-level pattern is encoded on its own and special tokens are ordinary text. A null
-    text has no tokens, like an empty one; bytes that are not UTF-8 count as U+FFFD. Rows are kept as they
-    are, repeated ones too. ``ranks_file`` is read on the driver.
-    """
-    context = documents.sparkSession.sparkContext
-    shared = context.broadcast(Shared(Path(ranks_file).read_bytes()))
+def encoder(context: SparkContext, ranks_file: str, kept: list[str], name: str) -> Callable:
+    """From batches of ``kept`` and text to batches of ``kept`` and token ids, in each task."""
+    # Broadcasts hold plain values: a class would be looked up in its module, which executors need not have.
+    shared = context.broadcast(vocabulary_parts(Path(ranks_file).read_bytes()))
     kinds_of = context.broadcast(character_kinds())
-    kept = [c for c in documents.columns if c not in (name, "text")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.value.get()
+        vocabulary = Vocabulary(*shared.value)
         kinds = np.frombuffer(kinds_of.value, np.uint8)
         numbers: dict[bytes, int] = {}
         held: list[tuple[list[pa.Array], np.ndarray, np.ndarray]] = []
@@ -328,19 +325,15 @@ def encode(documents: DataFrame, ranks_file: str, name: str = "token_ids") -> Da
         if held:
             yield from flush()
 
-    added = T.StructField(name, T.ArrayType(T.IntegerType(), False))
-    schema = T.StructType([*(documents.schema[c] for c in kept), added])
-    return documents.select(*kept, "text").mapInArrow(run, schema)
+    return run
 
 
-def digests(encoded: DataFrame, ranks_file: str, name: str = "token_ids") -> DataFrame:
-    """Replace ``name`` by n_tokens, ids_sha256 and decoded_sha256; the bytes are decoded from the ids."""
-    shared = encoded.sparkSession.sparkContext.broadcast(Shared(Path(ranks_file).read_bytes(), merges=False))
-    added = ["n_tokens", "ids_sha256", "decoded_sha256"]
-    kept = [c for c in encoded.columns if c not in (name, *added)]
+def decoder(context: SparkContext, ranks_file: str, kept: list[str], name: str) -> Callable:
+    """From batches of ``kept`` and token ids to batches of ``kept`` and ``DIGESTS``, in each task."""
+    shared = context.broadcast(vocabulary_parts(Path(ranks_file).read_bytes(), merges=False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.value.get()
+        vocabulary = Vocabulary(*shared.value)
         for batch in batches:
             lists = batch.column(name)
             counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -354,9 +347,39 @@ def digests(encoded: DataFrame, ranks_file: str, name: str = "token_ids") -> Dat
                     state.update(vocabulary.decode(ids[i : min(i + GATHERED, b)])[0].tobytes())
                 decoded.append(state.hexdigest())
             columns = [*(batch.column(c) for c in kept), pa.array(counts), pa.array(coded), pa.array(decoded)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, *added])
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, *DIGESTS])
 
-    kinds = [T.LongType(), T.StringType(), T.StringType()]
-    fields = [T.StructField(a, k) for a, k in zip(added, kinds, strict=True)]
-    schema = T.StructType([*(encoded.schema[c] for c in kept), *fields])
-    return encoded.select(*kept, name).mapInArrow(run, schema)
+    return run
+
+
+def encode(documents: DataFrame, ranks_file: str, name: str = "token_ids") -> DataFrame:
+    """Add the token ids of ``text`` as ``name`` (array<int>), replacing such a column, and drop ``text``.
+
+    Each word of the byte-level pattern is encoded on its own and special tokens are ordinary text. A null
+    text has no tokens, like an empty one; bytes that are not UTF-8 count as U+FFFD. Rows are kept as they
+    are, repeated ones too. ``ranks_file`` is read on the driver.
+    """
+    kept = [c for c in documents.columns if c not in (name, "text")]
+    run = encoder(documents.sparkSession.sparkContext, ranks_file, kept, name)
+    added = T.StructField(name, T.ArrayType(T.IntegerType(), False))
+    schema = T.StructType([*(documents.schema[c] for c in kept), added])
+    return documents.select(*kept, "text").mapInArrow(run, schema)
+
+
+def _digested(frame: DataFrame, kept: list[str]) -> T.StructType:
+    return T.StructType([*(frame.schema[c] for c in kept), *(T.StructField(a, k) for a, k in DIGESTS.items())])
+
+
+def digests(encoded: DataFrame, ranks_file: str, name: str = "token_ids") -> DataFrame:
+    """Replace ``name`` by n_tokens, ids_sha256 and decoded_sha256; the bytes are decoded from the ids."""
+    kept = [c for c in encoded.columns if c not in (name, *DIGESTS)]
+    run = decoder(encoded.sparkSession.sparkContext, ranks_file, kept, name)
+    return encoded.select(*kept, name).mapInArrow(run, _digested(encoded, kept))
+
+
+def encoded_digests(documents: DataFrame, ranks_file: str, name: str = "token_ids") -> DataFrame:
+    """:func:`digests` of :func:`encode` in one pass, by which ids stay in the task."""
+    kept = [c for c in documents.columns if c not in (name, "text", *DIGESTS)]
+    context = documents.sparkSession.sparkContext
+    code, check = (make(context, ranks_file, kept, name) for make in (encoder, decoder))
+    return documents.select(*kept, "text").mapInArrow(lambda batches: check(code(batches)), _digested(documents, kept))

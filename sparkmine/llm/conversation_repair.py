@@ -148,11 +148,6 @@ class Tables:
         return cost, "".join(parts) + "I" * (END[state] // INSERT)
 
 
-@functools.cache
-def tables() -> Tables:
-    return Tables()
-
-
 def damaged(conversations: DataFrame) -> DataFrame:
     """Rows ``conv_id, turn, role, text, copies`` with planted faults, by crc32 of ``conv_id:turn``; nulls as one space.
 
@@ -272,7 +267,7 @@ def repair(rows: DataFrame) -> DataFrame:
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), *[pa.int64()] * 6, pa.string()]
 
     def edit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = tables()
+        known = Tables()
         parts: list[bytes] = []
         out: list[tuple] = []
         current, first, last, turns, size = None, None, None, 0, 0

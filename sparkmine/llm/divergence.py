@@ -318,7 +318,7 @@ def audit(
     sizes = sizes.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("all").alias("lang_total"))
     nothing = F.lit(0).cast("long")
     groups = counted.filter("term is null").select("lang", "source")
-    groups = groups.join(sums, ["lang", "source"], "left").join(F.broadcast(sizes), "lang", "left")  # a row per language
+    groups = groups.join(sums, ["lang", "source"], "left").join(sizes, "lang", "left")
     filled = [F.coalesce(c, nothing).alias(c) for c in ("total", "rows", "kept", "lang_total")]
     groups = scratch.write("groups", groups.select("lang", "source", *filled))
     scratch.drop("counted")

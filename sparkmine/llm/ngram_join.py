@@ -8,7 +8,9 @@ linked sets agree on a whole block at the same place. Sets that agree with no ot
 any list is made; that leaves about the sets that have a near copy.
 
 Index lists: one list per prefix shingle, in blocks of like-sized sets. A block whose sizes cannot match is never
-met, and positions within the sets bound what two sets can still share, which skips the rest.
+met, and positions within the sets bound what two sets can still share. Beside each set goes a bitmap in which every
+shingle flips one bit: as many bits as two bitmaps differ in, at least, the sets differ in shingles. Pairs that this rules out
+never become rows. Long lists are met block against block.
 
 Answers: in each list all sets are like the least one in it more often than not. Each set takes the one that
 leads most of its lists as its pivot and is kept as its difference from the pivot, a few shingles. Sets with one
@@ -43,6 +45,8 @@ TOGETHER = 4_096  # shingles of the differences looked at together
 BROADCAST_BYTES = 2 << 20
 SALT = 512  # sets of one pivot that one task holds against it
 LEAD = 8  # parts in which the counts of a bucket are added up first
+PARITY_WORDS = 8  # 64-bit words of a set's parity bitmap
+LIST_ROWS = 1_000  # sets of one list that a task holds against as many others
 
 
 def needed(sizes: Column | np.ndarray, percent: int) -> tuple:
@@ -177,10 +181,17 @@ def ordered_keys(values: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     return np.sort((named ^ np.uint64(1 << 63)).view(np.int64))
 
 
+def parity(values: np.ndarray) -> np.ndarray:
+    """A bitmap of ``PARITY_WORDS`` signed words in which each shingle flips one bit."""
+    slots = (values >> np.uint64(BUCKET_BITS)) & np.uint64(64 * PARITY_WORDS - 1)
+    odd = np.bincount(slots.astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def keyed(documents: DataFrame, k: int, ranks: np.ndarray, wanted: np.ndarray, percent: int | None = None) -> DataFrame:
-    """``digest, n, keys``, once per set whose mark passes the filter ``wanted``: its shingles in the common order.
+    """``digest, n, keys, parity``, once per set whose mark passes the filter ``wanted``: its shingles in the common order.
 
-    With ``percent`` only the prefix: the first n - ceil(n * percent / 100) + 1.
+    With ``percent`` only the prefix: the first n - ceil(n * percent / 100) + 1; without, ``parity`` is null.
     """
     weights = texts.byte_weights(texts.SPACES)
     shared = documents.sparkSession.sparkContext.broadcast((ranks, wanted))
@@ -189,7 +200,7 @@ def keyed(documents: DataFrame, k: int, ranks: np.ndarray, wanted: np.ndarray, p
         ranks, wanted = shared.value
         for whole in batches:
             for _, sets in _shingles(whole, k, weights):
-                digests, sizes, keys = [], [], []
+                digests, sizes, keys, odd = [], [], [], []
                 for values in sets:
                     digest = set_digest(values)
                     slot = mark_of(digest) & ((1 << FILTER_BITS) - 1)
@@ -199,13 +210,15 @@ def keyed(documents: DataFrame, k: int, ranks: np.ndarray, wanted: np.ndarray, p
                         digests.append(digest)
                         sizes.append(n)
                         keys.append(named if percent is None else named[: n + (-n * percent) // 100 + 1])
+                        odd.append(None if percent is None else parity(values))
                 if digests:
                     ends = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
                     lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))
                     columns = [pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), lists]
-                    yield pa.RecordBatch.from_arrays(columns, names=["digest", "n", "keys"])
+                    columns.append(pa.array(odd, pa.list_(pa.int64())))
+                    yield pa.RecordBatch.from_arrays(columns, names=["digest", "n", "keys", "parity"])
 
-    rows = documents.select("text").mapInArrow(key, "digest binary, n int, keys array<long>")
+    rows = documents.select("text").mapInArrow(key, "digest binary, n int, keys array<long>, parity array<long>")
     return rows.dropDuplicates(["digest"])
 
 
@@ -342,17 +355,19 @@ def differences(sets: DataFrame) -> DataFrame:
     return dealt.mapInArrow(compare, schema)
 
 
-def answers_by_pivot(diffs: DataFrame, percent: int, block: int) -> DataFrame:
+def answers_by_pivot(diffs: DataFrame, scratch: Scratch, percent: int, block: int) -> DataFrame:
     """``digest, root, links`` from the differences of sets that have a pivot in common.
 
     One row per set and block in which it was compared: the least set that it reaches by links
     there, and the documents that it is linked to there.
     """
-    sizes = diffs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
-    sizes = sizes.join(diffs.groupBy("pivot").count().filter("count > 1").select("pivot"), "pivot", "left_semi")
+    sizes = diffs.groupBy("pivot").count().filter(F.col("count") > block)
+    sizes = sizes.select("pivot", F.ceil(F.col("count") / F.lit(block)).cast("int").alias("blocks"))
+    sizes = if_small(scratch, "sizes", scratch.write("sizes", sizes))
     mine = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
     dealt = (
-        diffs.join(sizes, "pivot")
+        diffs.join(sizes, "pivot", "left")
+        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         .withColumn("mine", mine)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
@@ -362,6 +377,7 @@ def answers_by_pivot(diffs: DataFrame, percent: int, block: int) -> DataFrame:
             "mine",
             *["digest", "n", "copies", "pivot_n", "lacking", "changed"],
         )
+        .repartition("pivot", "low", "high")  # else all blocks of a pivot would stay in its task
     )
 
     def compare(table: pa.Table) -> pa.Table:
@@ -387,45 +403,62 @@ def answers_by_pivot(diffs: DataFrame, percent: int, block: int) -> DataFrame:
     return found.filter("links > 0")
 
 
-def pairs_across(met: DataFrame, pivots: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
-    """``d1, d2``: pairs of sets with different pivots that their sizes and positions do not rule out.
+def meetings(rows: DataFrame, scratch: Scratch, percent: int, list_rows: int = LIST_ROWS) -> DataFrame:
+    """``d1, d2, left, bound`` for each two sets of ``rows`` with different pivots in a list, unless they cannot be linked.
 
-    A list is cut into blocks by size: bands in each of which the greatest set is at most 100 / percent times
-    the least, so a set meets its own band and the next. Within two blocks, the position of each common shingle
-    bounds the overlap. Over all lists two more bounds follow: after the last common shingle of the prefixes, no
-    more can be shared than either set has left; and in the set whose prefix ends first, what is not common in the
-    prefix is missing from the other set.
+    A list is cut into bands by size, in each of which the greatest set is at most 100 / percent times the least, so a
+    set meets its own band and the next. The position of the common shingle bounds the overlap, and so does the number of
+    bits in which the parity bitmaps differ. A list of more than ``list_rows`` sets is cut into blocks, and each
+    two blocks meet in a task of their own.
     """
     steps = F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent))
     band = F.floor(steps + F.lit(1e-9)).cast("int")  # exact powers must not fall short by rounding
-    rows = met.join(if_small(scratch, "pivots", pivots), "digest").withColumn("band", band)
-    mixed = rows.groupBy("key").agg(F.min("pivot").alias("a"), F.max("pivot").alias("b")).filter("a <> b")
-    mixed = scratch.write("mixed", mixed.select("key"))
-    rows = scratch.write("lists", rows.join(if_small(scratch, "mixed", mixed), "key", "left_semi"))
-    x = rows.withColumn("met", F.explode(F.array("band", F.col("band") + 1))).alias("x")
-    y = rows.withColumn("met", F.col("band")).alias("y")
+    long = rows.groupBy("key").count().filter(F.col("count") > list_rows)
+    long = long.select("key", F.ceil(F.col("count") / F.lit(list_rows)).cast("int").alias("parts"))
+    long = if_small(scratch, "long", scratch.write("long", long))
+    rows = rows.join(long, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("band", band)
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    x = rows.withColumn("met", F.explode(F.array("band", F.col("band") + 1)))
+    x = x.withColumn("at_x", F.col("mine")).withColumn("at_y", others).alias("x")
+    y = rows.withColumn("met", F.col("band")).withColumn("at_y", F.col("mine")).withColumn("at_x", others).alias("y")
     n1, n2, p1, p2 = F.col("x.n"), F.col("y.n"), F.col("x.pos"), F.col("y.pos")
     most = F.least(p1, p2) + 1 + F.least(n1 - p1 - 1, n2 - p2 - 1)
     factor, bound = needed(n1 + n2, percent)
     once = F.when(F.col("x.band") == F.col("y.band"), F.col("x.digest") < F.col("y.digest")).otherwise(F.lit(True))
-    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.met") == F.col("y.met")) & once
+    on = once
+    for column in ("key", "met", "at_x", "at_y"):
+        on &= F.col(f"x.{column}") == F.col(f"y.{column}")
     on &= (F.col("x.pivot") != F.col("y.pivot")) & (most * factor >= bound)
     on &= F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
+    apart: Column = F.lit(0)
+    for i in range(PARITY_WORDS):
+        apart = apart + F.bit_count(F.col(f"x.odd{i}").bitwiseXOR(F.col(f"y.odd{i}")))
+    on &= (n1 + n2 - apart) * factor >= 2 * bound
     ends_first = F.when(F.col("x.last") <= F.col("y.last"), n1).otherwise(n2)
     rest = F.ceil(ends_first * F.lit(percent) / F.lit(100)) - 1  # beyond its prefix
-    left = F.least(n1 - p1 - 1, n2 - p2 - 1, rest)
-    found = (
-        x.join(y, on)
-        .select(
-            F.least("x.digest", "y.digest").alias("d1"),
-            F.greatest("x.digest", "y.digest").alias("d2"),
-            left.alias("left"),
-            bound.alias("bound"),
-        )
-        .groupBy("d1", "d2", "bound")
-        .agg(F.count(F.lit(1)).alias("shared"), F.min("left").alias("left"))
+    return x.join(y, on).select(
+        F.least("x.digest", "y.digest").alias("d1"),
+        F.greatest("x.digest", "y.digest").alias("d2"),
+        F.least(n1 - p1 - 1, n2 - p2 - 1, rest).alias("left"),
+        bound.alias("bound"),
     )
-    return found.filter((F.col("shared") + F.col("left")) * factor >= F.col("bound")).select("d1", "d2")
+
+
+def pairs_across(met: DataFrame, pivots: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """``d1, d2``: pairs of sets with different pivots that sizes, positions and parity bitmaps do not rule out.
+
+    Over all lists in which two sets meet, two more bounds follow: after the last common shingle of the prefixes, no
+    more can be shared than either set has left; and in the set whose prefix ends first, what is not common in the
+    prefix is missing from the other set.
+    """
+    rows = met.join(if_small(scratch, "pivots", pivots), "digest")
+    mixed = rows.groupBy("key").agg(F.min("pivot").alias("a"), F.max("pivot").alias("b")).filter("a <> b")
+    mixed = scratch.write("mixed", mixed.select("key"))
+    rows = scratch.write("lists", rows.join(if_small(scratch, "mixed", mixed), "key", "left_semi"))
+    found = meetings(rows, scratch, percent).groupBy("d1", "d2", "bound")
+    found = found.agg(F.count(F.lit(1)).alias("shared"), F.min("left").alias("left"))
+    return found.filter((F.col("shared") + F.col("left")) * (100 + percent) >= F.col("bound")).select("d1", "d2")
 
 
 def set_links(documents: DataFrame, k: int, percent: int, scratch: Scratch, block: int = BLOCK) -> tuple[DataFrame, ...]:
@@ -450,13 +483,14 @@ def set_links(documents: DataFrame, k: int, percent: int, scratch: Scratch, bloc
 
     prefixes = scratch.write("prefixes", keyed(documents, k, ranks, mark_filter(agreeing), percent))
     last = F.element_at("keys", -1).alias("last")
-    postings = prefixes.select("digest", "n", last, F.posexplode("keys").alias("pos", "key"))
+    odd = [F.col("parity")[i].alias(f"odd{i}") for i in range(PARITY_WORDS)]
+    postings = prefixes.select("digest", "n", *odd, last, F.posexplode("keys").alias("pos", "key"))
     repeated = scratch.write("repeated", postings.groupBy("key").count().filter("count > 1").select("key"))
     met = scratch.write("met", postings.join(if_small(scratch, "repeated", repeated), "key", "left_semi"))
     scratch.drop("agreeing", "prefixes", "repeated")
     pivots = scratch.write("pivots", pivots_of(met, scratch, percent))
     pairs = scratch.write("pairs", pairs_across(met, pivots, scratch, percent))
-    scratch.drop("met", "lists", "mixed")
+    scratch.drop("met", "lists", "mixed", "long")
 
     around = pivots.groupBy("pivot").count().filter("count > 1")
     around = around.select("pivot", F.ceil(F.col("count") / F.lit(SALT)).cast("int").alias("salts"))
@@ -469,8 +503,8 @@ def set_links(documents: DataFrame, k: int, percent: int, scratch: Scratch, bloc
     scratch.drop("needed")
 
     diffs = scratch.write("diffs", differences(sets.filter("pivot is not null")))
-    inside = scratch.write("inside", answers_by_pivot(diffs, percent, block))
-    scratch.drop("diffs")
+    inside = scratch.write("inside", answers_by_pivot(diffs, scratch, percent, block))
+    scratch.drop("diffs", "sizes")
 
     def side(i: int) -> DataFrame:
         columns = ["digest", "n", "copies", "keys"]

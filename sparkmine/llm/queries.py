@@ -51,8 +51,7 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 3: token ids of each document and the bytes decoded from them, as digests."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks)
-    return bpe.digests(encoded, ranks)
+    return bpe.encoded_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks)
 
 
 def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

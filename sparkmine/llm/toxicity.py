@@ -168,15 +168,17 @@ def train(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE_ROWS) ->
 def with_score(documents: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
     """Add the toxicity score of ``text`` as ``name``, replacing such a column; all else stays as it is."""
     weights = texts.byte_weights(texts.NON_WORD)
-    shared = documents.sparkSession.sparkContext.broadcast(machine)
+    parts = (machine.index, machine.bias, machine.linear, machine.factors)
+    shared = documents.sparkSession.sparkContext.broadcast(parts)  # plain values: broadcasts name classes by their module
     kept = [c for c in documents.columns if c != name]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = Machine(*shared.value)
         for whole in batches:
             for i, j in texts.slices(whole.column("text")):
                 batch = whole.slice(i, j - i)
                 slot, owner = terms_of(*texts.flat(batch.column("text")), weights)
-                found = pa.array(shared.value.score(slot, owner, len(batch)))
+                found = pa.array(machine.score(slot, owner, len(batch)))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), found], names=[*kept, name])
 
     schema = T.StructType([*(documents.schema[c] for c in kept), T.StructField(name, T.DoubleType())])

@@ -17,7 +17,7 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 @pytest.fixture(scope="module")
 def vocabulary():
     with open(RANKS, "rb") as file:
-        return bpe.Vocabulary(file.read())
+        return bpe.Vocabulary.of(file.read())
 
 
 @pytest.fixture(scope="module")
@@ -47,7 +47,7 @@ def test_words_whose_merges_go_down_in_rank():
     ranks = {bytes([i]): i for i in range(256)}
     ranks |= {b"abc": 256, b"bc": 257, b"abcabc": 258}
     lines = b"\n".join(bpe.base64.b64encode(t) + b" " + str(r).encode() for t, r in ranks.items())
-    vocabulary = bpe.Vocabulary(lines)
+    vocabulary = bpe.Vocabulary.of(lines)
     words = [b"abcabcabc", b"bcabc", b"xabcbcy", b"a"]
     library = tiktoken.Encoding("t", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
     flat, offsets = vocabulary.encode(words)
@@ -72,6 +72,8 @@ def test_query_shape_on_odd_rows(spark, library):
         coded = hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         expected.append((doc_id, len(ids), coded, hashlib.sha256((text or "").encode()).hexdigest()))
     assert sorted(map(tuple, frame.collect()), key=str) == sorted(expected, key=str)
+    frame = bpe.encoded_digests(documents(spark, rows).select("doc_id", "text"), RANKS)
+    assert sorted(map(tuple, frame.collect()), key=str) == sorted(expected, key=str)
 
 
 def test_other_columns_stay_and_small_runs(spark, library, monkeypatch):

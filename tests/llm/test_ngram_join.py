@@ -78,6 +78,41 @@ def test_one_large_group_of_near_copies(spark):
     assert found(ngram_join.near_duplicates(documents(spark, rows), block=20)) == brute(rows)
 
 
+@pytest.mark.parametrize("count", [200, 400])
+def test_sets_too_far_apart_to_link_make_no_rows(spark, count, monkeypatch):
+    """All share words of one base, few are linked across pivots: rows follow the links, not the square of the group."""
+    rng = random.Random(count)
+    base = sentence(rng, 120, [f"v{i}" for i in range(5000)])
+    rows = [(i, changed(rng, base, rng.choice([2, 3, 3, 4]))) for i in range(count)]
+    joined, made = ngram_join.meetings, []
+
+    def counted(*given):
+        made.append(joined(*given).count())
+        return joined(*given)
+
+    monkeypatch.setattr(ngram_join, "meetings", counted)
+    assert found(ngram_join.near_duplicates(documents(spark, rows), block=64)) == brute(rows)
+    assert made[0] <= count
+
+
+def test_long_lists_are_met_in_blocks(spark, rows, monkeypatch):
+    joined = ngram_join.meetings
+    monkeypatch.setattr(ngram_join, "meetings", lambda *given: joined(*given, list_rows=2))
+    each = lambda met, scratch, percent: met.select("digest").distinct().selectExpr("digest", "digest pivot")
+    monkeypatch.setattr(ngram_join, "pivots_of", each)
+    assert found(ngram_join.near_duplicates(documents(spark, rows))) == brute(rows)
+
+
+def test_parity_never_exceeds_the_difference():
+    rng = np.random.default_rng(2)
+    for n in (1, 40, 3000):
+        a = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        b = np.unique(np.append(rng.permutation(a)[: n - n // 9], rng.integers(0, 1 << 64, n // 7, dtype=np.uint64)))
+        odd = np.bitwise_count((ngram_join.parity(a) ^ ngram_join.parity(b)).view(np.uint64)).sum()
+        apart = len(np.setxor1d(a, b))
+        assert odd <= apart and odd % 2 == apart % 2
+
+
 def digest(text):
     batch = pa.RecordBatch.from_pydict({"text": pa.array([text])})
     [(_, sets)] = ngram_join._shingles(batch, 3, texts.byte_weights(texts.SPACES))

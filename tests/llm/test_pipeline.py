@@ -35,9 +35,9 @@ def test_query_equals_sql(spark, sf_dir, name):
     assert rows_of(found.columns, found.collect()) == rows_of(names, expected.fetchall())
 
 
-def test_ten_queries_are_registered():
+def test_thirteen_queries_are_registered():
     names = [n for n in entry_points.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry_points.queries()
 
 
