@@ -12,6 +12,8 @@ task that runs twice leaves one file, on any store that Spark can write.
 
 from __future__ import annotations
 
+import itertools
+import json
 import math
 import os
 import re
@@ -39,11 +41,16 @@ SUPERBLOCK = 512
 IMAGE_TOKENS = 1 << 20  # an image is closed when it has as many
 FILE_BYTES = 128 << 20  # bytes of text in a file, about
 LEAST_FILE_BYTES = 2 << 20  # files may be as small to keep all cores busy
-RUN_BYTES = 4 << 20  # bytes of text encoded together
+RUN_BYTES = 2 << 20  # bytes of text encoded together
 WORD_BYTES = 8 << 20  # bytes of distinct words that a task remembers
-ENCODED = 20_000  # words given to the tokenizer at once
+LINE = 100  # words given to the tokenizer in a line
 READ_TOKENS = 1 << 17  # tokens read back together
 
+# Words of which the pattern's parts are known: runs of these letters, single digits, runs of other ASCII characters. Quotes
+# may split letters off, and an angle bracket may begin a special token.
+PLAIN = re.compile(r"[!-&(-;=-~À-ÖØ-öø-ÿ]+")
+PARTS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[!-&(-/:;=-@\[-`{-~]+")
+
 
 def padded(data: bytes) -> bytes:
     return data + bytes(-len(data) % 8)
@@ -166,18 +173,54 @@ def images(data: np.ndarray) -> Iterator[Image]:
 
 
 class Numbers(dict):
-    """A number for each key, in the order in which they are first looked up."""
+    """A number for each key, in the order in which they are first looked up; ``fresh`` has the new ones."""
+
+    def __init__(self):
+        self.fresh: list[bytes] = []
 
     def __missing__(self, key: bytes) -> int:
         number = self[key] = len(self)
+        self.fresh.append(key)
         return number
 
+    def of(self, keys: list[list[bytes]]) -> tuple[np.ndarray, list[bytes]]:
+        """Numbers of all keys, and the new keys."""
+        found = np.fromiter(map(self.__getitem__, itertools.chain.from_iterable(keys)), np.int64, sum(map(len, keys)))
+        fresh, self.fresh = self.fresh, []
+        return found, fresh
+
+
+class Runs:
+    """Numbered runs of ids."""
+
+    def __init__(self):
+        self.ids, self.ends = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def add(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        self.ids = np.concatenate([self.ids, ids])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
+
+    def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The runs ``which`` one after another, and 0 and where each ends."""
+        starts = self.ends[which]
+        counts = self.ends[which + 1] - starts
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        return self.ids[np.repeat(starts - ends[:-1], counts) + np.arange(ends[-1])], ends
+
+
+def flat_ids(coded: list) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of some encodings and how many each has."""
+    lists = [x.ids for x in coded]
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(itertools.chain.from_iterable(lists), np.uint32, counts.sum()), counts
+
 
 class Encoder:
     """Ids of whole texts. Words between ASCII white space are encoded on their own and remembered.
 
     That gives the tokenizer's ids if white space, which it drops, always parts tokens: its normaliser and its pattern never
-    look across it.
+    look across it. New words are given to the tokenizer many in a line. If how many parts the pattern makes of a word can be
+    told, the ends of parts, which the vocabulary marks, tell its ids from its neighbours'; other words go singly.
     """
 
     def __init__(self, source: str):
@@ -185,31 +228,44 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_str(source)
+        suffix = json.loads(source)["model"].get("end_of_word_suffix")
+        names = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ending = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+        self.ending[[i for name, i in names.items() if suffix and name.endswith(suffix)]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.numbers, self.size = Numbers(), 0
-        self.ids, self.ends = np.empty(0, np.uint32), np.zeros(1, np.int64)
+        self.words, self.size, self.known = Numbers(), 0, Runs()
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words and how many each has."""
+        parts = np.array([len(PARTS.findall(w)) if PLAIN.fullmatch(w) else 0 for w in words], np.int64)
+        plain = np.flatnonzero(parts)
+        lines = [" ".join([words[i] for i in plain[j : j + LINE]]) for j in range(0, len(plain), LINE)]
+        ids, _ = flat_ids(self.tokenizer.encode_batch_fast(lines, add_special_tokens=False))
+        ends = np.flatnonzero(self.ending[ids]) + 1
+        last = np.cumsum(parts[plain])
+        if len(ends) != parts.sum():  # a tokenizer that marks no ends
+            parts[:], plain, ids, ends, last = 0, plain[:0], ids[:0], ends[:0], last[:0]
+        counts = np.zeros(len(words), np.int64)
+        counts[plain] = np.diff(ends[last - 1], prepend=0)
+        odd = np.flatnonzero(parts == 0)
+        odd_ids, counts[odd] = flat_ids(self.tokenizer.encode_batch_fast([words[i] for i in odd], add_special_tokens=False))
+        out = np.empty(counts.sum(), np.uint32)
+        in_line = np.repeat(parts > 0, counts)
+        out[in_line], out[~in_line] = ids, odd_ids
+        return out, counts
 
     def encode(self, said: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts and, for each, where its ids end."""
         if self.size > WORD_BYTES:
             self.forget()
         split = [text.split() for text in said]
-        numbers, old = self.numbers, len(self.numbers)
-        which = np.fromiter((numbers[w] for words in split for w in words), np.int64)
-        fresh = list(numbers)[old:]
-        made = []
-        for i in range(0, len(fresh), ENCODED):
-            words = [w.decode() for w in fresh[i : i + ENCODED]]
-            made += [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        self.size += sum(map(len, fresh))
-        self.ids = np.concatenate([self.ids, *made])
-        sizes = np.fromiter(map(len, made), np.int64, len(made))
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
-        counts = np.diff(self.ends)[which]
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        flat = self.ids[np.repeat(self.ends[which] - ends[:-1], counts) + np.arange(ends[-1])]
+        which, fresh = self.words.of(split)
+        if fresh:
+            self.size += sum(map(len, fresh))
+            self.known.add(*self.encode_words([w.decode() for w in fresh]))
+        flat, ends = self.known.take(which)
         return flat, ends[np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))]
 
 
@@ -237,7 +293,7 @@ def write_files(
     source = spark.sparkContext.broadcast(Path(tokenizer_file).read_text(encoding="utf-8"))
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0))).first()[0]
-    enough = min(math.ceil(total / LEAST_FILE_BYTES), 4 * spark.sparkContext.defaultParallelism)
+    enough = min(math.ceil(total / LEAST_FILE_BYTES), 2 * spark.sparkContext.defaultParallelism)
     count = max(1, enough, math.ceil(total / file_bytes))
     order = ["doc_id", "hash"]
     dealt = rows.withColumn("hash", F.xxhash64("text")).repartitionByRange(count, *order).sortWithinPartitions(*order)
