@@ -13,7 +13,13 @@ from pyspark.sql import functions as F
 from sparkmine.llm import bpe, decontaminate, ngram_join, quality, toxicity
 from sparkmine.llm.tables import Scratch
 
-ROW = "row_key_"  # of the stages that judge rows elsewhere than in place
+
+def free(docs: DataFrame, name: str) -> str:
+    """A beginning of names that no column of ``docs`` has, whatever its case."""
+    taken, number = [c.lower() for c in docs.columns], 0
+    while any(c.startswith(f"{name}_{number}_") for c in taken):
+        number += 1
+    return f"{name}_{number}_"
 
 
 def labels_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +45,7 @@ def has_words() -> Column:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that operator 8 does not predict to be toxic."""
     machine = toxicity.train(docs, labels_of(spark, sf_dir))
-    name = "toxicity_score_"
+    name = free(docs, "toxicity")
     return toxicity.with_score(docs, machine, name).filter(F.col(name) < toxicity.THRESHOLD).select(*docs.columns)
 
 
@@ -50,7 +56,7 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rules cannot tell, such as one of two words, stays.
     """
     ensemble = quality.train(docs, labels_of(spark, sf_dir))
-    prefix = "quality_stat_"
+    prefix = free(docs, "quality")
     good = ensemble.column(prefix) > 1 - quality.THRESHOLD
     return quality.with_statistics(docs, prefix).filter(good).select(*docs.columns)
 
@@ -61,29 +67,29 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     The law is operator 1's: sets of 3 words, 90 percent. Of rows with the least id, that with the least digest of the
     text stays.
     """
-    scratch = Scratch(spark)
-    worded = docs.filter(has_words()).withColumn(ROW, row_key())
-    keyed = worded.select(F.col(ROW).alias("doc_id"), "text")
+    scratch, row = Scratch(spark), free(docs, "row")
+    worded = docs.filter(has_words()).withColumn(row, row_key())
+    keyed = worded.select(F.col(row).alias("doc_id"), "text")
     found = ngram_join.near_duplicates(keyed, k=ngram_join.WORDS, percent=ngram_join.PERCENT)
-    first = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(ROW)).distinct()
+    first = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(row)).distinct()
     first = scratch.write("first", first)
-    kept = worded.join(first, ROW, "left_semi").dropDuplicates([ROW])
+    kept = worded.join(first, row, "left_semi").dropDuplicates([row])
     return kept.select(*docs.columns).unionByName(docs.filter(~has_words()))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that operator 2 does not call contaminated."""
-    scratch = Scratch(spark)
+    scratch, row = Scratch(spark), free(docs, "row")
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.contamination(docs.select(row_key().alias("doc_id"), "text"), benchmark)
-    bad = scratch.write("bad", found.filter("contaminated").select(F.col("doc_id").alias(ROW)).distinct())
-    return docs.withColumn(ROW, row_key()).join(bad, ROW, "left_anti").select(*docs.columns)
+    bad = scratch.write("bad", found.filter("contaminated").select(F.col("doc_id").alias(row)).distinct())
+    return docs.withColumn(row, row_key()).join(bad, row, "left_anti").select(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.digests(bpe.encode(docs.select("doc_id", "text"), ranks), ranks)
+    return bpe.encoded_digests(docs.select("doc_id", "text"), ranks)
 
 
 STAGES = [
