@@ -82,6 +82,16 @@ def test_stages_on_odd_rows(spark, sf_dir, stage):
     assert empty.columns == docs.columns and empty.collect() == []
 
 
+@pytest.mark.parametrize("stage", corpus_pipeline.STAGES[:-1], ids=lambda s: s[0])
+def test_columns_with_clashing_names_stay_as_they_are(spark, sf_dir, stage):
+    names = "toxicity_score_ toxicity_0_ quality_stat_words quality_0_words QUALITY_0_x row_key_ row_0_ Row_1_ score_ text_".split()
+    docs = documents(spark, [(i, f"{w} words of a plain text") for i, w in enumerate("abc")])
+    docs = docs.select("*", *[docs.doc_id.cast("string").alias(c) for c in names])
+    result = stage[1](spark, docs, sf_dir)
+    assert result.schema == docs.schema
+    assert all(r[c] == str(r.doc_id) for r in result.collect() for c in names) and result.count()
+
+
 def test_rows_that_share_an_id_are_judged_one_by_one(spark, sf_dir):
     stages = dict(corpus_pipeline.STAGES)
     first, second = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
