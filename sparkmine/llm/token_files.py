@@ -39,10 +39,10 @@ HEADER_BYTES = struct.calcsize(HEADER)
 AFTER = "-ENDIMG\n"  # after each image; as long as a word, so the next one is aligned, too
 SUPERBLOCK = 512
 IMAGE_TOKENS = 1 << 20  # an image is closed when it has as many
-FILE_BYTES = 128 << 20  # bytes of text in a file, about
+FILE_BYTES = 32 << 20  # bytes of text in a file, about; a file is read whole
 LEAST_FILE_BYTES = 2 << 20  # files may be as small to keep all cores busy
 RUN_BYTES = 2 << 20  # bytes of text encoded together
-WORD_BYTES = 8 << 20  # bytes of distinct words that a task remembers
+WORD_BYTES = 10 << 20  # bytes of distinct words that a worker remembers
 LINE = 100  # words given to the tokenizer in a line
 READ_TOKENS = 1 << 17  # tokens read back together
 
@@ -290,7 +290,7 @@ def write_files(
     held whole by the task that encodes it.
     """
     spark = documents.sparkSession
-    source = spark.sparkContext.broadcast(Path(tokenizer_file).read_text(encoding="utf-8"))
+    shared = spark.sparkContext.broadcast({"file": Path(tokenizer_file).read_text(encoding="utf-8")})
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0))).first()[0]
     enough = min(math.ceil(total / LEAST_FILE_BYTES), 2 * spark.sparkContext.defaultParallelism)
@@ -299,7 +299,10 @@ def write_files(
     dealt = rows.withColumn("hash", F.xxhash64("text")).repartitionByRange(count, *order).sortWithinPartitions(*order)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(source.value)
+        held_by_worker = shared.value  # outlives the task, so the next one knows this one's words
+        if "encoder" not in held_by_worker:
+            held_by_worker["encoder"] = Encoder(held_by_worker["file"])
+        encoder = held_by_worker["encoder"]
         doc_ids: list[int | None] = []
         parts: list[np.ndarray] = []
         ends: list[np.ndarray] = []
