@@ -8,12 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmine.functions.minhash import band_plan
-from sparkmine.functions.text import shingle_set
 from sparkmine.operators import edges as edge_ops
 from sparkmine.operators import itemsets as itemset_ops
 from sparkmine.operators import lsh
 from sparkmine.operators import rules as rule_ops
-from sparkmine.operators.jaccard_join import shingle_frequencies
 from sparkmine.operators.order import number_rows, shuffled_order
 from sparkmine.operators.reservoir import Run, sample_at
 from sparkmine.operators.storage import durable, new_path, stored_bytes
@@ -82,38 +80,20 @@ def text_normalize(spark, sf_dir):
     return documents(spark, sf_dir).normalized.select("doc_id", "normalized")
 
 
-def _sets(spark, sf_dir):
-    shingles = shingle_set(F.col("normalized"), SHINGLE).alias("shingles")
-    return documents(spark, sf_dir).normalized.select(
-        "doc_id", F.length("normalized").alias("n_chars"), shingles
-    )
-
-
 @query
 def shingle_counts(spark, sf_dir):
-    sized = _sets(spark, sf_dir).withColumn("n_shingles", F.size("shingles"))
-    return sized.select("doc_id", big("n_chars"), big("n_shingles"))
+    return documents(spark, sf_dir).statistics.select("doc_id", big("n_chars"), "n_shingles")
 
 
 @query
 def shingle_hashes(spark, sf_dir):
-    total = F.aggregate("shingles", F.lit(0).cast("bigint"), lambda s, h: s + h)
-    return (
-        _sets(spark, sf_dir)
-        .filter(F.size("shingles") > 0)
-        .select(
-            "doc_id",
-            F.array_min("shingles").alias("min_hash"),
-            F.array_max("shingles").alias("max_hash"),
-            total.alias("sum_hash"),
-        )
-    )
+    found = documents(spark, sf_dir).statistics.filter("n_shingles > 0")
+    return found.select("doc_id", "min_hash", "max_hash", "sum_hash")
 
 
 @query
 def shingle_frequency(spark, sf_dir):
-    counts = shingle_frequencies(documents(spark, sf_dir).normalized, SHINGLE)
-    return counts.groupBy("docs").agg(F.count(F.lit(1)).alias("shingles"))
+    return documents(spark, sf_dir).frequencies.groupBy("docs").agg(F.count(F.lit(1)).alias("shingles"))
 
 
 @query

@@ -10,12 +10,15 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sparkmine.functions import windows
+
 # The modulus (smallest prime above 2**32) and the seed of the hash family.
 PRIME = 4294967311
 SEED = 42
 EMPTY = (1 << 63) - 1  # stands for infinity, above every hash value
 
 SLICE_VALUES = 32_768  # shingles hashed at a time, so that the work arrays stay in cache
+TEXT_BYTES = 1 << 15  # of text hashed at a time
 
 
 def hash_family(n: int, seed: int = SEED) -> list[tuple[int, int]]:
@@ -84,6 +87,35 @@ def minhash(shingles: Column, n: int = 100, seed: int = SEED) -> Column:
     return signature(shingles)
 
 
+def text_signature(normalized: Column, k: int, n: int = 100, seed: int = SEED) -> Column:
+    """:func:`minhash` of the shingles of a text, none of which is written down.
+
+    A long text is hashed in parts, whose signatures have the text's as their least.
+    """
+    family = hash_family(n, seed)
+
+    @F.arrow_udf("array<bigint>")
+    def signature(batch: pa.Array) -> pa.Array:
+        out = np.full((len(batch), n), EMPTY, dtype=np.int64)
+        for i, j in windows.slices(batch, TEXT_BYTES):
+            raw, offsets = windows.flat(batch.slice(i, j - i))
+            if len(raw) > 2 * TEXT_BYTES:  # a single text
+                for part in windows.parts_of(raw, k, TEXT_BYTES):
+                    hashes, counts = windows.window_hashes(part, np.array([0, len(part)]), k)
+                    if counts[0]:
+                        out[i] = np.minimum(out[i], signatures_of(hashes.astype(np.uint64), np.array([0]), family)[0])
+                continue
+            hashes, counts = windows.window_hashes(raw, offsets, k)
+            filled = np.flatnonzero(counts)
+            if len(filled):
+                begins = (np.cumsum(counts) - counts)[filled]
+                out[i + filled] = signatures_of(hashes.astype(np.uint64), begins, family)
+        offsets = pa.array(np.arange(0, (len(batch) + 1) * n, n, dtype=np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))
+
+    return signature(normalized)
+
+
 def band_plan(n: int, threshold: float) -> tuple[int, int]:
     """(bands, rows) with bands · rows = n whose LSH threshold (1/bands)**(1/rows) is nearest.
 

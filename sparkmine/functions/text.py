@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.functions import windows
+
+PIECE_CHARS = 1 << 20  # shingles of a longer text are never in one array
+
 # Fixed values. What is deleted: anything but letters, numerics, underscore and white space.
 # What is collapsed: Unicode white space and the four separators U+001C to U+001F.
 NOT_WORD_OR_SPACE = r"(?U)[^\p{L}\p{N}_\s\x{1c}-\x{1f}]"
@@ -35,12 +40,32 @@ def shingles(normalized: Column, k: int) -> Column:
 
 def shingle_hashes(normalized: Column, k: int) -> Column:
     """CRC-32 (unsigned, as bigint) of each shingle, repeats kept."""
-    return F.transform(shingles(normalized, k), lambda s: F.crc32(F.encode(s, "UTF-8")))
+    return _hashes(normalized, check_k(k), False)
 
 
 def shingle_set(normalized: Column, k: int) -> Column:
-    """Distinct shingle hashes. Made within the row: the text never has to be shuffled for it."""
-    return F.array_distinct(shingle_hashes(normalized, k))
+    """Distinct shingle hashes, sorted. Made within the row: the text never has to be shuffled for it."""
+    return _hashes(normalized, check_k(k), True)
+
+
+def _hashes(normalized: Column, k: int, distinct: bool) -> Column:
+    @F.arrow_udf("array<bigint>")
+    def hashes(batch: pa.Array) -> pa.Array:
+        return windows.hash_lists(batch, k, distinct)
+
+    return hashes(normalized)
+
+
+def pieces(rows: DataFrame, k: int, chars: int | None = None) -> DataFrame:
+    """Cut ``normalized`` into pieces with ``chars`` shingles each, and add ``pieces``, how many the text has.
+
+    Pieces overlap by k - 1 characters, so every shingle of the text is in one piece and no other is.
+    """
+    chars = PIECE_CHARS if chars is None else chars
+    count = F.greatest(F.ceil((F.length("normalized") - check_k(k) + 1) / F.lit(chars)), F.lit(1)).cast("int")
+    cut = rows.withColumn("pieces", count).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    part = F.substring("normalized", F.col("piece") * chars + 1, F.lit(chars + k - 1))
+    return cut.withColumn("normalized", F.when(F.col("pieces") == 1, F.col("normalized")).otherwise(part)).drop("piece")
 
 
 def text_key(normalized: Column, k: int) -> Column:

@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.functions.text import normalize_text, shingle_set, text_key
+from sparkmine.functions import text
+from sparkmine.functions.text import normalize_text, pieces, shingle_set, text_key
 from sparkmine.operators.skew import ARRAY_ROWS, lookup_semi, salted_join
 
 EMPTIES = ("match", "drop")
@@ -59,16 +60,52 @@ def group_texts(normalized: DataFrame, groups: DataFrame) -> DataFrame:
     )
 
 
-def sets_of(texts: DataFrame, k: int, ids: DataFrame | None = None) -> DataFrame:
-    """``group_id, shingles, size`` for ``texts(group_id, normalized)``, or those in ``ids(group_id)``.
+def long_texts(texts: DataFrame, k: int) -> DataFrame:
+    """Those of ``texts(..., normalized)`` whose shingles are more than one array may hold."""
+    return texts.filter(F.length("normalized") - k + 1 > text.PIECE_CHARS)
 
-    The sets are made from the texts each time: a shingle array takes eight times the space of its text.
+
+def short_texts(texts: DataFrame, k: int) -> DataFrame:
+    """The others."""
+    return texts.filter(F.length("normalized") - k + 1 <= text.PIECE_CHARS)
+
+
+def set_rows(texts: DataFrame, k: int) -> DataFrame:
+    """One row per distinct ``shingle`` of each of ``texts``, whose other columns stay and name it.
+
+    For texts of any length: a piece gives an array of its own shingles, and rows that several pieces share are
+    made one by a shuffle on all columns, so a single text is spread over many tasks.
+    """
+    named = [c for c in texts.columns if c != "normalized"]
+    found = pieces(texts, k).select(*named, F.explode(shingle_set(F.col("normalized"), k)).alias("shingle"))
+    return found.distinct()
+
+
+def set_statistics(normalized: DataFrame, k: int) -> DataFrame:
+    """``doc_id, n_chars, n_shingles, min_hash, max_hash, sum_hash`` of ``normalized(doc_id, normalized)``.
+
+    The last three are null for a text without shingles.
     """
-    if ids is not None:
-        texts = lookup_semi(texts, ids, ["group_id"])
-    return texts.select(
-        "group_id", shingle_set(F.col("normalized"), k).alias("shingles")
-    ).withColumn("size", F.size("shingles"))
+    rows = normalized.select("doc_id", F.length("normalized").alias("n_chars"), "normalized")
+    total = F.aggregate("shingles", F.lit(0).cast("bigint"), lambda s, h: s + h)
+    some = F.size("shingles") > 0
+    short = short_texts(rows, k).withColumn("shingles", shingle_set(F.col("normalized"), k))
+    short = short.select(
+        "doc_id",
+        "n_chars",
+        F.size("shingles").cast("bigint").alias("n_shingles"),
+        F.array_min("shingles").alias("min_hash"),
+        F.array_max("shingles").alias("max_hash"),
+        F.when(some, total).alias("sum_hash"),
+    )
+    long = set_rows(long_texts(rows, k).withColumn("row_no", F.monotonically_increasing_id()), k)
+    long = long.groupBy("doc_id", "n_chars", "row_no").agg(
+        F.count(F.lit(1)).alias("n_shingles"),
+        F.min("shingle").alias("min_hash"),
+        F.max("shingle").alias("max_hash"),
+        F.sum("shingle").alias("sum_hash"),
+    )
+    return short.unionByName(long.drop("row_no"))
 
 
 def beside_pairs(pairs: DataFrame, values: DataFrame, *names: str, over: int = ARRAY_ROWS) -> DataFrame:

@@ -4,24 +4,39 @@ Prefix filtering (Chaudhuri et al. 2006; Bayardo et al. 2007; Vernica et al. 201
 sorted by one global order, two sets of similarity at least t share an element among the first
 ``n − ceil(t·n) + 1`` of each. Putting frequent shingles last keeps them out of nearly all prefixes,
 so the join never meets the long posting lists that a join on all shingles would expand.
+
+Two sets of a list become a pair only if sizes, positions and parity bitmaps allow: in a bitmap each shingle
+flips one bit, so two bitmaps differ in no more bits than the sets in shingles. Candidates are verified by blocks of
+sets, each shipped once to a task that checks all pairs of two blocks.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkmine.functions import windows
 from sparkmine.functions.sets import jaccard_of_counts
 from sparkmine.functions.text import shingle_set
-from sparkmine.operators.documents import beside_pairs, sets_of
-from sparkmine.operators.skew import pairs_sharing_key
-from sparkmine.operators.storage import durable, release
+from sparkmine.operators.documents import long_texts, set_rows, short_texts
+from sparkmine.operators.skew import lookup_join, lookup_semi, salted_join
+from sparkmine.operators.storage import broadcast_if_small, durable, release
 
 BUCKET_BITS = 18  # shingles are counted by their low bits: a table of one size at any scale
 TOGETHER = 8_192  # sets sorted at once; with the sort key of 50 bits that fits 64
 SLACK = 1e-9  # the filters may let a pair through on a rounding error, never stop one
+PARITY_WORDS = 8  # 64-bit words of a bitmap that travels with a set, at most
+PARITY_ROOM = 12  # bits per shingle in which two similar sets may differ; fewer tell little
+CELL_WORDS = 128  # of the bitmaps made where sets are verified
+LIST_ROWS = 2_000  # sets of one list that a task holds against as many others
+BLOCK_SETS = 256  # sets of a block in verification
+DENSE = 512  # bitmaps made at once
 
 
 def check_threshold(threshold: float) -> float:
@@ -31,101 +46,259 @@ def check_threshold(threshold: float) -> float:
 
 
 def shingle_frequencies(normalized: DataFrame, k: int) -> DataFrame:
-    """``shingle, docs``: in how many documents each shingle occurs.
+    """``shingle, docs``: in how many documents each shingle occurs."""
+    rows = normalized.select("doc_id", "normalized")
+    short = short_texts(rows, k).select(F.explode(shingle_lists(k)).alias("shingle"))
+    long = set_rows(long_texts(rows, k).withColumn("row_no", F.monotonically_increasing_id()), k).select("shingle")
+    return short.unionByName(long).groupBy("shingle").agg(F.count(F.lit(1)).alias("docs"))
+
+
+def shingle_lists(k: int) -> Column:
+    return shingle_set(F.col("normalized"), k)
 
-    The outer form of explode, here and below: the plain one makes the planner test the array for
-    being empty further down, which would compute it twice.
-    """
-    return (
-        normalized.select(F.explode_outer(shingle_set(F.col("normalized"), k)).alias("shingle"))
-        .filter(F.col("shingle").isNotNull())
-        .groupBy("shingle")
-        .agg(F.count(F.lit(1)).alias("docs"))
-    )
+
+def sets_in(texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For runs of texts: number of the first, their distinct shingles, each set sorted, and the sizes of the sets."""
+    for i, j in windows.slices(texts):
+        for a in range(i, j, TOGETHER):
+            b = min(j, a + TOGETHER)
+            yield a, *windows.distinct_sets(*windows.window_hashes(*windows.flat(texts.slice(a, b - a)), k))
 
 
 def bucket_ranks(texts: DataFrame, k: int) -> np.ndarray:
     """Rank of each bucket of shingles by rising count over all ``texts(group_id, normalized)``.
 
-    A frequent shingle makes its bucket frequent, so ordering shingles by it puts frequent ones last. The
-    counts combine on the map side and come to the driver as one row per bucket, whatever the input.
+    A frequent shingle makes its bucket frequent, so ordering shingles by it puts frequent ones last. Each task counts in
+    a table of fixed size, and the sums come to the driver as one row per bucket, whatever the input.
     """
-    shingles = texts.select(F.explode_outer(shingle_set(F.col("normalized"), k)).alias("shingle")).dropna()
-    bucket = F.col("shingle").bitwiseAND((1 << BUCKET_BITS) - 1).alias("bucket")
-    counted = shingles.groupBy(bucket).count().toArrow()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << BUCKET_BITS, np.int64)
+        for batch in batches:
+            for i, j in windows.slices(batch.column(0)):
+                found, _ = windows.window_hashes(*windows.flat(batch.column(0).slice(i, j - i)), k)
+                counts += np.bincount(found & np.uint32((1 << BUCKET_BITS) - 1), minlength=1 << BUCKET_BITS)
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(counts[some])], names=["bucket", "said"])
+
+    parts = texts.select("normalized").mapInArrow(count, "bucket int, said bigint")
+    counted = parts.groupBy("bucket").agg(F.sum("said").alias("said")).toArrow()
     counts = np.zeros(1 << BUCKET_BITS, np.int64)
-    counts[counted["bucket"].to_numpy()] = counted["count"].to_numpy()
+    counts[counted["bucket"].to_numpy()] = counted["said"].to_numpy()
     ranks = np.empty(1 << BUCKET_BITS, np.int64)
     ranks[np.argsort(counts, kind="stable")] = np.arange(1 << BUCKET_BITS)
     return ranks
 
 
-def prefix_of(shingles: Column, ranks: np.ndarray, threshold: float) -> Column:
-    """The prefix of each set, as rising sort keys of its shingles.
+def sort_keys(shingles: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """The rank of each shingle's bucket above the 32 bits of the shingle."""
+    return (ranks[shingles & np.int64((1 << BUCKET_BITS) - 1)] << 32) | shingles
 
-    A sort key is the rank of the shingle's bucket above the 32 bits of the shingle.
-    """
-    mask = np.int64((1 << BUCKET_BITS) - 1)
-
-    @F.arrow_udf("array<bigint>")
-    def prefixes(batch: pa.Array) -> pa.Array:
-        values = batch.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        sizes = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        ends = np.cumsum(sizes)
-        keep = np.where(sizes > 0, sizes - np.ceil(threshold * sizes - SLACK).astype(np.int64) + 1, 0)
-        parts = []
-        for i in range(0, len(sizes), TOGETHER):
-            some = sizes[i : i + TOGETHER]
-            begin = ends[i] - sizes[i]
-            flat = values[begin : begin + some.sum()]
-            owner = np.repeat(np.arange(len(some)), some).astype(np.uint64)
-            key = ((ranks[flat & mask] << 32) | flat).astype(np.uint64)
-            ordered = np.sort((owner << np.uint64(32 + BUCKET_BITS)) | key)  # sets stay in their order
-            place = np.arange(len(flat)) - np.repeat(np.cumsum(some) - some, some)
-            chosen = ordered[place < np.repeat(keep[i : i + TOGETHER], some)]
-            parts.append((chosen & np.uint64((1 << (32 + BUCKET_BITS)) - 1)).astype(np.int64))
-        offsets = np.concatenate([[0], np.cumsum(keep)]).astype(np.int32)
-        flat = np.concatenate(parts) if parts else np.empty(0, np.int64)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-
-    return prefixes(shingles)
-
-
-def prefix_rows(sets: DataFrame, ranks: np.ndarray, threshold: float) -> DataFrame:
-    """``group_id, size, last, pos, sort_key``: one row per element of a prefix, ``last`` its end."""
-    return (
-        sets.withColumn("prefix", prefix_of(F.col("shingles"), ranks, threshold))
-        .withColumn("last", F.try_element_at("prefix", F.lit(-1)))
-        .select("group_id", "size", "last", F.posexplode_outer("prefix").alias("pos", "sort_key"))
-        .filter(F.col("sort_key").isNotNull())
+
+def prefix_length(size: int | np.ndarray, threshold: float) -> np.ndarray:
+    return np.where(size > 0, size - np.ceil(threshold * size - SLACK).astype(np.int64) + 1, 0)
+
+
+def parity_words(sizes: np.ndarray, threshold: float, most: int) -> np.ndarray:
+    """How many words a bitmap of a set of each size wants, a power of two; 0 where ``most`` are too few to tell."""
+    apart = sizes * (1 + 1 / threshold) * (1 - threshold) / (1 + threshold)
+    wanted = 1 << np.ceil(np.log2(np.maximum(apart * PARITY_ROOM / 64, 1))).astype(np.int64)
+    return np.where((sizes > 0) & (wanted <= 4 * most), np.minimum(wanted, most), 0)
+
+
+def bitmaps(flat: np.ndarray, sizes: np.ndarray, words: int) -> np.ndarray:
+    """A row of ``words`` words for each set, in which each shingle flips one bit. Halves fold onto each other by xor."""
+    out = np.empty((len(sizes), words), np.uint64)
+    mixed = ((flat * 0x9E3779B1) >> 7) & np.int64(64 * words - 1)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    step = max(1, DENSE * PARITY_WORDS // words)
+    for i in range(0, len(sizes), step):
+        some = sizes[i : i + step]
+        owner = np.repeat(np.arange(len(some)), some)
+        slot = owner * 64 * words + mixed[ends[i] : ends[i + len(some)]]
+        odd = np.bincount(slot, minlength=64 * words * len(some)) & 1
+        out[i : i + step] = np.packbits(odd.astype(np.uint8)).view(np.uint64).reshape(len(some), words)
+    return out
+
+
+def bits_apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many bits rows of bitmaps differ; the wider ones are folded."""
+    while x.shape[1] > y.shape[1]:
+        x = x[:, : x.shape[1] // 2] ^ x[:, x.shape[1] // 2 :]
+    while y.shape[1] > x.shape[1]:
+        y = y[:, : y.shape[1] // 2] ^ y[:, y.shape[1] // 2 :]
+    return np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+
+
+PREFIXES = "size bigint, last bigint, parity binary, prefix array<bigint>"
+
+
+def id_kind(rows: DataFrame, name: str = "group_id") -> str:
+    """Ids are of any type that has an order."""
+    return rows.schema[name].dataType.simpleString()
+
+
+def prefixes_of(texts: DataFrame, k: int, ranks: np.ndarray, threshold: float) -> DataFrame:
+    """``group_id, size, last, parity, prefix`` of texts whose set fits an array: its prefix as rising sort keys."""
+    shared = texts.sparkSession.sparkContext.broadcast(ranks)
+    schema = f"group_id {id_kind(texts)}, {PREFIXES}"
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = shared.value
+        for batch in batches:
+            for first, flat, sizes in sets_in(batch.column("normalized"), k):
+                owner = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
+                key = sort_keys(flat, ranks).astype(np.uint64)
+                ordered = np.sort((owner << np.uint64(32 + BUCKET_BITS)) | key)  # sets stay in their order
+                ends = np.cumsum(sizes)
+                keep = prefix_length(sizes, threshold)
+                place = np.arange(len(flat)) - np.repeat(ends - sizes, sizes)
+                chosen = ordered[place < np.repeat(keep, sizes)]
+                prefix = (chosen & np.uint64((1 << (32 + BUCKET_BITS)) - 1)).astype(np.int64)
+                words = parity_words(sizes, threshold, PARITY_WORDS)
+                parity = np.full(len(sizes), b"", object)
+                for count in np.unique(words[words > 0]).tolist():
+                    some = np.flatnonzero(words == count)
+                    held = bitmaps(flat[np.repeat(words == count, sizes)], sizes[some], count)
+                    parity[some] = [row.tobytes() for row in held]
+                offsets = np.concatenate([[0], np.cumsum(keep)]).astype(np.int32)
+                last = np.where(keep > 0, prefix[np.maximum(offsets[1:] - 1, 0)] if len(prefix) else 0, 0)
+                ids = batch.column("group_id").slice(first, len(sizes))
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(prefix))
+                columns = [ids, pa.array(sizes.astype(np.int64)), pa.array(last), pa.array(parity, pa.binary()), lists]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return texts.select("group_id", "normalized").mapInArrow(make, schema)
+
+
+def long_prefix_rows(rows: DataFrame, ranks: np.ndarray, threshold: float) -> DataFrame:
+    """:func:`prefix_rows` of sets that come as durable ``rows(group_id, shingle)``: no array holds one of them."""
+    shared = rows.sparkSession.sparkContext.broadcast(ranks)
+
+    @F.arrow_udf("bigint")
+    def key(batch: pa.Array) -> pa.Array:
+        return pa.array(sort_keys(batch.to_numpy(zero_copy_only=False), shared.value))
+
+    size = rows.groupBy("group_id").agg(F.count(F.lit(1)).alias("size"))
+    order = Window.partitionBy("group_id").orderBy("sort_key")
+    placed = rows.withColumn("sort_key", key("shingle")).withColumn("pos", (F.row_number().over(order) - 1).cast("int"))
+    kept = placed.join(size, "group_id").filter(
+        F.col("pos") < F.col("size") - F.ceil(F.col("size") * F.lit(threshold) - SLACK) + 1
     )
+    last = kept.groupBy("group_id").agg(F.max("sort_key").alias("last"))
+    parity = F.lit(b"").alias("parity")
+    return kept.join(last, "group_id").select("group_id", "size", "last", parity, "pos", "sort_key")
+
+
+def prefix_rows(texts: DataFrame, k: int, ranks: np.ndarray, threshold: float, long: DataFrame | None = None) -> DataFrame:
+    """``group_id, size, last, parity, pos, sort_key``: one row per element of a prefix, ``last`` its end.
+
+    ``long`` has the sets of the long texts as rows, if there are any.
+    """
+    found = prefixes_of(short_texts(texts, k), k, ranks, threshold)
+    rows = found.select("group_id", "size", "last", "parity", F.posexplode("prefix").alias("pos", "sort_key"))
+    return rows if long is None else rows.unionByName(long_prefix_rows(long, ranks, threshold))
+
+
+def meetings(prefixes: DataFrame, threshold: float, list_rows: int | None = None) -> DataFrame:
+    """``id1, id2, left, sizes`` for each element that two prefixes share, unless the two sets cannot be similar.
+
+    Elements in one prefix only go first. A list of more than ``list_rows`` sets is cut into blocks and each two
+    blocks meet in a place of their own. Rows of a list lie side by side in a task, which compares each with those behind it;
+    ``left`` bounds what the sets can share beyond. ``prefixes`` is read several times: pass a durable table.
+    """
+    list_rows = LIST_ROWS if list_rows is None else list_rows
+    counted = durable(prefixes.groupBy("sort_key").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1"), "lists")
+    parts = F.ceil(F.col("sets") / F.lit(list_rows)).cast("int").alias("parts")
+    rows = lookup_join(prefixes, counted.select("sort_key", parts), ["sort_key"])
+    mine = F.pmod(F.xxhash64("group_id"), F.col("parts")).cast("int")
+    rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cell = ["sort_key", "low", "high"]
+    rows = rows.withColumns({"low": F.least("mine", "other"), "high": F.greatest("mine", "other")})
+    rows = rows.select(*cell, "mine", "group_id", "size", "last", "parity", "pos")
+    dealt = rows.repartition(*cell).sortWithinPartitions(*cell)
+    kind = id_kind(prefixes)
+    schema = f"id1 {kind}, id2 {kind}, left bigint, sizes bigint"
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def pairs(table: pa.Table) -> pa.RecordBatch:
+        """All pairs in whole lists."""
+        key, low, high, mine, ids, size, last, pos = (
+            table.column(c).to_numpy() for c in (*cell, "mine", "group_id", "size", "last", "pos")
+        )
+        words = pc.binary_length(table.column("parity")).to_numpy() // 8
+        stored = np.zeros((len(ids), PARITY_WORDS), np.uint64)
+        for count in np.unique(words[words > 0]).tolist():
+            some = np.flatnonzero(words == count)
+            joined = b"".join(table.column("parity").take(pa.array(some)).to_pylist())
+            stored[some, :count] = np.frombuffer(joined, np.uint64).reshape(-1, count)
+        fresh = np.ones(len(ids), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        begins = np.flatnonzero(fresh)
+        behind = np.repeat(np.append(begins[1:], len(ids)), np.diff(np.append(begins, len(ids))))
+        found: list[list[np.ndarray]] = [[], [], [], []]
+        x, ahead = np.arange(len(ids)), 0
+        while len(x := x[x + (ahead := ahead + 1) < behind[x]]):
+            y = x + ahead
+            n1, n2, p1, p2 = size[x], size[y], pos[x], pos[y]
+            needed = (n1 + n2) * (threshold / (1 + threshold) - SLACK)
+            left = np.minimum(n1 - p1, n2 - p2) - 1
+            keep = np.minimum(n1, n2) >= np.maximum(n1, n2) * threshold - SLACK
+            keep &= np.minimum(p1, p2) + 1 + left >= needed
+            keep &= (low[x] == high[x]) | (mine[x] != mine[y])  # those of one block meet among themselves
+            a, b = x[keep], y[keep]
+            both = np.minimum(words[a], words[b])
+            for u, v in {*zip(words[a[both > 0]].tolist(), words[b[both > 0]].tolist(), strict=True)}:
+                some = np.flatnonzero((words[a] == u) & (words[b] == v))
+                apart = bits_apart(stored[a[some], :u], stored[b[some], :v])
+                n = size[a[some]] + size[b[some]]
+                far = n - apart < 2 * n * (threshold / (1 + threshold) - SLACK)
+                a[some[far]] = -1
+            a, b = a[a >= 0], b[a >= 0]
+            ends_first = np.where(last[a] <= last[b], size[a], size[b])
+            rest = np.ceil(ends_first * threshold - SLACK).astype(np.int64)  # beyond its prefix, and one for rounding
+            left = np.minimum(np.minimum(size[a] - pos[a], size[b] - pos[b]) - 1, rest)
+            made = [np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b]), left, size[a] + size[b]]
+            for column, values in zip(found, made, strict=True):
+                column.append(values)
+        none = [ids[:0], ids[:0], size[:0], size[:0]]
+        arrays = [np.concatenate([empty, *c]) for empty, c in zip(none, found, strict=True)]
+        kinds = [table.schema.field("group_id").type] * 2 + [pa.int64()] * 2
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(arrays, kinds, strict=True)], names=names)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # the list that the next batch may go on with
+        for batch in batches:
+            if not len(batch):
+                continue
+            whole = pa.Table.from_batches([*held, batch])
+            ends = [whole.column(c)[len(whole) - 1].as_py() for c in cell]
+            other = np.zeros(len(whole), bool)
+            for c, end in zip(cell, ends, strict=True):
+                other |= whole.column(c).to_numpy() != end
+            cut = int(other.sum())  # rows are sorted: the last list is at the end
+            if cut:
+                yield pairs(whole.slice(0, cut))
+            held = whole.slice(cut).to_batches()
+        if held:
+            yield pairs(pa.Table.from_batches(held))
 
+    return dealt.mapInArrow(meet, schema)
 
-def prefix_candidates(prefixes: DataFrame, threshold: float) -> DataFrame:
+
+def prefix_candidates(prefixes: DataFrame, threshold: float, list_rows: int | None = None) -> DataFrame:
     """``id1, id2`` of the sets that can still reach the threshold, given what their prefixes share.
 
-    The join keeps pairs of similar size only. Let a pair share c prefix elements. Two bounds on its
-    whole overlap follow. After the last shared element, r elements remain in the set where fewer
-    remain: at most c + r. And in the set whose prefix ends first, every element of the prefix that is
-    not shared is missing from the other set, since the other prefix reaches beyond it: at most c plus
-    the rest of that set, which is ceil(t·n) − 1.
-    ``prefixes`` is read several times: pass a durable table.
+    Let a pair share c prefix elements. Two bounds on its whole overlap follow. After the last shared element,
+    r elements remain in the set where fewer remain: at most c + r. And in the set whose prefix ends first, every
+    element of the prefix that is not shared is missing from the other set, since the other prefix reaches
+    beyond it: at most c plus the rest of that set, which is ceil(t·n) − 1.
     """
-    n1, n2 = F.col("x.size"), F.col("y.size")
-    similar_size = F.least(n1, n2) >= F.greatest(n1, n2) * F.lit(threshold) - SLACK
-    behind = F.least(n1 - F.col("x.pos"), n2 - F.col("y.pos")) - 1
-    ends_first = F.when(F.col("x.last") <= F.col("y.last"), n1).otherwise(n2)
-    rest = F.ceil(ends_first * F.lit(threshold)) - 1  # not below the true value
-    meetings = pairs_sharing_key(
-        prefixes,
-        ["sort_key"],
-        "group_id",
-        keep=similar_size,
-        carry=[F.least(behind, rest).alias("left"), (n1 + n2).alias("sizes")],
-    )
     needed = F.col("sizes") * F.lit(threshold / (1 + threshold)) - SLACK * F.col("sizes")
     return (
-        meetings.groupBy("id1", "id2")
+        meetings(prefixes, threshold, list_rows)
+        .groupBy("id1", "id2")
         .agg(
             F.count(F.lit(1)).alias("shared"),
             F.min("left").alias("left"),
@@ -136,25 +309,89 @@ def prefix_candidates(prefixes: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def verify(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
-    """Add ``size1, size2, shared, jaccard`` to pairs of groups, from their whole shingle sets.
+def _verified_in_blocks(pairs: DataFrame, texts: DataFrame, k: int, block_sets: int, threshold: float) -> DataFrame:
+    """``pairs`` with sizes and overlap, of groups whose sets fit an array each.
 
-    Only the sets of documents that occur in a pair are built, and a document in many pairs is salted.
-    ``pairs`` and ``texts`` are read several times: pass durable tables.
+    Groups are dealt over blocks, and a set goes once to each two blocks that have a pair with it between them, however many
+    such pairs there are. With a ``threshold`` above 0, pairs that bitmaps rule out are left out.
     """
     ids = durable(pairs.select(F.explode(F.array("id1", "id2")).alias("group_id")).distinct(), "ids")
-    sets = durable(sets_of(texts, k, ids), "sets")
-    counted = (
-        beside_pairs(pairs, sets, "shingles", "size")
-        .withColumn("shared", F.size(F.array_intersect("shingles1", "shingles2")))
-        .drop("shingles1", "shingles2")
+    blocks = max(1, math.ceil(ids.count() / block_sets))
+    block1, block2 = (F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int") for c in ("id1", "id2"))
+    cell = ["low", "high"]
+    dealt = pairs.withColumns({"low": F.least(block1, block2), "high": F.greatest(block1, block2)})
+    place = [F.col(c).alias(f"{c}_cell") for c in cell]
+    wanted = dealt.select(*place, F.explode(F.array("id1", "id2")).alias("group_id")).distinct()
+    sets = lookup_semi(texts.select("group_id", "normalized"), ids, ["group_id"]).select(
+        "group_id", shingle_lists(k).alias("shingles")
     )
-    # written, since a filter on the similarity would move into the join and intersect anew there
-    checked = durable(counted, "verified")
+    sets = durable(sets, "sets")
+    shipped = salted_join(wanted, sets.hint("merge"), ["group_id"], block_sets)
+
+    def check(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids = right.column("group_id").to_numpy()
+        lists = right.column("shingles").combine_chunks()
+        sizes = lists.value_lengths().to_numpy().astype(np.int64)
+        flat, ends = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(sizes)])
+        order = np.argsort(ids)
+        id1, id2 = (left.column(c).to_numpy() for c in ("id1", "id2"))
+        a, b = (order[np.searchsorted(ids[order], c)] for c in (id1, id2))
+        if threshold and len(a):
+            held = bitmaps(flat, sizes, CELL_WORDS)
+            n = sizes[a] + sizes[b]
+            kept = n - bits_apart(held[a], held[b]) >= 2 * n * (threshold / (1 + threshold) - SLACK)
+            id1, id2, a, b = id1[kept], id2[kept], a[kept], b[kept]
+        shared = np.zeros(len(a), np.int64)
+        for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+            first, second = flat[ends[x] : ends[x + 1]], flat[ends[y] : ends[y + 1]]
+            at = np.searchsorted(second, first)
+            shared[i] = np.count_nonzero(second[np.minimum(at, len(second) - 1)] == first) if len(second) else 0
+        kind = right.schema.field("group_id").type
+        made = [pa.array(id1, kind), pa.array(id2, kind), *map(pa.array, (sizes[a], sizes[b], shared))]
+        return pa.table(dict(zip(("id1", "id2", "size1", "size2", "shared"), made, strict=True)))
+
+    both = dealt.groupBy(*cell).cogroup(shipped.groupBy("low_cell", "high_cell"))
+    kind = id_kind(texts)
+    schema = f"id1 {kind}, id2 {kind}, size1 bigint, size2 bigint, shared bigint"
+    checked = durable(both.applyInArrow(check, schema), "verified")
     release(ids, sets)
-    return checked.withColumn(
-        "jaccard", jaccard_of_counts(F.col("shared"), F.col("size1"), F.col("size2"))
-    )
+    return checked
+
+
+def _verified_by_rows(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """``pairs`` with sizes and overlap, of groups some of which have more shingles than an array may hold."""
+    ids = durable(pairs.select(F.explode(F.array("id1", "id2")).alias("group_id")).distinct(), "ids")
+    rows = durable(set_rows(lookup_semi(texts.select("group_id", "normalized"), ids, ["group_id"]), k), "rows")
+    sizes = rows.groupBy("group_id").agg(F.count(F.lit(1)).alias("size"))
+    firsts = rows.withColumnRenamed("group_id", "id1").join(broadcast_if_small(durable(pairs, "pairs")), "id1")
+    shared = firsts.join(rows.withColumnRenamed("group_id", "id2"), ["id2", "shingle"])
+    shared = shared.groupBy("id1", "id2").agg(F.count(F.lit(1)).alias("shared"))
+    found = pairs.join(shared, ["id1", "id2"], "left")
+    for i in ("1", "2"):
+        found = found.join(sizes.select(F.col("group_id").alias(f"id{i}"), F.col("size").alias(f"size{i}")), f"id{i}", "left")
+    filled = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("size1", "size2", "shared")]
+    return durable(found.select("id1", "id2", *filled), "verified")
+
+
+def verify(pairs: DataFrame, texts: DataFrame, k: int, threshold: float = 0.0, block_sets: int = BLOCK_SETS) -> DataFrame:
+    """Add ``size1, size2, shared, jaccard`` to pairs of groups, from their whole shingle sets.
+
+    Only the sets of documents that occur in a pair are built. Pairs with a long text are compared by rows. With a
+    ``threshold`` some pairs below it are left out early. ``pairs`` and ``texts`` are read several times: pass durable tables.
+    """
+    long = long_texts(texts, k).select("group_id")
+    if long.isEmpty():
+        checked = _verified_in_blocks(pairs, texts, k, block_sets, threshold)
+    else:
+        marked, long = pairs, durable(long, "long")
+        for i in ("1", "2"):
+            names = broadcast_if_small(long).withColumnRenamed("group_id", f"id{i}").withColumn(f"long{i}", F.lit(True))
+            marked = marked.join(names, f"id{i}", "left")
+        marked = durable(marked.withColumn("by_rows", F.coalesce("long1", "long2", F.lit(False))), "marked")
+        short = marked.filter("not by_rows").select("id1", "id2")
+        checked = _verified_in_blocks(short, texts, k, block_sets, threshold)
+        checked = checked.unionByName(_verified_by_rows(marked.filter("by_rows").select("id1", "id2"), texts, k))
+    return checked.withColumn("jaccard", jaccard_of_counts(F.col("shared"), F.col("size1"), F.col("size2")))
 
 
 def similar_pairs(texts: DataFrame, k: int, threshold: float) -> DataFrame:
@@ -164,7 +401,9 @@ def similar_pairs(texts: DataFrame, k: int, threshold: float) -> DataFrame:
     """
     check_threshold(threshold)
     ranks = bucket_ranks(texts, k)
-    prefixes = durable(prefix_rows(sets_of(texts, k), ranks, threshold), "prefixes")
+    long = long_texts(texts, k)
+    long = None if long.isEmpty() else durable(set_rows(long, k), "long")
+    prefixes = durable(prefix_rows(texts, k, ranks, threshold, long), "prefixes")
     candidates = durable(prefix_candidates(prefixes, threshold), "candidates")
-    release(prefixes)
-    return verify(candidates, texts, k).filter(F.col("jaccard") >= threshold)
+    release(prefixes, *([] if long is None else [long]))
+    return verify(candidates, texts, k, threshold).filter(F.col("jaccard") >= threshold)

@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.functions.minhash import band_keys, band_plan, minhash
-from sparkmine.functions.text import shingle_hashes
+from sparkmine.functions.minhash import band_keys, band_plan, text_signature
 from sparkmine.operators.documents import beside_pairs
 from sparkmine.operators.skew import pairs_sharing_key, salted_join
 
 
 def signatures(texts: DataFrame, k: int, n: int = 100) -> DataFrame:
     """Add ``signature`` to ``texts`` with a ``normalized`` column, which goes. Nothing is shuffled."""
-    hashes = shingle_hashes(F.col("normalized"), k)
-    return texts.withColumn("signature", minhash(hashes, n)).drop("normalized")
+    return texts.withColumn("signature", text_signature(F.col("normalized"), k, n)).drop("normalized")
 
 
 def banded_groups(

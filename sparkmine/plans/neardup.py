@@ -16,9 +16,10 @@ from sparkmine.operators.documents import (
     group_members,
     group_texts,
     normalized_documents,
+    set_statistics,
     with_copies,
 )
-from sparkmine.operators.jaccard_join import check_threshold, similar_pairs, verify
+from sparkmine.operators.jaccard_join import check_threshold, shingle_frequencies, similar_pairs, verify
 from sparkmine.operators.skew import lookup_semi
 from sparkmine.operators.storage import durable
 
@@ -67,6 +68,16 @@ class NearDuplicates:
         """``doc_id, group_id, copies``."""
         return group_members(self._normalized, self.groups)
 
+    @cached_property
+    def statistics(self) -> DataFrame:
+        """``doc_id, n_chars, n_shingles, min_hash, max_hash, sum_hash`` of every document's shingle set."""
+        return set_statistics(self._normalized, self.k)
+
+    @cached_property
+    def frequencies(self) -> DataFrame:
+        """``shingle, docs``."""
+        return shingle_frequencies(self._normalized, self.k)
+
     @cached_property
     def signatures(self) -> DataFrame:
         """``doc_id, signature`` for every document."""
@@ -88,19 +99,17 @@ class NearDuplicates:
         """``id1, id2``: pairs of groups that share a bucket."""
         return durable(lsh.candidate_pairs(self.band_rows, self.block_rows), "candidates")
 
-    @cached_property
-    def _checked(self) -> DataFrame:
-        return verify(self.candidates, self.texts, self.k)
-
     @cached_property
     def verified(self) -> DataFrame:
         """Every candidate with its exact similarity and ``is_similar``, for judging the candidates."""
-        return with_copies(quality.label(self._checked, self.threshold), self.banded)
+        checked = verify(self.candidates, self.texts, self.k)
+        return with_copies(quality.label(checked, self.threshold), self.banded)
 
     @cached_property
     def similar(self) -> DataFrame:
         """The job's result: candidates that are similar."""
-        found = self._checked.filter(F.col("jaccard") >= self.threshold)
+        checked = verify(self.candidates, self.texts, self.k, self.threshold)
+        found = checked.filter(F.col("jaccard") >= self.threshold)
         return with_copies(found, self.banded)
 
     @cached_property

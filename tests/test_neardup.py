@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 import zlib
 
@@ -6,11 +7,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sparkmine.functions import text
 from sparkmine.functions.minhash import EMPTY, band_plan
-from sparkmine.operators import lsh
-from sparkmine.operators.documents import normalized_documents
-from sparkmine.operators import skew, storage
-from sparkmine.operators.jaccard_join import BUCKET_BITS, prefix_of
+from sparkmine.operators import jaccard_join, lsh, skew, storage
+from sparkmine.operators.documents import normalized_documents, set_statistics
+from sparkmine.operators.jaccard_join import BUCKET_BITS, prefixes_of, similar_pairs
 from sparkmine.operators.skew import heavy_keys, pairs_sharing_key, salted_join
 from sparkmine.plans.neardup import NearDuplicates
 from tests import brute
@@ -190,17 +191,123 @@ def test_threshold_is_checked(docs):
 
 def test_prefix_puts_frequent_shingles_last(spark):
     ranks = np.arange(1 << BUCKET_BITS)[::-1].copy()  # the greatest bucket is the rarest
-    top = (1 << BUCKET_BITS) - 1
-    sets = spark.createDataFrame([([7, 8, 1, 5 + (9 << BUCKET_BITS)],), ([],), (None,), ([3],)], "s array<bigint>")
-    rows = [r[0] for r in sets.select(prefix_of(F.col("s"), ranks, 0.25)).collect()]
-    assert rows[0] == [
-        ((top - 8) << 32) + 8,
-        ((top - 7) << 32) + 7,
-        ((top - 5) << 32) + 5 + (9 << BUCKET_BITS),
-        ((top - 1) << 32) + 1,
-    ]
-    assert rows[1:] == [[], [], [((top - 3) << 32) + 3]]
-    assert [len(r[0]) for r in sets.select(prefix_of(F.col("s"), ranks, 0.8)).collect()] == [1, 0, 0, 1]
+    texts = spark.createDataFrame([(1, "abcdefg"), (2, ""), (3, None), (4, "xyzxyz")], "group_id bigint, normalized string")
+    for threshold in (0.25, 0.8):
+        rows = {r.group_id: r for r in prefixes_of(texts, 3, ranks, threshold).collect()}
+        for i, text in ((1, "abcdefg"), (2, ""), (3, ""), (4, "xyzxyz")):
+            shingles = brute.shingle_set(text, 3)
+            keys = sorted((int(ranks[s & ((1 << BUCKET_BITS) - 1)]) << 32) + s for s in shingles)
+            n = len(shingles)
+            assert rows[i].size == n
+            assert rows[i].prefix == keys[: n - math.ceil(threshold * n) + 1 if n else 0]
+            assert not n or rows[i].last == rows[i].prefix[-1]
+
+
+def clusters(rng, count, words=14):
+    """One text with ``count`` near copies, few of which are similar to each other."""
+    base = [f"v{rng.randrange(500)}" for _ in range(words)]
+    out = []
+    for _ in range(count):
+        own = list(base)
+        for at in rng.sample(range(words), rng.choice([1, 2, 2, 3])):
+            own[at] = f"w{rng.randrange(10**6)}"
+        out.append(" ".join(own))
+    return out
+
+
+@pytest.mark.parametrize("ids", [int, str])
+@pytest.mark.parametrize("list_rows", [3, None])
+def test_exact_join_of_near_copies_equals_brute_force(spark, monkeypatch, ids, list_rows):
+    monkeypatch.setattr(jaccard_join, "LIST_ROWS", list_rows or jaccard_join.LIST_ROWS)
+    texts = {ids(i): t for i, t in enumerate(clusters(random.Random(1), 120) + ["", "short", "v1 v2 v3 v4 v5"])}
+    kind = "bigint" if ids is int else "string"
+    frame = storage.durable(spark.createDataFrame(list(texts.items()), f"group_id {kind}, normalized string"))
+    got = {(r.id1, r.id2): (r.size1, r.size2, r.shared) for r in similar_pairs(frame, K, T).collect()}
+    sets = {i: brute.shingle_set(t, K) for i, t in texts.items()}
+    expected = {}
+    for a, b in itertools.combinations(sorted(sets), 2):
+        shared = len(sets[a] & sets[b])
+        if sets[a] and sets[b] and shared / len(sets[a] | sets[b]) >= T:
+            expected[a, b] = (len(sets[a]), len(sets[b]), shared)
+    assert got == expected and expected
+
+
+def test_pairs_that_meet_follow_those_that_are_similar(spark):
+    """In a group of near copies the rows of the join grow with the similar pairs, not with the square of the group."""
+    ratios = []
+    for count in (500, 1000, 2000):
+        texts = dict(enumerate(clusters(random.Random(count), count)))
+        frame = storage.durable(spark.createDataFrame(list(texts.items()), "group_id bigint, normalized string"))
+        ranks = jaccard_join.bucket_ranks(frame, K)
+        prefixes = storage.durable(jaccard_join.prefix_rows(frame, K, ranks, T))
+        found = jaccard_join.meetings(prefixes, T).select("id1", "id2").distinct().count()
+        similar = similar_pairs(frame, K, T).count()
+        ratios.append(found / similar)
+        assert found <= 2 * similar
+    assert max(ratios) <= 1.5 * min(ratios)
+
+
+def test_parity_bitmaps_bound_the_difference():
+    rng = np.random.default_rng(4)
+    for n in (5, 60, 900):
+        a = np.unique(rng.integers(0, 1 << 32, n))
+        b = np.unique(np.append(a[n // 6 :], rng.integers(0, 1 << 32, n // 5)))
+        apart = len(np.setxor1d(a, b))
+        for u, v in ((8, 8), (8, 2), (1, 4)):
+            x = jaccard_join.bitmaps(a, np.array([len(a)]), u)
+            y = jaccard_join.bitmaps(b, np.array([len(b)]), v)
+            got = jaccard_join.bits_apart(x, y)[0]
+            assert got <= apart and got % 2 == apart % 2
+
+
+def test_sets_go_once_to_each_two_blocks(spark, monkeypatch):
+    """All pairs of 60 groups: with blocks of 10 groups a set is shipped some six times, not 59 times."""
+    texts = {i: f"some words and number {i}" for i in range(60)}
+    frame = storage.durable(spark.createDataFrame(list(texts.items()), "group_id bigint, normalized string"))
+    pairs = storage.durable(spark.createDataFrame(list(itertools.combinations(range(60), 2)), "id1 bigint, id2 bigint"))
+    joined, shipped = jaccard_join.salted_join, []
+
+    def counted(*given):
+        shipped.append(joined(*given).count())
+        return joined(*given)
+
+    monkeypatch.setattr(jaccard_join, "salted_join", counted)
+    got = {(r.id1, r.id2): r.shared for r in jaccard_join.verify(pairs, frame, K, block_sets=10).collect()}
+    sets = {i: brute.shingle_set(t, K) for i, t in texts.items()}
+    assert got == {(a, b): len(sets[a] & sets[b]) for a, b in itertools.combinations(range(60), 2)}
+    assert shipped[0] <= 60 * 6
+
+
+def test_long_texts_are_never_one_array(spark, monkeypatch):
+    """Texts above the bound take the way of rows; results are those of arrays."""
+    rng = random.Random(8)
+    base = " ".join(f"w{rng.randrange(400)}" for _ in range(300))
+    texts = [base, base + " and a tail", base[:-40] + "x", "short text of words", base[: len(base) // 2], "", "ab", base[5:] + " é漢"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+
+    def results():
+        job = NearDuplicates(docs, k=K, n=N, threshold=T)
+        frames = (job.true_pairs, job.similar, job.verified, job.statistics, job.frequencies)
+        return [sorted(map(tuple, f.collect()), key=str) for f in frames]
+
+    expected = results()
+    assert len(expected[0]) >= 6
+    monkeypatch.setattr(text, "PIECE_CHARS", 100)
+    cut = docs.select(F.col("doc_id"), F.col("text").alias("normalized"))
+    widest = text.pieces(cut, K).select(F.max(F.size(text.shingle_set(F.col("normalized"), K)))).first()[0]
+    assert widest <= 100
+    assert results() == expected
+
+
+def test_a_text_of_fifty_megabytes(spark):
+    """Its shingles come in pieces; no array of it is longer than a piece."""
+    unit = "".join(random.Random(1).choice("abcdefgh ") for _ in range(5000))
+    docs = spark.createDataFrame([(1, unit)], "doc_id bigint, unit string")
+    docs = docs.select("doc_id", F.repeat("unit", 10_000).alias("normalized"))
+    cut = text.pieces(docs, K).select(F.length("normalized").alias("n"))
+    assert cut.agg(F.max("n"), F.count("n")).first()[:] == (text.PIECE_CHARS + K - 1, math.ceil((50_000_000 - K + 1) / text.PIECE_CHARS))
+    row = set_statistics(docs, K).first()
+    assert (row.n_chars, row.n_shingles) == (50_000_000, len(brute.shingle_set(unit * 2, K)))
 
 
 def test_more_heavy_keys_than_the_first_tier_lists(spark, monkeypatch):
