@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from sparkmine.operators.order import number_rows
 from sparkmine.operators import skew
-from sparkmine.operators.skew import ARRAY_ROWS, heavy_keys, salted_join
+from sparkmine.operators.colours import colours_for, triangles_by_colour
+from sparkmine.operators.skew import heavy_keys, salted_join
 from sparkmine.operators.storage import durable
 
 
@@ -71,33 +72,12 @@ def _with_degrees(edges: DataFrame, degrees: DataFrame) -> DataFrame:
     return salted_join(half, of_b, ["b"], heavy=heavy_keys(edges, ["b"], skew.SALT_ROWS))
 
 
-def oriented(edges: DataFrame) -> DataFrame:
-    """``lo, hi``: each edge from its end of lower degree to the other; ties go by node.
+def exact_triangles(edges: DataFrame, colours: int | None = None) -> DataFrame:
+    """One row ``triangles``, by colours of nodes: as many as the number of edges asks for, unless given.
 
-    No node then has more than sqrt(2·edges) outgoing edges, hubs included.
+    ``edges`` is read twice: pass a durable table.
     """
-    a_first = F.struct("da", "a") < F.struct("db", "b")
-    return _with_degrees(edges, node_degrees(edges)).select(
-        F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("lo"),
-        F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("hi"),
-    )
-
-
-def exact_triangles(edges: DataFrame) -> DataFrame:
-    """One row ``triangles``.
-
-    Per oriented edge, the common outgoing neighbours of its ends. The lists are short by the
-    orientation, and no row is made per pair of neighbours. A hub ends many oriented edges; those are
-    salted. ``edges`` is read several times: pass a durable table.
-    """
-    arcs = durable(oriented(edges), "arcs")
-    out = arcs.groupBy("lo").agg(F.collect_list("hi").alias("out"))
-    of_lo = out.select("lo", F.col("out").alias("out_lo")).hint("merge")
-    of_hi = out.select(F.col("lo").alias("hi"), F.col("out").alias("out_hi")).hint("merge")
-    hubs = heavy_keys(arcs, ["hi"], ARRAY_ROWS)  # each of these rows carries a list
-    closed = salted_join(arcs.join(of_lo, "lo"), of_hi, ["hi"], ARRAY_ROWS, hubs)
-    shared = F.size(F.array_intersect("out_lo", "out_hi")).cast("bigint")
-    return closed.agg(F.coalesce(F.sum(shared), F.lit(0)).alias("triangles"))
+    return triangles_by_colour(edges, colours or colours_for(edges.count()))
 
 
 def common_neighbors(edges: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.operators.itemsets import check_share
-from sparkmine.operators.storage import durable
+from sparkmine.operators.skew import lookup_join
+from sparkmine.operators.storage import durable, small
 
 
-def _confident(rows: DataFrame, counts: DataFrame, min_confidence: float) -> DataFrame:
+def _confident(rows: DataFrame, counts: DataFrame, fits: bool, min_confidence: float) -> DataFrame:
+    """Rules that reach the confidence. Counts too many to broadcast are joined with salts: an item may be in all rules."""
     known = counts.select(F.col("itemset").alias("antecedent"), F.col("cnt").alias("antecedent_cnt"))
+    split = rows.withColumn("antecedent", F.array_except("itemset", "consequent"))
     return (
-        rows.withColumn("antecedent", F.array_except("itemset", "consequent"))
-        .join(known, "antecedent")
+        lookup_join(split, known, ["antecedent"], fits=fits)
         .withColumn("confidence", F.col("cnt") / F.col("antecedent_cnt"))
         .filter(F.col("confidence") >= F.lit(float(min_confidence)))
         .select("itemset", "cnt", "antecedent", "consequent", "confidence")
@@ -28,10 +30,11 @@ def confident_splits(itemsets: DataFrame, max_k: int, min_confidence: float) ->
     Adding only items above the largest reaches each consequent once. The work follows the number of
     rules, not the number of subsets.
     """
-    counts = itemsets.select("itemset", "cnt")
+    counts = durable(itemsets.select("itemset", "cnt"), "counts")
+    fits = small(counts)
     start = counts.filter(F.size("itemset") > 1).withColumn("item", F.explode("itemset"))
     grown = start.select("itemset", "cnt", F.array("item").alias("consequent"))
-    passed = _confident(grown, counts, min_confidence)
+    passed = _confident(grown, counts, fits, min_confidence)
     found = None
     for size in range(1, max_k):
         passed = durable(passed, f"rules{size}")
@@ -44,7 +47,7 @@ def confident_splits(itemsets: DataFrame, max_k: int, min_confidence: float) ->
             .filter(F.col("item") > F.element_at("consequent", -1))
             .select("itemset", "cnt", F.concat("consequent", F.array("item")).alias("consequent"))
         )
-        passed = _confident(grown, counts, min_confidence)
+        passed = _confident(grown, counts, fits, min_confidence)
     return passed.limit(0) if found is None else found
 
 
@@ -57,9 +60,9 @@ def association_rules(
     """
     check_share("min_confidence", min_confidence)
     splits = confident_splits(itemsets, max_k, min_confidence)
-    known = itemsets.select(F.col("itemset").alias("consequent"), F.col("cnt").alias("consequent_cnt"))
+    known = durable(itemsets.select(F.col("itemset").alias("consequent"), F.col("cnt").alias("consequent_cnt")), "counts")
     share = F.col("consequent_cnt") / F.lit(n_baskets)
-    return splits.join(known, "consequent").select(
+    return lookup_join(splits, known, ["consequent"]).select(
         "antecedent",
         "consequent",
         F.col("cnt").alias("support_cnt"),

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BROADCAST_BYTES = 32 << 20  # of a table in memory
+BROADCAST_BYTES = 64 << 20  # of a table in memory
+ROW_BYTES = 48  # that a row takes besides its values in a broadcast table
 FOLDER = "spark.checkpoint.dir"
 
 
@@ -128,7 +129,7 @@ def _width(column: Column, kind: T.DataType) -> Column:
         return F.lit(32) + F.coalesce(inner.cast("bigint"), F.lit(0))
     if isinstance(kind, T.StringType | T.BinaryType):
         return F.lit(32) + F.coalesce(F.octet_length(column), F.lit(0))
-    return F.lit(16)
+    return F.lit(8)
 
 
 def small(table: DataFrame, most: int | None = None) -> bool:
@@ -139,7 +140,7 @@ def small(table: DataFrame, most: int | None = None) -> bool:
     most = BROADCAST_BYTES if most is None else most
     if stored_bytes(table) > most:
         return False
-    total: Column = F.lit(0).cast("bigint")
+    total: Column = F.lit(ROW_BYTES).cast("bigint")
     for field in table.schema:
         total = total + _width(F.col(field.name), field.dataType)
     return table.agg(F.coalesce(F.sum(total), F.lit(0))).first()[0] <= most

@@ -1,6 +1,7 @@
 import hashlib
 import itertools
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from sparkmine.functions.draws import uniform
 from sparkmine.operators import edges as ops
 from sparkmine.operators import triangles
+from sparkmine.operators.colours import colours_for
 from sparkmine.operators.order import first_n, number_rows, running_total, shuffled_order
 from sparkmine.operators.reservoir import Run, lifetimes, replacement_log, sample_at
 from sparkmine.operators.storage import durable
@@ -114,17 +116,34 @@ def test_exact_triangles(spark, edges):
     assert ops.exact_triangles(stream(spark, edges)).first().triangles == brute.triangles(edges)
 
 
-def test_exact_triangles_with_salts(spark, monkeypatch):
-    monkeypatch.setattr("sparkmine.operators.skew.SALT_ROWS", 2)
-    monkeypatch.setattr(ops, "ARRAY_ROWS", 2)
-    edges = dense_graph()
-    assert ops.exact_triangles(stream(spark, edges)).first().triangles == brute.triangles(edges)
-
-
-def test_no_hub_has_many_outgoing_edges(spark):
-    edges = [(0, i) for i in range(1, 200)] + dense_graph()
-    out = ops.oriented(stream(spark, sorted(set(edges)))).groupBy("lo").count()
-    assert out.agg(F.max("count")).first()[0] ** 2 <= 2 * len(set(edges))
+@pytest.mark.parametrize("colours", [1, 2, 3, 7])
+def test_exact_triangles_by_colours(spark, colours):
+    edges = dense_graph() + [(100, i) for i in range(24)] + [(200, 201)]
+    assert ops.exact_triangles(stream(spark, edges), colours).first().triangles == brute.triangles(edges)
+
+
+def test_nodes_may_be_names(spark):
+    named = [(f"n{a}", f"n{b}") for a, b in dense_graph()]
+    edges = spark.createDataFrame([(min(e), max(e)) for e in named], "a string, b string")
+    assert ops.exact_triangles(durable(edges), 3).first().triangles == brute.triangles(dense_graph())
+
+
+def test_a_hub_is_spread_over_places(spark):
+    """A node that is in every third edge: no place has much more than its share, and no list travels with an edge."""
+    rng = random.Random(6)
+    edges = {(0, i) for i in range(1, 1501)} | {tuple(sorted(rng.sample(range(1, 1501), 2))) for _ in range(3000)}
+    frame = stream(spark, sorted(edges))
+    colours = colours_for(len(edges), place_edges=200)
+    found = ops.exact_triangles(frame, colours)
+    assert found.first().triangles == brute.triangles(sorted(edges))
+    plan = found._jdf.queryExecution().toString()
+    assert "collect_list" not in plan and "array<" not in plan.split("Exchange")[1]
+    places = Counter()
+    colour = {r.n: r.c for r in spark.range(1501).selectExpr("id n", f"pmod(xxhash64(id), {colours}) c").collect()}
+    for a, b in edges:
+        for third in range(colours):
+            places[tuple(sorted((colour[a], colour[b], third)))] += 1
+    assert max(places.values()) <= 1200 and sum(places.values()) == colours * len(edges)
 
 
 # reservoir
