@@ -2,20 +2,25 @@
 
 An itemset is a sorted array without repeats. Baskets are reduced before any level is counted: only
 frequent items are kept, which bounds a basket by the number of frequent items however long it was,
-and equal baskets become one row with a weight. A level then is a scan of the reduced baskets, a chain
-of joins that extends prefixes inside each basket, and one aggregation that combines on the map side.
+and equal baskets become one row with a weight. They are kept as vertical bitmaps, and a level is a pass over these with
+candidates that its tasks know. From a level on whose candidates are too many to broadcast, a level is a scan of the reduced
+baskets, a chain of joins that extends prefixes inside each basket, and one aggregation that combines on the map side.
 """
 
 from __future__ import annotations
 
 import itertools
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.operators.skew import lookup_join, lookup_semi
+from sparkmine.operators import vertical
+from sparkmine.operators.skew import lookup_join, lookup_semi, pairs_sharing_key
 from sparkmine.operators.storage import durable, release, small
 
+CANDIDATE_ITEMS = 1 << 22  # items of all candidates of a level that tasks are told, four bytes each
+
 
 def check_share(name: str, value: float) -> float:
     if not 0 < value <= 1:
@@ -76,12 +81,13 @@ def _prefix(itemset: str) -> Column:
 
 
 def joined_candidates(level: DataFrame) -> DataFrame:
-    """Itemsets one longer, from two frequent ones that differ in the last item only."""
-    split = level.select(_prefix("itemset").alias("prefix"), F.element_at("itemset", -1).alias("last"))
-    a, b = split.alias("a"), split.alias("b")
-    return a.join(
-        b, (F.col("a.prefix") == F.col("b.prefix")) & (F.col("a.last") < F.col("b.last"))
-    ).select(F.concat("a.prefix", F.array("a.last", "b.last")).alias("itemset"))
+    """Itemsets one longer, from two frequent ones that differ in the last item only.
+
+    Itemsets that share a prefix with very many others are joined block against block.
+    """
+    split = durable(level.select(_prefix("itemset").alias("prefix"), F.element_at("itemset", -1).alias("last")), "split")
+    pairs = pairs_sharing_key(split, ["prefix"], "last", carry=[F.col("x.prefix").alias("prefix")])
+    return pairs.select(F.concat("prefix", F.array("id1", "id2")).alias("itemset"))
 
 
 def pruned_candidates(level: DataFrame, k: int) -> DataFrame:
@@ -98,7 +104,7 @@ def pruned_candidates(level: DataFrame, k: int) -> DataFrame:
             )
         ).alias("subset"),
     )
-    present = subsets.join(level.select(F.col("itemset").alias("subset")), "subset", "left_semi")
+    present = lookup_join(subsets, durable(level.select(F.col("itemset").alias("subset")), "subsets"), ["subset"])
     return present.groupBy("itemset").count().filter(F.col("count") == k).select("itemset")
 
 
@@ -152,32 +158,68 @@ def frequent_levels(
     if level.isEmpty():
         return {}
     levels = {1: level}
-    steps: list[tuple[DataFrame, bool]] = []
-    baskets = None
+    if max_k == 1:
+        return levels
+    baskets = reduced_baskets(items, level)
+    if partitions:
+        baskets = baskets.repartition(partitions, "items")
+    baskets = durable(baskets, "baskets")
+    done = _count_by_bitmaps(baskets, levels, min_count, max_k) if small(level) else False
+    if not done:
+        _count_by_joins(baskets, levels, min_count, max_k)
+    release(baskets)
+    return levels
+
+
+def _count_by_bitmaps(
+    baskets: DataFrame, levels: dict[int, DataFrame], min_count: float, max_k: int | None
+) -> bool:
+    """Add to ``levels`` while the candidates of a level are few enough to broadcast; whether that was to the end."""
+    spark = baskets.sparkSession
+    schema = levels[1].schema
+    names = sorted(r.item for r in levels[1].select(F.col("itemset")[0].alias("item")).collect())
+    ranges = durable(vertical.bitmap_ranges(baskets, names), "ranges")
+    level = [(i,) for i in range(len(names))]
     for k in itertools.count(2):
+        if max_k is not None and k > max_k:
+            break
+        if vertical.joined(level) * k > CANDIDATE_ITEMS:
+            release(ranges)
+            return False
+        candidates = vertical.grown(level)
+        if not candidates:
+            break
+        counted = at_least(vertical.candidate_counts(ranges, np.array(candidates, np.int32)), min_count).collect()
+        found = sorted((candidates[r.candidate], r.cnt) for r in counted)
+        if not found:
+            break
+        rows = [([names[i] for i in itemset], cnt) for itemset, cnt in found]
+        levels[k] = durable(spark.createDataFrame(rows, schema), f"level{k}")
+        level = [itemset for itemset, _ in found]
+    release(ranges)
+    return True
+
+
+def _count_by_joins(
+    baskets: DataFrame, levels: dict[int, DataFrame], min_count: float, max_k: int | None
+) -> None:
+    """Add the levels that are not in ``levels`` yet."""
+    steps = [(levels[k], small(levels[k])) for k in sorted(levels) if k > 1]
+    for k in itertools.count(len(levels) + 1):
         if max_k is not None and k > max_k:
             break
         if k == 2:
-            baskets = reduced_baskets(items, level)
-            if partitions:
-                baskets = baskets.repartition(partitions, "items")
-            baskets = durable(baskets, "baskets")
             counts = pair_counts(baskets)
         else:
-            candidates = durable(pruned_candidates(level, k), f"candidates{k}")
+            candidates = durable(pruned_candidates(levels[k - 1], k), f"candidates{k}")
             if candidates.isEmpty():
                 break
             counts = candidate_counts(baskets, [*steps, (candidates, small(candidates))])
         level = durable(at_least(counts, min_count), f"level{k}")
-        if k > 2:
-            release(candidates)
         if level.isEmpty():
             break
         levels[k] = level
         steps.append((level, small(level)))
-    if baskets is not None:
-        release(baskets)
-    return levels
 
 
 def no_itemsets(items: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ END_BLANKS = r"(?U)^[\s\x{1c}-\x{1f}]+|[\s\x{1c}-\x{1f}]+$"
 
 PREFIX = "sms_"  # fixed value: what document ids begin with
 
+ARRIVAL_ORDER = ["file_time", "file_path", "block_start"]  # of the splits of a file stream
 LINE_ORDER = ["file_path", "block_start", "line_no"]  # a total order: file, split, line in the split
 
 
@@ -90,16 +91,37 @@ def edge_lines(spark: SparkSession, path: str, skip_bad: bool = False) -> DataFr
     A token that is no number fails the query, or with ``skip_bad`` drops the line.
     Self-loops stay; :func:`sparkmine.operators.edges.canonical_edges` drops them.
     """
-    lines = read_lines(spark, path).filter(~F.col("line").startswith("#"))
+    return _edges_of(read_lines(spark, path), LINE_ORDER, skip_bad)
+
+
+def _edges_of(lines: DataFrame, order: list[str], skip_bad: bool) -> DataFrame:
+    """``u, v`` and ``order`` of the lines that are edges."""
     tokens = F.split(F.col("line"), BLANKS)
-    pairs = lines.filter(F.size(tokens) >= 2).select(
-        tokens[0].alias("u"), tokens[1].alias("v"), *LINE_ORDER
-    )
+    pairs = lines.filter(~F.col("line").startswith("#")).filter(F.size(tokens) >= 2)
+    pairs = pairs.select(tokens[0].alias("u"), tokens[1].alias("v"), *order)
     if skip_bad:
         ends = [F.col(c).try_cast("bigint").alias(c) for c in ("u", "v")]
-        return pairs.select(*ends, *LINE_ORDER).dropna(subset=["u", "v"])
+        return pairs.select(*ends, *order).dropna(subset=["u", "v"])
     ends = [F.col(c).cast("bigint").alias(c) for c in ("u", "v")]
-    return pairs.select(*ends, *LINE_ORDER)
+    return pairs.select(*ends, *order)
+
+
+def edge_line_stream(spark: SparkSession, path: str, skip_bad: bool = False, files: int | None = None) -> DataFrame:
+    """A stream of ``u, v`` and :data:`ARRIVAL_ORDER` from files as :func:`edge_lines` reads them, as they come.
+
+    ``files`` is how many of them a micro-batch takes at most. A stream cannot number lines; rows of a micro-batch lie in the
+    order of their lines within each split.
+    """
+    reader = spark.readStream.schema("value string")
+    if files is not None:
+        reader = reader.option("maxFilesPerTrigger", files)
+    lines = reader.text(path).select(
+        strip(F.col("value")).alias("line"),
+        F.col("_metadata.file_modification_time").alias("file_time"),
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+    )
+    return _edges_of(lines, ARRIVAL_ORDER, skip_bad)
 
 
 def preview(numbered: DataFrame, rows: int = 5, name: str = "t") -> DataFrame:

@@ -4,22 +4,29 @@ The reservoir and the totals are small tables kept per micro-batch. A batch read
 before it, joins its new edges with the reservoir, and writes its own state under its batch id. A batch
 that runs again after a failure therefore gives the same result and nothing is counted twice. Only the
 states of the last two batches are kept.
+
+Positions come with the stream, or are given here: the lines of a micro-batch are numbered in order, from where the batch
+before ended.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from sparkmine.operators import triangles
+from sparkmine.operators.edges import canonical_edges
 from sparkmine.operators.order import number_rows
 from sparkmine.operators.reservoir import Run, lifetimes, sample_at
 from sparkmine.operators.storage import Workspace, durable, names_below, remove
+from sparkmine.sources.text import ARRIVAL_ORDER
 
 TOTALS = "edges bigint, last_pos bigint, estimate double"
+EDGES = "a bigint, b bigint"
 SLOTS = "run int, size int, slot bigint, t_in bigint, a bigint, b bigint"
 
 
@@ -64,14 +71,50 @@ class TriangleState:
         """
         previous = max(i for i in self.batches() if i < batch_id)
         with Workspace(self.spark):
-            self._advance(first_arrivals, batch_id, previous, self._read(previous).first())
+            before = self._read(previous).first()
+            fresh = first_arrivals.filter(F.col("pos") > before.last_pos)
+            self._advance(fresh, batch_id, previous, before)
+        self._forget(previous)
+
+    def update_lines(self, lines: DataFrame, batch_id: int, dedupe: bool = False) -> None:
+        """Process the lines of one batch of a file stream: ``u, v`` and :data:`ARRIVAL_ORDER`.
+
+        Every line has a position, repeats and self-loops too, and positions go on from those of the batch before. With
+        ``dedupe`` the edges of each batch are kept in a table, and those of earlier batches are repeats.
+        """
+        previous = max(i for i in self.batches() if i < batch_id)
+        with Workspace(self.spark):
+            before = self._read(previous).first()
+            placed = durable(lines.withColumn("line_no", F.monotonically_increasing_id()), "lines")
+            numbered = number_rows(placed, [*ARRIVAL_ORDER, "line_no"], "pos")
+            edges = canonical_edges(numbered.withColumn("pos", F.col("pos") + before.last_pos), "u", "v", ["pos"])
+            edges = edges.select("a", "b", F.col("first.pos").alias("pos"))
+            if dedupe:
+                seen = [self._seen(i) for i in self._seen_batches() if i < batch_id]
+                if seen:
+                    edges = edges.join(self.spark.read.schema(EDGES).parquet(*seen), ["a", "b"], "left_anti")
+                edges = durable(edges, "fresh")
+                edges.select("a", "b").write.mode("overwrite").parquet(self._seen(batch_id))
+            self._advance(edges, batch_id, previous, before, before.last_pos + placed.count())
+        self._forget(previous)
+
+    def _seen(self, batch_id: int) -> str:
+        return f"{self.folder}/seen/batch_id={batch_id}"
+
+    def _seen_batches(self) -> list[int]:
+        return [int(name.partition("=")[2]) for name in names_below(self.spark, f"{self.folder}/seen")]
+
+    def _forget(self, previous: int) -> None:
+        """Remove the states before that of batch ``previous``."""
         for old in self.batches():
             if old < previous:
                 remove(self.spark, self._totals(old))
                 remove(self.spark, self._slots(old))
 
-    def _advance(self, first_arrivals: DataFrame, batch_id: int, previous: int, before: Row) -> None:
-        fresh = first_arrivals.filter(F.col("pos") > before.last_pos)
+    def _advance(
+        self, fresh: DataFrame, batch_id: int, previous: int, before: Row, last_pos: int | None = None
+    ) -> None:
+        """Count new edges ``a, b, pos`` and write the state; ``last_pos`` is their greatest position unless given."""
         numbered = number_rows(fresh, ["pos"], "t").withColumn("t", F.col("t") + before.edges)
         edges = durable(numbered, "arrivals")
         carried = self.spark.read.schema(SLOTS).parquet(self._slots(previous))
@@ -84,7 +127,7 @@ class TriangleState:
         gain = parts.agg(F.sum("gain")).first()[0] or 0.0
         seen, last = edges.agg(F.count(F.lit(1)), F.max("pos")).first()
         sample_at(lives).drop("t_out").write.mode("overwrite").parquet(self._slots(batch_id))
-        after = (before.edges + seen, last or before.last_pos, before.estimate + gain)
+        after = (before.edges + seen, last_pos or last or before.last_pos, before.estimate + gain)
         totals = self.spark.createDataFrame([after], TOTALS)
         totals.write.mode("overwrite").parquet(self._totals(batch_id))  # written last: the commit
 
@@ -112,13 +155,17 @@ def simple_arrivals(arrivals: DataFrame) -> DataFrame:
 def triangle_stream(
     arrivals: DataFrame, state: TriangleState, checkpoint: str, dedupe: bool = False
 ) -> DataStreamWriter:
-    """A writer to start: the stream ``u, v, pos`` is counted into ``state``.
+    """A writer to start: the stream ``u, v`` is counted into ``state``.
 
-    ``pos`` must rise from one micro-batch to the next; within a batch the order is free. A stream in which
+    A stream without ``pos`` is one of :func:`sparkmine.sources.text.edge_line_stream`, whose lines are numbered as they
+    come. Otherwise ``pos`` must rise from one micro-batch to the next; within a batch the order is free. A stream in which
     edges repeat needs ``dedupe``, which remembers every distinct edge; without it the memory is the
     reservoir's, however long the stream.
     """
     state.prepare()
+    if "pos" not in arrivals.columns:
+        update = partial(state.update_lines, dedupe=dedupe)
+        return arrivals.writeStream.option("checkpointLocation", checkpoint).foreachBatch(update)
     edges = first_arrivals(arrivals) if dedupe else simple_arrivals(arrivals)
     return (
         edges.writeStream.outputMode("update" if dedupe else "append")

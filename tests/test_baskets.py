@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkmine.operators import itemsets as ops
 from sparkmine.operators import rules as rule_ops
+from sparkmine.operators import skew, vertical
 from sparkmine.operators.storage import durable
 from sparkmine.plans.baskets import MarketBaskets
 from tests import brute
@@ -42,6 +43,49 @@ def test_itemsets(spark, baskets, support):
     assert found(job) == brute.frequent(baskets, len(baskets) * support)
 
 
+@pytest.mark.parametrize("told", [0, 200])
+def test_itemsets_when_candidates_are_too_many_to_tell(spark, monkeypatch, told):
+    """All levels by joins, or the first ones by bitmaps and the others by joins."""
+    monkeypatch.setattr(ops, "CANDIDATE_ITEMS", told)
+    baskets = random_baskets()
+    job = MarketBaskets(items_of(spark, baskets), 0.02)
+    assert found(job) == brute.frequent(baskets, len(baskets) * 0.02)
+
+
+@pytest.mark.parametrize("limit", ["RANGE", "RANGE_BYTES"])
+def test_baskets_in_many_ranges(spark, monkeypatch, limit):
+    monkeypatch.setattr(vertical, limit, 64)
+    baskets = random_baskets() + ["abc"] * 77 + ["bd"] * 5  # equal baskets are one row with a weight
+    job = MarketBaskets(items_of(spark, baskets), 0.03, partitions=2)
+    assert found(job) == brute.frequent(baskets, len(baskets) * 0.03)
+
+
+def test_an_item_in_every_pair(spark, monkeypatch):
+    """Hot prefix and hot subsets: cut into blocks and salted, the same candidates."""
+    items = [f"i{n:02}" for n in range(30)]
+    pairs = [["a", i] for i in items] + [list(p) for p in zip(items, items[1:], strict=False)]
+    frame = spark.createDataFrame([(p, 1) for p in pairs], "itemset array<string>, cnt bigint")
+    expected = sorted(["a", *p] for p in zip(items, items[1:], strict=False))
+    assert sorted(r[0] for r in ops.pruned_candidates(frame, 3).collect()) == expected
+    monkeypatch.setattr(skew, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(skew, "SALT_ROWS", 3)
+    monkeypatch.setattr(skew, "small", lambda table: False)
+    assert sorted(r[0] for r in ops.pruned_candidates(frame, 3).collect()) == expected
+    assert vertical.grown(sorted(map(tuple, pairs))) == [tuple(c) for c in expected]
+
+
+def test_rules_with_one_item_in_all_itemsets(spark, monkeypatch):
+    """The antecedent's count is looked up for every rule: salted where it is too hot to join and too big to broadcast."""
+    baskets = [f"a{x}{y}" for x in "bcdefgh" for y in "ijk"] * 2
+    job = MarketBaskets(items_of(spark, baskets), 0.01, 0.04)  # pairs are bought with a in one of 21
+    expected = sorted(map(tuple, job.rules.collect()))
+    assert len([r for r in expected if r[0] == ["a"]]) > 20
+    monkeypatch.setattr(skew, "SALT_ROWS", 3)
+    monkeypatch.setattr(rule_ops, "small", lambda table: False)
+    monkeypatch.setattr(skew, "small", lambda table: False)
+    assert sorted(map(tuple, MarketBaskets(items_of(spark, baskets), 0.01, 0.04).rules.collect())) == expected
+
+
 def test_itemsets_equal_fpgrowth(spark):
     baskets = random_baskets()
     frame = spark.createDataFrame([(list(b),) for b in baskets], "items array<string>")

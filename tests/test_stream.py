@@ -1,3 +1,4 @@
+import os
 import random
 from pathlib import Path
 
@@ -5,6 +6,7 @@ import pytest
 
 from sparkmine.operators.reservoir import Run
 from sparkmine.operators.storage import work_dir
+from sparkmine.sources.text import edge_line_stream
 from sparkmine.streaming.triangles import TriangleState, simple_arrivals, triangle_stream
 from tests.test_edges import dense_graph, replay
 
@@ -88,3 +90,51 @@ def test_a_simple_stream_keeps_no_more_with_every_batch(spark, tmp_path):
     arrivals = spark.readStream.schema("u bigint, v bigint, pos bigint").parquet(path)
     plan = simple_arrivals(arrivals)._jdf.queryExecution().logical().toString()
     assert "Aggregate" not in plan and "Deduplicate" not in plan
+
+
+def test_lines_are_numbered_as_they_come(spark, tmp_path):
+    """A stream of text files without positions, stopped and resumed between batches, equals the replay of all lines."""
+    edges = dense_graph()
+    rng = random.Random(5)
+    arrivals = []
+    for e in edges:
+        arrivals.append(e)
+        if rng.random() < 0.4:
+            arrivals.append(tuple(reversed(rng.choice(arrivals))))  # a repeat, perhaps of an earlier batch
+        if rng.random() < 0.1:
+            arrivals.append((e[0], e[0]))
+    run, path, folder = Run(40, 6), tmp_path / "in", str(tmp_path / "state")
+    path.mkdir()
+    state = TriangleState(spark, folder, run)
+    cuts = [0, 25, 25, 100, len(arrivals)]
+    for number, (start, end) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        lines = [f"{u}\t{v}" for u, v in arrivals[start:end]]
+        half = len(lines) // 2
+        for name, part in (("a", lines[:half]), ("b", lines[half:])):  # two files of one batch, in order of name
+            (path / f"{9 - number}{name}.txt").write_text("\n".join(["# edges", *part, ""]))
+            os.utime(path / f"{9 - number}{name}.txt", (1_000_000 + number, 1_000_000 + number))
+        stream = edge_line_stream(spark, str(path))
+        triangle_stream(stream, state, f"{folder}/checkpoint", True).trigger(availableNow=True).start().awaitTermination()
+        after = state.latest().first()
+        assert after.last_pos == end
+        if after.edges:
+            assert after.estimate == pytest.approx(replay(edges, run)[2][after.edges - 1])
+    last = state.latest().first()
+    assert (last.edges, last.estimate) == (len(edges), pytest.approx(replay(edges, run)[0]))
+
+
+def test_a_batch_of_lines_can_run_again(spark, tmp_path):
+    edges = dense_graph()
+    schema = "u bigint, v bigint, file_time timestamp, file_path string, block_start bigint"
+    state = TriangleState(spark, str(tmp_path), Run(30, 6))
+    state.prepare()
+
+    def rows(some, name):
+        return spark.createDataFrame([(u, v, None, name, 0) for u, v in some], schema).coalesce(1)
+
+    state.update_lines(rows(edges[:70], "a"), 0, dedupe=True)
+    state.update_lines(rows(edges[60:], "b"), 1, dedupe=True)
+    before = state.latest().first()
+    state.update_lines(rows(edges[60:], "b"), 1, dedupe=True)
+    assert state.latest().first() == before
+    assert (before.edges, before.estimate) == (len(edges), pytest.approx(replay(edges, Run(30, 6))[0]))
