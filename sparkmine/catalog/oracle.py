@@ -293,7 +293,9 @@ ORACLE["basket_file"] = sql(
     items("p_brand"),
 )
 ORACLE["basket_items"] = sql(
-    "SELECT tid, array_to_string(list_sort(list(item)), '|') AS items FROM items GROUP BY tid",
+    f"""SELECT tid, part, array_to_string(list_sort(list(item)), '|') AS items
+        FROM (SELECT tid, item, (row_number() OVER (PARTITION BY tid ORDER BY item) - 1) // {q.BASKET_PART} AS part FROM items)
+        GROUP BY tid, part""",
     items("p_type"),
 )
 ORACLE["basket_items_support"] = sql(

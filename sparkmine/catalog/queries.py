@@ -28,6 +28,7 @@ SUPPORT = 0.01
 PRUNING_SUPPORT = 0.02  # for queries in which the bound and the subset test remove something
 TINY_BLOCK = 2  # rows of a bucket paired at once, where every bucket shall be cut
 CONFIDENCE = 0.1
+BASKET_PART = 5
 FIRST_DOCS = 500
 SAMPLE = Run(1000, 7)
 SAMPLE_TIME = 3000
@@ -240,7 +241,7 @@ def basket_table(spark, sf_dir, item, with_blanks=False):
     items = order_items(spark, sf_dir, item)
     if with_blanks:
         items = items.withColumn("item", F.regexp_replace("item", " ", "_"))
-    gathered = itemset_ops.gathered(items)
+    gathered = itemset_ops.gathered(items)  # a line of the file is a part: here each basket is one
     return gathered.select("tid", F.array_join("items", "  ").alias("line")) if with_blanks else gathered
 
 
@@ -269,7 +270,9 @@ def baskets(spark, sf_dir, item, max_k=None, support=SUPPORT):
 
 @query
 def basket_items(spark, sf_dir):
-    return itemset_ops.gathered(order_items(spark, sf_dir, "p_type")).select("tid", joined("items"))
+    """Baskets in parts of at most five items."""
+    parts = itemset_ops.gathered(order_items(spark, sf_dir, "p_type"), BASKET_PART)
+    return parts.select("tid", big("part"), joined("items"))
 
 
 @query

@@ -12,13 +12,14 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmine.operators import vertical
 from sparkmine.operators.skew import lookup_join, lookup_semi, pairs_sharing_key
 from sparkmine.operators.storage import durable, release, small
 
+PART_ITEMS = 1_000  # items of a basket in one array
 CANDIDATE_ITEMS = 1 << 22  # items of all candidates of a level that tasks are told, four bytes each
 
 
@@ -38,9 +39,23 @@ def exploded(baskets: DataFrame) -> DataFrame:
     return baskets.select("tid", F.explode(F.array_distinct("items")).alias("item"))
 
 
-def gathered(items: DataFrame) -> DataFrame:
-    """``tid, items`` with sorted items, for reports; a level never needs whole baskets."""
-    return items.groupBy("tid").agg(F.sort_array(F.collect_set("item")).alias("items"))
+def gathered(items: DataFrame, part_items: int = PART_ITEMS) -> DataFrame:
+    """``tid, part, items``: the sorted items of each basket in parts of ``part_items``, numbered from 0.
+
+    For reports; a level never needs whole baskets. No array is longer than a part. Items are put in order by a range sort,
+    so a basket of any length is spread over many tasks; an item's place is its place in its range and what the ranges before
+    hold of the basket.
+    """
+    order = ["tid", "item"]
+    placed = items.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = durable(placed.withColumn("range_no", F.spark_partition_id()), "placed")
+    held = placed.groupBy("tid", "range_no").agg(F.count(F.lit(1)).alias("held"))
+    before = F.sum("held").over(Window.partitionBy("tid").orderBy("range_no")) - F.col("held")
+    cut = held.select("tid", "range_no", before.alias("before")).filter("before > 0")  # one per range, at most
+    place = F.row_number().over(Window.partitionBy("tid", "range_no").orderBy("item")) - 1
+    found = placed.withColumn("place", place).join(F.broadcast(cut), ["tid", "range_no"], "left")
+    part = F.floor((F.col("place") + F.coalesce("before", F.lit(0))) / F.lit(part_items)).cast("int")
+    return found.groupBy("tid", part.alias("part")).agg(F.sort_array(F.collect_list("item")).alias("items"))
 
 
 def basket_count(items: DataFrame) -> int:

@@ -60,6 +60,19 @@ def test_baskets_in_many_ranges(spark, monkeypatch, limit):
     assert found(job) == brute.frequent(baskets, len(baskets) * 0.03)
 
 
+def test_a_basket_of_a_million_items(spark):
+    """Its items come in order, in parts, from many ranges; no array is longer than a part."""
+    long = spark.range(1_000_000).selectExpr("7L tid", "format_string('%07d', id) item")
+    short = spark.createDataFrame([(3, "b"), (3, "a"), (9, "z")], "tid bigint, item string")
+    parts = durable(ops.gathered(long.unionByName(short)))
+    assert parts.agg(F.max(F.size("items"))).first()[0] == ops.PART_ITEMS
+    whole = parts.filter("tid = 7")
+    ends = whole.select("part", F.element_at("items", 1).alias("a"), F.element_at("items", -1).alias("b")).collect()
+    n = ops.PART_ITEMS
+    assert sorted(map(tuple, ends)) == [(i, f"{i * n:07d}", f"{(i + 1) * n - 1:07d}") for i in range(1_000_000 // n)]
+    assert sorted(map(tuple, parts.filter("tid <> 7").collect())) == [(3, 0, ["a", "b"]), (9, 0, ["z"])]
+
+
 def test_an_item_in_every_pair(spark, monkeypatch):
     """Hot prefix and hot subsets: cut into blocks and salted, the same candidates."""
     items = [f"i{n:02}" for n in range(30)]
