@@ -3,7 +3,7 @@
 Level 1 holds the listed keys. Level 2 holds the unlisted keys of the corpus that pass level 1 by
 mistake, level 3 the listed ones that pass level 2, and so on until nothing passes wrongly. A key is
 listed if the first level that stops it has an even number (Larisch et al. 2017). The levels travel as
-constants of the query, so judging needs no join.
+constants of the query, so judging needs no join. A list too long for constants is joined on the key instead.
 """
 
 from __future__ import annotations
@@ -16,7 +16,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_KEYS = 500_000  # listed keys; 2 MB of bits
+from sparkmine.llm.tables import Scratch
+from sparkmine.operators.skew import lookup_join
+
+MAX_KEYS = 500_000  # listed keys in constants: 2 MB of bits; more are joined
 
 
 @dataclass(frozen=True)
@@ -117,7 +120,7 @@ def cascade(universe: DataFrame, listed: Sequence[str]) -> Cascade:
     """
     listed = sorted(set(listed))
     if len(listed) > MAX_KEYS:
-        raise ValueError(f"a cascade takes at most {MAX_KEYS} listed keys")
+        raise ValueError(f"a cascade takes at most {MAX_KEYS} listed keys; judge() joins longer lists")
     if not listed:
         return Cascade(())
     spark = universe.sparkSession
@@ -146,6 +149,8 @@ def judge(pages: DataFrame, rules: Sequence[Rule], default: str = "allow") -> Da
         raise ValueError("two rules with one key must agree")
     parts = with_parts(pages)
     keys = {shape: candidate(shape) for shape in shapes(rules)}
+    if len({r.key for r in rules}) > MAX_KEYS:
+        return _judged_by_join(parts, rules, keys, default)
     exploded = parts.select(F.explode(F.array(*keys.values())).alias("key")) if keys else None
     rule: Column = F.lit(None).cast("string")
     verdict: Column = F.lit(default)
@@ -163,3 +168,24 @@ def judge(pages: DataFrame, rules: Sequence[Rule], default: str = "allow") -> Da
         best = F.array_max(F.array(*found))
         rule, verdict = best["key"], F.coalesce(best["verdict"], F.lit(default))
     return parts.withColumn("rule", rule).withColumn("verdict", verdict)
+
+
+def _judged_by_join(
+    parts: DataFrame, rules: Sequence[Rule], keys: dict[tuple[int, int], Column], default: str
+) -> DataFrame:
+    """:func:`judge` for more rules than a plan can hold; a key that most pages have is salted."""
+    spark, scratch = parts.sparkSession, Scratch(parts.sparkSession)
+    row, number = "row", 0
+    while any(c.lower() == row for c in parts.columns):
+        row, number = f"row_{number}", number + 1
+    rows = scratch.write("rows", parts.withColumn(row, F.monotonically_increasing_id()))
+    tried = F.array(*[F.struct(key.alias("key"), F.lit(shape[0]).alias("labels")) for shape, key in keys.items()])
+    asked = rows.select(row, F.explode(tried).alias("t")).select(row, "t.key", "t.labels").dropna(subset=["key"])
+    listed = spark.createDataFrame([(r.key, r.host.count(".") + 1, r.verdict) for r in rules], "key string, labels int, verdict string")
+    listed = scratch.write("listed", listed.distinct())
+    rated = F.struct(F.length("key").alias("n"), "labels", "key", "verdict")
+    best = lookup_join(asked, listed, ["key", "labels"]).groupBy(row).agg(F.max(rated).alias("best"))
+    best = best.select(row, F.col("best.key").alias("rule"), F.col("best.verdict").alias("verdict"))
+    kept = [c for c in rows.columns if c.lower() not in ("rule", "verdict")]
+    judged = rows.select(*kept).join(best, row, "left").drop(row)
+    return judged.withColumn("verdict", F.coalesce("verdict", F.lit(default)))

@@ -43,7 +43,9 @@ def test_given_rules(spark):
     assert found(spark, urls, URL_RULES) == {i: brute(u, URL_RULES) for i, u in enumerate(urls)}
 
 
-def test_many_rules(spark):
+@pytest.mark.parametrize("most", [url_filter.MAX_KEYS, 50])
+def test_many_rules(spark, monkeypatch, most):
+    monkeypatch.setattr(url_filter, "MAX_KEYS", most)  # above it, rules are joined
     rng = random.Random(4)
     name = lambda: rng.choice("abcdefgh") + rng.choice("xyz")
     rules = {}
