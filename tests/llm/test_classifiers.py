@@ -1,5 +1,6 @@
 """Operators 8 and 10: held-out accuracy, what the models can express, odd rows."""
 
+import math
 import random
 import zlib
 
@@ -45,6 +46,76 @@ def test_quality_on_held_out_rows(spark, small):
     assert area > 0.98 and false < 0.1
 
 
+def recall(result, labels, name):
+    truth = {r.doc_id: r[name] for r in labels.collect()}
+    hits = [r.predicted for r in result.collect() if r.held_out and truth.get(r.doc_id)]
+    return sum(hits) / len(hits)
+
+
+def test_predictions_catch_most_held_out_toxic_rows(spark, small):
+    labels = table(spark, small, "labels")
+    assert recall(toxicity.scored(table(spark, small, "documents"), labels), labels, "toxic") > 0.6
+
+
+def test_score_is_the_sum_over_pairs():
+    """The machine's score against the plain double sum: bias, weights, and a product of vectors for each two terms."""
+    rng = np.random.default_rng(8)
+    index = np.full(toxicity.SLOTS, -1, np.int32)
+    known = rng.permutation(200)[:50]
+    index[known] = np.arange(50)
+    machine = toxicity.Machine(index, -0.3, rng.normal(0, 1, 50), rng.normal(0, 0.5, (50, toxicity.FACTORS)))
+    rows = [np.sort(rng.permutation(200)[: rng.integers(0, 40)]) for _ in range(30)] + [np.empty(0, np.int64)]
+    slot = np.concatenate(rows)
+    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    got = machine.score(slot, owner, len(rows))
+    for row, score in zip(rows, got, strict=True):
+        held = [int(index[t]) for t in row if index[t] >= 0]
+        total = machine.bias + sum(machine.linear[i] for i in held)
+        for n, i in enumerate(held):
+            for j in held[n + 1 :]:
+                total += float(machine.factors[i] @ machine.factors[j])
+        assert score == pytest.approx(1 / (1 + math.exp(-total)))
+
+
+def test_informative_terms_by_plain_counts():
+    """The G statistic of each term from a table of counts, against the one that picks terms."""
+    rng = random.Random(3)
+    labels = np.array([float(i % 3 == 0) for i in range(300)])
+    rows = [{t for t in range(40) if rng.random() < (0.1 + 0.4 * y if t < 10 else 0.2)} for y in labels]
+    slot = np.array([t for r in rows for t in sorted(r)])
+    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+
+    def gain(term):
+        total = 0.0
+        for y in (0.0, 1.0):
+            for said in (True, False):
+                seen = sum((term in r) == said and label == y for r, label in zip(rows, labels, strict=True))
+                both = sum((term in r) == said for r in rows) * sum(label == y for label in labels) / len(rows)
+                total += seen * math.log(seen / both) if seen else 0.0
+        return total
+
+    expected = [t for t in range(40) if gain(t) > toxicity.LEAST_GAIN]
+    assert toxicity.informative(slot, owner, labels).tolist() == expected and len(expected) >= 5
+
+
+def test_rule_column_equals_plain_rules(spark, small):
+    """The compiled column of operator 10 against its rules, one by one, on statistics made by :func:`quality.statistics`."""
+    labels = table(spark, small, "labels")
+    docs = table(spark, small, "documents")
+    ensemble = quality.train(docs, labels)
+    rows = quality.with_statistics(docs.select("doc_id", "text")).withColumn("score", ensemble.column()).collect()
+    assert len(ensemble.rules) > 3
+    for row in rows[:300]:
+        total = ensemble.bias
+        for rule, weight in zip(ensemble.rules, ensemble.weights, strict=True):
+            fits = True
+            for bound in rule:
+                value = row["stat_" + quality.STATISTICS[bound.statistic]]
+                fits &= value > bound.limit if bound.above else value <= bound.limit
+            total += weight if fits else 0.0
+        assert row.score == pytest.approx(1 / (1 + math.exp(-total)))
+
+
 def test_machine_learns_pairs():
     """Neither an insult nor a group says anything by itself; both together do."""
     rng = random.Random(1)
