@@ -25,7 +25,7 @@ from sparkmine.functions import windows
 from sparkmine.functions.sets import jaccard_of_counts
 from sparkmine.functions.text import shingle_set
 from sparkmine.operators.documents import long_texts, set_rows, short_texts
-from sparkmine.operators.skew import lookup_join, lookup_semi, salted_join
+from sparkmine.operators.skew import ARRAY_ROWS, lookup_join, lookup_semi, salted_join
 from sparkmine.operators.storage import broadcast_if_small, durable, release
 
 BUCKET_BITS = 18  # shingles are counted by their low bits: a table of one size at any scale
@@ -309,6 +309,14 @@ def prefix_candidates(prefixes: DataFrame, threshold: float, list_rows: int | No
     )
 
 
+def shipments(wanted: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
+    """The sets beside the cells that want them; a group is in no more cells than there are blocks."""
+    sets = sets.hint("merge")  # the planner takes arrays for small and would broadcast them
+    if blocks <= ARRAY_ROWS:
+        return wanted.join(sets, "group_id")
+    return salted_join(wanted, sets, ["group_id"], ARRAY_ROWS)
+
+
 def _verified_in_blocks(pairs: DataFrame, texts: DataFrame, k: int, block_sets: int, threshold: float) -> DataFrame:
     """``pairs`` with sizes and overlap, of groups whose sets fit an array each.
 
@@ -326,7 +334,7 @@ def _verified_in_blocks(pairs: DataFrame, texts: DataFrame, k: int, block_sets:
         "group_id", shingle_lists(k).alias("shingles")
     )
     sets = durable(sets, "sets")
-    shipped = salted_join(wanted, sets.hint("merge"), ["group_id"], block_sets)
+    shipped = shipments(wanted, sets, blocks)
 
     def check(left: pa.Table, right: pa.Table) -> pa.Table:
         ids = right.column("group_id").to_numpy()

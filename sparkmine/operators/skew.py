@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.operators.storage import broadcast_if_small, durable, small
+from sparkmine.operators.storage import broadcast_if_small, durable, small, stored_bytes
 
 BLOCK_ROWS = 2_000
 SALT_ROWS = 1_000_000
@@ -29,19 +29,26 @@ def with_parts(rows: DataFrame, keys: Sequence[str], heavy: DataFrame, over: int
     rows, so an ordinary join with their counts stays even.
     """
     keys = list(keys)
+    one = F.coalesce("parts", F.lit(1)).alias("parts")
+    total, least = heavy.agg(F.sum("key_rows"), F.min("key_rows")).first()
+    if least is None:
+        return rows.withColumn("parts", F.lit(1))
     parts = F.ceil(F.col("key_rows") / F.lit(over)).cast("int")
-    total = heavy.agg(F.coalesce(F.sum("key_rows"), F.lit(0))).first()[0]
     listed = heavy.select(*keys, "key_rows", parts.alias("parts"))
     top = listed.filter(F.col("key_rows") > F.lit(total / TOP_SHARE)).drop("key_rows")
     rest = listed.filter(F.col("key_rows") <= F.lit(total / TOP_SHARE)).drop("key_rows")
-    one = F.coalesce("parts", F.lit(1)).alias("parts")
-    if rest.isEmpty():
+    if least > total / TOP_SHARE:
         return rows.join(F.broadcast(top), keys, "left").select(*rows.columns, one)
     first = rows.join(F.broadcast(top), keys).select(*rows.columns, "parts")
     others = rows.join(F.broadcast(top.drop("parts")), keys, "left_anti")
     return first.unionByName(others.join(rest, keys, "left").select(*rows.columns, one))
 
 
+def light(rows: DataFrame, over: int) -> bool:
+    """Whether the files behind ``rows`` have fewer than ``over`` bytes, so that no key is worth a count."""
+    return bool(rows.inputFiles()) and stored_bytes(rows) < over
+
+
 def salted_join(
     many: DataFrame,
     few: DataFrame,
@@ -57,6 +64,8 @@ def salted_join(
     carry arrays want a smaller number.
     """
     over = SALT_ROWS if over is None else over
+    if heavy is None and light(many, over):
+        return many.join(few, list(keys))
     if heavy is None:
         heavy = heavy_keys(many, keys, over)
     if heavy.isEmpty():

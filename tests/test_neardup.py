@@ -265,13 +265,13 @@ def test_sets_go_once_to_each_two_blocks(spark, monkeypatch):
     texts = {i: f"some words and number {i}" for i in range(60)}
     frame = storage.durable(spark.createDataFrame(list(texts.items()), "group_id bigint, normalized string"))
     pairs = storage.durable(spark.createDataFrame(list(itertools.combinations(range(60), 2)), "id1 bigint, id2 bigint"))
-    joined, shipped = jaccard_join.salted_join, []
+    joined, shipped = jaccard_join.shipments, []
 
     def counted(*given):
         shipped.append(joined(*given).count())
         return joined(*given)
 
-    monkeypatch.setattr(jaccard_join, "salted_join", counted)
+    monkeypatch.setattr(jaccard_join, "shipments", counted)
     got = {(r.id1, r.id2): r.shared for r in jaccard_join.verify(pairs, frame, K, block_sets=10).collect()}
     sets = {i: brute.shingle_set(t, K) for i, t in texts.items()}
     assert got == {(a, b): len(sets[a] & sets[b]) for a, b in itertools.combinations(range(60), 2)}
