@@ -8,7 +8,9 @@ the distance from below. Coarse segments discard most rows, finer ones more, and
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,8 @@ QUERY_ROWS = 512
 ROWS = 16_384
 TOGETHER = 64  # queries whose coarse bounds are held at once
 EXACT = 1 << 53  # floating-point products below this are exact integers
+WHOLE = 1 << 62  # sums of 64-bit products below this do not wrap
+RUN = 1 << 16  # equal queries listed at once
 
 
 def quantised(vector: Column, scale: int = 64) -> Column:
@@ -47,26 +51,41 @@ def segment_statistics(x: np.ndarray, segments: int) -> np.ndarray:
 
 
 def best_of_block(
-    queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, levels: Sequence[int]
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k best rows of each query (all that tie with the k-th go by smaller id); own id left out."""
+    queries: np.ndarray,
+    query_ids: np.ndarray,
+    rows: np.ndarray,
+    ids: np.ndarray,
+    copies: np.ndarray,
+    k: int,
+    levels: Sequence[int],
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per query its number, and the id, score and copies of its k best rows (ties go to smaller ids).
+
+    Rows are distinct by id and vector and stand for ``copies`` each; the query itself is one of its own copies.
+    """
     dim = rows.shape[1]
     most = float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * max(dim, 1)
-    exact = most < EXACT
     q, x = queries.astype(np.float64), rows.astype(np.float64)
     slack = 1e-9 * most + 1e-6
     stats = [(segment_statistics(q, s), segment_statistics(x, s)) for s in levels] if dim else []
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
 
     def score(i: int, at: np.ndarray) -> np.ndarray:
-        return (x[at] @ q[i]).astype(np.int64) if exact else rows[at] @ queries[i]
+        if most < EXACT:
+            return (x[at] @ q[i]).astype(np.int64)
+        if most < WHOLE:
+            return rows[at] @ queries[i]
+        asked = queries[i].tolist()  # an OverflowError if a score needs more than 64 bits
+        return np.array([sum(map(mul, row, asked)) for row in rows[at].tolist()], np.int64)
 
     for begin in range(0, len(q), TOGETHER):
         some = range(begin, min(begin + TOGETHER, len(q)))
         coarse = stats[0][0][some.start : some.stop] @ stats[0][1].T if dim else np.zeros((len(some), len(x)))
         for i in some:
             bound = coarse[i - begin]
-            bound[ids == query_ids[i]] = -np.inf
+            own = np.flatnonzero(ids == query_ids[i])
+            own = own[(rows[own] == queries[i]).all(axis=1)]
+            bound[own[copies[own] == 1]] = -np.inf
             others = int(np.count_nonzero(bound > -np.inf))
             if not others:
                 continue
@@ -80,12 +99,21 @@ def best_of_block(
                 left = np.flatnonzero(bound > -np.inf)
             scores = score(i, left)
             first = np.lexsort((ids[left], -scores))[:k]
-            out.append((np.full(len(first), query_ids[i]), ids[left][first], scores[first]))
+            best = left[first]
+            out.append((np.full(len(first), i), ids[best], scores[first], copies[best] - np.isin(best, own)))
     if not out:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return tuple(np.empty(0, np.int64) for _ in range(4))
     return tuple(np.concatenate(part) for part in zip(*out, strict=True))
 
 
+def repeated(frame: DataFrame, times: str) -> DataFrame:
+    """Each row as often as its column ``times`` says, without that column; no list grows with it."""
+    runs = F.sequence(F.lit(0), F.floor((F.col(times) - 1) / F.lit(RUN)))
+    frame = frame.withColumn("run_", F.explode(runs))
+    run = F.least(F.lit(RUN), F.col(times) - F.col("run_") * RUN)
+    return frame.withColumn("run_", F.explode(F.sequence(F.lit(1).cast("long"), run))).drop("run_", times)
+
+
 def top_k(
     vectors: DataFrame,
     is_query: Column,
@@ -97,11 +125,13 @@ def top_k(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score`` of ``vectors(vec_id, embedding)``.
 
-    Queries are the rows for which ``is_query`` holds; all rows but those with the query's own id are
-    searched. Scores are inner products of the components floor(scale * x); ties go to the smaller vec_id.
-    Rows with a null id, a null vector or a null or non-finite component take no part, vectors meet those of their
-    own length only, and repeated rows (one id, one vector) count once. Blocks of queries meet blocks of rows,
-    so a task holds one of each and no query sees more than k rows of a block in the result.
+    Queries are the rows for which ``is_query`` holds; each searches every row but itself. Scores are inner
+    products of the components floor(scale * x) and must fit a long; ties go to the smaller vec_id. Rows with a
+    null id, a null vector or a null or non-finite component take no part, and vectors meet those of their own
+    length only. Every one of several rows with one id is a row of its own: a query finds its equals, and equal
+    queries have equal results, one each. Rows equal in id and vector travel and are scored once, with their number.
+    Blocks of queries meet blocks of rows, so a task holds one of each and no query sees more than k rows of a
+    block in the result.
     """
     clean = (
         vectors.filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
@@ -110,9 +140,10 @@ def top_k(
             quantised(F.col("embedding"), scale).alias("x"),
             F.coalesce(is_query, F.lit(False)).alias("asks"),
         )
-        .distinct()
+        .groupBy("vec_id", "x")
+        .agg(F.count(F.lit(1)).alias("copies"), F.count_if("asks").alias("asking"))
     )
-    counts = clean.agg(F.count(F.lit(1)).alias("n"), F.count_if("asks").alias("q")).first()
+    counts = clean.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("asking") > 0).alias("q")).first()
     row_blocks = max(1, -(-counts.n // rows_at_once))
     query_blocks = max(1, -(-counts.q // query_rows))
     mine = F.xxhash64("vec_id")
@@ -123,35 +154,47 @@ def top_k(
     cells = clean.select(
         "vec_id",
         "x",
-        F.lit(False).alias("asks"),
+        "copies",
+        F.lit(0).cast("long").alias("asking"),
         F.pmod(mine, F.lit(row_blocks)).cast("int").alias("rows"),
         everywhere(query_blocks).alias("queries"),
     ).unionByName(
-        clean.filter("asks").select(
+        clean.filter(F.col("asking") > 0).select(
             "vec_id",
             "x",
-            "asks",
+            "copies",
+            "asking",
             F.pmod(mine, F.lit(query_blocks)).cast("int").alias("queries"),
             everywhere(row_blocks).alias("rows"),
         )
     )
 
     def search(table: pa.Table) -> pa.Table:
-        asks = table.column("asks").to_numpy(zero_copy_only=False)
-        ids = table.column("vec_id").to_numpy()
+        asking, ids, copies = (table.column(c).to_numpy() for c in ("asking", "vec_id", "copies"))
         flat = table.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False)
         x = flat.reshape(len(ids), -1) if len(flat) else np.zeros((len(ids), 0), np.int64)
-        found = best_of_block(x[asks], ids[asks], x[~asks], ids[~asks], k, levels)
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), map(pa.array, found), strict=True)))
-
-    best = (
-        cells.withColumn("length", F.size("x"))
-        .groupBy("queries", "rows", "length")
-        .applyInArrow(search, "query_id long, vec_id long, score long")
-    )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (
-        best.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+        asks = asking > 0
+        queries, query_ids, times = x[asks], ids[asks], asking[asks]
+        keys = [hashlib.blake2b(row.tobytes(), digest_size=16).digest() for row in queries]
+        at, found, scores, count = best_of_block(queries, query_ids, x[~asks], ids[~asks], copies[~asks], k, levels)
+        key = pa.array([keys[i] for i in at.tolist()], pa.binary())
+        columns = [pa.array(query_ids[at]), key, pa.array(times[at]), pa.array(found), pa.array(scores), pa.array(count)]
+        return pa.table(columns, names=["query_id", "query_key", "asking", "vec_id", "score", "copies"])
+
+    schema = "query_id long, query_key binary, asking long, vec_id long, score long, copies long"
+    best = cells.withColumn("length", F.size("x")).groupBy("queries", "rows", "length").applyInArrow(search, schema)
+    # Vectors of one id are queries of their own; the row of n copies takes n ranks.
+    order = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id", "copies")
+    before = F.sum(F.least("copies", F.lit(k))).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    ranked = best.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < k)
+    last = F.least(F.col("before") + F.col("copies"), F.lit(k))
+    return repeated(
+        ranked.select(
+            "query_id",
+            F.explode(F.sequence((F.col("before") + 1).cast("int"), last.cast("int"))).alias("rank"),
+            "vec_id",
+            "score",
+            "asking",
+        ),
+        "asking",
     )

@@ -10,18 +10,18 @@ from sparkmine.llm import topk
 
 
 def brute(rows, k=20):
-    clean = {}
+    clean = []
     for vec_id, v in rows:
         if vec_id is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        clean.setdefault(vec_id, set()).add(tuple(math.floor(64 * x) for x in v))
-    rows = [(i, v) for i, vs in clean.items() for v in vs]
+        clean.append((vec_id, [math.floor(64 * x) for x in v]))
     out = []
-    for q, a in rows:
+    for n, (q, a) in enumerate(clean):
         if q % 20:
             continue
-        scores = [(-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in rows if i != q and len(a) == len(b)]
-        out += [(q, n, i, -s) for n, (s, i) in enumerate(sorted(scores)[:k], 1)]
+        others = [(b, i) for m, (i, b) in enumerate(clean) if m != n and len(a) == len(b)]
+        scores = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for b, i in others)
+        out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:k], 1)]
     return sorted(out)
 
 
@@ -53,6 +53,29 @@ def test_odd_rows(spark):
     assert found(spark, []) == []
 
 
+@pytest.mark.parametrize("options", [{}, {"query_rows": 2, "rows_at_once": 7}])
+def test_every_row_counts(spark, options, monkeypatch):
+    monkeypatch.setattr(topk, "RUN", 3)
+    rng = np.random.default_rng(7)
+    base = [[float(np.float32(x)) for x in rng.normal(0, 0.3, 8)] for _ in range(6)]
+    rows = [(i, base[i % 6]) for i in range(30)]
+    rows += [(20, base[2])] * 7  # equal queries
+    rows += [(40, base[i]) for i in range(6)]  # one id, several vectors
+    rows += [(3, [0.9] * 8)] * 25  # more copies than ranks
+    rows += [(60, [0.9] * 8), (60, [0.9] * 8), (80, [])]
+    assert found(spark, rows, **options) == brute(rows)
+
+
+def test_scores_beyond_64_bit_products(spark):
+    large = float(1 << 55)
+    rows = [(0, [large, 1.0, 1.0]), (1, [2.0, 3.0, 0.0]), (2, [-2.0, 0.0, 0.5]), (3, [0.0, 5.0, 5.0])]
+    with pytest.raises(Exception, match="Overflow|too large|too big"):
+        found(spark, rows, "double")
+    rows[0] = (0, [float(1 << 46), 1.0, 1.0])
+    rows += [(5, [-float(1 << 3), 0.0, 0.0])]
+    assert found(spark, rows, "double") == brute(rows)
+
+
 def test_scores_beyond_exact_floats(spark):
     rng = np.random.default_rng(6)
     rows = [(i, [float(x) for x in rng.integers(-(1 << 21), 1 << 21, 40)]) for i in range(60)]
