@@ -69,16 +69,16 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 
 OP4 = """
 WITH v AS (
-  SELECT row_number() OVER () AS at, vec_id,
+  SELECT row_number() OVER () AS nth, vec_id,
     list_transform(embedding, lambda c: CAST(floor(64 * CAST(c AS DOUBLE)) AS DOUBLE)) AS x
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
 ), scored AS (
-  SELECT q.at, q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.x, v.x) AS BIGINT) AS score
-  FROM v q JOIN v ON q.vec_id % 20 = 0 AND v.at <> q.at AND len(v.x) = len(q.x)
+  SELECT q.nth, q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.x, v.x) AS BIGINT) AS score
+  FROM v q JOIN v ON q.vec_id % 20 = 0 AND v.nth <> q.nth AND len(v.x) = len(q.x)
 ), ranked AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY at ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY nth ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
     vec_id, score FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20

@@ -21,7 +21,8 @@ from pyspark.sql.window import Window
 LEVELS = (4, 16)  # segments, coarse to fine
 QUERY_ROWS = 512
 ROWS = 16_384
-TOGETHER = 64  # queries whose coarse bounds are held at once
+TOGETHER = 64  # queries whose bounds are held at once
+SEEDS = 4  # rows scored first, in multiples of k: those of the highest coarse bounds
 EXACT = 1 << 53  # floating-point products below this are exact integers
 WHOLE = 1 << 62  # sums of 64-bit products below this do not wrap
 RUN = 1 << 16  # equal queries listed at once
@@ -69,38 +70,45 @@ def best_of_block(
     slack = 1e-9 * most + 1e-6
     stats = [(segment_statistics(q, s), segment_statistics(x, s)) for s in levels] if dim else []
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+    own: list[list[int]] = [[] for _ in q]
+    at = np.argsort(ids, kind="stable")
+    for i, (low, high) in enumerate(zip(*(np.searchsorted(ids[at], query_ids, side=s) for s in ("left", "right")), strict=True)):
+        own[i] = [j for j in at[low:high].tolist() if (rows[j] == queries[i]).all()]
 
-    def score(i: int, at: np.ndarray) -> np.ndarray:
+    def scores(some: slice, at: np.ndarray) -> np.ndarray:
         if most < EXACT:
-            return (x[at] @ q[i]).astype(np.int64)
+            return (q[some] @ x[at].T).astype(np.int64)
         if most < WHOLE:
-            return rows[at] @ queries[i]
-        asked = queries[i].tolist()  # an OverflowError if a score needs more than 64 bits
-        return np.array([sum(map(mul, row, asked)) for row in rows[at].tolist()], np.int64)
-
-    for begin in range(0, len(q), TOGETHER):
-        some = range(begin, min(begin + TOGETHER, len(q)))
-        coarse = stats[0][0][some.start : some.stop] @ stats[0][1].T if dim else np.zeros((len(some), len(x)))
-        for i in some:
-            bound = coarse[i - begin]
-            own = np.flatnonzero(ids == query_ids[i])
-            own = own[(rows[own] == queries[i]).all(axis=1)]
-            bound[own[copies[own] == 1]] = -np.inf
-            others = int(np.count_nonzero(bound > -np.inf))
-            if not others:
-                continue
-            if others > k:
-                seeds = np.argpartition(bound, len(bound) - k)[len(bound) - k :]
-                least = np.partition(score(i, seeds), 0)[0] - slack  # k rows reach this at least
-                left = np.flatnonzero(bound >= least)
-                for fine_q, fine_x in stats[1:]:
-                    left = left[fine_x[left] @ fine_q[i] >= least]
-            else:
-                left = np.flatnonzero(bound > -np.inf)
-            scores = score(i, left)
-            first = np.lexsort((ids[left], -scores))[:k]
-            best = left[first]
-            out.append((np.full(len(first), i), ids[best], scores[first], copies[best] - np.isin(best, own)))
+            return queries[some] @ rows[at].T
+        asked, held = queries[some].tolist(), rows[at].tolist()  # an OverflowError if a score needs more than 64 bits
+        return np.array([[sum(map(mul, a, b)) for b in held] for a in asked], np.int64).reshape(-1, len(at))
+
+    for begin in range(0, len(q) if len(x) else 0, TOGETHER):
+        some = slice(begin, min(begin + TOGETHER, len(q)))
+        bound = stats[0][0][some] @ stats[0][1].T if dim else np.zeros((some.stop - begin, len(x)))
+        for i in range(some.start, some.stop):
+            bound[i - begin, [j for j in own[i] if copies[j] == 1]] = -np.inf
+        others = np.isfinite(bound)
+        least = np.full(len(bound), -np.inf)  # k rows reach this at least
+        if len(x) > k:
+            seeds = np.argpartition(bound, -min(SEEDS * k, len(x)), axis=1)[:, -min(SEEDS * k, len(x)) :]
+            reached = np.matmul(x[seeds], q[some][:, :, None])[:, :, 0]
+            reached[~np.take_along_axis(others, seeds, axis=1)] = -np.inf
+            least = np.partition(reached, -k, axis=1)[:, -k] - slack
+        left = others & (bound >= least[:, None])
+        for fine_q, fine_x in stats[1:]:
+            at = np.flatnonzero(left.any(axis=0))
+            left[:, at] &= fine_q[some] @ fine_x[at].T >= least[:, None]
+        at = np.flatnonzero(left.any(axis=0))  # survivors of any of these queries are scored for all of them at once
+        exact, left = scores(some, at), left[:, at]
+        lowest = np.where(left, exact, np.iinfo(np.int64).min)
+        cut = np.partition(lowest, -k, axis=1)[:, -k] if len(at) > k else np.full(len(left), np.iinfo(np.int64).min)
+        for i in range(some.start, some.stop):
+            mine = np.flatnonzero(left[i - begin] & (exact[i - begin] >= cut[i - begin]))
+            score = exact[i - begin, mine]
+            first = np.lexsort((ids[at[mine]], ~score))[:k]
+            best = at[mine[first]]
+            out.append((np.full(len(first), i), ids[best], score[first], copies[best] - np.isin(best, own[i])))
     if not out:
         return tuple(np.empty(0, np.int64) for _ in range(4))
     return tuple(np.concatenate(part) for part in zip(*out, strict=True))
