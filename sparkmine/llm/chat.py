@@ -26,6 +26,7 @@ TURN = re.compile(rf"<({INNER})>\n({INNER}){re.escape(END)}", re.DOTALL)
 ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 
 SEGMENT_CHARS = 1 << 18  # a conversation is encoded in runs of whole turns of about this length
+TIE_CHARS = 32  # of the text, by which rows of one turn and role are told apart when ranges are cut
 SCHEMA = (
     "conv_id long, segment long, text string, token_ids array<int>, token_starts array<int>, "
     "token_ends array<int>, token_loss array<boolean>, loss_starts array<int>, loss_ends array<int>"
@@ -72,9 +73,10 @@ def format_conversations(
 ) -> DataFrame:
     """Text, tokens and loss mask of ``conversations(conv_id, turn, role, text)``.
 
-    One row per segment: a run of whole turns of one conversation, nearly always all of it. A segment
-    begins with a marker after a line end, where the tokenizer always begins a token, so encoding segments
-    gives the tokens of the whole. Rows of a conversation come sorted, by turn and then role and text;
+    One row per segment: a run of whole turns of one conversation, nearly always all of it. ``segment`` rises in
+    the order of a conversation, not by ones. A segment begins with a marker after a line end, where the tokenizer
+    always begins a token, so encoding segments gives the tokens of the whole. Rows come by ranges of
+    conversation and turn, so a long conversation is the work of several tasks. Rows of a conversation come sorted, by turn and then role and text;
     null roles and texts count as empty, a null conv_id is a conversation too, and repeated rows are turns
     of their own. ``token_loss`` marks tokens that meet a text of ``learn``; ``loss_starts`` and
     ``loss_ends`` are the characters of those texts under them. Rows are streamed through a task, so memory follows the
@@ -83,14 +85,16 @@ def format_conversations(
     source = conversations.sparkSession.sparkContext.broadcast(Path(tokenizer_file).read_text(encoding="utf-8"))
 
     def format_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
         from tokenizers import Tokenizer, processors
 
+        first = TaskContext.get().partitionId() << 32  # ranges rise with the number of the partition
         tokenizer = Tokenizer.from_str(source.value)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         tokenizer.post_processor = processors.ByteLevel(trim_offsets=False)
         parts: list[str] = []
         spans: list[tuple[int, int]] = []
-        length, number, current = 0, 0, None
+        length, number, current = 0, first, None
         done: list[list] = [[] for _ in range(9)]
 
         def close() -> None:
@@ -127,7 +131,7 @@ def format_conversations(
                         yield batch()
                         size = 0
                 if changed:
-                    current, number = (conv,), 0
+                    current, number = (conv,), first
                 head = f"<{escaped(role or '')}>\n"
                 body = escaped(text or "")
                 if role == learn and body:
@@ -142,17 +146,17 @@ def format_conversations(
     order = ["conv_id", "turn", "role", "text"]
     return (
         conversations.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text")
-        .repartition("conv_id")
+        .repartitionByRange("conv_id", "turn", "role", F.substring("text", 1, TIE_CHARS))
         .sortWithinPartitions(*order)
         .mapInArrow(format_rows, SCHEMA)
     )
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """One row per conversation, read back from the text and mask of ``format_conversations``.
+    """One row per conversation, read back from the text and mask of ``format_conversations``, in any order.
 
-    Turns are parsed from the text; the learned text is what lies under the mask. The frame must come
-    straight from ``format_conversations``, whose segments follow one another within a partition.
+    Turns are parsed from the text; the learned text is what lies under the mask. The segments of a conversation are
+    streamed through one task, since a hash of it is sequential; its tokens stay where they were made.
     """
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,8 +174,8 @@ def digests(formatted: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays(made, names=names)
 
         for rows in batches:
-            columns = ("conv_id", "text", "token_loss", "loss_starts", "loss_ends")
-            for conv, text, loss, begins, ends in zip(*(rows.column(c) for c in columns), strict=True):
+            columns = ("conv_id", "text", "loss_starts", "loss_ends", "tokens", "lossy")
+            for conv, text, begins, ends, tokens, lossy in zip(*(rows.column(c) for c in columns), strict=True):
                 conv, text = conv.as_py(), text.as_py()
                 if current is None or current[0] != conv:
                     if state:
@@ -192,8 +196,8 @@ def digests(formatted: DataFrame) -> DataFrame:
                 state[3] += len(learned)
                 state[4].update(learned.encode())
                 state[5] += len(text)
-                state[6] += len(loss.values)
-                state[7] += int(np.count_nonzero(loss.values.to_numpy(zero_copy_only=False)))
+                state[6] += tokens.as_py()
+                state[7] += lossy.as_py()
             if len(out) >= 1_000:
                 yield batch()
         if state:
@@ -201,4 +205,14 @@ def digests(formatted: DataFrame) -> DataFrame:
         if out:
             yield batch()
 
-    return formatted.mapInArrow(digest, DIGEST_SCHEMA)
+    counted = formatted.select(
+        "conv_id",
+        "segment",
+        "text",
+        "loss_starts",
+        "loss_ends",
+        F.size("token_loss").alias("tokens"),
+        F.size(F.filter("token_loss", lambda learned: learned)).alias("lossy"),
+    )
+    ordered = counted.repartition("conv_id").sortWithinPartitions("conv_id", "segment")
+    return ordered.mapInArrow(digest, DIGEST_SCHEMA)

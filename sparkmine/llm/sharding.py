@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from sparkmine.llm.tables import Scratch
 from sparkmine.operators.order import number_rows
+from sparkmine.operators.skew import salted_join
 
 LEADING_BITS = 10
 ONE_BY_ONE = 64  # groups of one size dealt singly; of more, the even part is dealt at once
@@ -93,7 +94,7 @@ def shard(documents: DataFrame, shards: int = 16) -> DataFrame:
     dealt = ordered.join(F.broadcast(table), "class").select(
         "digest", F.size(F.filter("ends", lambda end: end <= place)).alias("shard")
     )
-    placed = scratch.write("placed", rows.join(dealt, "digest").drop("digest"))
+    placed = scratch.write("placed", salted_join(rows, dealt, ["digest"]).drop("digest"))  # a text may be in many rows
     counts = {r.shard: r["count"] for r in placed.groupBy("shard").count().collect()}
     starts = [sum(counts.get(s, 0) for s in range(i)) for i in range(shards)]
     numbered = number_rows(placed, ["shard", "doc_id", "size", "text_crc32"], "n")

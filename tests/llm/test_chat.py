@@ -74,6 +74,25 @@ def test_segments_have_the_tokens_of_the_whole(spark, rows):
                 assert covered == loss
 
 
+def test_a_long_conversation_is_the_work_of_several_tasks(spark):
+    rng = random.Random(3)
+    rows = [(7, turn, rng.choice(["user", "assistant"]), f"{NASTY} {rng.random()}") for turn in range(600)]
+    rows += [(8, None, "assistant", f"tie {i % 400}") for i in range(500)]  # one turn, one role
+    rows += [(9, 0, "user", "short")]
+    rng.shuffle(rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        formatted = chat.format_conversations(frame_of(spark, rows), FILE, segment_chars=2_000)
+        parts = formatted.withColumn("task", F.spark_partition_id()).collect()
+        for conv in (7, 8):
+            assert len({r.task for r in parts if r.conv_id == conv}) > 1
+            assert len({r.segment for r in parts if r.conv_id == conv}) == sum(r.conv_id == conv for r in parts)
+        result = chat.digests(formatted.orderBy(F.desc("text"))).drop("n_tokens", "n_loss_tokens").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(map(tuple, result), key=str) == brute(rows)
+
+
 def test_escaping_is_reversible():
     for text in [NASTY, "", "\\", "<>", "\\<\\\\>", "a\nb"]:
         assert chat.unescaped(chat.escaped(text)) == text

@@ -7,6 +7,7 @@ import zlib
 import pytest
 
 from sparkmine.llm import sharding
+from sparkmine.operators import skew
 from tests.llm.frames import ODD_TEXTS, documents, sentence
 
 
@@ -47,6 +48,17 @@ def test_loads_and_groups(spark, rows):
     assert max(loads) <= ideal * 4 / 3
 
 
+def test_copies_beyond_a_salt_stay_together(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SALT_ROWS", 20)
+    monkeypatch.setattr(skew, "light", lambda rows, over: False)
+    rows = [(i, "copied" if i % 3 else f"alone {i}") for i in range(200)] + [(i, None) for i in range(200, 260)]
+    result = sharding.shard(documents(spark, rows), 5).collect()
+    check(rows, result, 5)
+    text_of = dict(rows)
+    assert len({r.shard for r in result if text_of[r.doc_id] == "copied"}) == 1
+    assert len({r.shard for r in result if text_of[r.doc_id] is None}) == 1
+
+
 def test_near_equal_when_no_group_is_large(spark):
     rng = random.Random(12)
     rows = [(i, sentence(rng, rng.randrange(50, 300)) + str(i)) for i in range(800)]
