@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 
 from sparkmine.llm import texts
 from sparkmine.llm.tables import Scratch
+from sparkmine.operators.skew import ARRAY_ROWS, salted_join
 
 WINDOW = 13
 K = 5
@@ -196,7 +197,9 @@ def hits(documents: DataFrame, benchmark: DataFrame, scratch: Scratch, window: i
     met = rows.select("row_key", F.explode("marks").alias("m")).select("row_key", "m.*")
     small = scratch.bytes("items") <= BROADCAST_BYTES
     other = items.withColumnRenamed("around", "item_around").drop("pos")
-    both = met.join(F.broadcast(other) if small else other, ["words", "print"])
+    # A passage may be in a large share of the documents.
+    key = ["words", "print"]
+    both = met.join(F.broadcast(other), key) if small else salted_join(met, other.hint("merge"), key, ARRAY_ROWS)
     reach = window - k
     same = [F.col("around")[i] == F.col("item_around")[i] for i in range(2 * reach + k)]
     core = F.lit(True)

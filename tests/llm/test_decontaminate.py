@@ -7,6 +7,7 @@ import re
 import pytest
 
 from sparkmine.llm import decontaminate
+from sparkmine.operators import skew
 from tests.llm.frames import ODD_TEXTS, documents, sentence
 
 
@@ -79,6 +80,16 @@ def test_without_broadcast(spark, tables, monkeypatch):
     assert found(decontaminate.contamination(documents(spark, rows), bench(spark, items))) == brute(rows, items)
 
 
+def test_a_passage_of_many_documents_without_broadcast(spark, tables, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(decontaminate, "ARRAY_ROWS", 20)
+    monkeypatch.setattr(skew, "light", lambda rows, over: False)
+    rows, items = tables
+    rng = random.Random(4)
+    rows = rows + [(1000 + i, f"{sentence(rng, 9)} {items[8][1]} {sentence(rng, 9)}") for i in range(150)]
+    assert found(decontaminate.contamination(documents(spark, rows), bench(spark, items))) == brute(rows, items)
+
+
 def test_other_window(spark, tables):
     rows, items = tables
     got = decontaminate.contamination(documents(spark, rows), bench(spark, items), window=6, k=3)
