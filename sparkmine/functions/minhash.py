@@ -17,6 +17,8 @@ PRIME = 4294967311
 SEED = 42
 EMPTY = (1 << 63) - 1  # stands for infinity, above every hash value
 
+UNSURE = 32  # of 2**32 parts behind the point: a rounded value may be past the next whole number by 17 of them
+
 SLICE_VALUES = 32_768  # shingles hashed at a time, so that the work arrays stay in cache
 TEXT_BYTES = 1 << 15  # of text hashed at a time
 
@@ -50,12 +52,42 @@ def _hash(x: np.ndarray, a: int, b: int) -> np.ndarray:
     return np.minimum(v, v + np.uint64(PRIME))
 
 
+def _scaled(a: int, b: int) -> tuple[np.uint64, np.uint64]:
+    """Factor and summand with which a 64-bit product that wraps around is h(x) · 2**64 / PRIME, rounded up.
+
+    Both are rounded to the nearest, which moves the product by at most 2**31 for a 32-bit x; the summand makes up
+    for that, so the value lies less than 2**32 + 2 above the exact one, and never below it.
+    """
+    factor, summand = (((c << 64) + PRIME // 2) // PRIME for c in (a, b))
+    return np.uint64(factor), np.uint64((summand + (1 << 31) + 1) % (1 << 64))
+
+
+def _unscaled(u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """u · PRIME / 2**64 as whole part and 32 bits behind the point."""
+    hi = u >> np.uint64(32)
+    lo = u & np.uint64(0xFFFFFFFF)
+    rest = lo + hi * np.uint64(15) + (lo * np.uint64(15) >> np.uint64(32))
+    return hi + (rest >> np.uint64(32)), rest & np.uint64(0xFFFFFFFF)
+
+
 def signatures_of(flat: np.ndarray, starts: np.ndarray, family: Sequence[tuple[int, int]]) -> np.ndarray:
-    """Signature of each run of ``flat``; run i begins at ``starts[i]`` and none is empty."""
-    out = np.empty((len(starts), len(family)), dtype=np.int64)
+    """Signature of each run of ``flat``; run i begins at ``starts[i]`` and none is empty.
+
+    The least scaled value of a run tells the least hash, unless it lies so near a whole number that the rounding may
+    have moved it past another; these few, one in some hundred million, are taken from the hashes themselves.
+    """
+    least = np.empty((len(starts), len(family)), dtype=np.uint64)
+    work = np.empty(len(flat), np.uint64)
     for i, (a, b) in enumerate(family):
-        out[:, i] = np.minimum.reduceat(_hash(flat, a, b), starts)
-    return out
+        factor, summand = _scaled(a, b)
+        np.multiply(flat, factor, out=work)
+        np.add(work, summand, out=work)
+        least[:, i] = np.minimum.reduceat(work, starts)
+    out, behind = _unscaled(least)
+    ends = np.append(starts[1:], len(flat))
+    for row, i in zip(*np.nonzero(behind < UNSURE), strict=True):
+        out[row, i] = _hash(flat[starts[row] : ends[row]], *family[i]).min()
+    return out.astype(np.int64)
 
 
 def minhash(shingles: Column, n: int = 100, seed: int = SEED) -> Column:

@@ -73,6 +73,24 @@ def test_hash_is_exact(a, b):
     assert [int(v) for v in got] == [(a * x + b) % mh.PRIME for x in values]
 
 
+def test_scaled_minima_are_exact_and_seldom_hashed(monkeypatch):
+    """Also where hashes lie next to each other, at 0 and at the modulus."""
+    plain, hashed = mh._hash, []
+    monkeypatch.setattr(mh, "_hash", lambda x, a, b: hashed.append(len(x)) or plain(x, a, b))
+    rng = np.random.default_rng(5)
+    for a, b in [*mh.hash_family(5), (1, 0), (2**32 - 1, 5), (2**32, 7), (mh.PRIME - 1, 0), (mh.PRIME - 1, mh.PRIME - 1)]:
+        back = pow(a, -1, mh.PRIME)
+        near = [(h - b) * back % mh.PRIME for h in [*range(500), *range(mh.PRIME - 500, mh.PRIME)]]
+        near = np.array([x for x in near if x < 1 << 32], np.uint64)
+        values = np.concatenate([near, np.repeat(near, 2)[1:-1], rng.integers(0, 1 << 32, 1000).astype(np.uint64)])
+        starts = np.concatenate([np.arange(len(near)), np.arange(len(near), 3 * len(near) - 2, 2), [3 * len(near) - 2]])
+        got = mh.signatures_of(values, starts, [(a, b)])[:, 0]
+        assert got.tolist() == np.minimum.reduceat(plain(values, a, b), starts).tolist()
+    hashed.clear()
+    mh.signatures_of(rng.integers(0, 1 << 32, 50_000).astype(np.uint64), np.arange(0, 50_000, 500), mh.hash_family(20))
+    assert sum(hashed) <= 1_000
+
+
 def test_signatures(texts, monkeypatch):
     monkeypatch.setattr(mh, "SLICE_VALUES", 40)  # several slices per batch
     column = mh.minhash(shingle_hashes(normalize_text(F.col("text")), 10), 20)
