@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from sparkmine.functions import windows
 from sparkmine.functions.sets import jaccard_of_counts
 from sparkmine.functions.text import shingle_set
-from sparkmine.operators.documents import long_texts, set_rows, short_texts
-from sparkmine.operators.skew import ARRAY_ROWS, lookup_join, lookup_semi, salted_join
+from sparkmine.operators.documents import beside_pairs, long_texts, set_rows, short_texts
+from sparkmine.operators.skew import ARRAY_ROWS, heavy_keys, lookup_join, lookup_semi, salted_join, with_parts
 from sparkmine.operators.storage import broadcast_if_small, durable, release
 
 BUCKET_BITS = 18  # shingles are counted by their low bits: a table of one size at any scale
@@ -309,32 +309,47 @@ def prefix_candidates(prefixes: DataFrame, threshold: float, list_rows: int | No
     )
 
 
-def shipments(wanted: DataFrame, sets: DataFrame, blocks: int) -> DataFrame:
-    """The sets beside the cells that want them; a group is in no more cells than there are blocks."""
-    sets = sets.hint("merge")  # the planner takes arrays for small and would broadcast them
+def shipments(wanted: DataFrame, texts: DataFrame, blocks: int) -> DataFrame:
+    """The texts beside the cells that want them; a group is in no more cells than there are blocks."""
+    texts = texts.hint("merge")  # the planner takes short texts for small and would broadcast them
     if blocks <= ARRAY_ROWS:
-        return wanted.join(sets, "group_id")
-    return salted_join(wanted, sets, ["group_id"], ARRAY_ROWS)
+        return wanted.join(texts, "group_id")
+    return salted_join(wanted, texts, ["group_id"], ARRAY_ROWS)
+
+
+def dealt_blocks(pairs: DataFrame, block_sets: int) -> tuple[DataFrame, int]:
+    """``group_id, block`` of all groups in ``pairs``, durable, and how many blocks there are.
+
+    A group goes with the smallest group that it or one of its partners is paired with, so a cluster lies in one block,
+    or in as many as its size asks for, and few of its pairs lie between two blocks.
+    """
+    ends = F.explode(F.array("id1", "id2")).alias("group_id")
+    homes = durable(pairs.select(ends, "id1").groupBy("group_id").agg(F.min("id1").alias("home")), "homes")
+    blocks = max(1, math.ceil(homes.count() / block_sets))
+    parted = with_parts(homes, ["home"], heavy_keys(homes, ["home"], block_sets), block_sets)
+    part = F.pmod(F.xxhash64("group_id"), F.col("parts"))
+    block = F.pmod(F.xxhash64("home", part), F.lit(blocks)).cast("int").alias("block")
+    placed = durable(parted.select("group_id", block), "placed")
+    release(homes)
+    return placed, blocks
 
 
 def _verified_in_blocks(pairs: DataFrame, texts: DataFrame, k: int, block_sets: int, threshold: float) -> DataFrame:
     """``pairs`` with sizes and overlap, of groups whose sets fit an array each.
 
-    Groups are dealt over blocks, and a set goes once to each two blocks that have a pair with it between them, however many
-    such pairs there are. With a ``threshold`` above 0, pairs that bitmaps rule out are left out.
+    Groups are dealt over blocks, and a text goes once to each two blocks that have a pair with it between them, however many
+    such pairs there are; its set is made there. With a ``threshold`` above 0, pairs that bitmaps rule out are left out.
     """
-    ids = durable(pairs.select(F.explode(F.array("id1", "id2")).alias("group_id")).distinct(), "ids")
-    blocks = max(1, math.ceil(ids.count() / block_sets))
-    block1, block2 = (F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int") for c in ("id1", "id2"))
+    placed, blocks = dealt_blocks(pairs, block_sets)
     cell = ["low", "high"]
-    dealt = pairs.withColumns({"low": F.least(block1, block2), "high": F.greatest(block1, block2)})
+    beside = beside_pairs(pairs, placed, "block", over=None)
+    dealt = beside.select(
+        "id1", "id2", F.least("block1", "block2").alias("low"), F.greatest("block1", "block2").alias("high")
+    )
+    dealt = durable(dealt, "dealt")
     place = [F.col(c).alias(f"{c}_cell") for c in cell]
     wanted = dealt.select(*place, F.explode(F.array("id1", "id2")).alias("group_id")).distinct()
-    sets = lookup_semi(texts.select("group_id", "normalized"), ids, ["group_id"]).select(
-        "group_id", shingle_lists(k).alias("shingles")
-    )
-    sets = durable(sets, "sets")
-    shipped = shipments(wanted, sets, blocks)
+    shipped = shipments(wanted, texts.select("group_id", "normalized"), blocks)
 
     def check(left: pa.Table, right: pa.Table) -> pa.Table:
         ids = right.column("group_id").to_numpy()

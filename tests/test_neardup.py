@@ -278,6 +278,25 @@ def test_sets_go_once_to_each_two_blocks(spark, monkeypatch):
     assert shipped[0] <= 60 * 6
 
 
+def test_a_cluster_is_shipped_to_a_block_of_its_own(spark, monkeypatch):
+    """100 clusters of six texts whose ids lie apart: a text goes to about one block, not to five."""
+    texts = {j * 100 + i: f"cluster {i} of words and number {j}" for i in range(100) for j in range(6)}
+    rows = [(a, b) for i in range(100) for a, b in itertools.combinations(range(i, 600, 100), 2)]
+    frame = storage.durable(spark.createDataFrame(list(texts.items()), "group_id bigint, normalized string"))
+    pairs = storage.durable(spark.createDataFrame(rows, "id1 bigint, id2 bigint"))
+    joined, shipped = jaccard_join.shipments, []
+
+    def counted(*given):
+        shipped.append(joined(*given).count())
+        return joined(*given)
+
+    monkeypatch.setattr(jaccard_join, "shipments", counted)
+    got = {(r.id1, r.id2): r.shared for r in jaccard_join.verify(pairs, frame, K, block_sets=20).collect()}
+    sets = {i: brute.shingle_set(t, K) for i, t in texts.items()}
+    assert got == {(a, b): len(sets[a] & sets[b]) for a, b in rows}
+    assert shipped[0] <= 600 * 1.2
+
+
 def test_long_texts_are_never_one_array(spark, monkeypatch):
     """Texts above the bound take the way of rows; results are those of arrays."""
     rng = random.Random(8)
