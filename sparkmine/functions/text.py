@@ -48,6 +48,17 @@ def shingle_set(normalized: Column, k: int) -> Column:
     return _hashes(normalized, check_k(k), True)
 
 
+def set_summary(normalized: Column, k: int) -> Column:
+    """``n, least, greatest, total`` of the distinct shingle hashes, of which no list is made; null where there are none."""
+    check_k(k)
+
+    @F.arrow_udf("n bigint, least bigint, greatest bigint, total bigint")
+    def summary(batch: pa.Array) -> pa.Array:
+        return windows.set_summaries(batch, k)
+
+    return summary(normalized)
+
+
 def _hashes(normalized: Column, k: int, distinct: bool) -> Column:
     @F.arrow_udf("array<bigint>")
     def hashes(batch: pa.Array) -> pa.Array:

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20  # of text looked at together; work arrays take some forty times that
+SLICE_BYTES = 1 << 18  # of text looked at together; work arrays take some forty times that
 POLYNOMIAL = 0xEDB88320  # fixed value: CRC-32, reflected
 
 
@@ -104,3 +104,26 @@ def hash_lists(texts: pa.Array, k: int, distinct: bool) -> pa.Array:
         sizes.append(counts)
     ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values)))
+
+
+def set_summaries(texts: pa.Array, k: int) -> pa.Array:
+    """Number, least, greatest and sum of the distinct hashes of each text; the last three are null without any."""
+    out = np.zeros((4, len(texts)), np.int64)
+    for i, j in slices(texts):
+        found, sizes = distinct_sets(*window_hashes(*flat(texts.slice(i, j - i)), k))
+        out[0, i:j] = sizes
+        some = np.flatnonzero(sizes)
+        if len(some):
+            ends = np.cumsum(sizes)[some]
+            begins = ends - sizes[some]
+            out[1, i + some], out[2, i + some] = found[begins], found[ends - 1]
+            out[3, i + some] = np.add.reduceat(found, begins)
+    none = out[0] == 0
+    columns = [pa.array(out[0]), *(pa.array(values, mask=none) for values in out[1:])]
+    return pa.StructArray.from_arrays(columns, ["n", "least", "greatest", "total"])
+
+
+def set_counts(texts: pa.Array, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For runs of texts, the hashes that occur and in how many of the run's texts."""
+    for i, j in slices(texts):
+        yield np.unique(distinct_sets(*window_hashes(*flat(texts.slice(i, j - i)), k))[0], return_counts=True)

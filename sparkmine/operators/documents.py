@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.functions import text
-from sparkmine.functions.text import normalize_text, pieces, shingle_set, text_key
+from sparkmine.functions.text import normalize_text, pieces, set_summary, shingle_set, text_key
 from sparkmine.operators.skew import ARRAY_ROWS, lookup_semi, salted_join
 
 EMPTIES = ("match", "drop")
@@ -87,16 +87,14 @@ def set_statistics(normalized: DataFrame, k: int) -> DataFrame:
     The last three are null for a text without shingles.
     """
     rows = normalized.select("doc_id", F.length("normalized").alias("n_chars"), "normalized")
-    total = F.aggregate("shingles", F.lit(0).cast("bigint"), lambda s, h: s + h)
-    some = F.size("shingles") > 0
-    short = short_texts(rows, k).withColumn("shingles", shingle_set(F.col("normalized"), k))
+    short = short_texts(rows, k).withColumn("set", set_summary(F.col("normalized"), k))
     short = short.select(
         "doc_id",
         "n_chars",
-        F.size("shingles").cast("bigint").alias("n_shingles"),
-        F.array_min("shingles").alias("min_hash"),
-        F.array_max("shingles").alias("max_hash"),
-        F.when(some, total).alias("sum_hash"),
+        F.col("set.n").alias("n_shingles"),
+        F.col("set.least").alias("min_hash"),
+        F.col("set.greatest").alias("max_hash"),
+        F.col("set.total").alias("sum_hash"),
     )
     long = set_rows(long_texts(rows, k).withColumn("row_no", F.monotonically_increasing_id()), k)
     long = long.groupBy("doc_id", "n_chars", "row_no").agg(

@@ -18,12 +18,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmine.functions import windows
 from sparkmine.functions.sets import jaccard_of_counts
-from sparkmine.functions.text import shingle_set
 from sparkmine.operators.documents import beside_pairs, long_texts, set_rows, short_texts
 from sparkmine.operators.skew import ARRAY_ROWS, heavy_keys, lookup_join, lookup_semi, salted_join, with_parts
 from sparkmine.operators.storage import broadcast_if_small, durable, release
@@ -48,13 +47,16 @@ def check_threshold(threshold: float) -> float:
 def shingle_frequencies(normalized: DataFrame, k: int) -> DataFrame:
     """``shingle, docs``: in how many documents each shingle occurs."""
     rows = normalized.select("doc_id", "normalized")
-    short = short_texts(rows, k).select(F.explode(shingle_lists(k)).alias("shingle"))
-    long = set_rows(long_texts(rows, k).withColumn("row_no", F.monotonically_increasing_id()), k).select("shingle")
-    return short.unionByName(long).groupBy("shingle").agg(F.count(F.lit(1)).alias("docs"))
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for found, docs in windows.set_counts(batch.column(0), k):
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(docs, pa.int64())], names=["shingle", "said"])
 
-def shingle_lists(k: int) -> Column:
-    return shingle_set(F.col("normalized"), k)
+    short = short_texts(rows, k).select("normalized").mapInArrow(count, "shingle bigint, said bigint")
+    long = set_rows(long_texts(rows, k).withColumn("row_no", F.monotonically_increasing_id()), k)
+    long = long.select("shingle", F.lit(1).cast("bigint").alias("said"))
+    return short.unionByName(long).groupBy("shingle").agg(F.sum("said").alias("docs"))
 
 
 def sets_in(texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -353,9 +355,9 @@ def _verified_in_blocks(pairs: DataFrame, texts: DataFrame, k: int, block_sets:
 
     def check(left: pa.Table, right: pa.Table) -> pa.Table:
         ids = right.column("group_id").to_numpy()
-        lists = right.column("shingles").combine_chunks()
-        sizes = lists.value_lengths().to_numpy().astype(np.int64)
-        flat, ends = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(sizes)])
+        found = [(flat, sizes) for _, flat, sizes in sets_in(right.column("normalized").combine_chunks(), k)]
+        flat, sizes = (np.concatenate([np.empty(0, np.int64), *c]) for c in zip(*found, strict=True))
+        ends = np.concatenate([[0], np.cumsum(sizes)])
         order = np.argsort(ids)
         id1, id2 = (left.column(c).to_numpy() for c in ("id1", "id2"))
         a, b = (order[np.searchsorted(ids[order], c)] for c in (id1, id2))
@@ -377,7 +379,7 @@ def _verified_in_blocks(pairs: DataFrame, texts: DataFrame, k: int, block_sets:
     kind = id_kind(texts)
     schema = f"id1 {kind}, id2 {kind}, size1 bigint, size2 bigint, shared bigint"
     checked = durable(both.applyInArrow(check, schema), "verified")
-    release(ids, sets)
+    release(placed, dealt)
     return checked
 
 

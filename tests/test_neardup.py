@@ -1,13 +1,15 @@
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sparkmine.functions import text
+from sparkmine.functions import text, windows
 from sparkmine.functions.minhash import EMPTY, band_plan
 from sparkmine.operators import jaccard_join, lsh, skew, storage
 from sparkmine.operators.documents import normalized_documents, set_statistics
@@ -318,6 +320,22 @@ def test_long_texts_are_never_one_array(spark, monkeypatch):
     assert results() == expected
 
 
+def test_statistics_and_counts_hold_a_slice_of_a_batch():
+    """What is held at once does not grow with the texts of a batch; the lists of 4 MB of text alone take 32 MB."""
+    rng = random.Random(2)
+    texts = pa.array(["".join(rng.choices("abcdefgh", k=20_000)) for _ in range(200)] + ["", None, "abcd", "é" * 9])
+    tracemalloc.start()
+    got = windows.set_summaries(texts, K).to_pylist()
+    total = sum(int(docs.sum()) for _, docs in windows.set_counts(texts, K))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20
+    sets = [brute.shingle_set(t or "", K) for t in texts.to_pylist()]
+    some = [dict(n=len(s), least=min(s, default=None), greatest=max(s, default=None), total=sum(s) if s else None) for s in sets]
+    assert got == some
+    assert total == sum(map(len, sets))
+
+
 def test_a_text_of_fifty_megabytes(spark):
     """Its shingles come in pieces; no array of it is longer than a piece."""
     unit = "".join(random.Random(1).choice("abcdefgh ") for _ in range(5000))
