@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PLACE_EDGES = 1_000_000  # edges in one place, about
-PATHS = 1 << 21  # of two edges, looked up at once
+PATHS = 1 << 18  # of two edges, looked up at once
 
 
 def colours_for(edges: int, place_edges: int = PLACE_EDGES) -> int:
@@ -35,8 +35,10 @@ def count_triangles(a: np.ndarray, b: np.ndarray) -> int:
     rank = np.empty(nodes, np.int64)
     rank[np.argsort(degree, kind="stable")] = np.arange(nodes)
     low, high = np.minimum(rank[a], rank[b]), np.maximum(rank[a], rank[b])
-    keys = np.sort(low * nodes + high)
-    low, high = keys // nodes, keys % nodes
+    keys = low * nodes + high
+    keys.sort()
+    np.floor_divide(keys, nodes, out=low)
+    np.remainder(keys, nodes, out=high)
     begin = np.searchsorted(low, np.arange(nodes + 1))
     ahead = begin[high + 1] - begin[high]  # paths low - high - further
     ends = np.cumsum(ahead)
@@ -64,8 +66,8 @@ def triangles_by_colour(edges: DataFrame, colours: int) -> DataFrame:
     def count(table: pa.Table) -> pa.Table:
         first, second = (table.column(c).combine_chunks() for c in "ab")
         names = pa.concat_arrays([first, second]).dictionary_encode()
-        number = names.indices.to_numpy().astype(np.int64)
-        found = count_triangles(number[: len(first)], number[len(first) :])
+        number = names.indices.to_numpy()
+        found = count_triangles(number[: len(first)].astype(np.int64), number[len(first) :].astype(np.int64))
         one = table.column("x")[0].as_py() == table.column("z")[0].as_py()
         return pa.table({"found": pa.array([found * (2 - colours) if one else found], pa.int64())})
 

@@ -1,8 +1,10 @@
 import hashlib
 import itertools
 import random
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,6 +124,29 @@ def test_exact_triangles_by_colours(spark, colours):
     assert ops.exact_triangles(stream(spark, edges), colours).first().triangles == brute.triangles(edges)
 
 
+def test_a_place_is_counted_in_little_memory():
+    """The paths looked up at once are few beside a place's edges: 1.2 million paths here, of 50,000 edges."""
+    rng = np.random.default_rng(6)
+    keys = np.unique(rng.integers(0, 2_000 * 2_000, 52_000))
+    a, b = keys // 2_000, keys % 2_000
+    a, b = a[a < b], b[a < b]
+    expected = np.zeros((2_000, 2_000), np.float32)
+    expected[a, b] = expected[b, a] = 1
+    tracemalloc.start()
+    found = count_triangles(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == round(float(((expected @ expected) * expected).sum(dtype=np.float64)) / 6)
+    assert peak < 20 << 20
+
+
+def test_only_paths_from_busy_nodes_are_counted(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SALT_ROWS", 3)
+    rows = [(1, t, "hub", "y") for t in range(6)] + [(1, t, "hub", f"y{t}") for t in range(9)] + [(1, t, f"n{t}", "y") for t in range(9)]
+    legs = storage.durable(spark.createDataFrame(rows, "run int, t bigint, other string, y string"))
+    assert [r[:] for r in heavy_paths(legs).collect()] == [(1, "hub", "y", 6)]
+
+
 def test_nodes_may_be_names(spark):
     named = [(f"n{a}", f"n{b}") for a, b in dense_graph()]
     edges = spark.createDataFrame([(min(e), max(e)) for e in named], "a string, b string")
