@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from sparkmine.operators.edges import both_ways
 from sparkmine.operators.order import running_total
-from sparkmine.operators.skew import lookup_join
+from sparkmine.operators import skew
+from sparkmine.operators.skew import heavy_keys, lookup_join, lookup_semi, salted_join
 from sparkmine.operators.storage import BROADCAST_BYTES, durable, small
 
 
@@ -18,8 +19,8 @@ def edge_weight(t: Column, size: Column) -> Column:
 
 
 def sampled_neighbors(lives: DataFrame) -> DataFrame:
-    """``x, y, run, size, t_in, t_out``: adjacency of the sample over time."""
-    return both_ways(lives, "run", "size", "t_in", "t_out")
+    """``x, y, run, t_in, t_out``: adjacency of the sample over time."""
+    return both_ways(lives, "run", "t_in", "t_out")
 
 
 def _alive(t: str, t_in: str, t_out: str) -> Column:
@@ -37,15 +38,14 @@ def contributions(edges: DataFrame, lives: DataFrame) -> DataFrame:
     """
     fits = small(lives, BROADCAST_BYTES // 2)  # both_ways doubles it; degrees are fewer
     hops = sampled_neighbors(lives)
-    degrees = hops.groupBy("run", "size", "x").agg(F.count(F.lit(1)).alias("degree"))
-    of_a = degrees.select("run", "size", F.col("x").alias("a"), F.col("degree").alias("da"))
+    degrees = hops.groupBy("run", "x").agg(F.count(F.lit(1)).alias("degree"))
+    of_a = degrees.select("run", F.col("x").alias("a"), F.col("degree").alias("da"))
     of_b = degrees.select("run", F.col("x").alias("b"), F.col("degree").alias("db"))
     ends = lookup_join(edges.select("t", "a", "b"), of_a, ["a"], fits=fits)
     ends = lookup_join(ends, of_b, ["run", "b"], fits=fits)
     a_lists = F.col("da") <= F.col("db")
     sides = ends.select(
         "run",
-        "size",
         "t",
         F.when(a_lists, F.col("a")).otherwise(F.col("b")).alias("x"),
         F.when(a_lists, F.col("b")).otherwise(F.col("a")).alias("other"),
@@ -54,17 +54,24 @@ def contributions(edges: DataFrame, lives: DataFrame) -> DataFrame:
     legs = (
         lookup_join(sides, first, ["run", "x"], fits=fits)
         .filter(_alive("t", "t_in", "t_out"))
-        .select("run", "size", "t", "other", "y")
+        .select("run", "t", "other", "y")
     )
-    if not fits:
-        legs = durable(legs, "legs")  # counted and joined
     second = hops.select("run", F.col("x").alias("other"), "y", "t_in", "t_out")
-    return (
-        lookup_join(legs, second, ["run", "other", "y"], fits=fits)
-        .filter(_alive("t", "t_in", "t_out"))
-        .groupBy("run", "size", "t")
-        .agg(F.count(F.lit(1)).alias("common"))
-    )
+    keys = ["run", "other", "y"]
+    if fits:
+        closed = legs.join(F.broadcast(second), keys)
+    else:
+        legs = durable(legs, "legs")  # counted and joined
+        closed = salted_join(legs, second, keys, heavy=heavy_paths(legs))
+    counted = closed.filter(_alive("t", "t_in", "t_out")).groupBy("run", "t").agg(F.count(F.lit(1)).alias("common"))
+    sizes = lives.select("run", "size").distinct()  # a row per run
+    return counted.join(F.broadcast(sizes), "run").select("run", "size", "t", "common")
+
+
+def heavy_paths(legs: DataFrame) -> DataFrame:
+    """:func:`heavy_keys` of ``run, other, y``. Only paths from a node with as many legs can be heavy, so no others are counted."""
+    nodes = heavy_keys(legs, ["run", "other"], skew.SALT_ROWS)
+    return heavy_keys(lookup_semi(legs, nodes.select("run", "other"), ["run", "other"]), ["run", "other", "y"], skew.SALT_ROWS)
 
 
 def weighted(parts: DataFrame) -> DataFrame:

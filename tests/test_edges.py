@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from sparkmine.functions.draws import uniform
 from sparkmine.operators import edges as ops
-from sparkmine.operators import triangles
-from sparkmine.operators.colours import colours_for
+from sparkmine.operators import skew, storage, triangles
+from sparkmine.operators.colours import colours_for, count_triangles
 from sparkmine.operators.order import first_n, number_rows, running_total, shuffled_order
 from sparkmine.operators.reservoir import Run, lifetimes, replacement_log, sample_at
 from sparkmine.operators.storage import durable
+from sparkmine.operators.triangles import heavy_paths
 from sparkmine.plans.triest import TriangleStream, size_by_ratio
 from tests import brute
 
