@@ -1,13 +1,18 @@
 """Exact self-join of shingle sets by Jaccard similarity.
 
-Prefix filtering (Chaudhuri et al. 2006; Bayardo et al. 2007; Vernica et al. 2010): with all sets
+Small sets take prefix filtering (Chaudhuri et al. 2006; Bayardo et al. 2007; Vernica et al. 2010): with all sets
 sorted by one global order, two sets of similarity at least t share an element among the first
 ``n − ceil(t·n) + 1`` of each. Putting frequent shingles last keeps them out of nearly all prefixes,
 so the join never meets the long posting lists that a join on all shingles would expand.
 
 Two sets of a list become a pair only if sizes, positions and parity bitmaps allow: in a bitmap each shingle
-flips one bit, so two bitmaps differ in no more bits than the sets in shingles. Candidates are verified by blocks of
-sets, each shipped once to a task that checks all pairs of two blocks.
+flips one bit, so two bitmaps differ in no more bits than the sets in shingles.
+
+A bitmap that can tell two large sets apart is too wide to travel with every element of a prefix, and without one each
+chance meeting is a row. Large sets are therefore compared by their bitmaps alone, about a bit per shingle, class of
+sizes against class of sizes: a bitmap travels a bounded number of times and only pairs that it allows become rows.
+
+Candidates are verified by blocks of sets, each shipped once to a task that checks all pairs of two blocks.
 """
 
 from __future__ import annotations
@@ -34,6 +39,12 @@ PARITY_WORDS = 8  # 64-bit words of a bitmap that travels with a set, at most
 PARITY_ROOM = 12  # bits per shingle in which two similar sets may differ; fewer tell little
 CELL_WORDS = 128  # of the bitmaps made where sets are verified
 LIST_ROWS = 2_000  # sets of one list that a task holds against as many others
+CLASS_STEP = 1.05  # sizes of a class of large sets lie within this factor at least
+CLASS_SETS = 4_096  # of them in a part, unless there are CLASS_PARTS
+CLASS_PARTS = 2  # parts of a class, unless their bitmaps are beyond PART_BYTES
+PART_BYTES = 64 << 20
+TILE = (32, 2_048)  # bitmaps held against each other at once
+FEW = 0.02  # of a tile's pairs, which are then compared singly
 BLOCK_SETS = 256  # sets of a block in verification
 DENSE = 512  # bitmaps made at once
 
@@ -108,10 +119,26 @@ def parity_words(sizes: np.ndarray, threshold: float, most: int) -> np.ndarray:
     return np.where((sizes > 0) & (wanted <= 4 * most), np.minimum(wanted, most), 0)
 
 
+def telling(threshold: float) -> int:
+    """The largest set of which a bitmap of ``PARITY_WORDS`` tells something."""
+    return int(256 * PARITY_WORDS / (PARITY_ROOM * (1 + 1 / threshold) * (1 - threshold) / (1 + threshold) or 1e-3))
+
+
+def wide_words(sizes: np.ndarray, threshold: float) -> np.ndarray:
+    """How many words a bitmap of a set of each size has where it is compared with all sets of like size."""
+    wanted = parity_words(sizes, threshold, 1 << 40)
+    return np.maximum(np.minimum(wanted, PARITY_WORDS), wanted // 4)
+
+
+def bits(shingles: np.ndarray, words: int | np.ndarray) -> np.ndarray:
+    """Which bit of a bitmap each shingle flips."""
+    return ((shingles * 0x9E3779B1) >> 7) & (np.int64(64) * words - 1)
+
+
 def bitmaps(flat: np.ndarray, sizes: np.ndarray, words: int) -> np.ndarray:
     """A row of ``words`` words for each set, in which each shingle flips one bit. Halves fold onto each other by xor."""
     out = np.empty((len(sizes), words), np.uint64)
-    mixed = ((flat * 0x9E3779B1) >> 7) & np.int64(64 * words - 1)
+    mixed = bits(flat, words)
     ends = np.concatenate([[0], np.cumsum(sizes)])
     step = max(1, DENSE * PARITY_WORDS // words)
     for i in range(0, len(sizes), step):
@@ -123,13 +150,17 @@ def bitmaps(flat: np.ndarray, sizes: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
+def folded(x: np.ndarray, words: int) -> np.ndarray:
+    """Rows of bitmaps made ``words`` wide, which they are at least."""
+    while x.shape[1] > words:
+        x = x[:, : x.shape[1] // 2] ^ x[:, x.shape[1] // 2 :]
+    return x
+
+
 def bits_apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """In how many bits rows of bitmaps differ; the wider ones are folded."""
-    while x.shape[1] > y.shape[1]:
-        x = x[:, : x.shape[1] // 2] ^ x[:, x.shape[1] // 2 :]
-    while y.shape[1] > x.shape[1]:
-        y = y[:, : y.shape[1] // 2] ^ y[:, y.shape[1] // 2 :]
-    return np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+    words = min(x.shape[1], y.shape[1])
+    return np.bitwise_count(folded(x, words) ^ folded(y, words)).sum(axis=1, dtype=np.int64)
 
 
 PREFIXES = "size bigint, last bigint, parity binary, prefix array<bigint>"
@@ -140,8 +171,11 @@ def id_kind(rows: DataFrame, name: str = "group_id") -> str:
     return rows.schema[name].dataType.simpleString()
 
 
-def prefixes_of(texts: DataFrame, k: int, ranks: np.ndarray, threshold: float) -> DataFrame:
-    """``group_id, size, last, parity, prefix`` of texts whose set fits an array: its prefix as rising sort keys."""
+def prefixes_of(texts: DataFrame, k: int, ranks: np.ndarray, threshold: float, most: int | None = None) -> DataFrame:
+    """``group_id, size, last, parity, prefix`` of texts whose set fits an array: its prefix as rising sort keys.
+
+    With ``most``, sets of more shingles have no prefix, and a bitmap as wide as they want.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(ranks)
     schema = f"group_id {id_kind(texts)}, {PREFIXES}"
     names = [part.split()[0] for part in schema.split(", ")]
@@ -155,10 +189,13 @@ def prefixes_of(texts: DataFrame, k: int, ranks: np.ndarray, threshold: float) -
                 ordered = np.sort((owner << np.uint64(32 + BUCKET_BITS)) | key)  # sets stay in their order
                 ends = np.cumsum(sizes)
                 keep = prefix_length(sizes, threshold)
+                words = parity_words(sizes, threshold, PARITY_WORDS)
+                if most is not None:
+                    keep = np.where(sizes > most, 0, keep)
+                    words = wide_words(sizes, threshold)
                 place = np.arange(len(flat)) - np.repeat(ends - sizes, sizes)
                 chosen = ordered[place < np.repeat(keep, sizes)]
                 prefix = (chosen & np.uint64((1 << (32 + BUCKET_BITS)) - 1)).astype(np.int64)
-                words = parity_words(sizes, threshold, PARITY_WORDS)
                 parity = np.full(len(sizes), b"", object)
                 for count in np.unique(words[words > 0]).tolist():
                     some = np.flatnonzero(words == count)
@@ -198,11 +235,40 @@ def prefix_rows(texts: DataFrame, k: int, ranks: np.ndarray, threshold: float, l
 
     ``long`` has the sets of the long texts as rows, if there are any.
     """
-    found = prefixes_of(short_texts(texts, k), k, ranks, threshold)
-    rows = found.select("group_id", "size", "last", "parity", F.posexplode("prefix").alias("pos", "sort_key"))
+    rows = listed(prefixes_of(short_texts(texts, k), k, ranks, threshold))
     return rows if long is None else rows.unionByName(long_prefix_rows(long, ranks, threshold))
 
 
+def listed(prefixes: DataFrame) -> DataFrame:
+    """A row for each element of what :func:`prefixes_of` returns."""
+    return prefixes.select("group_id", "size", "last", "parity", F.posexplode("prefix").alias("pos", "sort_key"))
+
+
+def long_bitmaps(rows: DataFrame, threshold: float) -> DataFrame:
+    """``group_id, size, parity`` of sets that come as durable ``rows(group_id, shingle)``: only the bitmap is ever in one place."""
+
+    @F.arrow_udf("bigint")
+    def width(size: pa.Array) -> pa.Array:
+        return pa.array(wide_words(size.to_numpy(zero_copy_only=False), threshold))
+
+    @F.arrow_udf("bigint")
+    def place(shingle: pa.Array, words: pa.Array) -> pa.Array:
+        return pa.array(bits(shingle.to_numpy(zero_copy_only=False), words.to_numpy(zero_copy_only=False)))
+
+    def whole(table: pa.Table) -> pa.Table:
+        words = table.column("words")[0].as_py()
+        odd = np.zeros(words * 8, np.uint8)
+        odd[table.column("byte").to_numpy()] = table.column("flips").to_numpy()
+        row = table.select(["group_id", "size"]).slice(0, 1)
+        return row.append_column("parity", pa.array([odd.tobytes()], pa.binary()))
+
+    size = rows.groupBy("group_id").agg(F.count(F.lit(1)).alias("size")).withColumn("words", width("size"))
+    placed = rows.join(size, "group_id").withColumn("bit", place("shingle", "words"))
+    flip = F.call_function("shiftright", F.lit(128), (F.col("bit") % 8).cast("int"))  # the first bit of a byte is its highest
+    flipped = placed.groupBy("group_id", "size", "words", F.expr("bit div 8").alias("byte")).agg(F.bit_xor(flip).alias("flips"))
+    return flipped.groupBy("group_id").applyInArrow(whole, f"group_id {id_kind(rows)}, size bigint, parity binary")
+
+
 def meetings(prefixes: DataFrame, threshold: float, list_rows: int | None = None) -> DataFrame:
     """``id1, id2, left, sizes`` for each element that two prefixes share, unless the two sets cannot be similar.
 
@@ -311,6 +377,111 @@ def prefix_candidates(prefixes: DataFrame, threshold: float, list_rows: int | No
     )
 
 
+def size_classes(sets: DataFrame, threshold: float) -> tuple[DataFrame, int]:
+    """``sets`` with the cells in which they are compared, ``low, gap, a, b, side``, a row for each, and how many cells there are.
+
+    Sets that can be similar are in one class of sizes or in neighbouring ones, so a cell holds a part of a class (side 0)
+    against one of the same class (gap 0) or of the next (gap 1). A class has few parts unless their bitmaps need more room.
+    """
+    step = max(1 / threshold, CLASS_STEP) * (1 + 1e-6)  # a little more, for rounding
+    sets = sets.withColumn("class", F.floor(F.log(F.col("size")) / F.lit(math.log(step))).cast("int"))
+    counted = sets.groupBy("class").agg(F.count(F.lit(1)).alias("sets"), F.sum(F.octet_length("parity")).alias("held")).collect()
+    parts = [0] * (max((r["class"] for r in counted), default=0) + 3)  # that of class c is at c + 1
+    for r in counted:
+        parts[r["class"] + 1] = max(min(CLASS_PARTS, math.ceil(r["sets"] / CLASS_SETS)), math.ceil(r["held"] / PART_BYTES))
+    cells = sum(p * (p + 1) // 2 + p * after for p, after in zip(parts, parts[1:]))
+    of = F.array(*map(F.lit, parts))
+    mine = F.pmod(F.xxhash64("group_id"), of[F.col("class") + 1]).cast("int")
+    sets = sets.withColumn("mine", mine)
+
+    def meets(count, cell):
+        return F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.when(i <= count, F.struct(*[
+            value.cast("int").alias(name) for name, value in zip(("low", "gap", "a", "b", "side"), cell(i - 1), strict=True)
+        ])))
+
+    own, none, one = F.col("class"), F.lit(0), F.lit(1)
+    part = F.col("mine")
+    within = meets(of[own + 1], lambda i: (own, none, F.least(part, i), F.greatest(part, i), part > i))
+    above = meets(of[own + 2], lambda i: (own, one, part, i, none))
+    below = meets(of[own], lambda i: (own - 1, one, i, part, one))
+    cell = F.explode(F.array_compact(F.concat(within, above, below))).alias("cell")
+    return sets.select("group_id", "size", "parity", cell).select("group_id", "size", "parity", "cell.*"), cells
+
+
+def near_in_tiles(x: np.ndarray, y: np.ndarray, n1: np.ndarray, n2: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of bitmaps ``x`` and ``y`` of one width whose sets, of rising sizes ``n1`` and ``n2``, can be similar."""
+    words = x.shape[1]
+    columns = np.ascontiguousarray(y.T)
+    rows, wide = TILE
+    often = max(1, words // 8)
+    for i in range(0, len(x), rows):
+        tile, size = x[i : i + rows], n1[i : i + rows]
+        first = np.searchsorted(n2, size[0] * threshold - SLACK)
+        end = np.searchsorted(n2, size[-1] / threshold + 1, side="right")
+        for j in range(int(first), int(end), wide):
+            stop = min(int(end), j + wide)
+            both = size[:, None] + n2[None, j:stop]
+            room = both * (1 - 2 * (threshold / (1 + threshold) - SLACK))
+            fits = np.minimum(size[:, None], n2[None, j:stop]) >= np.maximum(size[:, None], n2[None, j:stop]) * threshold - SLACK
+            room = np.where(fits, np.floor(room), -1).astype(np.int32)
+            apart = np.zeros(room.shape, np.int32)
+            done = words
+            for word in range(words):
+                apart += np.bitwise_count(tile[:, word, None] ^ columns[word, None, j:stop])
+                if word >= words // 4 and word % often == 0 and np.count_nonzero(apart <= room) <= FEW * room.size:
+                    done = word + 1
+                    break
+            a, b = np.nonzero(apart <= room)
+            if done < words:
+                step = max(1, (1 << 20) // words)
+                rest = [np.empty(0, np.int64)]
+                for at in range(0, len(a), step):
+                    rest.append(bits_apart(tile[a[at : at + step], done:], y[j + b[at : at + step], done:]))
+                kept = apart[a, b] + np.concatenate(rest) <= room[a, b]
+                a, b = a[kept], b[kept]
+            yield a + i, b + j
+
+
+def large_candidates(sets: DataFrame, threshold: float) -> DataFrame:
+    """``id1, id2`` of durable ``sets(group_id, size, parity)`` whose sizes and bitmaps allow the threshold.
+
+    Every two sets of like size are compared, cell by cell. What is shuffled is each bitmap a few times.
+    """
+    kind = id_kind(sets)
+    cell = ["low", "gap", "a", "b"]
+    dealt, cells = size_classes(sets, threshold)
+    names = ["id1", "id2"]
+
+    def near(table: pa.Table) -> pa.Table:
+        alone = table.column("gap")[0].as_py() == 0 and table.column("a")[0].as_py() == table.column("b")[0].as_py()
+        table = table.select(["group_id", "size", "parity", "side"]).sort_by("size")
+        ids, size, side = (table.column(c).to_numpy() for c in ("group_id", "size", "side"))
+        words = pc.binary_length(table.column("parity")).to_numpy() // 8
+        held = {}
+        for s in np.unique(side).tolist():
+            for w in np.unique(words).tolist():
+                at = np.flatnonzero((side == s) & (words == w))
+                joined = b"".join(table.column("parity").take(pa.array(at)).to_pylist())
+                held[s, w] = at, np.frombuffer(joined, np.uint64).reshape(len(at), w)
+        found = [(ids[:0], ids[:0])]
+        for (s, u), (at1, x) in held.items():
+            for (other, v), (at2, y) in held.items():
+                if (s, other) != (0, 0 if alone else 1) or not len(at1) or not len(at2) or alone and u > v:
+                    continue
+                least = min(u, v)
+                for a, b in near_in_tiles(folded(x, least), folded(y, least), size[at1], size[at2], threshold):
+                    if alone and u == v:
+                        a, b = a[a < b], b[a < b]
+                    found.append((ids[at1[a]], ids[at2[b]]))
+        one, two = (np.concatenate(c) for c in zip(*found, strict=True))
+        made = [np.minimum(one, two), np.maximum(one, two)]
+        return pa.table([pa.array(c, table.schema.field("group_id").type) for c in made], names=names)
+
+    # so many partitions as cells, which are few bytes and much work
+    dealt = dealt.repartition(max(1, min(cells, 10_000)), *cell)
+    return dealt.groupBy(*cell).applyInArrow(near, f"id1 {kind}, id2 {kind}")
+
+
 def shipments(wanted: DataFrame, texts: DataFrame, blocks: int) -> DataFrame:
     """The texts beside the cells that want them; a group is in no more cells than there are blocks."""
     texts = texts.hint("merge")  # the planner takes short texts for small and would broadcast them
@@ -351,7 +522,8 @@ def _verified_in_blocks(pairs: DataFrame, texts: DataFrame, k: int, block_sets:
     dealt = durable(dealt, "dealt")
     place = [F.col(c).alias(f"{c}_cell") for c in cell]
     wanted = dealt.select(*place, F.explode(F.array("id1", "id2")).alias("group_id")).distinct()
-    shipped = shipments(wanted, texts.select("group_id", "normalized"), blocks)
+    own = lookup_semi(texts.select("group_id", "normalized"), placed.select("group_id"), ["group_id"])
+    shipped = shipments(wanted, own, blocks)
 
     def check(left: pa.Table, right: pa.Table) -> pa.Table:
         ids = right.column("group_id").to_numpy()
@@ -425,10 +597,23 @@ def similar_pairs(texts: DataFrame, k: int, threshold: float) -> DataFrame:
     ``id1 < id2, size1, size2, shared, jaccard``. Exact. ``texts`` should be durable.
     """
     check_threshold(threshold)
-    ranks = bucket_ranks(texts, k)
+    most = telling(threshold)
+    ranks = bucket_ranks(texts.filter(F.length("normalized") - k + 1 <= most), k)
+    sets = durable(prefixes_of(short_texts(texts, k), k, ranks, threshold, most), "sets")
+    prefixes = listed(sets)
+    # two sets of which the smaller is not among these are both small
+    large = sets.filter(F.col("size") >= max(1, math.floor(most * threshold))).select("group_id", "size", "parity")
     long = long_texts(texts, k)
-    long = None if long.isEmpty() else durable(set_rows(long, k), "long")
-    prefixes = durable(prefix_rows(texts, k, ranks, threshold, long), "prefixes")
-    candidates = durable(prefix_candidates(prefixes, threshold), "candidates")
-    release(prefixes, *([] if long is None else [long]))
+    made = [sets]
+    if not long.isEmpty():
+        long = durable(set_rows(long, k), "long")
+        held = durable(long_bitmaps(long, threshold), "bitmaps")
+        few = held.filter(F.col("size") <= most).select("group_id")
+        prefixes = prefixes.unionByName(long_prefix_rows(long.join(few, "group_id", "left_semi"), ranks, threshold))
+        large = large.unionByName(held.filter(F.col("size") >= max(1, math.floor(most * threshold))))
+        made += [long, held]
+    prefixes = durable(prefixes, "prefixes")
+    both = prefix_candidates(prefixes, threshold).unionByName(large_candidates(large, threshold))
+    candidates = durable(both.distinct(), "candidates")
+    release(prefixes, *made)
     return verify(candidates, texts, k, threshold).filter(F.col("jaccard") >= threshold)

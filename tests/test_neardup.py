@@ -249,6 +249,104 @@ def test_pairs_that_meet_follow_those_that_are_similar(spark):
     assert max(ratios) <= 1.5 * min(ratios)
 
 
+def large_texts(rng, count, words=260):
+    """Near copies of some texts of more than a thousand shingles, between few words, so that chance meetings are many."""
+    vocabulary = [f"w{i}" for i in range(60)]
+    out = []
+    for at in range(count):
+        own = [rng.choice(vocabulary) for _ in range(words + 17 * at)]
+        for _ in range(4):
+            copy = [w for w in own if rng.random() > rng.choice([0.01, 0.05])]
+            out.append(" ".join(copy))
+    return out
+
+
+@pytest.mark.parametrize("ids", [int, str])
+@pytest.mark.parametrize("threshold", [0.3, 0.8, 1.0])
+def test_exact_join_of_large_sets_equals_brute_force(spark, monkeypatch, ids, threshold):
+    """Sets below, around and above the size from which bitmaps alone are compared, in several parts and tiles."""
+    monkeypatch.setattr(jaccard_join, "CLASS_SETS", 3)
+    monkeypatch.setattr(jaccard_join, "TILE", (2, 3))
+    rng = random.Random(5)
+    many = large_texts(rng, 12) + large_texts(rng, 4, 100) + clusters(rng, 12, 40) + ["", "short", "v1 v2 v3 v4 v5"]
+    base = "".join(rng.choices("abcdefghij", k=4 * 400 + K - 1))
+    many += [base, base + "".join(rng.choices("klmnop", k=400))]  # similarity of 0.8, but for repeats
+    texts = {ids(i): t for i, t in enumerate(many)}
+    kind = "bigint" if ids is int else "string"
+    frame = storage.durable(spark.createDataFrame(list(texts.items()), f"group_id {kind}, normalized string"))
+    got = {(r.id1, r.id2): (r.size1, r.size2, r.shared) for r in similar_pairs(frame, K, threshold).collect()}
+    sets = {i: brute.shingle_set(t, K) for i, t in texts.items()}
+    expected = {}
+    for a, b in itertools.combinations(sorted(sets), 2):
+        shared = len(sets[a] & sets[b])
+        if sets[a] and sets[b] and shared / len(sets[a] | sets[b]) >= threshold:
+            expected[a, b] = (len(sets[a]), len(sets[b]), shared)
+    assert got == expected
+    assert expected or threshold == 1
+
+
+def test_large_sets_write_no_row_per_shingle(spark, monkeypatch):
+    """Every table of the exact join has some rows per text, not one per element of a prefix or chance meeting."""
+    texts = dict(enumerate(large_texts(random.Random(6), 15, 900)))
+    frame = storage.durable(spark.createDataFrame(list(texts.items()), "group_id bigint, normalized string"))
+    written, met = [], []
+    durable, met_by = jaccard_join.durable, jaccard_join.meetings
+
+    def counted(df, name="table"):
+        table = durable(df, name)
+        written.append(table.count())
+        return table
+
+    def meetings(*given):
+        met.append(met_by(*given).count())
+        return met_by(*given)
+
+    monkeypatch.setattr(jaccard_join, "durable", counted)
+    monkeypatch.setattr(jaccard_join, "meetings", meetings)
+    similar = similar_pairs(frame, K, 0.8).count()
+    assert max(written) <= 10 * len(texts)
+    assert sum(met) <= similar
+
+
+def test_sizes_in_reach_share_a_cell(spark):
+    for threshold in (0.1, 0.5, 0.8, 0.9, 1.0):
+        sizes = [*range(1, 200), *range(680, 1400, 7), 1 << 20]
+        pairs = [(n, int(n / threshold + 1e-9)) for n in sizes]
+        every = sorted({n for pair in pairs for n in pair})
+        sets = spark.createDataFrame([(n, n, bytearray(8)) for n in every], "group_id bigint, size bigint, parity binary")
+        cells = {}
+        for r in jaccard_join.size_classes(sets, threshold)[0].collect():
+            cells.setdefault(r.group_id, set()).add((r.low, r.gap, r.a, r.b))
+        assert all(cells[n] & cells[m] for n, m in pairs)
+
+
+def test_bitmaps_of_rows_equal_those_of_arrays(spark):
+    rng = np.random.default_rng(7)
+    sets = {i: np.unique(rng.integers(0, 1 << 32, n)) for i, n in enumerate((1, 40, 700, 5000))}
+    rows = storage.durable(
+        spark.createDataFrame([(i, int(x)) for i, s in sets.items() for x in s], "group_id bigint, shingle bigint")
+    )
+    for r in jaccard_join.long_bitmaps(rows, 0.8).collect():
+        size = np.array([len(sets[r.group_id])])
+        words = int(jaccard_join.wide_words(size, 0.8)[0])
+        assert (r.size, bytes(r.parity)) == (size[0], jaccard_join.bitmaps(sets[r.group_id], size, words).tobytes())
+
+
+def test_only_texts_of_pairs_are_shipped(spark, monkeypatch):
+    texts = {i: f"some words and number {i}" for i in range(200)}
+    frame = storage.durable(spark.createDataFrame(list(texts.items()), "group_id bigint, normalized string"))
+    pairs = storage.durable(spark.createDataFrame([(1, 2), (2, 7)], "id1 bigint, id2 bigint"))
+    joined, offered = jaccard_join.shipments, []
+
+    def counted(wanted, texts, blocks):
+        offered.append(texts.count())
+        return joined(wanted, texts, blocks)
+
+    monkeypatch.setattr(jaccard_join, "shipments", counted)
+    assert jaccard_join.verify(pairs, frame, K).count() == 2
+    assert offered == [3]
+
+
 def test_parity_bitmaps_bound_the_difference():
     rng = np.random.default_rng(4)
     for n in (5, 60, 900):
