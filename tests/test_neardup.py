@@ -473,6 +473,22 @@ def test_blocks_give_each_pair_once(spark, block):
     assert sorted((r.id1, r.id2) for r in got) == sorted(expected)
 
 
+def test_rows_alone_with_their_key_stay_out_of_the_join(spark, monkeypatch):
+    rows = [(f"lone{i}", i) for i in range(50)] + [("a", 1), ("a", 2), ("b", 3), ("b", 4), ("b", 5), (None, 6), (None, 7)]
+    frame = storage.durable(spark.createDataFrame(rows, "key string, id bigint"))
+    cut, joined = skew.with_parts, []
+
+    def counted(rows, *given):
+        joined.append(rows.count())
+        return cut(rows, *given)
+
+    monkeypatch.setattr(skew, "with_parts", counted)
+    for block_rows in (None, 2):
+        got = pairs_sharing_key(frame, ["key"], "id", block_rows=block_rows).collect()
+        assert sorted((r.id1, r.id2) for r in got) == [(1, 2), (3, 4), (3, 5), (4, 5)]
+    assert joined == [5, 5]
+
+
 def test_salted_join_equals_join(spark):
     many = spark.createDataFrame([(i % 3 and "hot" or f"k{i}", i) for i in range(200)], "k string, v int")
     few = spark.createDataFrame([("hot", 1), ("hot", 2), ("k0", 3)], "k string, w int")
