@@ -3,10 +3,13 @@
 Queries whose SQL takes long or whose parts are tested elsewhere are left to the driver's check.
 """
 
+import time
+from pathlib import Path
 from types import SimpleNamespace
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from sparkmine.catalog.oracle import ORACLE
@@ -100,6 +103,29 @@ def test_small_is_judged_by_bytes(spark):
         rows.count()
 
 
+def test_a_durable_table_leaves_no_shuffle(spark):
+    """Its shuffle files are removed, the session's setting stays, and a frame that was collected before can be again."""
+
+    def shuffles():
+        places = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {file.name for place in places for file in Path(place).rglob("shuffle_*")}
+
+    rows = spark.range(10_000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert len(rows.collect()) == 7
+    for given in (None, "false", "true"):
+        if given:
+            spark.conf.set(storage.CLEANUP, given)
+        before = shuffles()
+        table = storage.durable(rows)
+        deadline = time.time() + 20
+        while shuffles() - before and time.time() < deadline:
+            time.sleep(0.1)
+        assert not shuffles() - before
+        assert spark.conf.get(storage.CLEANUP, None) == given
+        assert table.count() == len(rows.collect()) == 7
+    spark.conf.unset(storage.CLEANUP)
+
+
 def test_flagship(spark):
     frame = entry_points.entry(spark)
     assert frame.columns == ["id1", "id2", "copies1", "copies2", "jaccard"]
