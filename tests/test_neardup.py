@@ -320,6 +320,57 @@ def test_sizes_in_reach_share_a_cell(spark):
         assert all(cells[n] & cells[m] for n, m in pairs)
 
 
+def test_a_bitmap_travels_three_times_at_any_number_of_sets(spark):
+    """Many sets of like size are in no more cells than few: what is shuffled grows with the sets."""
+    for count in (200, 20_000):
+        sets = spark.range(count).select(
+            F.col("id").alias("group_id"), (700 + F.col("id") % 700).alias("size"), F.lit(bytes(8)).alias("parity")
+        )
+        rows = jaccard_join.size_classes(sets, 0.8)[0]
+        assert rows.count() <= 3 * count
+        assert rows.groupBy("group_id", "low", "gap", "a", "b").count().filter("count > 1").isEmpty()
+
+
+@pytest.mark.parametrize("size", [1, 3])
+def test_every_two_sets_in_reach_meet_once(spark, monkeypatch, size):
+    """Parts of a class, and classes next to each other, whatever their numbers of parts."""
+    monkeypatch.setattr(jaccard_join, "CLASS_SETS", size)
+    monkeypatch.setattr(jaccard_join, "CLASS_PARTS", 3)
+    sizes = [*range(700, 1200, 25), *[900] * 9, 2000]
+    same = bytes(8 * 16)
+    rows = [(i, n, bytearray(same)) for i, n in enumerate(sizes)]
+    sets = storage.durable(spark.createDataFrame(rows, "group_id bigint, size bigint, parity binary"))
+    got = sorted((r.id1, r.id2) for r in jaccard_join.large_candidates(sets, 0.8).collect())
+    reach = [(i, j) for i, j in itertools.combinations(range(len(sizes)), 2) if min(sizes[i], sizes[j]) >= 0.8 * max(sizes[i], sizes[j])]
+    assert got == reach
+
+
+@pytest.mark.parametrize("list_rows", [2, 2_000])
+def test_prefixes_travel_once(spark, monkeypatch, list_rows):
+    """Where the lists do not fit a broadcast, rows of prefixes are shuffled once, and the same sets meet."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(30)]
+    texts = list(enumerate(" ".join(rng.choices(words, k=9)) for _ in range(150)))
+    texts += [(200 + i, t + " x") for i, t in texts[:40]]
+    frame = storage.durable(spark.createDataFrame(texts, "group_id bigint, normalized string"))
+    prefixes = storage.durable(jaccard_join.prefix_rows(frame, K, jaccard_join.bucket_ranks(frame, K), T))
+    near = sorted((r.id1, r.id2) for r in jaccard_join.prefix_candidates(prefixes, T, list_rows).collect())
+    monkeypatch.setattr(storage, "BROADCAST_BYTES", 0)
+    plan = jaccard_join.meetings(prefixes, T, list_rows)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert near and near == sorted((r.id1, r.id2) for r in jaccard_join.prefix_candidates(prefixes, T, list_rows).collect())
+
+
+def test_halves_of_the_exact_join_leave_nothing(spark):
+    """Bitmaps and prefixes are gone when the candidates are written, whichever half made them."""
+    texts = dict(enumerate(large_texts(random.Random(8), 4, 200) + clusters(random.Random(8), 6, 40)))
+    with storage.Workspace(spark) as work:
+        frame = storage.durable(spark.createDataFrame(list(texts.items()), "group_id bigint, normalized string"), "given")
+        similar_pairs(frame, K, 0.8)
+        left = {name.split("-")[0] for name in storage.names_below(spark, work.folder)}
+    assert not left & {"sets", "prefixes", "few", "many", "placed", "dealt"}
+
+
 def test_bitmaps_of_rows_equal_those_of_arrays(spark):
     rng = np.random.default_rng(7)
     sets = {i: np.unique(rng.integers(0, 1 << 32, n)) for i, n in enumerate((1, 40, 700, 5000))}
