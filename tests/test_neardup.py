@@ -371,6 +371,24 @@ def test_halves_of_the_exact_join_leave_nothing(spark):
     assert not left & {"sets", "prefixes", "few", "many", "placed", "dealt"}
 
 
+def test_all_texts_go_when_those_of_the_groups_are_written(spark, docs):
+    def tables(work):
+        return [name.split("-")[0] for name in storage.names_below(spark, work.folder)]
+
+    with storage.Workspace(spark) as work:
+        job = NearDuplicates(docs, k=K, n=N, threshold=T)
+        members = job.members
+        found = job.texts.count()
+        assert "texts" in tables(work) and "normalized" not in tables(work)
+        assert found == job.groups.count() and members.count() == len(CORPUS)
+        assert job.statistics.count() == len(CORPUS)  # made after it: written again
+    with storage.Workspace(spark) as work:
+        job = NearDuplicates(docs, k=K, n=N, threshold=T)
+        before = job.statistics
+        assert job.texts.count() == found and "normalized" in tables(work)
+        assert before.count() == len(CORPUS)
+
+
 def test_bitmaps_of_rows_equal_those_of_arrays(spark):
     rng = np.random.default_rng(7)
     sets = {i: np.unique(rng.integers(0, 1 << 32, n)) for i, n in enumerate((1, 40, 700, 5000))}
