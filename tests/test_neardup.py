@@ -356,7 +356,12 @@ def test_prefixes_travel_once(spark, monkeypatch, list_rows):
     prefixes = storage.durable(jaccard_join.prefix_rows(frame, K, jaccard_join.bucket_ranks(frame, K), T))
     near = sorted((r.id1, r.id2) for r in jaccard_join.prefix_candidates(prefixes, T, list_rows).collect())
     monkeypatch.setattr(storage, "BROADCAST_BYTES", 0)
-    plan = jaccard_join.meetings(prefixes, T, list_rows)._jdf.queryExecution().sparkPlan().toString()
+    automatic = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = jaccard_join.meetings(prefixes, T, list_rows)._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", automatic)
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
     assert near and near == sorted((r.id1, r.id2) for r in jaccard_join.prefix_candidates(prefixes, T, list_rows).collect())
 
