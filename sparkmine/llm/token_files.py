@@ -12,6 +12,7 @@ task that runs twice leaves one file, on any store that Spark can write.
 
 from __future__ import annotations
 
+import bisect
 import itertools
 import json
 import math
@@ -24,6 +25,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,9 +44,12 @@ IMAGE_TOKENS = 1 << 20  # an image is closed when it has as many
 FILE_BYTES = 32 << 20  # bytes of text in a file, about; a file is read whole
 LEAST_FILE_BYTES = 2 << 20  # files may be as small to keep all cores busy
 RUN_BYTES = 2 << 20  # bytes of text encoded together
-WORD_BYTES = 10 << 20  # bytes of distinct words that a worker remembers
+WORD_BYTES = 6 << 20  # bytes of distinct words that a worker remembers; a word takes some 150 bytes beside its own
+KEPT_SHARE = 2  # of which this part, the words met most often, stays when they are too many
 LINE = 100  # words given to the tokenizer in a line
+LINES = 50  # lines given to it together; what it returns takes hundreds of bytes a token
 READ_TOKENS = 1 << 17  # tokens read back together
+KEYS_A_FILE = 100  # keys sampled for each file, to deal documents by
 
 # Words of which the pattern's parts are known: runs of these letters, single digits, runs of other ASCII characters. Quotes
 # may split letters off, and an angle bracket may begin a special token.
@@ -215,6 +220,15 @@ def flat_ids(coded: list) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(itertools.chain.from_iterable(lists), np.uint32, counts.sum()), counts
 
 
+def joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and counts of all parts."""
+    ids, counts = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+    for some, each in parts:
+        ids.append(some)
+        counts.append(each)
+    return np.concatenate(ids), np.concatenate(counts)
+
+
 class Encoder:
     """Ids of whole texts. Words between ASCII white space are encoded on their own and remembered.
 
@@ -232,17 +246,32 @@ class Encoder:
         names = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ending = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
         self.ending[[i for name, i in names.items() if suffix and name.endswith(suffix)]] = True
-        self.forget()
+        self.words, self.size, self.known = Numbers(), 0, Runs()
+        self.met = np.zeros(0, np.int64)
 
     def forget(self) -> None:
-        self.words, self.size, self.known = Numbers(), 0, Runs()
+        """Forget all words but those met most often since the last time."""
+        words, known = list(self.words), self.known
+        often = np.argsort(-self.met, kind="stable")
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        kept = often[np.cumsum(sizes[often]) <= WORD_BYTES // KEPT_SHARE]
+        self.words, self.size, self.known = Numbers(), int(sizes[kept].sum()), Runs()
+        self.words.of([[words[i] for i in kept]])
+        ids, ends = known.take(kept)
+        self.known.add(ids, np.diff(ends))
+        self.met = np.zeros(len(kept), np.int64)
+
+    def given(self, lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids that the tokenizer gives for each line, and how many; it gets ``size`` lines at once."""
+        runs = [lines[i : i + size] for i in range(0, len(lines), size)]
+        return joined([flat_ids(self.tokenizer.encode_batch_fast(run, add_special_tokens=False)) for run in runs])
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words and how many each has."""
         parts = np.array([len(PARTS.findall(w)) if PLAIN.fullmatch(w) else 0 for w in words], np.int64)
         plain = np.flatnonzero(parts)
         lines = [" ".join([words[i] for i in plain[j : j + LINE]]) for j in range(0, len(plain), LINE)]
-        ids, _ = flat_ids(self.tokenizer.encode_batch_fast(lines, add_special_tokens=False))
+        ids, _ = self.given(lines, LINES)
         ends = np.flatnonzero(self.ending[ids]) + 1
         last = np.cumsum(parts[plain])
         if len(ends) != parts.sum():  # a tokenizer that marks no ends
@@ -250,7 +279,7 @@ class Encoder:
         counts = np.zeros(len(words), np.int64)
         counts[plain] = np.diff(ends[last - 1], prepend=0)
         odd = np.flatnonzero(parts == 0)
-        odd_ids, counts[odd] = flat_ids(self.tokenizer.encode_batch_fast([words[i] for i in odd], add_special_tokens=False))
+        odd_ids, counts[odd] = self.given([words[i] for i in odd], LINE * LINES)
         out = np.empty(counts.sum(), np.uint32)
         in_line = np.repeat(parts > 0, counts)
         out[in_line], out[~in_line] = ids, odd_ids
@@ -265,6 +294,9 @@ class Encoder:
         if fresh:
             self.size += sum(map(len, fresh))
             self.known.add(*self.encode_words([w.decode() for w in fresh]))
+        met = np.bincount(which, minlength=len(self.words))
+        met[: len(self.met)] += self.met
+        self.met = met
         flat, ends = self.known.take(which)
         return flat, ends[np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))]
 
@@ -279,6 +311,63 @@ def with_end(ids: np.ndarray, ends: np.ndarray, end_id: int) -> tuple[np.ndarray
     return out, after
 
 
+def halves(ids: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """The lower and the upper 16 bits of the ids of each document as bytes; the upper are null if they are 0 in all."""
+    offsets = pa.py_buffer(np.concatenate([[0], 2 * ends]).astype(np.int32))
+
+    def column(values: np.ndarray) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), len(ends), [None, offsets, pa.py_buffer(values.astype("<u2"))])
+
+    high = ids >> np.uint32(16)
+    return column(ids & np.uint32(0xFFFF)), column(high) if high.any() else pa.nulls(len(ends), pa.binary())
+
+
+def whole_ids(low: pa.Array, high: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """What :func:`halves` was given."""
+    ids = np.frombuffer(b"".join(low.to_pylist()), "<u2").astype(np.uint32)
+    sizes = pc.binary_length(low).to_numpy() // 2
+    if high.null_count < len(high):
+        upper = [x if x is not None else bytes(2 * n) for x, n in zip(high.to_pylist(), sizes.tolist(), strict=True)]
+        ids |= np.frombuffer(b"".join(upper), "<u2").astype(np.uint32) << np.uint32(16)
+    return ids, np.cumsum(sizes, dtype=np.int64)
+
+
+def key_bounds(keys: DataFrame, count: int) -> list[tuple]:
+    """Where to cut ``keys(doc_id, hash, size)`` into ``count`` ranges of about the same size, from a few sampled keys a range."""
+    rows = keys.count()
+    some = keys.sample(min(1.0, KEYS_A_FILE * count / max(rows, 1)), seed=1).collect() if count > 1 else []
+    some = sorted((sort_key(r.doc_id, r.hash), r.size) for r in some)
+    ends = np.cumsum([size for _, size in some], dtype=np.int64)
+    at = np.searchsorted(ends, np.arange(1, count) * (ends[-1] / count)) if some else []
+    return sorted({some[i][0] for i in at})
+
+
+def sort_key(doc_id: int | None, hashed: int) -> tuple:
+    return doc_id is not None, doc_id or 0, hashed
+
+
+def coded(rows: DataFrame, tokenizer_file: str, end_id: int, bounds: list[tuple]) -> DataFrame:
+    """``doc_id, hash, range, low, high`` of ``rows(doc_id, hash, text)``: number of the range, and the ids as :func:`halves`."""
+    shared = rows.sparkSession.sparkContext.broadcast({"file": Path(tokenizer_file).read_text(encoding="utf-8")})
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_by_worker = shared.value  # outlives the task, so the next one knows this one's words
+        if "encoder" not in held_by_worker:
+            held_by_worker["encoder"] = Encoder(held_by_worker["file"])
+        encoder = held_by_worker["encoder"]
+        for whole in batches:
+            for i, j in texts.slices(whole.column("text"), RUN_BYTES):
+                raw, offsets = texts.flat(whole.column("text").slice(i, j - i))
+                said = [raw[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+                made = halves(*with_end(*encoder.encode(said), end_id))
+                keys = [whole.column(c).slice(i, j - i) for c in ("doc_id", "hash")]
+                each = zip(*(c.to_pylist() for c in keys), strict=True)
+                ranges = pa.array([bisect.bisect_right(bounds, sort_key(*key)) for key in each], pa.int32())
+                yield pa.RecordBatch.from_arrays([*keys, ranges, *made], names=["doc_id", "hash", "range", "low", "high"])
+
+    return rows.select("doc_id", "hash", "text").mapInArrow(code, "doc_id long, hash long, range int, low binary, high binary")
+
+
 def write_files(
     documents: DataFrame, tokenizer_file: str, path: str, end_id: int = END_ID, file_bytes: int = FILE_BYTES
 ) -> None:
@@ -287,22 +376,20 @@ def write_files(
     Special tokens are not added; ``end_id`` ends each document. A null text has no other id, like an empty one. A null
     doc_id comes first and is kept as null; rows of one id are documents of their own, in the order of a hash of the
     text. Other columns are ignored. An empty table gives no images. ``tokenizer_file`` is read on the driver. A document is
-    held whole by the task that encodes it.
+    held whole by the task that encodes it. Texts are encoded where they are read; only ids are dealt and sorted, at two
+    bytes each unless they need more.
     """
-    spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast({"file": Path(tokenizer_file).read_text(encoding="utf-8")})
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    total = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0))).first()[0]
-    enough = min(math.ceil(total / LEAST_FILE_BYTES), 2 * spark.sparkContext.defaultParallelism)
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    size = (F.octet_length("text") + 1).cast("long").alias("size")
+    total = rows.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    enough = min(math.ceil(total / LEAST_FILE_BYTES), 2 * documents.sparkSession.sparkContext.defaultParallelism)
     count = max(1, enough, math.ceil(total / file_bytes))
-    order = ["doc_id", "hash"]
-    dealt = rows.withColumn("hash", F.xxhash64("text")).repartitionByRange(count, *order).sortWithinPartitions(*order)
+    bounds = key_bounds(rows.select("doc_id", "hash", size), count)
+    ids = coded(rows, tokenizer_file, end_id, bounds)
+    dealt = ids.repartitionById(len(bounds) + 1, F.col("range")).sortWithinPartitions("doc_id", "hash")
 
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_by_worker = shared.value  # outlives the task, so the next one knows this one's words
-        if "encoder" not in held_by_worker:
-            held_by_worker["encoder"] = Encoder(held_by_worker["file"])
-        encoder = held_by_worker["encoder"]
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc_ids: list[int | None] = []
         parts: list[np.ndarray] = []
         ends: list[np.ndarray] = []
@@ -317,11 +404,10 @@ def write_files(
             return pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], names=["image"])
 
         for whole in batches:
-            for i, j in texts.slices(whole.column("text"), RUN_BYTES):
-                raw, offsets = texts.flat(whole.column("text").slice(i, j - i))
-                said = [raw[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-                ids, after = with_end(*encoder.encode(said), end_id)
-                doc_ids += whole.column("doc_id").slice(i, j - i).to_pylist()
+            for i, j in texts.slices(whole.column("low"), RUN_BYTES):
+                batch = whole.slice(i, j - i)
+                ids, after = whole_ids(batch.column("low"), batch.column("high"))
+                doc_ids += batch.column("doc_id").to_pylist()
                 parts.append(ids)
                 ends.append(after + held)
                 held += len(ids)
@@ -330,7 +416,7 @@ def write_files(
         if doc_ids:
             yield close()
 
-    made = dealt.select("doc_id", "text").mapInArrow(code, "image binary")
+    made = dealt.select("doc_id", "low", "high").mapInArrow(gather, "image binary")
     made.select(F.col("image").cast("string")).write.option("lineSep", AFTER).text(path)  # the bytes as they are
 
 

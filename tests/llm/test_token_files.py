@@ -1,6 +1,7 @@
 """Operator 13 against the tokenizers library, and access to single tokens."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -96,3 +97,54 @@ def test_image_round_trip(ids, data):
         assert held.between(a, b).tolist() == ids[a:b]
         places = np.array(data.draw(st.lists(st.integers(0, len(ids) - 1), min_size=1, max_size=30)))
         assert held.at(places).tolist() == [ids[i] for i in places]
+
+
+def test_texts_are_not_shuffled(spark, tmp_path, monkeypatch):
+    """Texts are encoded where they are read: what is sorted for the files are ids."""
+    seen = []
+    kind = type(spark.range(0))
+    mapped = kind.mapInArrow
+
+    def noted(self, *args, **options):
+        made = mapped(self, *args, **options)
+        seen.append(made._jdf.queryExecution().optimizedPlan().toString())
+        return made
+
+    monkeypatch.setattr(kind, "mapInArrow", noted)
+    rows = [(i, f"text {i}") for i in range(50)]
+    token_files.write_files(documents(spark, rows), FILE, str(tmp_path / "f"), file_bytes=100)
+    with_text = [plan for plan in seen if "MapInArrow" in plan and not re.search(r"Repartition|Sort", plan)]
+    assert with_text, "the tokenizer runs on sorted texts"
+    assert len(list((tmp_path / "f").glob("part-*"))) > 3
+
+
+def test_rows_of_one_id_are_dealt_to_many_files(spark, library, tmp_path):
+    rows = [(i % 2 or None, f"w{i} x{i * i}") for i in range(400)]
+    token_files.write_files(documents(spark, rows), FILE, str(tmp_path / "f"), file_bytes=400)
+    sizes = [sum(len(h.doc_ids) for h in token_files.images(np.fromfile(f, np.uint8))) for f in (tmp_path / "f").glob("part-*")]
+    assert sum(sizes) == 400 and len(sizes) > 5 and max(sizes) < 200
+    read = token_files.read_files(spark, str(tmp_path / "f")).orderBy("file", "start").collect()
+    assert [r.doc_id for r in read] == [None] * 200 + [1] * 200
+    said = {(i % 2 or None, tuple(library.encode(t, add_special_tokens=False).ids)) for i, t in enumerate(t for _, t in rows)}
+    assert {(r.doc_id, tuple(r.token_ids[:-1])) for r in read} == said
+
+
+def test_ids_of_more_than_two_bytes():
+    ids, ends = np.array([1, 65_535, 7, 65_536, 2**32 - 1], np.uint32), np.array([2, 2, 3, 5])
+    for n in (3, 4):  # without and with large ids
+        low, high = token_files.halves(ids[: ends[n - 1]], ends[:n])
+        assert (high.null_count == n) == (n == 3)
+        back, at = token_files.whole_ids(low, high)
+        assert back.tolist() == ids[: ends[n - 1]].tolist() and at.tolist() == ends[:n].tolist()
+
+
+def test_words_met_often_stay_remembered(library, monkeypatch):
+    monkeypatch.setattr(token_files, "WORD_BYTES", 400)
+    with open(FILE, encoding="utf-8") as file:
+        encoder = token_files.Encoder(file.read())
+    for i in range(30):
+        said = f"often and often {' '.join(f'rare{i}x{j}' for j in range(10))} often and"
+        ids, _ = encoder.encode([said.encode()])
+        assert ids.tolist() == library.encode(said, add_special_tokens=False).ids
+        assert b"often" in encoder.words and b"and" in encoder.words and encoder.size < 600
+    assert b"rare0x0" not in encoder.words
