@@ -41,6 +41,6 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         if new == state or not new[0]:
             break
         state, number = new, number + 1
-        current = scratch.write(f"edges_{number}", _star(_star(current, True), False))
+        current = scratch.write(f"edges_{number}", _star(_star(current, True), False), (f"edges_{number - 1}",))
         scratch.drop(f"edges_{number - 1}")
     return current.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -254,7 +254,7 @@ def pivots_of(met: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     is its own pivot and among the sets that are compared through it. A set that shares less than a quarter of its
     prefix with its leader has met it by chance and stays its own pivot. Any choice like that gives the right links.
     """
-    leaders = scratch.write("leaders", met.groupBy("key").agg(F.min("digest").alias("leader")))
+    leaders = scratch.write("leaders", met.groupBy("key").agg(F.min("digest").alias("leader")), ("met",))
     led = (
         met.select("key", "digest", "n")
         .join(if_small(scratch, "leaders", leaders), "key")
@@ -264,7 +264,7 @@ def pivots_of(met: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
         .filter(F.col("count") * 4 >= F.col("n") - F.ceil(F.col("n") * F.lit(percent) / F.lit(100)) + 1)
     )
     best = led.groupBy("digest").agg(F.min(F.struct(-F.col("count"), "leader"))["leader"].alias("pivot"))
-    current = scratch.write("pivots_0", best)
+    current = scratch.write("pivots_0", best, ("met",))
     scratch.drop("leaders")
     step, moved = 0, True
     while moved:
@@ -272,7 +272,7 @@ def pivots_of(met: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
         ahead = current.select(F.col("digest").alias("pivot"), F.col("pivot").alias("next"))
         jumped = current.join(ahead, "pivot", "left")
         jumped = jumped.select("digest", F.coalesce("next", "pivot").alias("pivot"), F.isnotnull("next").alias("moved"))
-        current = scratch.write(f"pivots_{step}", jumped)
+        current = scratch.write(f"pivots_{step}", jumped, (f"pivots_{step - 1}",))
         scratch.drop(f"pivots_{step - 1}")
         moved = not current.filter("moved").isEmpty()
         current = current.drop("moved")
@@ -363,7 +363,7 @@ def answers_by_pivot(diffs: DataFrame, scratch: Scratch, percent: int, block: in
     """
     sizes = diffs.groupBy("pivot").count().filter(F.col("count") > block)
     sizes = sizes.select("pivot", F.ceil(F.col("count") / F.lit(block)).cast("int").alias("blocks"))
-    sizes = if_small(scratch, "sizes", scratch.write("sizes", sizes))
+    sizes = if_small(scratch, "sizes", scratch.write("sizes", sizes, ("diffs",)))
     mine = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
     dealt = (
         diffs.join(sizes, "pivot", "left")
@@ -415,7 +415,7 @@ def meetings(rows: DataFrame, scratch: Scratch, percent: int, list_rows: int = L
     band = F.floor(steps + F.lit(1e-9)).cast("int")  # exact powers must not fall short by rounding
     long = rows.groupBy("key").count().filter(F.col("count") > list_rows)
     long = long.select("key", F.ceil(F.col("count") / F.lit(list_rows)).cast("int").alias("parts"))
-    long = if_small(scratch, "long", scratch.write("long", long))
+    long = if_small(scratch, "long", scratch.write("long", long, ("lists",)))
     rows = rows.join(long, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("band", band)
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
     others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
@@ -454,8 +454,8 @@ def pairs_across(met: DataFrame, pivots: DataFrame, scratch: Scratch, percent: i
     """
     rows = met.join(if_small(scratch, "pivots", pivots), "digest")
     mixed = rows.groupBy("key").agg(F.min("pivot").alias("a"), F.max("pivot").alias("b")).filter("a <> b")
-    mixed = scratch.write("mixed", mixed.select("key"))
-    rows = scratch.write("lists", rows.join(if_small(scratch, "mixed", mixed), "key", "left_semi"))
+    mixed = scratch.write("mixed", mixed.select("key"), ("met", "pivots"))
+    rows = scratch.write("lists", rows.join(if_small(scratch, "mixed", mixed), "key", "left_semi"), ("met", "pivots"))
     found = meetings(rows, scratch, percent).groupBy("d1", "d2", "bound")
     found = found.agg(F.count(F.lit(1)).alias("shared"), F.min("left").alias("left"))
     return found.filter((F.col("shared") + F.col("left")) * (100 + percent) >= F.col("bound")).select("d1", "d2")
@@ -475,20 +475,21 @@ def set_links(documents: DataFrame, k: int, percent: int, scratch: Scratch, bloc
         rows.filter("n_shingles > 0")
         .groupBy("digest")
         .agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id")),
+        ("rows",),
     )
     blocks = sketched.filter("blocks is not null").select("mark", F.explode("blocks").alias("block"))
-    common = scratch.write("common", blocks.groupBy("block").count().filter("count > 1").select("block"))
-    agreeing = scratch.write("agreeing", blocks.join(common, "block", "left_semi").select("mark").distinct())
+    common = scratch.write("common", blocks.groupBy("block").count().filter("count > 1").select("block"), ("sketched",))
+    agreeing = scratch.write("agreeing", blocks.join(common, "block", "left_semi").select("mark").distinct(), ("sketched",))
     scratch.drop("sketched", "common")
 
     prefixes = scratch.write("prefixes", keyed(documents, k, ranks, mark_filter(agreeing), percent))
     last = F.element_at("keys", -1).alias("last")
     odd = [F.col("parity")[i].alias(f"odd{i}") for i in range(PARITY_WORDS)]
     postings = prefixes.select("digest", "n", *odd, last, F.posexplode("keys").alias("pos", "key"))
-    repeated = scratch.write("repeated", postings.groupBy("key").count().filter("count > 1").select("key"))
-    met = scratch.write("met", postings.join(if_small(scratch, "repeated", repeated), "key", "left_semi"))
+    repeated = scratch.write("repeated", postings.groupBy("key").count().filter("count > 1").select("key"), ("prefixes",))
+    met = scratch.write("met", postings.join(if_small(scratch, "repeated", repeated), "key", "left_semi"), ("prefixes",))
     scratch.drop("agreeing", "prefixes", "repeated")
-    pivots = scratch.write("pivots", pivots_of(met, scratch, percent))
+    pivots = scratch.write("pivots", pivots_of(met, scratch, percent), ("met",))
     pairs = scratch.write("pairs", pairs_across(met, pivots, scratch, percent))
     scratch.drop("met", "lists", "mixed", "long")
 
@@ -497,7 +498,7 @@ def set_links(documents: DataFrame, k: int, percent: int, scratch: Scratch, bloc
     grouped = pivots.join(around, "pivot")
     paired = pairs.select(F.explode(F.array("d1", "d2")).alias("digest")).distinct().withColumn("paired", F.lit(True))
     needed_sets = grouped.join(paired, "digest", "full").join(classes.select("digest", "copies"), "digest")
-    needed_sets = scratch.write("needed", needed_sets)
+    needed_sets = scratch.write("needed", needed_sets, ("pivots", "pairs", "classes"))
     wanted = mark_filter(needed_sets.select(mark_column().alias("mark")))
     sets = scratch.write("sets", keyed(documents, k, ranks, wanted).join(needed_sets, "digest"))
     scratch.drop("needed")
@@ -535,7 +536,7 @@ def near_duplicates(documents: DataFrame, k: int = WORDS, percent: int = PERCENT
     """
     scratch = Scratch(documents.sparkSession)
     rows, classes, links = set_links(documents, k, percent, scratch, block)
-    links = scratch.write("links", links)
+    links = scratch.write("links", links, ("inside", "verified"))
     roots = components(links.select(F.col("digest").alias("u"), F.col("root").alias("v")), scratch)
     counts = links.groupBy("digest").agg(F.sum("links").alias("links"))
     named = (
@@ -543,7 +544,7 @@ def near_duplicates(documents: DataFrame, k: int = WORDS, percent: int = PERCENT
         .join(counts, "digest", "left")
         .withColumn("root", F.coalesce("root", "digest"))
     )
-    named = scratch.write("named", named)
+    named = scratch.write("named", named, ("classes", "links"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     answer = named.join(least, "root").select(
         "digest", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+BYTES_A_FILE = 4 << 20  # of the tables that a table is made of
+
 
 class Scratch:
     """Tables written once and read by later steps of one job.
@@ -39,8 +42,17 @@ class Scratch:
         self.live[name] = f"{self.base}/{name}"
         return self.live[name]
 
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        """Write ``df`` and read it back: lineage cut, true sizes, survives lost executors."""
+    def write(self, name: str, df: DataFrame, sources: tuple[str, ...] = ()) -> DataFrame:
+        """Write ``df`` and read it back: lineage cut, true sizes, survives lost executors.
+
+        With ``sources``, tables of this job that ``df`` is made of by light steps, it gets as many files as their bytes
+        ask for, one for each core at least, however many partitions a shuffle has: a local file system starts
+        processes for each file, which for a moment count with all memory of the executor that starts them. If one of
+        them is not a table of this job, the partitions stay as they are.
+        """
+        if sources and all(s in self.live for s in sources):
+            wanted = math.ceil(sum(map(self.bytes, sources)) / BYTES_A_FILE)
+            df = df.coalesce(max(self.spark.sparkContext.defaultParallelism, wanted))
         df.write.mode("overwrite").parquet(self.path(name))
         return self.read(name, df.schema)
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -208,3 +209,27 @@ def test_components_of_paths_and_cycles(spark):
     got = {r.node: r.root for r in components(frame, Scratch(spark)).collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, 101: 100, 102: 100, 201: 200}
     assert components(frame.limit(0), Scratch(spark)).collect() == []
+
+
+def test_small_tables_have_few_files(spark, rows, monkeypatch):
+    """However many partitions a shuffle has, tables made by light steps have a file for each core at most."""
+    files: dict[str, int] = {}
+    write = Scratch.write
+
+    def noted(self, name, *rest):
+        made = write(self, name, *rest)
+        files[name.split("_")[0]] = len(list(Path(self.live[name].removeprefix("file:")).glob("part-*")))
+        return made
+
+    monkeypatch.setattr(Scratch, "write", noted)
+    before = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        assert found(ngram_join.near_duplicates(documents(spark, rows))) == brute(rows)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    light = "classes common agreeing repeated met leaders pivots mixed lists long needed sizes links named".split()
+    cores = spark.sparkContext.defaultParallelism
+    assert {n: files[n] for n in light if files[n] > cores} == {}
