@@ -44,8 +44,7 @@ IMAGE_TOKENS = 1 << 20  # an image is closed when it has as many
 FILE_BYTES = 32 << 20  # bytes of text in a file, about; a file is read whole
 LEAST_FILE_BYTES = 2 << 20  # files may be as small to keep all cores busy
 RUN_BYTES = 2 << 20  # bytes of text encoded together
-WORD_BYTES = 6 << 20  # bytes of distinct words that a worker remembers; a word takes some 150 bytes beside its own
-KEPT_SHARE = 2  # of which this part, the words met most often, stays when they are too many
+WORD_BYTES = 10 << 20  # bytes of distinct words that a worker remembers
 LINE = 100  # words given to the tokenizer in a line
 LINES = 50  # lines given to it together; what it returns takes hundreds of bytes a token
 READ_TOKENS = 1 << 17  # tokens read back together
@@ -246,20 +245,10 @@ class Encoder:
         names = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ending = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
         self.ending[[i for name, i in names.items() if suffix and name.endswith(suffix)]] = True
-        self.words, self.size, self.known = Numbers(), 0, Runs()
-        self.met = np.zeros(0, np.int64)
+        self.forget()
 
     def forget(self) -> None:
-        """Forget all words but those met most often since the last time."""
-        words, known = list(self.words), self.known
-        often = np.argsort(-self.met, kind="stable")
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        kept = often[np.cumsum(sizes[often]) <= WORD_BYTES // KEPT_SHARE]
-        self.words, self.size, self.known = Numbers(), int(sizes[kept].sum()), Runs()
-        self.words.of([[words[i] for i in kept]])
-        ids, ends = known.take(kept)
-        self.known.add(ids, np.diff(ends))
-        self.met = np.zeros(len(kept), np.int64)
+        self.words, self.size, self.known = Numbers(), 0, Runs()
 
     def given(self, lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids that the tokenizer gives for each line, and how many; it gets ``size`` lines at once."""
@@ -294,9 +283,6 @@ class Encoder:
         if fresh:
             self.size += sum(map(len, fresh))
             self.known.add(*self.encode_words([w.decode() for w in fresh]))
-        met = np.bincount(which, minlength=len(self.words))
-        met[: len(self.met)] += self.met
-        self.met = met
         flat, ends = self.known.take(which)
         return flat, ends[np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))]
 
